@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, simhash
+from . import exact_dedup, packing, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +21,17 @@ def op7_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), width=3, max_bits=2)
 
 
+def op8_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.grade_documents(docs, quality.train(docs, quality.grades_of_labels(_table(spark, sf_dir, "labels"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup_trie, op7_simhash_ball)}
+    return {f.__name__: f for f in (op1_exact_dedup_trie, op7_simhash_ball, op8_cost_packing, op9_ordinal_quality)}
 
 
 OP1_SQL = r"""
