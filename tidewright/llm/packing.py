@@ -54,7 +54,14 @@ def encoder(vocabulary: str):
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     ranked = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
-    return lambda text: ranked.encode_to_numpy(text, allowed_special="all")
+
+    def ids(text: str) -> np.ndarray:
+        try:
+            return ranked.encode_to_numpy(text, allowed_special="all")
+        except ValueError:  # its pattern engine gives up on runs of over a million spaces
+            return encoder(vocabulary.removesuffix(".tiktoken") + ".json")(text)
+
+    return ids
 
 
 def cost(n, linear: float = LINEAR, quadratic: float = QUADRATIC):
