@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality, simhash
+from . import exact_dedup, line_dedup, mixing, packing, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op5_line_edit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), width=3, max_bits=2)
 
@@ -35,7 +39,7 @@ def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup_trie, op3_temperature_mix, op7_simhash_ball, op8_cost_packing, op9_ordinal_quality)}
+    return {f.__name__: f for f in (op1_exact_dedup_trie, op3_temperature_mix, op5_line_edit_dedup, op7_simhash_ball, op8_cost_packing, op9_ordinal_quality)}
 
 
 OP1_SQL = r"""
