@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, packing, quality, simhash
+from . import exact_dedup, line_dedup, mixing, packing, pii, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,8 +39,14 @@ def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grade_documents(docs, quality.train(docs, quality.grades_of_labels(_table(spark, sf_dir, "labels"))))
 
 
+def op10_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pii.pseudonymize(_table(spark, sf_dir, "documents"))
+    found = [F.coalesce(F.try_element_at("pii_finds", F.lit(kind)), F.lit(0)).alias(f"n_{kind}") for kind in pii.KINDS]
+    return docs.select("doc_id", "text", "lang", "source", *found)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup_trie, op3_temperature_mix, op5_line_edit_dedup, op7_simhash_ball, op8_cost_packing, op9_ordinal_quality)}
+    return {f.__name__: f for f in (op1_exact_dedup_trie, op3_temperature_mix, op5_line_edit_dedup, op7_simhash_ball, op8_cost_packing, op9_ordinal_quality, op10_pii_feistel)}
 
 
 OP1_SQL = r"""
