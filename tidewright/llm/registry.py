@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, line_dedup, mixing, packing, pii, quality, secrets_scan, simhash
+from . import brown_lm, embedding_dedup, exact_dedup, line_dedup, mixing, packing, pii, quality, secrets_scan, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_exact_dedup_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op10_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup_trie, op3_temperature_mix, op4_int8_near_dup, op5_line_edit_dedup, op6_secret_markov, op7_simhash_ball, op8_cost_packing, op9_ordinal_quality, op10_pii_feistel)}
+    return {f.__name__: f for f in (op1_exact_dedup_trie, op2_brown_lm, op3_temperature_mix, op4_int8_near_dup, op5_line_edit_dedup, op6_secret_markov, op7_simhash_ball, op8_cost_packing, op9_ordinal_quality, op10_pii_feistel)}
 
 
 OP1_SQL = r"""
