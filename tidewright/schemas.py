@@ -2,9 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType
 
-RAW = StructType.fromDDL("""
+ATOMS = {"string": StringType, "int": IntegerType, "bigint": LongType, "boolean": BooleanType, "double": DoubleType}
+
+
+def _split(text: str) -> list[str]:
+    """The parts of text between commas that lie in no brackets."""
+    out, depth, start = [], 0, 0
+    for i, c in enumerate(text):
+        depth += (c == "<") - (c == ">")
+        if c == "," and not depth:
+            out.append(text[start:i])
+            start = i + 1
+    return [x.strip() for x in (*out, text[start:]) if x.strip()]
+
+
+def parse_type(text: str) -> DataType:
+    """A type as it is written in a schema; no session is needed for it, in contrast to Spark's own parser."""
+    text = text.strip()
+    if text in ATOMS:
+        return ATOMS[text]()
+    kind, _, inner = text[:-1].partition("<")
+    if kind == "array":
+        return ArrayType(parse_type(inner))
+    if kind == "map":
+        return MapType(*map(parse_type, _split(inner)))
+    return parse_fields(inner)
+
+
+def parse_fields(text: str) -> StructType:
+    parts = [part.replace(":", " ", 1).split(None, 1) if "<" not in part.split(None, 1)[0] else part.split(":", 1) for part in _split(text)]
+    return StructType([StructField(name.strip(), parse_type(kind)) for name, kind in parts])
+
+
+RAW = parse_fields("""
 schema_version string, collected_at string, collector_version string,
 source struct<repo: string, pr_number: int, html_url: string, api_urls: struct<pull: string>>,
 pull struct<title: string, body: string, state: string, merged: boolean, merged_at: string, user_login: string, labels: array<string>, base_sha: string, head_sha: string,
@@ -22,7 +54,7 @@ collection_meta struct<authenticated: boolean, endpoints_called: array<string>,
 
 SIGNAL = "struct<author: string, comment: string, suggestion: string>"
 EVENT = "struct<type: string, result: string, detail: string>"
-TRAJECTORY = StructType.fromDDL(f"""
+TRAJECTORY = parse_fields(f"""
 id string, repo string, pr_number int, source_urls array<string>, language string, domain string, task_type string, before_context string, patch string,
 validation array<{EVENT}>, outcome string, training_use string, issue_context string, review_signals array<{SIGNAL}>, quality_score double
 """)
@@ -34,14 +66,14 @@ USES = ("repair", "validation", "feature", "review-to-patch", "autocomplete", "b
 EVENT_TYPES = ("test", "ci", "manual", "review", "other")
 RESULTS = ("pass", "fail", "flaky")
 
-MANIFEST = StructType.fromDDL("""
+MANIFEST = parse_fields("""
 name string, schema_version string, created_at string, created_by string, source_repo string, jsonl_path string, record_count int, sha256 string, bytes bigint,
 records array<struct<id: string, pr_number: int, training_use: string, task_type: string, domain: string, language: string, quality_score: double, outcome: string, has_issue_context: boolean,
     review_signal_count: int, unique_review_signal_count: int, patch_chars: int, validation_count: int, source_url_count: int>>
 """)
 
 #: Dataset cards hold hand-written maps: each value stays JSON text, so one of an odd type spoils no other.
-CARD = StructType.fromDDL("""
+CARD = parse_fields("""
 name string, source_repo string, schema_version string, language string, domains array<string>, domain_by_pr map<string,string>, task_type_by_pr map<string,string>,
 language_by_pr map<string,string>, linked_issues_by_pr map<string,string>, training_use_buckets map<string,array<int>>
 """)
