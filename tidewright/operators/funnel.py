@@ -63,3 +63,18 @@ def yield_funnel(rows: DataFrame, group: str, bot: Column, key: Column, cap: int
     return rows.groupBy(group).agg(
         F.count("*").alias("n_all"), F.count_if(kept).alias("n_kept"), F.least(F.count_if(kept), F.lit(cap).cast("bigint")).alias("n_shown"), F.count_distinct(F.when(kept, key)).alias("n_unique")
     )
+
+
+def check_verdicts(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group of check runs (name, status, conclusion): passes iff all have ended, one with success, none badly. No group is collected."""
+    status, end = F.coalesce(filled(F.col("status")), F.lit("completed")), filled(F.col("conclusion"))
+    open_ = ~status.isin("completed", "neutral", "skipped") | ((status == "completed") & end.isNull())
+    out = runs.groupBy(*keys).agg(F.count("*").alias("n_checks"), F.bool_or(open_).alias("open"), F.bool_or(F.coalesce(end == "success", F.lit(False))).alias("good"), F.bool_and(F.coalesce(end.isin("success", "neutral", "skipped"), F.lit(True))).alias("fine"))
+    return out.select(*keys, "n_checks", (~F.col("open") & F.col("good") & F.col("fine")).alias("passes"))
+
+
+def first_names(rows: DataFrame, keys: list[str], order: list[Column], shown: Column, n: int = 12) -> DataFrame:
+    """Per group the first n texts, joined by commas: a window with a group limit, then at most n rows a group."""
+    ranked = rows.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("place") <= n)
+    packed = ranked.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("place", shown.alias("t")))).alias("a"))
+    return packed.select(*keys, F.array_join(F.transform("a", lambda x: x["t"]), ", ").alias("names"))

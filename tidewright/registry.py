@@ -1,10 +1,453 @@
-"""Named queries over the driver's tables, each with DuckDB SQL for the same rows."""
+"""Named queries over the driver's tables, each with DuckDB SQL for the same rows.
+
+The tables hold no pull requests, so where an operator needs one it is put together from columns, by the same rule
+in both engines: orders are pull requests, line items their files, events check runs, conversations threads.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import bots, links, paths, redact, validation
+from .functions.text import cap, section, utf8_prefix
+from .operators import checks, funnel, labels, manifest, quality, signals
+from .plans.trajectory import normalize
+from .schemas import RAW, TRAJECTORY, parse_type
+from .streaming.events import streamed
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def text(x) -> Column:
+    return x.cast("string")
+
+
+# --- texts ----------------------------------------------------------------------------------------------------------
+
+
+@query(r"""SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS clean FROM pages""")
+def strip_boilerplate(spark, sf_dir):
+    """Bodies without bot blocks; of those, pages hold HTML comments."""
+    return table(spark, sf_dir, "pages").select("page_id", bots.strip_boilerplate(F.col("html")).alias("clean"))
+
+
+def _redacted_sql(x: str) -> str:
+    for family, (pattern, kept) in redact.FAMILIES.items():
+        x = f"regexp_replace({x}, '{pattern.replace(chr(39), chr(39) * 2)}', '{kept.replace('$', chr(92))}{redact.mark(family)}', 'g')"
+    return f"regexp_replace({x}, '{redact.HOME.replace(chr(39), chr(39) * 2)}', '{redact.HOME_MARK}', 'g')"
+
+
+@query(f"SELECT doc_id, md5({_redacted_sql('text')}) AS redacted_md5, {_redacted_sql('text')} <> text AS changed FROM documents")
+def redact_secrets(spark, sf_dir):
+    """Texts with secrets and home paths replaced."""
+    clean = redact.redact(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(clean.cast("binary")).alias("redacted_md5"), (clean != F.col("text")).alias("changed"))
+
+
+_FAMILY_SQL = " UNION ALL ".join(f"SELECT doc_id, source, '{f}' AS family FROM documents WHERE regexp_matches(text, '{p.replace(chr(39), chr(39) * 2)}')" for f, (p, _) in redact.FAMILIES.items())
+
+
+@query(f"SELECT source, family, count(*) AS n_docs FROM ({_FAMILY_SQL}) GROUP BY source, family")
+def secret_families(spark, sf_dir):
+    """How many documents of each source hold each family."""
+    rows = table(spark, sf_dir, "documents").select("source", F.explode(redact.secret_families(F.col("text"))).alias("family"))
+    return rows.groupBy("source", "family").agg(F.count("*").alias("n_docs"))
+
+
+@query("SELECT doc_id, sha256(text) AS sha256, strlen(text)::BIGINT AS bytes, length(text)::INT AS chars FROM documents")
+def payload_sha256(spark, sf_dir):
+    """Digest and size of a payload."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.octet_length("text").cast("bigint").alias("bytes"), F.length("text").alias("chars"))
+
+
+@query("SELECT doc_id, strlen(text)::INT AS full_bytes, strlen(text) > 2048 AS cut, (CASE WHEN strlen(text) <= 2048 THEN text ELSE left(text, 512) END) AS head, true AS fits, true AS is_prefix FROM documents")
+def patch_budget(spark, sf_dir):
+    """The longest prefix within a budget of bytes that ends with a whole character."""
+    kept = utf8_prefix(F.col("text"), F.lit(2048))
+    rows = table(spark, sf_dir, "documents").withColumn("kept", kept)
+    full = F.octet_length("text")
+    fits = F.octet_length("kept").between(F.least(full, F.lit(2045)), F.lit(2048))
+    return rows.select("doc_id", full.alias("full_bytes"), (full > 2048).alias("cut"), F.when(full <= 2048, F.col("kept")).otherwise(cap(F.col("kept"), 512)).alias("head"), fits.alias("fits"), F.col("text").startswith(F.col("kept")).alias("is_prefix"))
+
+
+@query("SELECT doc_id, lang, regexp_matches(text, '(?i)/home/|/Users/|/root') AS home, " + " || ',' || ".join(f"CASE WHEN regexp_matches(text, '{p.replace(chr(39), chr(39) * 2)}') THEN '{f}' ELSE '' END" for f, (p, _) in redact.FAMILIES.items()) + " AS families FROM documents")
+def policy_texts(spark, sf_dir):
+    """Home paths and secret families of every text."""
+    families = F.concat_ws(",", *[F.when(F.array_contains("found", f), f).otherwise("") for f in redact.FAMILIES])
+    rows = table(spark, sf_dir, "documents").withColumn("found", redact.secret_families(F.col("text")))
+    return rows.select("doc_id", "lang", redact.has_home(F.col("text")).alias("home"), families.alias("families"))
+
+
+# --- threads --------------------------------------------------------------------------------------------------------
+
+LOGINS = ("alice", "dependabot[bot]", "chatgpt-codex-connector[bot]", "Cursor-fan", "GitHub-Actions", "bob[bot]", "", "codecov-commenter")
+_LOGIN_SQL = "[" + ", ".join(f"'{x}'" for x in LOGINS) + "][1 + (conv_id * 3 + turn) % 8]"
+_TYPE_SQL = "CASE WHEN turn % 4 = 0 THEN 'Bot' ELSE 'User' END"
+_BOT_SQL = f"""CASE WHEN login = '' THEN kind = 'Bot' WHEN contains(lower(login), 'codex') THEN false
+  WHEN kind = 'Bot' OR lower(login) LIKE '%[bot]' THEN true ELSE {' OR '.join(f"contains(lower(login), '{m}')" for m in bots.BOT_MARKERS)} END"""
+_TURNS_SQL = f"SELECT *, {_BOT_SQL} AS bot FROM (SELECT *, {_LOGIN_SQL} AS login, {_TYPE_SQL} AS kind FROM conversations)"
+
+
+def _turns(spark, sf_dir) -> DataFrame:
+    login = F.element_at(F.array(*[F.lit(x) for x in LOGINS]), (F.lit(1) + (F.col("conv_id") * 3 + F.col("turn")) % 8).cast("int"))
+    rows = table(spark, sf_dir, "conversations").withColumn("login", login).withColumn("kind", F.when(F.col("turn") % 4 == 0, "Bot").otherwise("User"))
+    return rows.withColumn("bot", bots.is_bot(F.col("login"), F.col("kind")))
+
+
+@query(f"SELECT conv_id, turn, login, kind, bot FROM ({_TURNS_SQL})")
+def bot_filter(spark, sf_dir):
+    """who counts as automation."""
+    return _turns(spark, sf_dir).select("conv_id", "turn", "login", "kind", "bot")
+
+
+_KEY_SQL = r"lower(trim(regexp_replace(text, '\s+', ' ', 'g')))"
+
+
+@query(f"SELECT doc_id, source, md5(text) AS text_md5 FROM (SELECT *, row_number() OVER (PARTITION BY {_KEY_SQL} ORDER BY doc_id) AS r FROM documents WHERE regexp_matches({_KEY_SQL}, '[a-z0-9]')) WHERE r = 1")
+def dedupe_first_seen(spark, sf_dir):
+    """The first document of every key."""
+    rows = table(spark, sf_dir, "documents").withColumn("key", signals.body_key(F.col("text"))).where("key <> ''")
+    return funnel.first_of_key(rows.select("doc_id", "source", "text", "key"), F.md5("key"), [F.col("doc_id")]).select("doc_id", "source", F.md5("text").alias("text_md5"))
+
+
+_TOPK_SQL = f"""WITH t AS ({_TURNS_SQL}), r AS (
+  SELECT conv_id, turn, role = 'assistant' AS is_ack, row_number() OVER (PARTITION BY conv_id, role = 'assistant' ORDER BY turn) AS place,
+    count(*) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) AS acks, count(*) FILTER (role <> 'assistant') OVER (PARTITION BY conv_id) AS problems FROM t WHERE NOT bot
+), q AS (SELECT *, least(problems, 3 - CASE WHEN acks > 0 AND problems > 0 THEN 1 ELSE 0 END) AS taken FROM r)
+SELECT conv_id, turn, is_ack, (CASE WHEN is_ack THEN taken + place ELSE place END)::INT AS slot FROM q WHERE CASE WHEN is_ack THEN place <= 3 - taken ELSE place <= taken END"""
+
+
+@query(_TOPK_SQL)
+def topk_reserved(spark, sf_dir):
+    """D3: problems first, one place kept for an acknowledgement."""
+    rows = _turns(spark, sf_dir).where("not bot").select("conv_id", "turn", "role")
+    return funnel.problem_first_rows(rows, "conv_id", F.col("role") == "assistant", [F.col("turn")], 3).select("conv_id", "turn", "is_ack", F.col("slot").cast("int").alias("slot"))
+
+
+@query(f"""SELECT conv_id, count(*) AS n_all, count(*) FILTER (NOT bot) AS n_kept, least(count(*) FILTER (NOT bot), 8) AS n_shown,
+  count(DISTINCT CASE WHEN NOT bot THEN lower(text) END) AS n_unique FROM ({_TURNS_SQL}) GROUP BY conv_id""")
+def yield_funnel(spark, sf_dir):
+    """What of a thread is kept, shown, and different."""
+    return funnel.yield_funnel(_turns(spark, sf_dir), "conv_id", F.col("bot"), F.lower("text"))
+
+
+@query("""SELECT 0 AS source_order, conv_id, turn, length(text)::INT AS chars FROM conversations WHERE role = 'user' UNION ALL
+  SELECT 1, conv_id, turn, length(text) FROM conversations WHERE role = 'assistant' UNION ALL SELECT 2, conv_id, turn, length(text) FROM conversations WHERE role = 'system'""")
+def thread_union(spark, sf_dir):
+    """The sources of a thread one after the other, duplicates kept."""
+    rows = table(spark, sf_dir, "conversations")
+    part = lambda i, role: rows.where(F.col("role") == role).select(F.lit(i).alias("source_order"), "conv_id", "turn", F.length("text").alias("chars"))
+    return part(0, "user").unionByName(part(1, "assistant")).unionByName(part(2, "system"))
+
+
+@query(rf"""SELECT conv_id, turn, turn % 3 = 0 AS ack, lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS key FROM conversations WHERE regexp_matches(lower(text), '[a-z0-9]')""")
+def signal_keys(spark, sf_dir):
+    """An acknowledgement's key is what follows the commit."""
+    ack = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("Fixed in commit `"), F.substring(F.md5(F.concat(text(F.col("conv_id")), F.lit("a"))), 1, 10), F.lit("a`: "))).otherwise("")
+    rows = table(spark, sf_dir, "conversations").withColumn("body", F.concat(ack, "text"))
+    return rows.select("conv_id", "turn", bots.is_ack(F.col("body")).alias("ack"), signals.body_key(F.col("body")).alias("key")).where("key <> ''")
+
+
+# --- orders as pull requests ----------------------------------------------------------------------------------------
+
+TITLES = ("fix(core): ", "Feature: ", "feat!: ", "refactor ", "Docs - ", "doc: ", "TEST ", "perf(io): ", "sec(auth): ", "security fix ", "chore: ", "fixes ")
+TASKS = ("bugfix", "other", "feature", "refactor", "docs", "docs", "test", "perf", "security", "security", "chore", "other")
+_LIST = lambda xs: "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
+
+
+def _pick(values, at: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (at % len(values) + 1).cast("int"))
+
+
+@query(f"""SELECT o_orderkey, {_LIST(TASKS)}[1 + o_orderkey % 12] AS title_task, CASE o_orderpriority WHEN '1-URGENT' THEN 'bugfix' WHEN '2-HIGH' THEN 'feature' WHEN '3-MEDIUM' THEN 'docs' END AS label_task,
+  CASE WHEN o_orderstatus = 'F' THEN 'merged' WHEN o_orderstatus = 'O' THEN 'open' ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'closed' ELSE 'abandoned' END END AS outcome FROM orders""")
+def label_rules(spark, sf_dir):
+    """X21, J2's rules: tasks by title and label, outcome by state."""
+    o = table(spark, sf_dir, "orders")
+    title = F.concat(_pick(TITLES, F.col("o_orderkey")), text(F.col("o_orderkey")))
+    label = F.when(F.col("o_orderpriority") == "1-URGENT", F.array(F.lit("x"), F.lit("BUG"))).when(F.col("o_orderpriority") == "2-HIGH", F.array(F.lit("documentation"), F.lit("Enhancement"))).when(F.col("o_orderpriority") == "3-MEDIUM", F.array(F.lit("documentation")))
+    state = F.when(F.col("o_orderstatus") == "O", "OPEN").when(F.col("o_orderkey") % 2 == 0, "closed")
+    return o.select("o_orderkey", F.coalesce(labels.title_task(title), F.lit("other")).alias("title_task"), labels.label_task(label).alias("label_task"), labels.outcome(F.col("o_orderstatus") == "F", state).alias("outcome"))
+
+
+@query("""WITH r AS (SELECT o_orderkey, o_custkey AS a, o_orderkey % 97 AS b, o_custkey % 7 AS c FROM orders)
+SELECT o_orderkey, 'acme/tool' AS repo, a AS number FROM r UNION SELECT o_orderkey, 'acme/tool', b FROM r UNION SELECT o_orderkey, 'Acme/Tool', c FROM r UNION SELECT o_orderkey, 'x.y/z-1', b FROM r""")
+def close_refs(spark, sf_dir):
+    """References that a body closes, each once, case as written."""
+    n = lambda x: text(x)
+    a, b, c = F.col("o_custkey"), F.col("o_orderkey") % 97, F.col("o_custkey") % 7
+    body = F.concat(F.lit("Text #999.\n**Closes:** #"), n(a), F.lit(", #"), n(b), F.lit("\nresolves Acme/Tool#"), n(c), F.lit(" and fixing https://github.com/x.y/z-1/issues/"), n(b), F.lit(" but not prefixes #5"))
+    found = links.close_refs(body, F.lit("acme/tool"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.explode(found).alias("r")).select("o_orderkey", "r.repo", "r.number")
+
+
+@query("""SELECT o_orderkey, 'https://github.com/acme/tool/pull/' || o_orderkey AS url FROM orders UNION
+  SELECT l_orderkey, 'https://github.com/acme/tool/issues/' || l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_partkey <> l_orderkey""")
+def source_urls(spark, sf_dir):
+    """Own address and those of linked issues, without the pull request itself."""
+    items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_partkey").alias("parts"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey").join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    urls = F.transform(F.filter("parts", lambda p: p != F.col("o_orderkey")), lambda p: links.issue_url(F.lit("acme/tool"), p))
+    bad = F.array(F.lit("https://example.com/acme/tool/issues/1"))
+    made = links.source_urls(F.lit("acme/tool"), F.col("o_orderkey"), F.concat(F.coalesce(urls, F.array().cast("array<string>")), bad))
+    return rows.select("o_orderkey", F.explode(made).alias("url"))
+
+
+@query("""SELECT o_orderkey, o_orderpriority || chr(10) || '### deeper' || chr(10) || o_orderstatus AS changed, NULL::VARCHAR AS missing, 'all ' || o_orderkey AS tested FROM orders""")
+def section_extract(spark, sf_dir):
+    """Sections of a body by heading."""
+    col = F.col
+    body = F.concat(F.lit("# Title\nintro\n#### Commands run (summary)\nx\n## What Changed!\n\n"), col("o_orderpriority"), F.lit("\n### deeper\n"), col("o_orderstatus"), F.lit("\n\n## Local testing\r\nall "), text(col("o_orderkey")), F.lit("\n# End\n"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", section(body, ("what changed", "motivation")).alias("changed"), section(body, ("summary",)).alias("missing"), section(body, ("testing",)).alias("tested"))
+
+
+#: Sections and whether they report success.
+VERDICTS: tuple[tuple[str, bool], ...] = (
+    ("0 tests failed, all green", True), ("ERROR SUMMARY: 1 error", False), ("100 passed, 0 skipped", True), ("3 skipped", False), ("previously failed tests now passing", True),
+    ("CI is failing", False), ("bad schema fixture confirms ingest failure", True), ("the run fails as expected\n2 tests failed", False), ("Verified that cargo test failed", False),
+    ("- [ ] Optional: GPU run", True), ("- [ ] run it", False), ("- [ ] coverage is not optional", False), ("- [ ]", False), ("- [ ] optional run pending\n  - [ ] nested\n\n  more", True),
+    ("- [ ] Optional run failed with 2 errors", False), ("- [ ] run (GPU not required)", False), ("- [ ] not required for merge.", True), ("0 failures, 1 error", False),
+    ("0 failures\nreported failures", False), ("expected failure did not occur", False), ("Expected failure. It did not occur", True), ("The expected failure\nwas not observed", False),
+    ("negative test observed a failure", True), ("Negative suite reported 3 failures", False), ("not run", False), ("n/a", False), ("- [x] done", True), ("- [ ] out of scope\n- [ ] required", False),
+)
+
+
+@query(f"SELECT o_orderkey, [{', '.join(str(v).lower() for _, v in VERDICTS)}][1 + o_orderkey % {len(VERDICTS)}] AS passes FROM orders")
+def validation_verdicts(spark, sf_dir):
+    """What validation sections report."""
+    said = _pick([t for t, _ in VERDICTS], F.col("o_orderkey"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", validation.section_passes(said).alias("passes"))
+
+
+NOISE = (("src/main.rs", False), ("a/.env", True), (".env.example", False), ("pkg/.CLAUDE/settings.json", True), (".claude", False), ("./.beads/x", True), ("conf/.env.test.local", True), ('"a/caf\\303\\251/remotes.txt"', True), ("my remotes.txt", False), ("docs/remotes.TXT", True))
+
+
+@query(f"SELECT l_orderkey, l_linenumber, [{', '.join(str(v).lower() for _, v in NOISE)}][1 + (l_orderkey + l_linenumber) % {len(NOISE)}] AS noise FROM lineitem")
+def noise_paths(spark, sf_dir):
+    """Paths that are a machine's own."""
+    path = _pick([p for p, _ in NOISE], F.col("l_orderkey") + F.col("l_linenumber"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", paths.is_noise(path).alias("noise"))
+
+
+@query("""SELECT o_orderkey, 'pre' || chr(10) || 'diff --git a/src/' || o_custkey || '.rs b/src/' || o_custkey || '.rs' || chr(10) || '+x' || chr(10) ||
+  CASE WHEN o_orderkey % 3 = 1 THEN 'diff --git a/my file b/my file' || chr(10) || '+y' || chr(10) ELSE '' END || 'diff --git a/z b/z' || chr(10) AS kept FROM orders""")
+def diff_noise(spark, sf_dir):
+    """A diff without the sections of noise."""
+    name = F.concat(F.lit("src/"), text(F.col("o_custkey")), F.lit(".rs"))
+    middle = _pick(["diff --git a/.env b/config\n+S\n", "diff --git a/my file b/my file\n+y\n", 'diff --git "a/\\303\\251/remotes.txt" "b/\\303\\251/remotes.txt"\n-z\n'], F.col("o_orderkey"))
+    diff = F.concat(F.lit("pre\ndiff --git a/"), name, F.lit(" b/"), name, F.lit("\n+x\n"), middle, F.lit("diff --git a/z b/z\n"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", paths.without_noise(diff).alias("kept"))
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS updated_at FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 50")
+def latest_merged_limit(spark, sf_dir):
+    """The newest merged pull requests; the limit is the operator's."""
+    pulls = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("number"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("updated_at"), F.when(F.col("o_orderstatus") == "F", "yes").otherwise("").alias("merged_at"))
+    return funnel.merged_pulls(pulls, 50).select(F.col("number").alias("o_orderkey"), "updated_at")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
+def skip_existing(spark, sf_dir):
+    """what has no record yet."""
+    there = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return funnel.not_yet_there(table(spark, sf_dir, "orders"), there, ["o_orderkey"]).select("o_orderkey", "o_totalprice")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING')")
+def semi_filter(spark, sf_dir):
+    """only listed numbers."""
+    listed = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return funnel.only_numbers(table(spark, sf_dir, "orders"), listed, "o_custkey").select("o_orderkey", "o_custkey")
+
+
+@query("""SELECT d.doc_id, coalesce(CASE WHEN l.toxic = 1 THEN 'safety' END, CASE WHEN l.quality = 1 THEN 'prose' END, CASE WHEN lang = 'en' THEN 'gpu-compute' ELSE 'systems' END) AS domain,
+  CASE WHEN l.quality = 0 THEN 'repair' ELSE 'other' END AS training_use FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def override_precedence(spark, sf_dir):
+    """Card, table, rules, in the order of each label."""
+    docs = table(spark, sf_dir, "documents").withColumn("source", F.struct(F.lit("Acme/Tool").alias("repo"), F.col("doc_id").cast("int").alias("pr_number")))
+    known = table(spark, sf_dir, "labels")
+    rows = known.select(F.lit("acme/tool").alias("repo_key"), F.col("doc_id").cast("int").alias("pr"), F.explode(F.array(
+        F.struct(F.lit("domain").alias("field"), F.when(F.col("toxic") == 1, "safety").when(F.col("quality") == 1, "prose").alias("value")),
+        F.struct(F.lit("training_use").alias("field"), F.when(F.col("quality") == 0, "repair").alias("value")),
+    )).alias("e")).select("repo_key", "pr", "e.field", "e.value").where("value is not null")
+    card, number = labels.card_column(None), F.col("source.pr_number")
+    joined = labels.with_overrides(docs, rows).withColumn("card", card)
+    names = F.when(F.col("lang") == "en", F.array(F.lit("CUDA")))
+    return joined.select("doc_id", labels.domain(F.col("table"), F.col("card"), number, names).alias("domain"), labels.training_use(F.col("table"), F.col("card"), number).alias("training_use"))
+
+
+@query("""SELECT o_orderkey, ((50 + CASE WHEN o_orderstatus = 'F' THEN 10 ELSE 0 END + CASE WHEN o_custkey % 2 = 0 THEN 10 ELSE 0 END + CASE WHEN o_custkey % 3 > 0 THEN 10 ELSE 0 END + CASE WHEN o_custkey % 5 = 0 THEN 10 ELSE 0 END
+  + CASE WHEN o_orderkey % 6 >= 3 THEN 5 ELSE 0 END - CASE WHEN o_orderkey % 4 = 0 THEN 5 ELSE 0 END)::DOUBLE / 100) AS score FROM orders""")
+def quality_score(spark, sf_dir):
+    """A10, A5: the heuristic score, in hundredths."""
+    c, o = F.col("o_custkey"), F.col("o_orderkey")
+    events = F.array(F.struct(F.when(c % 5 == 0, "pass").otherwise("fail").alias("result")))
+    some = F.when(c % 3 > 0, F.sequence(F.lit(1), (c % 3).cast("int"))).otherwise(F.array().cast("array<int>"))
+    score = quality.heuristic(F.when(F.col("o_orderstatus") == "F", "merged").otherwise("open"), F.when(c % 2 == 0, "x").otherwise(""), some, events, o % 6, F.array(F.when(o % 4 == 0, "redacted jwt").otherwise("other")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", score.alias("score"))
+
+
+# --- events as check runs -------------------------------------------------------------------------------------------
+
+_END_SQL = "[NULL, 'success', 'neutral', 'success', 'skipped', 'failure', 'success', 'success'][1 + event_id % 8]"
+_ENDS = (None, "success", "neutral", "success", "skipped", "failure", "success", "success")
+
+
+def _runs(spark, sf_dir) -> DataFrame:
+    end = F.element_at(F.array(*[F.lit(x) for x in _ENDS]), (F.col("event_id") % 8 + 1).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", "user_id", F.to_date("ts").alias("day"), F.col("event_type").alias("name"), F.lit("completed").alias("status"), end.alias("conclusion"))
+
+
+@query(f"""SELECT user_id, ts::DATE AS day, count(*) AS n_checks, bool_and({_END_SQL} IS NOT NULL) AND coalesce(bool_or({_END_SQL} = 'success'), false) AND coalesce(bool_and({_END_SQL} IN ('success', 'neutral', 'skipped')), true) AS passes
+  FROM events GROUP BY user_id, ts::DATE""")
+def ci_verdict(spark, sf_dir):
+    """Verdict of a group of check runs."""
+    return funnel.check_verdicts(_runs(spark, sf_dir), ["user_id", "day"])
+
+
+@query(f"""SELECT user_id, string_agg(event_type || '=' || coalesce({_END_SQL}, 'completed'), ', ' ORDER BY event_id) AS names FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events) WHERE r <= 12 GROUP BY user_id""")
+def check_names_first12(spark, sf_dir):
+    """The first twelve checks by name and end."""
+    shown = F.concat("name", F.lit("="), F.coalesce("conclusion", "status"))
+    return funnel.first_names(_runs(spark, sf_dir), ["user_id"], [F.col("event_id")], shown)
+
+
+@query("SELECT event_id, event_type AS kind, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, coalesce(json_extract_string(props, '$.missing'), '') AS body FROM events")
+def json_props(spark, sf_dir):
+    """Narrow projections of nested JSON, null texts empty."""
+    p = F.from_json("props", parse_type("struct<k:bigint,missing:string>"))
+    return table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("kind"), p["k"].alias("k"), F.coalesce(p["missing"], F.lit("")).alias("body"))
+
+
+# --- records, manifests, status -------------------------------------------------------------------------------------
+
+
+def _raw_orders(spark, sf_dir) -> DataFrame:
+    """Orders and their line items as raw records."""
+    o, col = table(spark, sf_dir, "orders"), F.col
+    file = F.struct(F.concat(F.lit("src/"), text(col("l_partkey")), F.when(col("l_linenumber") == 2, ".py").otherwise(".rs")).alias("filename"), F.lit("modified").alias("status"), col("l_quantity").cast("bigint").alias("additions"), F.lit(0).cast("bigint").alias("deletions"), F.concat(F.lit("@@ "), text(col("l_suppkey"))).alias("patch"), col("l_linenumber").alias("n"))
+    files = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(col("l_linenumber").alias("n"), file.alias("f")))).alias("fs"))
+    body = F.concat(F.lit("## Summary\nOrder of "), text(col("o_custkey")), F.lit("\n\nCloses #"), text(col("o_custkey")), F.lit("\n\n## Test plan\n"), F.when(col("o_orderkey") % 2 == 0, "- [x] 12 passed").otherwise("2 tests failed"))
+    pull = {"title": F.concat(_pick(TITLES, col("o_orderkey")), col("o_orderpriority")), "body": body, "state": F.when(col("o_orderstatus") == "O", "open").otherwise("closed"), "merged": col("o_orderstatus") == "F", "labels": F.array(col("o_orderstatus"))}
+    review = F.struct(F.lit("alice").alias("user_login"), F.lit("User").alias("user_type"), F.when(col("o_orderkey") % 3 == 0, "APPROVED").otherwise("COMMENTED").alias("state"), F.lit("LGTM").alias("body"))
+    fields = {"source": F.struct(F.lit("Acme/Tool").alias("repo"), col("o_orderkey").cast("int").alias("pr_number")), "pull": F.struct(*[v.alias(k) for k, v in pull.items()]), "reviews": F.array(review), "files": F.transform("fs", lambda x: x["f"])}
+
+    def shaped(value: Column, kind, have: set[str]) -> Column:
+        return F.struct(*[(value[f.name].cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in kind.fields])
+
+    types = {f.name: f.dataType for f in RAW.fields}
+    fields["source"] = shaped(fields["source"], types["source"], {"repo", "pr_number"})
+    fields["pull"] = shaped(fields["pull"], types["pull"], set(pull))
+    fields["reviews"] = F.transform(fields["reviews"], lambda r: shaped(r, types["reviews"].elementType, {"user_login", "user_type", "state", "body"}))
+    fields["files"] = F.transform(fields["files"], lambda f: shaped(f, types["files"].elementType, {"filename", "status", "additions", "deletions", "patch"}))
+    rows = o.join(files, col("o_orderkey") == col("l_orderkey"), "left")
+    return rows.select(*[(fields[f.name] if f.name in fields else F.lit(None).cast(f.dataType)).alias(f.name) for f in RAW.fields])
+
+
+_TRAJ_SQL = f"""WITH f AS (SELECT l_orderkey, bool_or(l_linenumber <> 2) AS rs, string_agg('--- a/' || p || chr(10) || '+++ b/' || p || chr(10) || '@@ ' || l_suppkey, chr(10) ORDER BY l_linenumber, p, l_quantity::BIGINT, '@@ ' || l_suppkey) AS patch
+  FROM (SELECT *, 'src/' || l_partkey || CASE WHEN l_linenumber = 2 THEN '.py' ELSE '.rs' END AS p FROM lineitem) GROUP BY l_orderkey)
+SELECT 'Acme-Tool-' || o_orderkey AS id, CASE WHEN rs THEN 'Rust' WHEN rs IS NULL THEN 'unknown' ELSE 'Python' END AS language, {_LIST(TASKS)}[1 + o_orderkey % 12] AS task_type,
+  CASE o_orderstatus WHEN 'F' THEN 'merged' WHEN 'O' THEN 'open' ELSE 'closed' END AS outcome, CASE WHEN o_orderkey = o_custkey THEN 1 ELSE 2 END AS n_urls,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'pass' ELSE 'fail' END AS tested, CASE WHEN o_orderkey % 3 = 0 THEN 'LGTM (review state: APPROVED)' END AS comment,
+  'Order of ' || o_custkey || chr(10) || chr(10) || 'Closes #' || o_custkey AS context, md5(coalesce(patch, '# Patch unavailable from API; changed files: (none)' || chr(10))) AS patch_md5,
+  (60 + CASE WHEN o_orderstatus = 'F' THEN 10 ELSE 0 END + CASE WHEN o_orderkey % 3 = 0 THEN 10 ELSE 0 END + CASE WHEN o_orderkey % 2 = 0 THEN 10 ELSE 0 END)::DOUBLE / 100 AS quality
+FROM orders LEFT JOIN f ON l_orderkey = o_orderkey"""
+
+
+def _trajectories(spark, sf_dir) -> DataFrame:
+    return normalize(_raw_orders(spark, sf_dir))
+
+
+@query(_TRAJ_SQL)
+def trajectories(spark, sf_dir):
+    """P7 and all it is made of: raw records to trajectories."""
+    t = _trajectories(spark, sf_dir)
+    return t.select("id", "language", "task_type", "outcome", F.size("source_urls").alias("n_urls"), F.get("validation", F.lit(0))["result"].alias("tested"), F.get("review_signals", F.lit(0))["comment"].alias("comment"), F.col("issue_context").alias("context"), F.md5("patch").alias("patch_md5"), F.col("quality_score").alias("quality"))
+
+
+def _doc_trajectories(spark, sf_dir) -> DataFrame:
+    """Documents as trajectories of the dataset of their source, some of them not as they must be."""
+    d, col = table(spark, sf_dir, "documents"), F.col
+    event = F.array(F.struct(F.lit("test").alias("type"), F.when(col("doc_id") % 11 == 0, "maybe").otherwise("pass").alias("result"), F.lit("ok").alias("detail")))
+    signal = F.struct(F.lit("a").alias("author"), cap(col("text"), 5).alias("comment"), F.lit(None).cast("string").alias("suggestion"))
+    f = {
+        "id": F.concat(col("source"), F.lit("-"), text(col("doc_id"))), "repo": F.concat(F.lit("acme/"), col("source")), "pr_number": col("doc_id").cast("int"),
+        "source_urls": F.array(links.pull_url(F.concat(F.lit("acme/"), col("source")), col("doc_id") + F.when(col("doc_id") % 13 == 0, 1).otherwise(0))),
+        "language": col("lang"), "domain": F.when(col("doc_id") % 7 == 0, "").otherwise(col("source")), "task_type": F.when(col("doc_id") % 5 == 0, "magic").otherwise("docs"),
+        "before_context": F.lit("b"), "patch": F.lit("p"), "validation": event, "outcome": F.lit("merged"), "training_use": F.when(col("doc_id") % 3 == 0, "review-to-patch").otherwise("other"),
+        "issue_context": F.when(col("doc_id") % 2 == 0, "c"), "review_signals": F.when(col("doc_id") % 4 > 1, F.array(signal, signal)), "quality_score": (col("n_chars") % 101).cast("double") / 100,
+    }
+    return d.select("source", *[f[x.name].cast(x.dataType).alias(x.name) for x in TRAJECTORY.fields])
+
+
+@query("""SELECT source || '-' || doc_id AS id, path, message FROM (
+  SELECT *, 'pr_number' AS path, 'is less than 1' AS message FROM documents WHERE doc_id < 1 UNION ALL SELECT *, 'domain', 'must not be empty' FROM documents WHERE doc_id % 7 = 0 UNION ALL
+  SELECT *, 'task_type', 'magic is not one of its values' FROM documents WHERE doc_id % 5 = 0 UNION ALL SELECT *, 'validation.0.result', 'is not one of its values' FROM documents WHERE doc_id % 11 = 0 UNION ALL
+  SELECT *, '(root)', 'needs issue_context or review_signals' FROM documents WHERE doc_id % 2 = 1 AND doc_id % 4 <= 1 UNION ALL
+  SELECT *, '(root)', '''review_signals'' is a required property' FROM documents WHERE doc_id % 3 = 0 AND doc_id % 4 <= 1)""")
+def schema_violations(spark, sf_dir):
+    """V1, T5: what is wrong with the shape of records."""
+    found = _doc_trajectories(spark, sf_dir).select("id", F.explode(checks.shape_problems()).alias("p"))
+    return found.select("id", "p.path", "p.message")
+
+
+@query("SELECT source || '-' || doc_id AS id, 'source_urls' AS path, 'missing canonical address https://github.com/acme/' || source || '/pull/' || doc_id AS message FROM documents WHERE doc_id % 13 = 0 AND doc_id <> 0")
+def policy_violations(spark, sf_dir):
+    """V2: a record must name its own address."""
+    found = _doc_trajectories(spark, sf_dir).select("id", F.explode(checks.policy_problems()).alias("p"))
+    return found.select("id", "p.path", "p.message")
+
+
+@query("""SELECT source || '-' || doc_id AS id, doc_id::INT AS pr_number, doc_id % 2 = 0 AS has_issue_context, (CASE WHEN doc_id % 4 > 1 THEN 2 ELSE 0 END)::INT AS review_signal_count,
+  (CASE WHEN doc_id % 4 > 1 THEN 1 ELSE 0 END)::INT AS unique_review_signal_count, 1 AS patch_chars, 1 AS validation_count, (n_chars % 101)::DOUBLE / 100 AS quality_score FROM documents""")
+def manifest_rows(spark, sf_dir):
+    """The summary row of a record."""
+    rows = _doc_trajectories(spark, sf_dir).select(*manifest.record_row())
+    return rows.select("id", "pr_number", "has_issue_context", "review_signal_count", "unique_review_signal_count", "patch_chars", "validation_count", "quality_score")
+
+
+def _manifests(spark, sf_dir) -> DataFrame:
+    made = manifest.manifests(_doc_trajectories(spark, sf_dir), "source").withColumnRenamed("source", "name")
+    day = F.concat(F.lit("2026-01-"), F.lpad(F.regexp_extract("name", "([0-9]+)", 1), 2, "0"))
+    return made.withColumns({"created_at": day, "source_repo": F.concat(F.lit("acme/"), "name"), "schema_version": F.lit("v0")})
+
+
+@query("SELECT count(DISTINCT source) AS extracts, count(*) AS trajectories, '2026-01-' || lpad(max(regexp_extract(source, '([0-9]+)', 1)::INT)::VARCHAR, 2, '0') AS last_updated FROM documents")
+def manifest_rollup(spark, sf_dir):
+    """A3, A4: datasets, records, latest date."""
+    return manifest.rollup(_manifests(spark, sf_dir))
+
+
+@query("""SELECT source AS name, doc_id::INT AS pr_number, '| #' || doc_id || ' | ' || CASE WHEN doc_id % 7 = 0 THEN '—' ELSE source END || ' | ' || CASE WHEN doc_id % 3 = 0 THEN 'review-to-patch' ELSE 'other' END || ' | ' ||
+  CASE WHEN doc_id % 5 = 0 THEN 'magic' ELSE 'docs' END || ' | ' || printf('%d.%02d', n_chars % 101 // 100, n_chars % 101 % 100) || ' | ' || CASE WHEN doc_id % 4 > 1 THEN '1 of 2' ELSE '0' END || ' | 1 |' AS line FROM documents""")
+def status_lines(spark, sf_dir):
+    """The lines of the quality tables."""
+    return manifest.quality_lines(_manifests(spark, sf_dir)).select("name", "pr_number", "line")
+
+
+@query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS n_users, max(event_id) AS last_id FROM events GROUP BY event_type")
+def stream_events(spark, sf_dir):
+    """§2.12: the file stream, read to its end through a checkpoint, is the table."""
+    rows = streamed(spark, sf_dir, "events")
+    return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("n_users"), F.max("event_id").alias("last_id"))
+
+
