@@ -36,12 +36,12 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors, has known sizes."""
     spark = df.sparkSession
     path = f"{shared_root(spark).rstrip('/')}/tidewright/{tag}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     _written[path] = spark
     back = spark.read.schema(schema).parquet(path)
     back._tidewright_path = path
@@ -70,6 +70,15 @@ def _clean() -> None:
             _delete(spark, path)
 
 
+#: Up to so many rows a written table of a few narrow columns is broadcast (tens of MB); beyond, it is joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A materialized narrow table, marked for broadcast if its counted rows allow."""
+    return F.broadcast(table) if table.count() <= most else table
+
+
 def text_or_empty(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 

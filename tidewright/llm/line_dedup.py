@@ -4,9 +4,8 @@ Lines of at least `min_chars` code points are near-duplicates if their edit dist
 into t + 1 even segments; t edits leave one of them whole, so two near lines share a segment at a shift that the
 edits before and after it allow. Every distinct line puts its segments into an index under (segment, own length,
 substring), and probes the index, for its own length and each up to t shorter, with the substrings at the allowed
-shifts only. Pairs of the same length that agree at shift 0 are found by joining the index with itself, once, at
-the first segment they share. Every pair found is verified with a banded bit-parallel edit distance: the band of
-2t + 1 diagonals lies in the bits of a long, one step a character.
+shifts only. Every pair found is held against finer pieces and then verified with a banded bit-parallel edit distance:
+the band of 2t + 1 diagonals lies in the bits of a long, one step a character.
 
 Copies never multiply: occurrences are reduced to distinct lines first, and the answer returns to the occurrences
 by a salted lookup. In each class of lines (connected by links) the first occurrence, by identifier and line number,
@@ -20,6 +19,8 @@ long lines are compared as a whole.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,17 +28,21 @@ from .common import connected_components, materialize, release, salt_mask, salt_
 
 MAX_EDITS = 2
 MIN_CHARS = 24
+EDGES = " \t\x0b\x0c\r"
+#: Pieces that a pair is held against before its distance is computed.
+PIECES = 16
+#: Up to so many keys that two lines meet under are broadcast (eight bytes each); beyond, they are joined by shuffle.
+BROADCAST_KEYS = 2_000_000
 
 
 def segments(max_edits: int, length: Column) -> list[tuple[Column, Column]]:
-    """(start from 1, length) of the t + 1 even segments of a line; the longer ones come last."""
+    """(start from 0, length) of the t + 1 even segments of a line; the longer ones come last."""
     n = max_edits + 1
     short, longer = F.floor(length / n).cast("int"), (length % n).cast("int")
     out = []
     for i in range(n):
         extra = F.greatest(longer - (n - i), F.lit(0))  # longer segments before this one
-        size = short + F.when(F.lit(i) >= n - longer, 1).otherwise(0)
-        out.append((F.lit(1) + short * i + extra, size))
+        out.append((short * i + extra, short + F.when(F.lit(i) >= n - longer, 1).otherwise(0)))
     return out
 
 
@@ -50,24 +55,23 @@ def shifts(max_edits: int, segment: int, shorter: int) -> range:
     return range(max(-segment, shorter - behind), min(segment, shorter + behind) + 1)
 
 
-def _key(i: int, length: Column, part: Column) -> Column:
-    return F.xxhash64(F.lit(i), length, part)
-
+def _key(i: int, length: Column, start: Column, size: Column) -> Column:
+    """Hash of a segment: `wide` holds four bytes a character, so that any place in it is found at once."""
+    return F.xxhash64(F.lit(i), length, F.substring(F.col("wide"), start * 4 + 1, size * 4))
 
-def index_keys(max_edits: int) -> list[Column]:
-    return [_key(i, F.col("n"), F.substring(F.col("line"), at, size)) for i, (at, size) in enumerate(segments(max_edits, F.col("n")))]
 
+def keys(max_edits: int) -> list[Column]:
+    """The t + 1 keys of a line's own segments, then those by which it finds others.
 
-def probe_keys(max_edits: int) -> list[Column]:
-    """Keys beyond the line's own segments. At equal length a pair probes both ways, so shifts above 0 are enough."""
-    out = []
+    At equal length a pair probes both ways, so there shifts above 0 are enough.
+    """
+    own = [_key(i, F.col("n"), at, size) for i, (at, size) in enumerate(segments(max_edits, F.col("n")))]
+    probes = []
     for shorter in range(max_edits + 1):
         length = F.col("n") - shorter
         for i, (at, size) in enumerate(segments(max_edits, length)):
-            for s in shifts(max_edits, i, shorter):
-                if shorter or s > 0:
-                    out.append(F.when(at + s >= 1, _key(i, length, F.substring(F.col("line"), at + s, size))))
-    return out
+            probes += [_key(i, length, at + s, size) for s in shifts(max_edits, i, shorter) if shorter or s > 0]
+    return own + probes
 
 
 def _let(value: Column, body) -> Column:
@@ -120,11 +124,24 @@ def banded_distance(a: Column, b: Column, n_a: Column, n_b: Column, max_edits: i
     return _let(F.split(a, F.lit(""), -1), run)
 
 
+def pieces_met(a: Column, b: Column, n_a: Column, max_edits: int, pieces: int = PIECES) -> Column:
+    """Whether all but max_edits of the even pieces of a stand in b within max_edits places: so they do in near lines.
+
+    Each edit spoils one piece at most. This costs a hundredth of a distance, and most pairs that share a segment fail it.
+    """
+    size, met = F.floor(n_a / pieces).cast("int"), F.lit(0)
+    for k in range(pieces):
+        window = F.substring(b, F.greatest(size * k + 1 - max_edits, F.lit(1)), size + 2 * max_edits)
+        met = met + F.when(F.contains(window, F.substring(a, size * k + 1, size)), 1).otherwise(0)
+    return met >= pieces - max_edits
+
+
 def occurrences(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(doc_id, line_no from 0, line, n) of every line that is long enough."""
+    """(doc_id, line_no from 0, line) of every line that is long enough."""
+    line = F.col("line")
+    edged = reduce(lambda x, y: x | y, [e for c in EDGES for e in (line.startswith(c), line.endswith(c))])
     lines = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.posexplode(F.split(text_or_empty(text_col), "\n", -1)).alias("line_no", "line"))
-    lines = lines.withColumn("line", F.trim(F.col("line"), F.lit(" \t\x0b\x0c\r"))).withColumn("n", F.length("line"))
-    return lines.where(F.col("n") >= min_chars)
+    return lines.withColumn("line", F.when(edged, F.trim(line, F.lit(EDGES))).otherwise(line)).where(F.length("line") >= min_chars)
 
 
 def line_id(line: Column) -> Column:
@@ -132,39 +149,47 @@ def line_id(line: Column) -> Column:
     return F.substring(F.unhex(F.sha2(line.cast("binary"), 256)), 1, 16)
 
 
+#: Identifier and line number as one number, which a hash aggregate can hold; null identifiers come first.
+PLACE = "decimal(38,0)"
+
+
+def place(doc_id: Column, line_no: Column) -> Column:
+    return (F.coalesce(doc_id, F.lit(-(1 << 63))).cast(PLACE) * F.lit(1 << 32).cast(PLACE) + line_no).cast(PLACE)
+
+
 def line_links(lines: DataFrame, max_edits: int) -> DataFrame:
-    """(a, b): identities of the distinct lines (id, line, n) at most max_edits apart, each pair once."""
-    own = F.xxhash64("line").alias("h")
-    keys = [f"k{i}" for i in range(max_edits + 1)]
-    index = lines.select(own, "n", *[k.alias(name) for k, name in zip(index_keys(max_edits), keys)])
-    entry = [F.struct(F.lit(i).alias("i"), F.col(k).alias("key"), F.array(*[F.col(x) for x in keys[:i]]).cast("array<bigint>").alias("earlier")) for i, k in enumerate(keys)]
-    index = index.select("h", F.explode(F.array(*entry)).alias("e")).select("h", "e.key", "e.i", *[F.get("e.earlier", F.lit(i)).alias(f"p{i}") for i in range(max_edits)])
-    index = index.repartition("key")
-    x, y = index.alias("x"), index.alias("y")
-    first = [F.col(f"x.p{i}").isNull() | (F.col(f"x.p{i}") != F.col(f"y.p{i}")) for i in range(max_edits)]
-    same = x.join(y, F.col("x.key") == F.col("y.key")).where(F.col("x.h") < F.col("y.h"))
-    for c in first:
-        same = same.where(c)
-    probes = lines.select(own, F.explode(F.array(*probe_keys(max_edits))).alias("key")).where("key is not null").repartition("key")
-    z = probes.alias("z")
-    other = z.join(index.select("key", "h").alias("x"), F.col("z.key") == F.col("x.key")).where(F.col("x.h") != F.col("z.h"))
-    pairs = same.select(F.col("x.h").alias("g"), F.col("y.h").alias("h")).unionAll(other.select(F.least("x.h", "z.h").alias("g"), F.greatest("x.h", "z.h").alias("h")))
-    pairs = materialize(pairs.distinct(), "line-pairs")
-    texts = lines.select(own, "id", "line", "n")
-    a = texts.select(F.col("h").alias("g"), F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("n").alias("n_a"))
-    b = texts.select("h", F.col("id").alias("b"), F.col("line").alias("line_b"), F.col("n").alias("n_b"))
-    both = pairs.join(a, "g").join(b, "h").where((F.abs(F.col("n_a") - F.col("n_b")) <= max_edits) & (F.col("a") != F.col("b")))
-    near = banded_distance(F.col("line_a"), F.col("line_b"), F.col("n_a"), F.col("n_b"), max_edits) <= max_edits
-    return both.where(near).select("a", "b")
+    """(a, b), a < b: identities of the distinct lines (id, line, n) at most max_edits apart, each pair once.
+
+    The keys are counted first, without texts: few of them are met by two lines. Only lines with such a key go on,
+    with their texts, and the join on the key verifies its pairs itself, so that a large group of lines which share
+    a segment but are not near costs comparisons and no rows.
+    """
+    own = max_edits + 1
+    keyed = lines.withColumn("wide", F.encode("line", "UTF-32")).select("id", "line", "n", F.posexplode(F.array(*keys(max_edits))).alias("pos", "key"))
+    count = keyed.groupBy("key").agg(F.count(F.when(F.col("pos") < own, 1)).alias("own"), F.count("*").alias("every"))
+    live = materialize(count.where("own > 1 or (own = 1 and every > 1)").select("key"), "line-keys")
+    n_live = live.count()
+    if n_live <= BROADCAST_KEYS:
+        met = keyed.join(F.broadcast(live), "key", "left_semi")
+    else:  # the keys alone are dealt, then the lines that have one
+        named = keyed.select("id", "pos", "key").join(live, "key", "left_semi")
+        met = named.join(lines.select("id", "line", "n"), "id")
+    met = materialize(met.select("key", "pos", "id", "line", "n"), "line-met")
+    x, z = met.where(F.col("pos") < own).alias("x"), met.alias("z")
+    other = F.when(F.col("z.pos") < own, F.col("x.id") < F.col("z.id")).otherwise(F.col("x.id") != F.col("z.id")) & (F.abs(F.col("x.n") - F.col("z.n")) <= max_edits)
+    alike = pieces_met(F.col("x.line"), F.col("z.line"), F.col("x.n"), max_edits)
+    near = banded_distance(F.col("x.line"), F.col("z.line"), F.col("x.n"), F.col("z.n"), max_edits) <= max_edits
+    pairs = x.join(z, (F.col("x.key") == F.col("z.key")) & F.when(other, F.when(alike, near).otherwise(False)).otherwise(False))
+    return pairs.select(F.least("x.id", "z.id").alias("a"), F.greatest("x.id", "z.id").alias("b")).distinct()
 
 
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
     """(lines, links): distinct lines (id, line, n, first, times, salts, first_of_class, class_times), and the verified links."""
     if not 0 < max_edits <= 20 or min_chars <= 3 * max_edits:
         raise ValueError("lines must be longer than three times the edits allowed")
-    found = occurrences(docs, id_col, text_col, min_chars)
-    lines = found.groupBy("line").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("times"), F.bit_or(salt_mask(salt_of(F.col("doc_id")))).alias("salts"), F.first("n").alias("n"))
-    lines = materialize(lines.select(line_id(F.col("line")).alias("id"), "line", "n", "first", "times", "salts"), "lines")
+    found = occurrences(docs, id_col, text_col, min_chars).select("line", place(F.col("doc_id"), F.col("line_no")).alias("place"), salt_mask(salt_of(F.col("doc_id"))).alias("salt"))
+    lines = found.groupBy("line").agg(F.min("place").alias("first"), F.count("*").alias("times"), F.bit_or("salt").alias("salts"))
+    lines = materialize(lines.select(line_id(F.col("line")).alias("id"), "line", F.length("line").alias("n"), "first", "times", "salts"), "lines", "zstd")
     links = materialize(line_links(lines, max_edits), "line-links")
     roots = connected_components(links, "lines")
     named = lines.select("id", "first", "times", "salts").join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).drop("node")
@@ -181,7 +206,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release(known)
     rows = occurrences(docs, id_col, text_col, min_chars).select("doc_id", "line_no", line_id(F.col("line")).alias("id"), salt_of(F.col("doc_id")).alias("salt"))
     met = rows.join(spread(table, "salts"), ["id", "salt"])
-    stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("line_no") == F.col("keep.line_no"))
+    stays = place(F.col("doc_id"), F.col("line_no")) == F.col("keep")
     return met.where(~stays).select("doc_id", "line_no", F.lower(F.hex("root")).alias("class_id"), "class_lines")
 
 
