@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, materialize, salt_mask, salt_of, spread, text_or_empty, tune
+from .common import ASCII_SPACE, materialize, salt_mask, salt_of, small, spread, text_or_empty, tune
 
 NO_ID = (1 << 63) - 1
 #: Bytes of strings that a task holds in its tries before the shuffle.
@@ -216,22 +216,26 @@ def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", comb
     return dealt.mapInArrow(own, GROUP)
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256: one row for every row of docs, dropped ones too.
+def _decided(docs: DataFrame, id_col: str, text_col: str, **kw) -> DataFrame:
+    """id, mark (hash of the normalised text), sha, keep_id, group_size of every row.
 
     The owners return to their rows through a join on (digest, salt): a group that holds a third of all rows is
     met under 32 keys, each beside a single owner row, and adaptive execution may split those further.
     """
     sha = F.unhex(F.sha2(F.col("norm").cast("binary"), 256))
-    rows = prepared(docs, id_col, text_col).select("id", sha.alias("sha"), salt_of(F.col("id")).alias("salt"))
-    found = rows.join(spread(owners(docs, id_col, text_col, **kw), "salts"), ["sha", "salt"])
+    rows = prepared(docs, id_col, text_col).select("id", F.xxhash64("norm").alias("mark"), sha.alias("sha"), salt_of(F.col("id")).alias("salt"))
+    return rows.join(spread(owners(docs, id_col, text_col, **kw), "salts"), ["sha", "salt"])
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256: one row for every row of docs, dropped ones too."""
     kept = F.col("id").eqNullSafe(F.col("keep_id"))
-    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    return _decided(docs, id_col, text_col, **kw).select(F.col("id").alias("doc_id"), "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """docs without the rows that another one owns, all columns as they were."""
-    gone = exact_groups(docs, id_col, text_col, **kw).where("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_sha"))
-    gone = materialize(gone.select("_gone_id", F.unhex("_gone_sha").alias("_gone_sha")), "exact-gone")
-    sha = F.unhex(F.sha2(F.translate(text_or_empty(text_col), ASCII_SPACE, "").cast("binary"), 256))
-    return docs.join(gone, F.col(id_col).cast("bigint").eqNullSafe(F.col("_gone_id")) & (sha == F.col("_gone_sha")), "left_anti")
+    gone = _decided(docs, id_col, text_col, **kw).where(~F.col("id").eqNullSafe(F.col("keep_id")))
+    gone = materialize(gone.select(F.col("id").alias("_gone_id"), F.col("mark").alias("_gone_mark")).distinct(), "exact-gone")
+    mark = F.xxhash64(F.translate(text_or_empty(text_col), ASCII_SPACE, ""))
+    return docs.join(small(gone), F.col(id_col).cast("bigint").eqNullSafe(F.col("_gone_id")) & (mark == F.col("_gone_mark")), "left_anti")

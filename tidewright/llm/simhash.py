@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, release, salt_mask, salt_of, spread, text_or_empty, tune
+from .common import connected_components, materialize, release, salt_mask, salt_of, small, spread, text_or_empty, tune
 
 SEED = 42
 
@@ -98,4 +98,4 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """docs with one document of each component, the one that names it; rows without identifier stay."""
     gone = simhash_groups(docs, id_col, text_col, **kw).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id"))
     gone = materialize(gone.distinct(), "simhash-gone")
-    return docs.join(gone, F.col(id_col).cast("bigint") == F.col("_gone_id"), "left_anti")
+    return docs.join(small(gone), F.col(id_col).cast("bigint") == F.col("_gone_id"), "left_anti")
