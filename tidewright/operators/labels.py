@@ -116,5 +116,5 @@ def language(table: Column, card: Column, number: Column, names: Column) -> Colu
 def card_issues(value: Column) -> Column:
     """Issue numbers of a card: a list, or one number or text; null where the card says nothing usable."""
     listed = F.from_json(value, "array<string>")
-    items = F.when(value.rlike(r"\A\s*\["), listed).when(value.rlike(r"\A\s*(?:true|false|null|\{.*)\s*\z"), F.lit(None)).otherwise(F.array(value))
+    items = F.when(value.isNull(), F.lit(None)).when(value.rlike(r"\A\s*\["), listed).when(value.rlike(r"\A\s*(?:true|false|null|\{.*)\s*\z"), F.lit(None)).otherwise(F.array(value))
     return F.filter(F.transform(items, lambda x: F.when(~F.lower(strip(x)).isin("true", "false"), strip(x).try_cast("bigint"))), lambda n: n.isNotNull() & (n > 0))
