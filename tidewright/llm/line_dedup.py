@@ -55,23 +55,26 @@ def shifts(max_edits: int, segment: int, shorter: int) -> range:
     return range(max(-segment, shorter - behind), min(segment, shorter + behind) + 1)
 
 
-def _key(i: int, length: Column, start: Column, size: Column) -> Column:
-    """Hash of a segment: `wide` holds four bytes a character, so that any place in it is found at once."""
-    return F.xxhash64(F.lit(i), length, F.substring(F.col("wide"), start * 4 + 1, size * 4))
+def places(max_edits: int) -> list[tuple[int, int, int]]:
+    """(segment, shorter, shift) of the t + 1 segments of a line's own, then of those by which it finds others.
 
+    At equal length a pair probes both ways, so there shifts above 0 are enough.
+    """
+    own = [(i, 0, 0) for i in range(max_edits + 1)]
+    return own + [(i, shorter, s) for shorter in range(max_edits + 1) for i in range(max_edits + 1) for s in shifts(max_edits, i, shorter) if shorter or s > 0]
 
-def keys(max_edits: int) -> list[Column]:
-    """The t + 1 keys of a line's own segments, then those by which it finds others.
 
-    At equal length a pair probes both ways, so there shifts above 0 are enough.
+def keyed(lines: DataFrame, max_edits: int) -> DataFrame:
+    """(id, line, n, pos, key): for every place a hash of segment, length and substring.
+
+    `wide` holds four bytes a character, so that any place in it is found at once. The segments' ends are columns of
+    their own, so that what makes the keys is small enough for the JVM to compile.
     """
-    own = [_key(i, F.col("n"), at, size) for i, (at, size) in enumerate(segments(max_edits, F.col("n")))]
-    probes = []
-    for shorter in range(max_edits + 1):
-        length = F.col("n") - shorter
-        for i, (at, size) in enumerate(segments(max_edits, length)):
-            probes += [_key(i, length, at + s, size) for s in shifts(max_edits, i, shorter) if shorter or s > 0]
-    return own + probes
+    wide = lines.select("id", "line", "n", F.encode("line", "UTF-32").alias("wide"))
+    ends = {(shorter, i): x for shorter in range(max_edits + 1) for i, x in enumerate(segments(max_edits, F.col("n") - shorter))}
+    cut = wide.select("id", "line", "n", "wide", *[(4 * x).alias(f"_{k}{shorter}{i}") for (shorter, i), (at, size) in ends.items() for k, x in (("at", at), ("size", size))])
+    key = lambda i, shorter, s: F.xxhash64((F.col("n") - shorter) * 32 + i, F.substring(F.col("wide"), F.col(f"_at{shorter}{i}") + 4 * s + 1, F.col(f"_size{shorter}{i}")))
+    return cut.select("id", "line", "n", F.posexplode(F.array(*[key(*p) for p in places(max_edits)])).alias("pos", "key"))
 
 
 def _let(value: Column, body) -> Column:
@@ -129,11 +132,10 @@ def pieces_met(a: Column, b: Column, n_a: Column, max_edits: int, pieces: int =
 
     Each edit spoils one piece at most. This costs a hundredth of a distance, and most pairs that share a segment fail it.
     """
-    size, met = F.floor(n_a / pieces).cast("int"), F.lit(0)
-    for k in range(pieces):
-        window = F.substring(b, F.greatest(size * k + 1 - max_edits, F.lit(1)), size + 2 * max_edits)
-        met = met + F.when(F.contains(window, F.substring(a, size * k + 1, size)), 1).otherwise(0)
-    return met >= pieces - max_edits
+    size = F.floor(n_a / pieces).cast("int")
+    piece = lambda k: F.substring(a, size * k + 1, size)
+    near = lambda k: F.substring(b, F.greatest(size * k + 1 - max_edits, F.lit(1)), size + 2 * max_edits)
+    return F.size(F.filter(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda k: F.contains(near(k), piece(k)))) >= pieces - max_edits
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -165,14 +167,14 @@ def line_links(lines: DataFrame, max_edits: int) -> DataFrame:
     a segment but are not near costs comparisons and no rows.
     """
     own = max_edits + 1
-    keyed = lines.withColumn("wide", F.encode("line", "UTF-32")).select("id", "line", "n", F.posexplode(F.array(*keys(max_edits))).alias("pos", "key"))
-    count = keyed.groupBy("key").agg(F.count(F.when(F.col("pos") < own, 1)).alias("own"), F.count("*").alias("every"))
+    every = keyed(lines, max_edits)
+    count = every.groupBy("key").agg(F.count(F.when(F.col("pos") < own, 1)).alias("own"), F.count("*").alias("every"))
     live = materialize(count.where("own > 1 or (own = 1 and every > 1)").select("key"), "line-keys")
     n_live = live.count()
     if n_live <= BROADCAST_KEYS:
-        met = keyed.join(F.broadcast(live), "key", "left_semi")
+        met = every.join(F.broadcast(live), "key", "left_semi")
     else:  # the keys alone are dealt, then the lines that have one
-        named = keyed.select("id", "pos", "key").join(live, "key", "left_semi")
+        named = every.select("id", "pos", "key").join(live, "key", "left_semi")
         met = named.join(lines.select("id", "line", "n"), "id")
     met = materialize(met.select("key", "pos", "id", "line", "n"), "line-met")
     x, z = met.where(F.col("pos") < own).alias("x"), met.alias("z")
