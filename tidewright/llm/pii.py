@@ -12,8 +12,8 @@ values stay different, and without the key nothing leads back. Rounds are HMAC-S
     date    the days of 1900-01-01..2099-12-31        order of year, month, day, separators, leading zeros
     ipv4    the 32-bit addresses                      dotted form
     ssn     the valid area-group-serial numbers       dashes
-    phone   all digits after the country code; a      country code, separators; first digits of area and
-            North American number its valid ones      exchange stay 2-9
+    phone   all digits after the country code         country code, separators; whether ten digits are a number
+                                                      of the North American plan
     card    all digits before the check digit         length, separators; the Luhn digit is made anew
 
 What fails its test (a wrong check digit, octets above 255, 2023-02-30) is left as it is. Kinds are tried in the
@@ -42,7 +42,7 @@ PATTERNS = {
     "ipv4": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "phone": r"(?:(?<![0-9A-Za-z])\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\)[ .\-]?|(?<![0-9])[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .\-]?[0-9]{2,4}){2,5}(?![0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){2}[ \-][0-9]{1,7}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9])",
 }
 KINDS = list(PATTERNS)
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -180,19 +180,15 @@ def new_ssn(digits: Column, key: str) -> Column:
 
 
 def new_american(digits: Column, key: str) -> Column:
-    """Ten digits, area and exchange begin with 2-9; null otherwise."""
-    parts = [F.substring(digits, at, n).cast("bigint") for at, n in ((1, 1), (2, 2), (4, 1), (5, 2), (7, 4))]
-    rank = ((((parts[0] - 2) * 100 + parts[1]) * 8 + parts[2] - 2) * 100 + parts[3]) * 10_000 + parts[4]
-
-    def named(v: Column) -> Column:
-        cells = (_div(v, 10_000 * 100 * 8 * 100) + 2, 1), (_div(v, 10_000 * 100 * 8) % 100, 2), (_div(v, 10_000 * 100) % 8 + 2, 1), (_div(v, 10_000) % 100, 2), (v % 10_000, 4)
-        return F.concat(*[_padded(x, n) for x, n in cells])
-
-    return F.when(digits.rlike("^[2-9][0-9]{2}[2-9][0-9]{6}$"), _let(permute(rank, 8 * 100 * 8 * 100 * 10_000, "phone", key), named))
+    """Ten digits; those of a North American number (area and exchange begin with 2-9) stay such, others stay others."""
+    real = lambda v: v.rlike("^[2-9][0-9]{2}[2-9][0-9]{6}$")
+    once = lambda v: permute(v, 10**10, "phone", key)
+    moved = walk(once, digits.try_cast("bigint"), lambda v: real(_padded(v, 10)) == real(digits), 96)
+    return F.when(digits.rlike("^[0-9]{10}$"), _padded(moved, 10))
 
 
 def new_phone(found: Column, key: str) -> Column:
-    """With +1 or no country code a North American number; else 8 to 15 digits, those after the country code move."""
+    """With +1 or no country code ten digits; else 8 to 15 digits, those after the country code move."""
     digits = F.regexp_replace(found, "[^0-9]", "")
     plus = found.startswith("+")
     first = F.regexp_extract(found, r"^\+([0-9]+)", 1)
