@@ -14,9 +14,11 @@ The model gives a token w after class p the probability
 P(c | p) is the smoothed class transition, n(w) / n(c) the word's emission, and unseen(p) comes from the training
 words that occur once: had their text been left out, they would have been unseen. Texts begin and end with `end`.
 
+Texts are cut into words once. Each task writes chunks of a bounded number of tokens: the chunk's distinct words, and
+its texts as numbers of these; every later pass looks words up by chunk and works on numbers.
+
 The vocabulary may be of any size: the `head` most frequent words (a fixed number) are broadcast, all others are
-looked up by a join on the word, in which no key can be frequent, and return to their texts by position. Documents
-meet their rare words in groups of a bounded number of bytes.
+looked up by a join on the word, in which no key can be frequent, and return to their chunk by position.
 
 Defined results: null text is empty and consists of its end; a null identifier trains (it has no remainder); rows
 repeat as they come; without training texts every probability is 1; an empty table gives no rows; further columns are
@@ -26,11 +28,14 @@ not read. Very long texts are read as a whole.
 from __future__ import annotations
 
 import gc
-from collections import Counter
+from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,21 +44,19 @@ from .common import materialize, release, text_or_empty, tune
 CLASSES = 64
 CONTEXTS = 512
 ROUNDS = 5
-HEAD = 1 << 17
-#: Bytes of text whose documents meet their rare words together.
-GROUP_BYTES = 6 << 20
+HEAD = 1 << 18
 #: Weight of the class unigram in a class transition.
 PRIOR = 10.0
-#: Distinct words and tokens that a task holds before it passes on what it has counted.
-HELD_WORDS, HELD_TOKENS = 300_000, 2_000_000
+#: A chunk ends with the text that brings it to so many distinct words or tokens.
+CHUNK_WORDS, CHUNK_TOKENS = 300_000, 2_000_000
 
 ENTRY = np.dtype([("ctx", "<u2"), ("n", "<u4")])
 TAIL, NONE = 255, 254  # codes of tokens that are yet to be looked up
 
 
-def words_of(text: str) -> list[bytes]:
-    """A-Z lower-cased, cut at [\\x20\\x09-\\x0D]."""
-    return text.encode().lower().split()
+def words_of(text: bytes) -> list[bytes]:
+    """A-Z lower-cased, cut at [\\x20\\x09-\\x0D]; bytes know no other letters and spaces."""
+    return text.lower().split()
 
 
 def is_held_out(id_col: Column) -> Column:
@@ -65,21 +68,75 @@ def _binary(data: bytes, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
 
 
+# --- chunks ---------------------------------------------------------------------------------------------------------
+
+CHUNK = "chunk long, words binary, tokens binary, lens binary, ids binary, named binary, held binary"
+_CHUNK = pa.schema([("chunk", pa.int64())] + [(n, pa.binary()) for n in ("words", "tokens", "lens", "ids", "named", "held")])
+
+
+def _encode(chunk_words: int, chunk_tokens: int):
+    def run(batches):
+        part, made = TaskContext.get().partitionId(), 0
+        index: dict[bytes, int] = defaultdict(count().__next__)
+        tokens, lens, ids, held, total = [], [], [], [], 0
+
+        def row():
+            named = np.array([x is not None for x in ids], dtype=np.uint8)
+            numbers = np.array([x or 0 for x in ids], dtype="<i8")
+            columns = b"\n".join(index), np.concatenate(tokens).tobytes(), np.array(lens, dtype="<u4").tobytes(), numbers.tobytes(), named.tobytes(), np.array(held, dtype=np.uint8).tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([part << 36 | made], pa.int64()), *(pa.array([c], pa.binary()) for c in columns)], schema=_CHUNK)
+
+        for b in batches:
+            for i in range(b.num_rows):
+                words = words_of(b.column(0)[i].as_py())
+                tokens.append(np.fromiter(map(index.__getitem__, words), dtype="<u4", count=len(words)))
+                lens.append(len(words))
+                ids.append(b.column(1)[i].as_py())
+                held.append(b.column(2)[i].as_py())
+                total += len(words)
+                if total >= chunk_tokens or len(index) >= chunk_words:
+                    yield row()
+                    made, index, total = made + 1, defaultdict(count().__next__), 0
+                    tokens, lens, ids, held = [], [], [], []
+        if lens:
+            yield row()
+
+    return run
+
+
+class Chunk:
+    """A row of chunks, columns as in CHUNK or the first of them."""
+
+    def __init__(self, batch: pa.RecordBatch, row: int):
+        get = lambda name: batch.column(batch.schema.get_field_index(name))[row].as_py()
+        self.key, words = get("chunk"), get("words")
+        self.words = words.split(b"\n") if words else []
+        self.tokens, self.lens = np.frombuffer(get("tokens"), dtype="<u4"), np.frombuffer(get("lens"), dtype="<u4").astype(np.int64)
+        self.held = np.frombuffer(get("held"), dtype=np.uint8).astype(bool)
+
+    def training(self) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of the texts that are not held out, and where each text that has any ends among them."""
+        lens = self.lens[~self.held]
+        return self.tokens[np.repeat(~self.held, self.lens)].astype(np.int64), np.cumsum(lens[lens > 0])
+
+
+def _chunks(batches) -> Iterator[Chunk]:
+    for b in batches:
+        for i in range(b.num_rows):
+            yield Chunk(b, i)
+
+
 # --- counting -------------------------------------------------------------------------------------------------------
 
 _COUNT = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 
 
 def _count(batches):
-    held: Counter = Counter()
-    for b in batches:
-        for x in b.column(0):
-            held.update(words_of(x.as_py()))
-            if len(held) >= HELD_WORDS:
-                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], schema=_COUNT)
-                held = Counter()
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], schema=_COUNT)
+    for c in _chunks(batches):
+        n = np.bincount(c.training()[0], minlength=len(c.words))
+        there = pa.array(np.flatnonzero(n))
+        if len(there):
+            yield pa.RecordBatch.from_arrays([pa.array(c.words, pa.binary()).take(there), pa.array(n).take(there)], schema=_COUNT)
 
 
 _VECTOR = pa.schema([("word", pa.binary()), ("vec", pa.binary())])
@@ -89,65 +146,55 @@ def _vectors(contexts: dict[bytes, int], n_ctx: int):
     """Per word what stands left (codes 0..n_ctx-1) and right (n_ctx..) of it; end is n_ctx-2, any other word n_ctx-1."""
     end, other, width = n_ctx - 2, n_ctx - 1, 2 * n_ctx
 
-    def flush(index, parts):
-        codes, n = np.unique(np.concatenate(parts), return_counts=True)
-        owner = codes // width
-        entry = np.empty(len(codes), dtype=ENTRY)
-        entry["ctx"], entry["n"] = codes % width, n
-        ends = np.searchsorted(owner, np.arange(len(index)), side="right") * ENTRY.itemsize
-        names = list(index)
-        step = 50_000
-        data = entry.tobytes()
-        for lo in range(0, len(names), step):
-            part = ends[lo : lo + step]
-            base = int(ends[lo - 1]) if lo else 0
-            yield pa.RecordBatch.from_arrays([pa.array(names[lo : lo + step], pa.binary()), _binary(data[base : int(part[-1])], part - base)], schema=_VECTOR)
-
     def run(batches):
-        index: dict[bytes, int] = {}
-        parts, tokens = [], 0
-        for b in batches:
-            for x in b.column(0):
-                words = words_of(x.as_py())
-                if not words:
-                    continue
-                at = np.fromiter((index.setdefault(w, len(index)) for w in words), dtype=np.int64, count=len(words)) * width
-                ctx = np.fromiter((contexts.get(w, other) for w in words), dtype=np.int64, count=len(words))
-                parts.append(at + np.concatenate([[end], ctx[:-1]]))
-                parts.append(at + np.concatenate([ctx[1:], [end]]) + n_ctx)
-                tokens += len(words)
-                if tokens >= HELD_TOKENS or len(index) >= HELD_WORDS:
-                    yield from flush(index, parts)
-                    index, parts, tokens = {}, [], 0
-        if parts:
-            yield from flush(index, parts)
+        for c in _chunks(batches):
+            at, ends = c.training()
+            if not len(at):
+                continue
+            own = np.fromiter(map(contexts.get, c.words, repeat(other)), dtype=np.int64, count=len(c.words))
+            ctx = own[at]
+            left, right = np.roll(ctx, 1), np.roll(ctx, -1)
+            left[np.concatenate([[0], ends[:-1]])] = end
+            right[ends - 1] = end
+            at *= width
+            codes, n = np.unique(np.concatenate([at + left, at + right + n_ctx]), return_counts=True)
+            owner, first = np.unique(codes // width, return_index=True)
+            entry = np.empty(len(codes), dtype=ENTRY)
+            entry["ctx"], entry["n"] = codes % width, n
+            ends = np.concatenate([first[1:], [len(codes)]])
+            names, data = pa.array(c.words, pa.binary()).take(pa.array(owner)), entry.tobytes()
+            for lo in range(0, len(owner), 50_000):
+                stop = ends[lo : lo + 50_000]
+                base, last = int(first[lo]), int(stop[-1])
+                yield pa.RecordBatch.from_arrays([names.slice(lo, len(stop)), _binary(data[base * ENTRY.itemsize : last * ENTRY.itemsize], (stop - base) * ENTRY.itemsize)], schema=_VECTOR)
 
     return run
 
 
-def _entries(vecs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _entries(vecs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(entries, row of each entry) of a binary column."""
-    parts = vecs.to_pylist()
-    sizes = np.fromiter((len(p) for p in parts), dtype=np.int64, count=len(parts)) // ENTRY.itemsize
-    return np.frombuffer(b"".join(parts), dtype=ENTRY), np.repeat(np.arange(len(parts)), sizes)
+    sizes = np.fromiter(map(len, vecs), dtype=np.int64, count=len(vecs)) // ENTRY.itemsize
+    return np.frombuffer(b"".join(vecs), dtype=ENTRY), np.repeat(np.arange(len(vecs)), sizes)
 
 
 def _merge(width: int):
     """Rows sorted by word: one row a word."""
 
     def merged(words: list[bytes], vecs: list[bytes], last: bool):
-        change = np.fromiter((a != b for a, b in zip(words[1:], words)), dtype=bool, count=len(words) - 1)
+        change = np.fromiter(map(bytes.__ne__, words[1:], words), dtype=bool, count=len(words) - 1)
         group = np.concatenate([[0], np.cumsum(change)])
         keep = len(words) if last else int(np.searchsorted(group, group[-1]))
         out = None
         if keep:
-            entry, row = _entries(pa.array(vecs[:keep], pa.binary()))
-            codes, at = np.unique(group[row] * width + entry["ctx"], return_inverse=True)
-            sums = np.bincount(at, weights=entry["n"])
-            new = np.empty(len(codes), dtype=ENTRY)
-            new["ctx"], new["n"] = codes % width, np.minimum(sums, 2**32 - 1)
+            entry, row = _entries(vecs[:keep])
+            codes = group[row] * width + entry["ctx"]
+            order = np.argsort(codes, kind="stable")  # runs that are sorted already: a merge
+            codes = codes[order]
+            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+            new = np.empty(len(first), dtype=ENTRY)
+            new["ctx"], new["n"] = codes[first] % width, np.minimum(np.add.reduceat(entry["n"][order].astype(np.int64), first), 2**32 - 1)
             firsts = np.concatenate([[0], np.flatnonzero(change[: keep - 1]) + 1])
-            ends = np.searchsorted(codes // width, np.arange(len(firsts)), side="right") * ENTRY.itemsize
+            ends = np.searchsorted(codes[first] // width, np.arange(len(firsts)), side="right") * ENTRY.itemsize
             out = pa.RecordBatch.from_arrays([pa.array([words[i] for i in firsts], pa.binary()), _binary(new.tobytes(), ends)], schema=_VECTOR)
         return out, words[keep:], vecs[keep:]
 
@@ -157,7 +204,7 @@ def _merge(width: int):
         for b in batches:
             words += b.column(0).to_pylist()
             vecs += b.column(1).to_pylist()
-            if len(words) >= 4096:
+            if len(words) >= 8192:
                 out, words, vecs = merged(words, vecs, False)
                 if out is not None:
                     yield out
@@ -170,29 +217,34 @@ def _merge(width: int):
 # --- exchange -------------------------------------------------------------------------------------------------------
 
 
-def likelihood(entry: np.ndarray, row: np.ndarray, n: int, table: np.ndarray) -> np.ndarray:
-    """Log likelihood of the neighbours of n words (rows) under every class of table (classes by contexts)."""
-    soft = table + 0.1
-    logs = np.log(soft / soft.sum(axis=1, keepdims=True)).T.astype(np.float32)
-    out = np.zeros((n, len(table)), dtype=np.float32)
-    for lo in range(0, len(entry), 1 << 17):
-        part = slice(lo, lo + (1 << 17))
-        worth = logs[entry["ctx"][part]] * entry["n"][part].astype(np.float32)[:, None]
-        rows, first = np.unique(row[part], return_index=True)
-        out[rows] += np.add.reduceat(worth, first, axis=0)
-    return out
+def likelihood(entry: np.ndarray, row: np.ndarray, n: int, *tables: np.ndarray) -> list[np.ndarray]:
+    """For each table (classes by contexts), log likelihoods of the neighbours of n words (rows) under its classes."""
+    soft = [t + 0.1 for t in tables]
+    logs = np.concatenate([np.log(t / t.sum(axis=1, keepdims=True)) for t in soft]).T.astype(np.float32)
+    out = np.zeros((n, logs.shape[1]), dtype=np.float32)
+    ctx, times, many = entry["ctx"], entry["n"].astype(np.float32), entry["n"] > 1
+    for lo in range(0, len(entry), 1 << 14):  # a block that stays in the cache
+        part = slice(lo, lo + (1 << 14))
+        worth = logs[ctx[part]]
+        some = np.flatnonzero(many[part])
+        worth[some] *= times[part][some, None]
+        rows = row[part]
+        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        out[rows[first]] += np.add.reduceat(worth, first, axis=0)
+    return np.split(out, len(tables), axis=1)
 
 
 def assign(entry: np.ndarray, row: np.ndarray, n: int, table: np.ndarray, before: np.ndarray | None) -> np.ndarray:
     """The class of each word under `table`. before: the table that the words' present classes came from."""
-    score = likelihood(entry, row, n, table)
-    if before is not None:
-        own = likelihood(entry, row, n, before).argmax(axis=1)
-        mine = table[own[row], entry["ctx"]]
-        without = np.maximum(mine - entry["n"], 0) + 0.1
-        total = np.bincount(row, weights=entry["n"], minlength=n)
-        rest = np.maximum(table.sum(axis=1)[own] - total, 0) + 0.1 * table.shape[1]
-        score[np.arange(n), own] = np.bincount(row, weights=entry["n"] * np.log(without / rest[row]), minlength=n)
+    if before is None:
+        return likelihood(entry, row, n, table)[0].argmax(axis=1)
+    score, past = likelihood(entry, row, n, table, before)
+    own = past.argmax(axis=1)
+    mine = table[own[row], entry["ctx"]]
+    without = np.maximum(mine - entry["n"], 0) + 0.1
+    total = np.bincount(row, weights=entry["n"], minlength=n)
+    rest = np.maximum(table.sum(axis=1)[own] - total, 0) + 0.1 * table.shape[1]
+    score[np.arange(n), own] = np.bincount(row, weights=entry["n"] * np.log(without / rest[row]), minlength=n)
     return score.argmax(axis=1)
 
 
@@ -203,7 +255,7 @@ def _tables(table: np.ndarray, before: np.ndarray | None):
         new = np.zeros(table.size)
         for b in batches:
             if b.num_rows:
-                entry, row = _entries(b.column(0))
+                entry, row = _entries(b.column(0).to_pylist())
                 klass = assign(entry, row, b.num_rows, table, before)
                 new += np.bincount(klass[row] * table.shape[1] + entry["ctx"], weights=entry["n"], minlength=table.size)
         cells = np.flatnonzero(new)
@@ -220,7 +272,7 @@ def _final(table: np.ndarray, before: np.ndarray | None):
         half = table.shape[1] // 2
         for b in batches:
             if b.num_rows:
-                entry, row = _entries(b.column(1))
+                entry, row = _entries(b.column(1).to_pylist())
                 left = entry["ctx"] < half
                 n = np.bincount(row[left], weights=entry["n"][left], minlength=b.num_rows).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(assign(entry, row, b.num_rows, table, before), pa.int32())], schema=_WORD)
@@ -247,17 +299,15 @@ def _settle(spark: SparkSession) -> None:
 
 
 def _many_rows(spark: SparkSession) -> None:
-    """Batches for tables of words, which are short rows."""
+    """Batches for tables of words, which are short rows; those of chunks stay small by their bytes."""
     tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")
 
 
-def cluster(texts: DataFrame, n_classes: int = CLASSES, n_contexts: int = CONTEXTS, rounds: int = ROUNDS, head: int = HEAD) -> Classes:
-    """Classes of the words of texts (text, held_out), from those that are not held out."""
-    spark = texts.sparkSession
-    tune(spark)
-    training = texts.where(~F.col("held_out")).select("text")
-    n_docs = training.count()
+def cluster(chunks: DataFrame, n_docs: int, n_classes: int = CLASSES, n_contexts: int = CONTEXTS, rounds: int = ROUNDS, head: int = HEAD) -> Classes:
+    """Classes of the words of the n_docs texts that are not held out."""
+    spark = chunks.sparkSession
+    training = chunks.select("chunk", "words", "tokens", "lens", "held")
     counts = materialize(training.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
     tokens, types, once = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count(F.when(F.col("n") == 1, 1))).first()
     top = [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(max(n_contexts, n_classes)).collect()]
@@ -286,52 +336,53 @@ def cluster(texts: DataFrame, n_classes: int = CLASSES, n_contexts: int = CONTEX
     sizes[n_classes] = n_docs
     frequent = words.orderBy(F.desc("n"), "word").limit(head).toArrow()
     named = dict(zip(frequent["word"].to_pylist(), zip(frequent["n"].to_pylist(), frequent["class"].to_pylist())))
-    tune(spark)
+    _many_rows(spark)
     _settle(spark)
     return Classes(words, named, sizes, tokens + n_docs, types + (n_docs > 0), once + (n_docs == 1))
 
 
 # --- texts by classes -----------------------------------------------------------------------------------------------
 
-_DOC = pa.schema([("group", pa.int64()), ("id", pa.int64()), ("mark", pa.int64()), ("held_out", pa.bool_()), ("codes", pa.binary()), ("once", pa.binary()), ("known", pa.int64()), ("base", pa.float64()), ("emitted", pa.float64())])
-DOC = "group long, id long, mark long, held_out boolean, codes binary, once binary, known long, base double, emitted double"
-_RARE = pa.schema([("word", pa.binary()), ("group", pa.int64()), ("id", pa.int64()), ("mark", pa.int64()), ("at", pa.int32())])
-RARE = "word binary, group long, id long, mark long, at int"
+PART = "chunk long, codes binary, once binary, lens binary, ids binary, named binary, held binary, known binary, base binary, emitted binary"
+_PART = pa.schema([("chunk", pa.int64())] + [(n, pa.binary()) for n in ("codes", "once", "lens", "ids", "named", "held", "known", "base", "emitted")])
+_RARE = pa.schema([("word", pa.binary()), ("chunk", pa.int64()), ("at", pa.int32())])
+RARE = "word binary, chunk long, at int"
+
+
+def _in_head(c: Chunk, get) -> np.ndarray:
+    """The place of each of a chunk's words in the head, or -1."""
+    return np.fromiter(map(get, c.words, repeat(-1)), dtype=np.int64, count=len(c.words))
 
 
 def _by_head(head):
-    """Each document as class codes of its tokens, with what its frequent words add to the sums; rare words are left open."""
+    """A chunk as class codes of its tokens, with what frequent words add to its texts' sums; rare words are left open."""
 
     def run(batches):
         index, klass, base, emitted, once = head.value
         for b in batches:
-            rows = []
             for i in range(b.num_rows):
-                words = words_of(b.column(0)[i].as_py())
-                at = np.fromiter((index.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-                hit = at[at >= 0]
-                codes = np.where(at >= 0, klass[at], TAIL).astype(np.uint8)
-                rows.append((*(b.column(k)[i].as_py() for k in (1, 2, 3, 4)), codes.tobytes(), np.packbits((at >= 0) & once[at]).tobytes(), len(hit), float(base[hit].sum()), float(emitted[hit].sum())))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _DOC.types)], schema=_DOC)
+                c = Chunk(b, i)
+                at = _in_head(c, index.get)
+                bounds = np.concatenate([[0], np.cumsum(c.lens)])
+                # the last place of the tables stands for words that the head does not hold
+                known, more, out = (np.diff(np.concatenate([[0.0], np.cumsum(x[c.tokens])])[bounds]) for x in ((at >= 0).astype(float), base[at], emitted[at]))
+                codes, single = klass[at].astype(np.uint8)[c.tokens], np.packbits(once[at][c.tokens])
+                same = [b.column(b.schema.get_field_index(k)).slice(i, 1) for k in ("lens", "ids", "named", "held")]
+                sums = [pa.array([x.tobytes()], pa.binary()) for x in (known.astype("<i8"), more, out)]
+                yield pa.RecordBatch.from_arrays([pa.array([c.key], pa.int64()), pa.array([codes.tobytes()], pa.binary()), pa.array([single.tobytes()], pa.binary()), *same, *sums], schema=_PART)
 
     return run
 
 
 def _rare(head):
     def run(batches):
-        index = head.value[0]
-        for b in batches:
-            words, owner, places = [], [], []
-            for i in range(b.num_rows):
-                for at, w in enumerate(words_of(b.column(0)[i].as_py())):
-                    if w not in index:
-                        words.append(w)
-                        owner.append(i)
-                        places.append(at)
-            if words:
-                take = pa.array(owner, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *(b.column(k).take(take) for k in (1, 2, 3)), pa.array(places, pa.int32())], schema=_RARE)
+        for c in _chunks(batches):
+            there = (_in_head(c, head.value[0].get) < 0)[c.tokens]
+            at = np.flatnonzero(there)
+            words = pa.array(c.words, pa.binary())
+            for lo in range(0, len(at), 100_000):
+                part = at[lo : lo + 100_000]
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(c.tokens[part].astype(np.int64))), pa.array(np.full(len(part), c.key)), pa.array(part.astype(np.int32))], schema=_RARE)
 
     return run
 
@@ -370,49 +421,40 @@ def transitions(codes: np.ndarray, once: np.ndarray, starts: np.ndarray, n_class
 
 
 def _meet(n_classes: int, sizes: np.ndarray, tokens: int, types: int):
-    """A group of documents and their rare words: one row of statistics a document."""
+    """A chunk and its rare words: one row of statistics a text."""
     floor = 0.5 / (tokens + 0.5 * (types + 1)) if tokens or types else 1.0
     n_end = int(sizes[n_classes])
 
-    def run(docs: pa.Table, rare: pa.Table) -> pa.Table:
-        if not docs.num_rows:
+    def run(part: pa.Table, rare: pa.Table) -> pa.Table:
+        if not part.num_rows:
             return _STAT.empty_table()
-        keys = list(zip(docs["id"].to_pylist(), docs["mark"].to_pylist()))
-        blobs = docs["codes"].to_pylist()
-        lens = np.fromiter((len(x) for x in blobs), dtype=np.int64, count=len(blobs))
-        starts = np.concatenate([[0], np.cumsum(lens + 1)])[:-1]
-        codes = np.frombuffer(b"".join(x + bytes([n_classes]) for x in blobs), dtype=np.uint8).copy()
-        once = np.concatenate([np.append(np.unpackbits(np.frombuffer(o, dtype=np.uint8), count=n), 0) for o, n in zip(docs["once"].to_pylist(), lens)]).astype(bool)
-        known, base, emitted = (docs[c].to_numpy().copy() for c in ("known", "base", "emitted"))
+        get = lambda name, kind: np.frombuffer(part[name][0].as_py(), dtype=kind)
+        lens, held = get("lens", "<u4").astype(np.int64), get("held", np.uint8).astype(bool)
+        known, base, emitted = get("known", "<i8").copy(), get("base", "<f8").copy(), get("emitted", "<f8").copy()
+        text = np.repeat(np.arange(len(lens)), lens)
+        place = np.arange(len(text)) + text  # among tokens with an end behind each text
+        starts = np.cumsum(lens + 1) - lens - 1
+        codes, once = np.full(len(text) + len(lens), n_classes, dtype=np.uint8), np.zeros(len(text) + len(lens), dtype=bool)
+        codes[place] = get("codes", np.uint8)
+        once[place] = np.unpackbits(get("once", np.uint8), count=len(text)).astype(bool)
         if rare.num_rows:
-            rows: dict[tuple, list[int]] = {}
-            for i, k in enumerate(keys):
-                rows.setdefault(k, []).append(i)
-            copies = max(map(len, rows.values()))
-            owners = list(zip(rare["id"].to_pylist(), rare["mark"].to_pylist()))
             at, n, klass = (rare[c].to_numpy() for c in ("at", "n", "class"))
-            for c in range(copies):  # rows that repeat a document are filled alike
-                of = np.fromiter((rows[k][c] if len(rows[k]) > c else -1 for k in owners), dtype=np.int64, count=len(owners))
-                use = of >= 0
-                place = starts[of[use]] + at[use]
-                # each repeated row sent its rare words as well: a place counts once
-                place, first = np.unique(place, return_index=True)
-                o, m, k = of[use][first], n[use][first], klass[use][first]
-                codes[place] = np.where(m > 0, k, n_classes + 1)
-                k = np.where(m > 0, k, 0)
-                once[place] = m == 1
-                known += np.bincount(o, weights=m > 0, minlength=len(keys)).astype(np.int64)
-                base += np.bincount(o, weights=np.log10((m + 0.5) * 2 * floor), minlength=len(keys))
-                emitted += np.bincount(o, weights=np.where(m > 0, np.log10(np.maximum(m, 1) / np.maximum(sizes[k], 1)), 0), minlength=len(keys))
+            codes[place[at]] = np.where(n > 0, klass, n_classes + 1)
+            once[place[at]] = n == 1
+            total = sizes[np.where(n > 0, klass, 0)]
+            add = lambda x: np.bincount(text[at], weights=x, minlength=len(lens))
+            known += add(n > 0).astype(np.int64)
+            base += add(np.log10((n + 0.5) * 2 * floor))
+            emitted += add(np.where(n > 0, np.log10(np.maximum(n, 1) / np.maximum(total, 1)), 0))
         known += n_end > 0
         base += np.log10((n_end + 0.5) * 2 * floor)
-        held = np.asarray(docs["held_out"].to_pylist(), dtype=bool)
         # with a single training text its end is a word that occurs once
-        once[starts + lens] |= n_end == 1
+        once[starts + lens] = n_end == 1
         if not n_end:
             codes[starts + lens] = n_classes + 1
         moves, more = transitions(codes, once, starts, n_classes, ~held)
-        return pa.table([docs["id"].combine_chunks(), pa.array(held), pa.array(lens + 1), pa.array(known), pa.array(base), pa.array(emitted), moves, more], schema=_STAT)
+        ids = pa.array(get("ids", "<i8"), mask=get("named", np.uint8) == 0)
+        return pa.table([ids, pa.array(held), pa.array(lens + 1), pa.array(known), pa.array(base), pa.array(emitted), moves, more], schema=_STAT)
 
     return run
 
@@ -422,7 +464,7 @@ def _sums(side: int):
         new = np.zeros(side * side)
         for b in batches:
             for k in (0, 1):
-                entry, _ = _entries(b.column(k))
+                entry, _ = _entries(b.column(k).to_pylist())
                 new += np.bincount(entry["ctx"], weights=entry["n"], minlength=side * side)
         cells = np.flatnonzero(new)
         yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(new[cells].astype(np.int64), pa.int64())], names=["cell", "n"])
@@ -450,37 +492,40 @@ def _score(logs: np.ndarray):
         flat = logs.ravel()
         for b in batches:
             if b.num_rows:
-                entry, row = _entries(b.column(6))
+                entry, row = _entries(b.column(6).to_pylist())
                 moved = np.bincount(row, weights=flat[entry["ctx"]] * entry["n"], minlength=b.num_rows)
                 yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(5)), pa.array(b.column(5).to_numpy() + moved)], schema=schema)
 
     return run
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, n_classes: int = CLASSES, n_contexts: int = CONTEXTS, rounds: int = ROUNDS, head: int = HEAD, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, n_classes: int = CLASSES, n_contexts: int = CONTEXTS, rounds: int = ROUNDS, head: int = HEAD, chunk_words: int = CHUNK_WORDS, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity: one row a document."""
     spark = docs.sparkSession
     tune(spark)
     if n_classes > 250:
         raise ValueError("classes are held in a byte, of which some values are taken")
     held = is_held_out(F.col(id_col).cast("bigint")) if held_out is None else held_out
-    texts = docs.select(text_or_empty(text_col).alias("text"), F.col(id_col).cast("bigint").alias("id"), held.alias("held_out"))
-    c = cluster(texts, n_classes, n_contexts, rounds, head)
+    texts = docs.select(text_or_empty(text_col).cast("binary").alias("text"), F.col(id_col).cast("bigint").alias("id"), held.alias("held_out"))
+    n_docs = texts.where(~F.col("held_out")).count()
+    chunks = materialize(texts.mapInArrow(_encode(chunk_words, chunk_tokens), CHUNK), "lm-chunks", "zstd")
+    _many_rows(spark)
+    c = cluster(chunks, n_docs, n_classes, n_contexts, rounds, head)
     floor = 0.5 / (c.tokens + 0.5 * (c.types + 1)) if c.tokens else 1.0
     n, klass = (np.array([x[k] for x in c.head.values()], dtype=np.int64) for k in (0, 1))
     # one more place at the end, for words that the head does not hold
     frequent = spark.sparkContext.broadcast((
         {w: i for i, w in enumerate(c.head)}, np.append(klass, TAIL), np.append(np.log10((n + 0.5) * 2 * floor), 0.0), np.append(np.log10(n / c.sizes[klass]) if len(n) else [], 0.0), np.append(n == 1, False).astype(bool),
     ))
-    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n_groups = max(1, -(-total // group_bytes))
-    keyed = texts.select("text", F.pmod(F.xxhash64("id"), F.lit(n_groups)).alias("group"), "id", F.xxhash64("text").alias("mark"), "held_out")
-    by_head = keyed.mapInArrow(_by_head(frequent), DOC)
-    rare = keyed.mapInArrow(_rare(frequent), RARE).join(c.words, "word", "left")
-    rare = rare.select("group", "id", "mark", "at", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce(F.col("class"), F.lit(NONE)).alias("class"))
+    by_head = chunks.mapInArrow(_by_head(frequent), PART)
+    # words are one row each and dealt evenly: a hash table of a partition of them saves sorting the rare words
+    rare = chunks.select("chunk", "words", "tokens", "lens", "held").mapInArrow(_rare(frequent), RARE).join(c.words.hint("shuffle_hash"), "word", "left")
+    rare = rare.select("chunk", "at", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce(F.col("class"), F.lit(NONE)).alias("class"))
     side = n_classes + 2
-    stats = by_head.groupBy("group").cogroup(rare.groupBy("group")).applyInArrow(_meet(n_classes, c.sizes, c.tokens, c.types), STAT)
+    stats = by_head.groupBy("chunk").cogroup(rare.groupBy("chunk")).applyInArrow(_meet(n_classes, c.sizes, c.tokens, c.types), STAT)
     stats = materialize(stats, "lm-stats")
+    release(chunks)
+    _many_rows(spark)
     _settle(spark)
     counts = np.zeros(side * side)
     for r in stats.where(~F.col("held_out")).select("moves", "more").mapInArrow(_sums(side), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
