@@ -86,23 +86,30 @@ def heading_matches(line: Column, keywords: Sequence[str]) -> Column:
     any_of = "|".join(keywords)
     title = F.lower(strip(F.substring(line, heading_level(line) + 1, F.length(line))))
     title = strip(collapse(F.regexp_replace(title, r"(?U)[^\w\s:()\-]+", " ")))
-    plain = F.regexp_replace(title, r"\([^)]*\)", " ")
-    return (heading_level(line) > 0) & let(title, lambda t: t.rlike(rf"\A(?:{any_of})(?:\z|[ :])")) | (heading_level(line) > 0) & plain.rlike(rf"(?U)\b(?:{any_of})\b")
+
+    def named(t: Column) -> Column:
+        return t.rlike(rf"\A(?:{any_of})(?:\z|[ :])") | F.regexp_replace(t, r"\([^)]*\)", " ").rlike(rf"(?U)\b(?:{any_of})\b")
+
+    # most headings name no keyword at all
+    return (heading_level(line) > 0) & line.rlike(rf"(?iU)(?:{any_of.replace(' ', '.+')})") & let(title, named)
 
 
 def section(x: Column, keywords: Sequence[str]) -> Column:
     """The body below the first heading that matches any keyword, up to the next of its level or above; null if empty."""
 
     def within(every: Column) -> Column:
-        marked = F.transform(every, lambda line, i: F.struct(i.alias("i"), heading_level(line).alias("level"), F.when(line.startswith("#"), heading_matches(line, keywords)).otherwise(False).alias("hit")))
+        headings = F.filter(F.transform(every, lambda line, i: F.struct(i.alias("i"), line.alias("line"))), lambda r: r["line"].startswith("#"))
+        marked = F.transform(headings, lambda r: F.struct(r["i"].alias("i"), heading_level(r["line"]).alias("level"), heading_matches(r["line"], keywords).alias("hit")))
+
+        def from_start(rows: Column) -> Column:
+            def to_end(start: Column) -> Column:
+                end = F.get(F.filter(rows, lambda r: (r["i"] > start["i"]) & r["level"].between(1, start["level"])), F.lit(0))["i"]
+                size = F.coalesce(end, F.size(every)) - start["i"] - 1
+                return F.when(start.isNotNull(), filled(strip(F.array_join(F.slice(every, start["i"] + 2, size), "\n"))))
 
-        def cut(rows: Column) -> Column:
-            start = F.get(F.filter(rows, lambda r: r["hit"]), F.lit(0))
-            end = F.get(F.filter(rows, lambda r: (r["i"] > start["i"]) & r["level"].between(1, start["level"])), F.lit(0))
-            size = F.coalesce(end["i"], F.size(every)) - start["i"] - 1
-            return F.when(start.isNotNull(), filled(strip(F.array_join(F.slice(every, start["i"] + 2, size), "\n"))))
+            return let(F.get(F.filter(rows, lambda r: r["hit"]), F.lit(0)), to_end)
 
-        return let(marked, cut)
+        return let(marked, from_start)
 
     return F.when(x.rlike("#"), let(lines(x), within))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bots import is_review_check
 from ..functions.redact import redact
-from ..functions.text import cap, filled, or_empty, rstrip, section
+from ..functions.text import cap, filled, let, or_empty, rstrip, section
 from ..functions.validation import section_passes
 from ..schemas import EVENT
 
@@ -50,20 +50,24 @@ def validation_events(body: Column, check_runs: Column, combined: Column) -> Col
     """Section, builds, combined status, or that there is no evidence; review apps last. body: without boilerplate."""
     none = F.array().cast(f"array<{EVENT}>")
     some = lambda when, e: F.when(when, F.array(e)).otherwise(none)
-    said = section(body, HEADINGS)
-    short = redact(cap(said, DETAIL_CHARS))
-    detail = F.when((F.length(said) > DETAIL_CHARS) & (short != ""), F.concat(rstrip(short), F.lit(" […]"))).otherwise(short)
-    runs = F.coalesce(check_runs, F.slice(check_runs, 1, 0))
-    builds, apps = F.filter(runs, lambda c: ~is_review_check(c["name"])), F.filter(runs, lambda c: is_review_check(c["name"]))
     size = lambda a: F.coalesce(F.size(a), F.lit(0))
+
+    def told(said: Column) -> Column:
+        short = redact(cap(said, DETAIL_CHARS))
+        detail = let(short, lambda x: F.when((F.length(said) > DETAIL_CHARS) & (x != ""), F.concat(rstrip(x), F.lit(" […]"))).otherwise(x))
+        return some(said.isNotNull(), event("test", section_passes(said), detail))
+
+    def built(builds: Column) -> Column:
+        return some(size(builds) > 0, event("ci", ci_passes(builds), F.coalesce(filled(check_names(builds)), F.lit("check runs collected"))))
+
+    def reviewed(apps: Column) -> Column:
+        return some(size(apps) > 0, event("other", apps_pass(apps), F.coalesce(F.concat(F.lit("review_apps: "), filled(check_names(apps))), F.lit("review_apps"))))
+
+    runs = F.coalesce(check_runs, F.slice(check_runs, 1, 0))
     state = or_empty(combined["state"])
     by_status = (state != "") & ((size(combined["statuses"]) > 0) | (size(check_runs) == 0))
     first = F.concat(
-        some(said.isNotNull(), event("test", section_passes(said), detail)),
-        some(size(builds) > 0, event("ci", ci_passes(builds), F.coalesce(filled(check_names(builds)), F.lit("check runs collected")))),
-        some(by_status, event("ci", state == "success", F.concat(F.lit("combined_status="), state))),
+        let(section(body, HEADINGS), told), let(F.filter(runs, lambda c: ~is_review_check(c["name"])), built), some(by_status, event("ci", state == "success", F.concat(F.lit("combined_status="), state)))
     )
     nothing = F.array(event("other", F.lit(False), F.lit("No structured validation evidence collected")))
-    app_names = filled(check_names(apps))
-    last = some(size(apps) > 0, event("other", apps_pass(apps), F.coalesce(F.concat(F.lit("review_apps: "), app_names), F.lit("review_apps"))))
-    return F.concat(F.when((size(first) > 0), first).otherwise(nothing), last)
+    return F.concat(let(first, lambda e: F.when(size(e) > 0, e).otherwise(nothing)), let(F.filter(runs, lambda c: is_review_check(c["name"])), reviewed))

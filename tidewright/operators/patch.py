@@ -42,27 +42,29 @@ def names(files: Column) -> Column:
 
 def patch(inline: Column, sidecar: Column, files: Column, max_bytes: int = MAX_BYTES) -> Column:
     """The redacted diff within a budget of bytes: beyond it a list of files, a prefix and a mark of its end."""
-    mine = F.coalesce(clean_files(files), F.slice(files, 1, 0))
-    count = F.coalesce(F.size(mine), F.lit(0))
 
     def budgeted(full: Column) -> Column:
         line = lambda f: F.concat(F.lit("# "), F.coalesce(f["status"], F.lit("None")), F.lit(": "), F.coalesce(f["filename"], F.lit("None")), F.lit(" (+"), F.coalesce(f["additions"].cast("string"), F.lit("None")), F.lit("/-"), F.coalesce(f["deletions"].cast("string"), F.lit("None")), F.lit(")"))
-        first = F.concat(F.lit("# Truncated unified diff for training (full raw under datasets/raw/; "), F.octet_length(full).cast("string"), F.lit(" bytes, "), count.cast("string"), F.lit(" files)"))
-        listed = F.coalesce(F.transform(F.slice(mine, 1, LISTED_FILES), line), F.array().cast("array<string>"))
-        header = F.concat(F.array_join(F.concat(F.array(first), listed), "\n"), F.lit("\n\n"))
-        cut = let(header, lambda h: F.concat(h, utf8_prefix(full, F.greatest(F.lit(max_bytes) - F.octet_length(h) - SPARE_BYTES, F.lit(LEAST_BYTES))), F.lit(END)))
-        missing = F.concat(F.lit("# Patch unavailable from API; changed files: "), F.coalesce(filled(F.array_join(names(mine), ", ")), F.lit("(none)")), F.lit("\n"))
-        return F.when(strip(full) == "", missing).when(F.octet_length(full) <= max_bytes, full).otherwise(cut)
+
+        def cut(mine: Column) -> Column:
+            count = F.coalesce(F.size(mine), F.lit(0))
+            first = F.concat(F.lit("# Truncated unified diff for training (full raw under datasets/raw/; "), F.octet_length(full).cast("string"), F.lit(" bytes, "), count.cast("string"), F.lit(" files)"))
+            listed = F.coalesce(F.transform(F.slice(mine, 1, LISTED_FILES), line), F.array().cast("array<string>"))
+            header = F.concat(F.array_join(F.concat(F.array(first), listed), "\n"), F.lit("\n\n"))
+            return let(header, lambda h: F.concat(h, utf8_prefix(full, F.greatest(F.lit(max_bytes) - F.octet_length(h) - SPARE_BYTES, F.lit(LEAST_BYTES))), F.lit(END)))
+
+        missing = F.concat(F.lit("# Patch unavailable from API; changed files: "), F.coalesce(filled(F.array_join(names(clean_files(files)), ", ")), F.lit("(none)")), F.lit("\n"))
+        return F.when(strip(full) == "", missing).when(F.octet_length(full) <= max_bytes, full).otherwise(let(clean_files(files), cut))
 
     return let(redact(diff_text(inline, sidecar, files)), budgeted)
 
 
 def before_context(title: Column, body: Column, files: Column) -> Column:
     """Title, names of the changed files, and the summary. body: without boilerplate."""
-    mine = clean_files(files)
-    shown = names(F.slice(mine, 1, NAMED_FILES))
-    listed = F.when(F.coalesce(F.size(shown), F.lit(0)) > 0, F.concat(F.lit("Changed files ("), F.size(mine).cast("string"), F.lit("): "), F.array_join(shown, ", "))).otherwise("Changed files: (none listed)")
-    summary = cap(section(body, ("summary", "user description", "what changed")), 1200)
-    return redact(F.concat_ws("\n", F.concat(F.lit("PR title: "), or_empty(title)), listed, F.concat(F.lit("Motivation/summary:\n"), summary)))
 
+    def listed(mine: Column) -> Column:
+        shown = F.array_join(names(F.slice(mine, 1, NAMED_FILES)), ", ")
+        return let(filled(shown), lambda x: F.coalesce(F.concat(F.lit("Changed files ("), F.size(mine).cast("string"), F.lit("): "), x), F.lit("Changed files: (none listed)")))
 
+    summary = cap(section(body, ("summary", "user description", "what changed")), 1200)
+    return redact(F.concat_ws("\n", F.concat(F.lit("PR title: "), or_empty(title)), let(clean_files(files), listed), F.concat(F.lit("Motivation/summary:\n"), summary)))

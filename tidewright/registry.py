@@ -374,7 +374,8 @@ FROM orders LEFT JOIN f ON l_orderkey = o_orderkey"""
 
 
 def _trajectories(spark, sf_dir) -> DataFrame:
-    return normalize(_raw_orders(spark, sf_dir))
+    # records are small and the work on each is not: one partition a core, whatever their bytes
+    return normalize(_raw_orders(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism))
 
 
 @query(_TRAJ_SQL)
