@@ -31,6 +31,7 @@ BLOCK_ROWS = 8192
 #: Numbers in a block at most: long vectors come in smaller blocks.
 BLOCK_CELLS = 1 << 23
 STRIP = 512
+MOST_PARTITIONS = 20_000
 #: Dimensions for which a float32 product of int8 components is exact: 127**2 * 1024 < 2**24.
 EXACT_DIMS = 1024
 
@@ -147,6 +148,9 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str =
     placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("dims", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", F.col("rep").alias("id"), "times", "vec")
+    # a tile is much work on few bytes: as many partitions as there are tiles, which adaptive execution does not join
+    tiles = sizes.agg(F.coalesce(F.sum(F.expr("blocks * (blocks + 1) / 2")), F.lit(1.0))).first()[0]
+    dealt = dealt.repartition(int(min(max(2 * tiles, 1), MOST_PARTITIONS)), "i", "j", "dims")
     found = dealt.groupBy("i", "j", "dims").applyInArrow(_tile(threshold), "id long, links long, root long")
     found = materialize(found, "vec-links")
     roots = connected_components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "vec")
