@@ -23,7 +23,8 @@ def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixture(_table(spark, sf_dir, "documents"))
+    rows = mixing.mixture(_table(spark, sf_dir, "documents"))
+    return rows.withColumns({c: F.round(c, 9) for c in ("weight", "position")})
 
 
 def op4_int8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,5 +73,47 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id AS id, coalesce('=' || source, 'null') AS key, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n FROM documents
+), s AS (
+  SELECT key, sum(n)::BIGINT AS tokens, ceil(sqrt(count(*)))::BIGINT AS n_blocks FROM d GROUP BY key
+), t AS (
+  SELECT sum(tokens)::DOUBLE AS total, (min(tokens) FILTER (tokens > 0))::DOUBLE AS least, max(tokens)::DOUBLE AS most FROM s
+), bisected(lo, hi, step) AS (
+  SELECT 0::BIGINT, 1073741824::BIGINT, 0 UNION ALL
+  SELECT CASE WHEN met THEN lo ELSE mid END, CASE WHEN met THEN mid ELSE hi END, step + 1 FROM (
+    SELECT lo, hi, step, (lo + hi) // 2 AS mid, (pow(least / total, (lo + hi) // 2 / 1073741824.0::DOUBLE) / (least / total)) / (pow(most / total, (lo + hi) // 2 / 1073741824.0::DOUBLE) / (most / total)) <= 2.0 AS met FROM bisected, t
+  ) WHERE step < 30
+), a AS (
+  SELECT CASE WHEN (1 / (least / total)) / (1 / (most / total)) <= 2.0 THEN 0.0 ELSE (SELECT max(hi) FROM bisected WHERE step = 30) / 1073741824.0::DOUBLE END AS a FROM t
+), x AS (
+  SELECT s.*, CASE WHEN tokens > 0 THEN pow(tokens / total, a) ELSE 0.0 END AS x FROM s, t, a
+), z AS (SELECT sum(x) AS z, max(CASE WHEN tokens > 0 THEN tokens / x END) AS whole FROM x),
+b AS (SELECT key, tokens, n_blocks, x / z AS weight, CASE WHEN tokens > 0 THEN round(x / z * (whole * z))::BIGINT ELSE 0 END AS budget FROM x, z),
+w AS (SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END AS epochs, CASE WHEN tokens > 0 THEN budget - budget // tokens * tokens ELSE 0 END AS rest FROM b),
+placed AS (SELECT d.*, ('0x' || substr(md5('mix:' || id), 1, 15))::BIGINT % n_blocks AS block FROM d JOIN w USING (key)),
+blocks AS (SELECT key, block, sum(n)::BIGINT AS block_tokens FROM placed GROUP BY key, block),
+e AS (SELECT blocks.*, tokens, budget, epochs, rest, weight, unnest(range(0, CASE WHEN rest > 0 THEN epochs + 1 ELSE greatest(epochs, 1) END)) AS epoch FROM blocks JOIN w USING (key)),
+o AS (SELECT *, coalesce(sum(block_tokens) OVER (PARTITION BY key, epoch ORDER BY ('0x' || substr(md5('mix:order:' || epoch || ':' || key || ':' || block), 1, 15))::BIGINT, block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM e),
+c AS (
+  SELECT p.id, p.key, p.n, epoch, block_tokens, before, tokens, budget, epochs, rest, weight, ('0x' || substr(md5('mix:doc:' || epoch || ':' || p.id), 1, 15))::BIGINT AS place, p.block
+  FROM o JOIN placed p USING (key, block) WHERE epoch < epochs OR before < rest
+), u AS (SELECT *, sum(n) OVER (PARTITION BY key, block, epoch ORDER BY place, id) AS upto FROM c)
+SELECT id AS doc_id, CASE WHEN key = 'null' THEN NULL ELSE substr(key, 2) END AS source, n AS n_tokens, epoch, round(weight, 9) AS weight,
+  CASE WHEN budget > 0 THEN round((epoch * tokens + before + place / 1152921504606846976.0::DOUBLE * block_tokens) / budget, 9) ELSE 0.0 END AS position
+FROM u WHERE epoch < epochs OR before + block_tokens <= rest OR upto <= rest - before
+"""
+
+OP4_SQL = r"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(e, lambda x: abs(x))) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+named AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = named.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM named
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup_trie": OP1_SQL}
+    return {"op1_exact_dedup_trie": OP1_SQL, "op3_temperature_mix": OP3_SQL, "op4_int8_near_dup": OP4_SQL}
