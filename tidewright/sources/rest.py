@@ -225,3 +225,30 @@ class RestSource(DataSource):
 
     def reader(self, schema) -> RestReader:
         return RestReader(dict(self.options))
+
+
+def list_merged(client: Client, repo: str, limit: int = 50) -> list[dict]:
+    """Up to limit merged pull requests, newest update first; asks for no page beyond the one that fills the limit."""
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
+    found: list[dict] = []
+    for page in client.pages(f"/repos/{repo}/pulls?state=closed&sort=updated&direction=desc"):
+        for pull in page:
+            if isinstance(pull, dict) and pull.get("merged_at") and pull.get("number") is not None:
+                kept = {k: pull.get(k) for k in ("number", "merged_at", "html_url", "additions", "deletions", "changed_files")}
+                found.append({"title": pull.get("title") or "", "user": (pull.get("user") or {}).get("login"), **kept})
+                if len(found) == limit:
+                    return found
+    return found
+
+
+def fetch_issues(client: Client, wanted: list[tuple[str, int]]) -> tuple[list[tuple], list[str]]:
+    """Rows (repo, number, title, body, state, html_url, pull_request) of issues, and warnings of those that can't be had."""
+    rows, warnings = [], []
+    for repo, number in wanted:
+        try:
+            i = client.get(f"/repos/{repo}/issues/{number}")
+            rows.append((repo, i.get("number"), i.get("title"), i.get("body"), i.get("state"), i.get("html_url"), json.dumps(i["pull_request"]) if i.get("pull_request") else None))
+        except HostError as e:
+            warnings.append(f"linked_issue_{number}_failed: {e}")
+    return rows, warnings
