@@ -191,6 +191,18 @@ def test_lines_are_checked(spark, tmp_path):
     assert [(a, b) for a, b, _ in got] == [(3, None), (4, "(root)"), (4, "outcome"), (5, "policy"), (5, "source_urls")]
 
 
+def test_lines_are_numbered_across_parts(spark, tmp_path):
+    for name in ("a.jsonl", "b.jsonl"):
+        (tmp_path / name).write_text("".join(f"{name} {i}\n" if i % 7 else "\n" for i in range(1, 400)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        got = files.json_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r.file, r.line, r.text) for r in got) == sorted((n, i, f"{n} {i}") for n in ("a.jsonl", "b.jsonl") for i in range(1, 400) if i % 7)
+
+
 def test_status_page(spark):
     rows = [{"pr_number": n, "domain": d, "training_use": "repair", "task_type": None, "quality_score": q, "review_signal_count": 8, "unique_review_signal_count": u, "validation_count": 3} for n, d, q, u in ((2, "x", 0.9, 1), (10, None, None, 8))]
     found = spark.read.schema(schemas.MANIFEST).json(spark.sparkContext.parallelize([json.dumps({"name": "b", "created_at": "2026-02-01", "record_count": 2, "records": rows}), json.dumps({"name": "a", "created_at": "2026-02-01", "record_count": 0, "records": []})], 1))

@@ -25,8 +25,17 @@ def record_row(t: Column | None = None) -> list[Column]:
     ]
 
 
+def datasets(trajectories: DataFrame, by: str) -> DataFrame:
+    """(name, record_count) of each dataset, of any size."""
+    return trajectories.groupBy(F.col(by).alias("name")).agg(F.count("*").alias("record_count"))
+
+
 def manifests(trajectories: DataFrame, by: str) -> DataFrame:
-    """Per dataset (column `by`): how many records, and their rows in the order of identifiers."""
+    """Per dataset (column `by`): how many records, and their rows in the order of identifiers.
+
+    A manifest is one document that holds all rows of a dataset: for datasets that fit one. `datasets` and
+    `record_lines` give counts and lines of larger ones.
+    """
     rows = trajectories.select(by, F.struct(*record_row()).alias("row"))
     return rows.groupBy(by).agg(F.count("*").cast("int").alias("record_count"), F.array_sort(F.collect_list("row")).alias("records"))
 
@@ -46,16 +55,20 @@ def signals_shown(total: Column, unique: Column) -> Column:
     return F.when(total.isNull() & unique.isNull(), DASH).when(total.isNull(), text(unique)).when(unique.isNull() | (unique == total), text(total)).otherwise(F.concat(text(unique), F.lit(" of "), text(total)))
 
 
-def quality_lines(found: DataFrame) -> DataFrame:
-    """(created_at, name, pr_number, line): the rows of the quality tables; sort by name and falling number."""
-    r = found.select("created_at", "name", F.explode("records").alias("r"))
+def record_lines(rows: DataFrame) -> DataFrame:
+    """(created_at, name, pr_number, line) of rows (created_at, name, r: a summary row)."""
     shown = lambda x: F.coalesce(filled(x), F.lit(DASH))
     cells = [
         F.concat(F.lit("#"), F.col("r.pr_number").cast("string")), shown(F.col("r.domain")), shown(F.col("r.training_use")), shown(F.col("r.task_type")),
         F.when(F.col("r.quality_score").isNull(), DASH).otherwise(F.format_string("%.2f", "r.quality_score")),
         signals_shown(F.col("r.review_signal_count"), F.col("r.unique_review_signal_count")), F.coalesce(F.col("r.validation_count").cast("string"), F.lit(DASH)),
     ]
-    return r.select("created_at", "name", F.col("r.pr_number").alias("pr_number"), F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+    return rows.select("created_at", "name", F.col("r.pr_number").alias("pr_number"), F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+
+
+def quality_lines(found: DataFrame) -> DataFrame:
+    """The rows of the quality tables of manifests; sort by name and falling number."""
+    return record_lines(found.select("created_at", "name", F.explode("records").alias("r")))
 
 
 def dataset_lines(found: DataFrame) -> DataFrame:

@@ -426,23 +426,23 @@ def manifest_rows(spark, sf_dir):
     return rows.select("id", "pr_number", "has_issue_context", "review_signal_count", "unique_review_signal_count", "patch_chars", "validation_count", "quality_score")
 
 
-def _manifests(spark, sf_dir) -> DataFrame:
-    made = manifest.manifests(_doc_trajectories(spark, sf_dir), "source").withColumnRenamed("source", "name")
-    day = F.concat(F.lit("2026-01-"), F.lpad(F.regexp_extract("name", "([0-9]+)", 1), 2, "0"))
-    return made.withColumns({"created_at": day, "source_repo": F.concat(F.lit("acme/"), "name"), "schema_version": F.lit("v0")})
+def _created(name: Column) -> Column:
+    return F.concat(F.lit("2026-01-"), F.lpad(F.regexp_extract(name, "([0-9]+)", 1), 2, "0"))
 
 
 @query("SELECT count(DISTINCT source) AS extracts, count(*) AS trajectories, '2026-01-' || lpad(max(regexp_extract(source, '([0-9]+)', 1)::INT)::VARCHAR, 2, '0') AS last_updated FROM documents")
 def manifest_rollup(spark, sf_dir):
     """A3, A4: datasets, records, latest date."""
-    return manifest.rollup(_manifests(spark, sf_dir))
+    found = manifest.datasets(_doc_trajectories(spark, sf_dir), "source")
+    return manifest.rollup(found.withColumn("created_at", _created(F.col("name"))))
 
 
 @query("""SELECT source AS name, doc_id::INT AS pr_number, '| #' || doc_id || ' | ' || CASE WHEN doc_id % 7 = 0 THEN '—' ELSE source END || ' | ' || CASE WHEN doc_id % 3 = 0 THEN 'review-to-patch' ELSE 'other' END || ' | ' ||
   CASE WHEN doc_id % 5 = 0 THEN 'magic' ELSE 'docs' END || ' | ' || printf('%d.%02d', n_chars % 101 // 100, n_chars % 101 % 100) || ' | ' || CASE WHEN doc_id % 4 > 1 THEN '1 of 2' ELSE '0' END || ' | 1 |' AS line FROM documents""")
 def status_lines(spark, sf_dir):
     """The lines of the quality tables."""
-    return manifest.quality_lines(_manifests(spark, sf_dir)).select("name", "pr_number", "line")
+    rows = _doc_trajectories(spark, sf_dir).select(_created(F.col("source")).alias("created_at"), F.col("source").alias("name"), F.struct(*manifest.record_row()).alias("r"))
+    return manifest.record_lines(rows).select("name", "pr_number", "line")
 
 
 @query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS n_users, max(event_id) AS last_id FROM events GROUP BY event_type")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -29,12 +29,15 @@ def with_sidecars(raw: DataFrame, folder: str) -> DataFrame:
 
 
 def json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, text) with line numbers from 1 within each file.
+    """(file, line, text) with line numbers from 1 within each file, blank lines counted and left out.
 
-    A file is read as one row, so that its lines can be counted where it is; files of lines are meant to be modest.
+    Files may be split: rows are numbered within their part, and the parts' row counts, one small row each, are summed up.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value"))
-    return whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("at", "text")).select("file", (F.col("at") + 1).alias("line"), "text").where("text <> ''")
+    read = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("text"))
+    parts = read.groupBy("path", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("path", "block", (F.col("first") - F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("base"))
+    return read.join(parts, ["path", "block"]).select("file", (F.col("at") - F.col("base") + 1).alias("line"), "text").where("text <> ''")
 
 
 def trajectories(spark: SparkSession, path: str) -> DataFrame:
