@@ -304,13 +304,24 @@ def _many_rows(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")
 
 
+def most_frequent(words: DataFrame, k: int) -> DataFrame:
+    """The k words of largest n, by n and word. A histogram of the counts tells from where on they lie, so that no task orders more than about k words."""
+    step = F.floor(F.log2("n") * 16)
+    left, least = k, 0
+    for r in sorted(words.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True):
+        least, left = r.step, left - r.n
+        if left <= 0:
+            break
+    return words.where(step >= least).orderBy(F.desc("n"), "word").limit(k)
+
+
 def cluster(chunks: DataFrame, n_docs: int, n_classes: int = CLASSES, n_contexts: int = CONTEXTS, rounds: int = ROUNDS, head: int = HEAD) -> Classes:
     """Classes of the words of the n_docs texts that are not held out."""
     spark = chunks.sparkSession
     training = chunks.select("chunk", "words", "tokens", "lens", "held")
     counts = materialize(training.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
     tokens, types, once = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count(F.when(F.col("n") == 1, 1))).first()
-    top = [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(max(n_contexts, n_classes)).collect()]
+    top = [bytes(r["word"]) for r in most_frequent(counts, max(n_contexts, n_classes)).collect()]
     contexts = {w: i for i, w in enumerate(top[:n_contexts])}
     n_ctx = n_contexts + 2
     _settle(spark)
@@ -334,7 +345,7 @@ def cluster(chunks: DataFrame, n_docs: int, n_classes: int = CLASSES, n_contexts
     for r in words.groupBy("class").agg(F.sum("n").alias("n")).collect():
         sizes[r["class"]] = r["n"]
     sizes[n_classes] = n_docs
-    frequent = words.orderBy(F.desc("n"), "word").limit(head).toArrow()
+    frequent = most_frequent(words, head).toArrow()
     named = dict(zip(frequent["word"].to_pylist(), zip(frequent["n"].to_pylist(), frequent["class"].to_pylist())))
     _many_rows(spark)
     _settle(spark)
