@@ -79,6 +79,20 @@ def small(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.count() <= most else table
 
 
+def hashed_sample(rows: DataFrame, key: str, most: int, *ties: str) -> DataFrame:
+    """At most `most` rows, those of the smallest hash of `key` (then by key and ties): the same ones on every run.
+
+    Rows whose hash is too large to be among them are dropped where they are read, so that one task orders a few
+    times `most` rows and not that many from each task.
+    """
+    n, span = rows.count(), 1 << 40
+    rank = F.pmod(F.xxhash64(key), F.lit(span))
+    near = rows.where(rank < int(span * 4 * most / n)) if n > 8 * most else rows
+    if near is not rows and near.count() < most:  # a key that many rows share can empty the range
+        near = rows
+    return near.orderBy(rank, key, *ties).limit(most)
+
+
 def text_or_empty(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 

@@ -12,9 +12,9 @@ by a salted lookup. In each class of lines (connected by links) the first occurr
 stays. Lines are trimmed of [\\x20\\x09-\\x0D] at both ends before they are compared; shorter lines always stay.
 
 Defined results: null text is empty; a document without lines of the length has nothing removed; equal lines are
-near-duplicates at distance 0; a null identifier sorts before all others; rows that repeat an identifier are one
-document stated again, they are decided alike; an empty table gives no rows; further columns are not read. Very
-long lines are compared as a whole.
+near-duplicates at distance 0; a null identifier sorts before all others; rows that repeat an identifier (and rows
+without one) are one document stated again: lines at the same place are decided alike, and the report has one row for
+them; an empty table gives no rows; further columns are not read. Very long lines are compared as a whole.
 """
 
 from __future__ import annotations
@@ -213,7 +213,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, n_lines, n_removed, removed_lines (line numbers from 0): a row for every document."""
+    """doc_id, n_lines, n_removed, removed_lines (line numbers from 0): a row for every identifier."""
     gone = repeated_lines(docs, id_col, text_col, max_edits, min_chars).select("doc_id", "line_no", F.lit(None).cast("int").alias("n_lines"))
     count = F.size(F.split(text_or_empty(text_col), "\n", -1)).alias("n_lines")
     every = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.lit(None).cast("int").alias("line_no"), count)

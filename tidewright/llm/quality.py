@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, tune
+from .common import hashed_sample, text_or_empty, tune
 
 BITS = 18
 OUTER = b"\"'()[]{}<>.,;:!?*&%$#@|-_=+/\\~^`"
@@ -131,7 +131,7 @@ def labelled(docs: DataFrame, grades: DataFrame, id_col: str, text_col: str, max
     spark = docs.sparkSession
     tune(spark)
     some = grades.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("grade").cast("int").alias("_grade")).dropna()
-    some = some.orderBy(F.xxhash64("_id"), "_id", "_grade").limit(max_rows)
+    some = hashed_sample(some, "_id", max_rows, "_grade")
     found = docs.select(F.col(id_col).cast("bigint").alias("_id"), text_or_empty(text_col).alias("_text")).join(F.broadcast(some), "_id")
     got = found.select("_id", "_grade", F.pandas_udf(_features, "binary")("_text").alias("_feats")).toArrow()
     order = np.lexsort((got["_grade"].to_numpy(), got["_id"].to_numpy()))

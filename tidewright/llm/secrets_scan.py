@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, tune
+from .common import hashed_sample, materialize, text_or_empty, tune
 
 #: The base kinds in order, with their patterns and least lengths (of group 2, of the match, of the match).
 KINDS = ("assign", "access", "hex", "markov")
@@ -152,9 +152,9 @@ def _words(batches):
 def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS) -> MarkovPair:
     """A model whose ordinary side are words of the max_docs documents of smallest hashed identifier."""
     tune(docs.sparkSession)
-    ids = docs.select(F.col(id_col).cast("bigint").alias("_id")).dropna().orderBy(F.xxhash64("_id"), "_id").limit(max_docs).distinct()
+    ids = hashed_sample(docs.select(F.col(id_col).cast("bigint").alias("_id")).dropna(), "_id", max_docs).distinct()
     some = docs.select(F.col(id_col).cast("bigint").alias("_id"), text_or_empty(text_col).alias("_text")).join(F.broadcast(ids), "_id").select("_text")
-    words = some.mapInArrow(_words, "word string").distinct().orderBy(F.xxhash64("word"), "word").limit(max_words)
+    words = hashed_sample(materialize(some.mapInArrow(_words, "word string").distinct(), "secret-words"), "word", max_words)
     return train(sorted(r.word for r in words.collect()))
 
 
