@@ -147,6 +147,12 @@ def test_precedence_of_labels(spark):
     assert (got[91].training_use, got[91].domain) == ("other", "tools")
 
 
+def test_nothing_is_stated_twice(spark):
+    card = json.dumps({"source_repo": "Acme/widget", "domain_by_pr": {"89": "a", "x": "b"}, "linked_issues_by_pr": {"7": [1]}})
+    table = labels.override_table(spark, [("acme/widget", 89, "domain", "t"), ("acme/widget", 89, "task_type", "t"), ("other/x", 7, "linked_issues", "[1]")])
+    assert [tuple(r) for r in labels.stated_twice(labels.card_overrides(spark, card), table).collect()] == [("acme/widget", 89, "domain")]
+
+
 def test_shortlist_is_case_sensitive(spark):
     rows = raw(spark, record(), record(source={"repo": "acme/widget", "pr_number": 89}))
     fixed = spark.createDataFrame([("Acme/widget", 89, 0.92)], labels.QUALITY)

@@ -72,6 +72,20 @@ def with_overrides(raw: DataFrame, overrides: DataFrame | None) -> DataFrame:
     return joined.withColumn("table", F.coalesce("table", none)).drop("repo_key", "pr")
 
 
+def card_overrides(spark: SparkSession, card: str) -> DataFrame:
+    """What a card says by pull request, as rows like those of a table of overrides; values as JSON text."""
+    rows = spark.range(1).select(card_column(card).alias("c"))
+    parts = [rows.select("c.source_repo", F.lit(field).alias("field"), F.explode(f"c.{field}_by_pr").alias("pr", "value")) for field in ("domain", "task_type", "language", "linked_issues")]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return every.select(repo_key(F.col("source_repo")).alias("repo_key"), strip(F.col("pr")).try_cast("int").alias("pr"), "field", "value").where("pr is not null")
+
+
+def stated_twice(cards: DataFrame, overrides: DataFrame) -> DataFrame:
+    """(repo_key, pr, field) that both cards and tables state: there should be none."""
+    keys = ["repo_key", "pr", "field"]
+    return cards.select(*keys).intersect(overrides.select(*keys))
+
+
 def card_column(card: str | None) -> Column:
     """A dataset card's JSON text as a struct; without one, a card that says nothing."""
     return F.from_json(F.lit(card or "{}"), CARD)

@@ -295,6 +295,14 @@ def override_precedence(spark, sf_dir):
     return joined.select("doc_id", labels.domain(F.col("table"), F.col("card"), number, names).alias("domain"), labels.training_use(F.col("table"), F.col("card"), number).alias("training_use"))
 
 
+@query("SELECT 'acme/tool' AS repo_key, doc_id::INT AS pr, 'domain' AS field FROM labels WHERE toxic = 1 INTERSECT SELECT 'acme/tool', doc_id::INT, 'domain' FROM labels WHERE quality = 1")
+def stated_twice(spark, sf_dir):
+    """What two sources of labels both state."""
+    known = table(spark, sf_dir, "labels")
+    part = lambda when: known.where(when).select(labels.repo_key(F.lit(" Acme/Tool")).alias("repo_key"), F.col("doc_id").cast("int").alias("pr"), F.lit("domain").alias("field"))
+    return labels.stated_twice(part("toxic = 1"), part("quality = 1"))
+
+
 @query("""SELECT o_orderkey, ((50 + CASE WHEN o_orderstatus = 'F' THEN 10 ELSE 0 END + CASE WHEN o_custkey % 2 = 0 THEN 10 ELSE 0 END + CASE WHEN o_custkey % 3 > 0 THEN 10 ELSE 0 END + CASE WHEN o_custkey % 5 = 0 THEN 10 ELSE 0 END
   + CASE WHEN o_orderkey % 6 >= 3 THEN 5 ELSE 0 END - CASE WHEN o_orderkey % 4 = 0 THEN 5 ELSE 0 END)::DOUBLE / 100) AS score FROM orders""")
 def quality_score(spark, sf_dir):
@@ -363,12 +371,13 @@ def _raw_orders(spark, sf_dir) -> DataFrame:
     return rows.select(*[(fields[f.name] if f.name in fields else F.lit(None).cast(f.dataType)).alias(f.name) for f in RAW.fields])
 
 
-_TRAJ_SQL = f"""WITH f AS (SELECT l_orderkey, bool_or(l_linenumber <> 2) AS rs, string_agg('--- a/' || p || chr(10) || '+++ b/' || p || chr(10) || '@@ ' || l_suppkey, chr(10) ORDER BY l_linenumber, p, l_quantity::BIGINT, '@@ ' || l_suppkey) AS patch
+_TRAJ_SQL = f"""WITH f AS (SELECT l_orderkey, bool_or(l_linenumber <> 2) AS rs, string_agg(p, ', ' ORDER BY l_linenumber, p, l_quantity::BIGINT, '@@ ' || l_suppkey) AS names, count(*) AS n_files, string_agg('--- a/' || p || chr(10) || '+++ b/' || p || chr(10) || '@@ ' || l_suppkey, chr(10) ORDER BY l_linenumber, p, l_quantity::BIGINT, '@@ ' || l_suppkey) AS patch
   FROM (SELECT *, 'src/' || l_partkey || CASE WHEN l_linenumber = 2 THEN '.py' ELSE '.rs' END AS p FROM lineitem) GROUP BY l_orderkey)
 SELECT 'Acme-Tool-' || o_orderkey AS id, CASE WHEN rs THEN 'Rust' WHEN rs IS NULL THEN 'unknown' ELSE 'Python' END AS language, {_LIST(TASKS)}[1 + o_orderkey % 12] AS task_type,
   CASE o_orderstatus WHEN 'F' THEN 'merged' WHEN 'O' THEN 'open' ELSE 'closed' END AS outcome, CASE WHEN o_orderkey = o_custkey THEN 1 ELSE 2 END AS n_urls,
   CASE WHEN o_orderkey % 2 = 0 THEN 'pass' ELSE 'fail' END AS tested, CASE WHEN o_orderkey % 3 = 0 THEN 'LGTM (review state: APPROVED)' END AS comment,
   'Order of ' || o_custkey || chr(10) || chr(10) || 'Closes #' || o_custkey AS context, md5(coalesce(patch, '# Patch unavailable from API; changed files: (none)' || chr(10))) AS patch_md5,
+  'PR title: ' || {_LIST(TITLES)}[1 + o_orderkey % 12] || o_orderpriority || chr(10) || coalesce('Changed files (' || n_files || '): ' || names, 'Changed files: (none listed)') || chr(10) || 'Motivation/summary:' || chr(10) || 'Order of ' || o_custkey || chr(10) || chr(10) || 'Closes #' || o_custkey AS before,
   (60 + CASE WHEN o_orderstatus = 'F' THEN 10 ELSE 0 END + CASE WHEN o_orderkey % 3 = 0 THEN 10 ELSE 0 END + CASE WHEN o_orderkey % 2 = 0 THEN 10 ELSE 0 END)::DOUBLE / 100 AS quality
 FROM orders LEFT JOIN f ON l_orderkey = o_orderkey"""
 
@@ -382,7 +391,7 @@ def _trajectories(spark, sf_dir) -> DataFrame:
 def trajectories(spark, sf_dir):
     """P7 and all it is made of: raw records to trajectories."""
     t = _trajectories(spark, sf_dir)
-    return t.select("id", "language", "task_type", "outcome", F.size("source_urls").alias("n_urls"), F.get("validation", F.lit(0))["result"].alias("tested"), F.get("review_signals", F.lit(0))["comment"].alias("comment"), F.col("issue_context").alias("context"), F.md5("patch").alias("patch_md5"), F.col("quality_score").alias("quality"))
+    return t.select("id", "language", "task_type", "outcome", F.size("source_urls").alias("n_urls"), F.get("validation", F.lit(0))["result"].alias("tested"), F.get("review_signals", F.lit(0))["comment"].alias("comment"), F.col("issue_context").alias("context"), F.md5("patch").alias("patch_md5"), F.col("before_context").alias("before"), F.col("quality_score").alias("quality"))
 
 
 def _doc_trajectories(spark, sf_dir) -> DataFrame:
