@@ -84,6 +84,7 @@ def list_(args) -> int:
 
 def collected(spark: SparkSession, args, client: rest.Client, repo: str, number: int) -> DataFrame:
     """The raw record of one pull request, with the issues that it closes."""
+    session.ship(spark)
     spark.dataSource.register(rest.RestSource)
     skip = ",".join(k for k in ("diff", "checks") if getattr(args, f"skip_{k}"))
     read = spark.read.format("code_host").option("repo", repo).option("numbers", str(number)).option("skip", skip).option("tokenenv", args.token_env)

@@ -151,7 +151,7 @@ def yield_funnel(spark, sf_dir):
 
 
 @query("""SELECT 0 AS source_order, conv_id, turn, length(text)::INT AS chars FROM conversations WHERE role = 'user' UNION ALL
-  SELECT 1, conv_id, turn, length(text) FROM conversations WHERE role = 'assistant' UNION ALL SELECT 2, conv_id, turn, length(text) FROM conversations WHERE role = 'system'""")
+  SELECT 1, conv_id, turn, length(text)::INT FROM conversations WHERE role = 'assistant' UNION ALL SELECT 2, conv_id, turn, length(text)::INT FROM conversations WHERE role = 'system'""")
 def thread_union(spark, sf_dir):
     """The sources of a thread one after the other, duplicates kept."""
     rows = table(spark, sf_dir, "conversations")

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,3 +32,22 @@ def build(app: str = "tidewright", master: str | None = None, **settings: str) -
 def data_root() -> str | None:
     """The folder for raw records from TIDEWRIGHT_DATA_ROOT; blank counts as unset."""
     return (os.environ.get("TIDEWRIGHT_DATA_ROOT") or "").strip() or None
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, once a context, whatever their search path holds.
+
+    The driver serves the archive; executors fetch it as any file that was added to the context.
+    """
+    context, root = spark.sparkContext, Path(__file__).parent
+    if context.applicationId in _shipped or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tidewright-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
