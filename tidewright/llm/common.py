@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: The six characters of [\x20\x09-\x0D].
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,7 +21,8 @@ _written: dict[str, SparkSession] = {}
 
 
 def tune(spark: SparkSession) -> None:
-    """Bound the Arrow batches that carry whole texts to Python workers, by rows and (where known) by bytes."""
+    """Before any Python on executors: give them the package, and bound the batches of whole texts by rows and bytes."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 

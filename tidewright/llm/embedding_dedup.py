@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, release, salt_mask, salt_of, spread
+from .common import connected_components, materialize, release, salt_mask, salt_of, spread, tune
 
 THRESHOLD = 0.9
 BLOCK_ROWS = 8192
@@ -137,6 +137,7 @@ def usable(vec: Column) -> Column:
 
 def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """vec_id, n_links, component_id, kept: a row for every row of vectors."""
+    tune(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("vec")).withColumn("ok", usable(F.col("vec")) & F.col("id").isNotNull())
     distinct = rows.where("ok").groupBy("vec").agg(F.min("id").alias("rep"), F.count("*").alias("times"), F.bit_or(salt_mask(salt_of(F.col("id")))).alias("salts"))
     distinct = materialize(distinct, "vec-distinct")
