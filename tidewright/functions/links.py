@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import or_empty
+from .text import let, or_empty
 
 # Closing words and what may stand between them and a reference.
 CLOSE = r"\b(?:close[sd]?|closing|fix(?:e[sd])?|fixing|resolve[sd]?|resolving)(?:\*+)?(?::\*+|:)?\**\s+"
@@ -26,18 +26,18 @@ def close_refs(text: Column, repo: Column) -> Column:
 
     Of a list the first number comes first, then the last one behind a comma, the one behind "and", and the others.
     """
-    body = or_empty(text)
     parts = lambda m: F.concat(F.array(*[F.regexp_extract(m, LIST, i) for i in (1, 2, 3)]), F.regexp_extract_all(m, F.lit(r"#(\d+)"), 1))
-    listed = F.flatten(F.transform(F.regexp_extract_all(body, F.lit(LIST), 0), parts))
-    single = F.regexp_extract_all(body, F.lit(ONE), 1)
-    own = F.transform(F.concat(listed, single), lambda n: ref(repo, n))
 
-    def elsewhere(pattern: str) -> Column:
-        parts = F.regexp_extract_all(body, F.lit(pattern), 0)
-        return F.transform(parts, lambda m: ref(F.concat(F.regexp_extract(m, pattern, 1), F.lit("/"), F.regexp_extract(m, pattern, 2)), F.regexp_extract(m, pattern, 3)))
+    def elsewhere(body: Column, pattern: str) -> Column:
+        found = F.regexp_extract_all(body, F.lit(pattern), 0)
+        return F.transform(found, lambda m: ref(F.concat(F.regexp_extract(m, pattern, 1), F.lit("/"), F.regexp_extract(m, pattern, 2)), F.regexp_extract(m, pattern, 3)))
 
-    found = F.array_distinct(F.concat(own, elsewhere(FULL), elsewhere(CROSS)))
-    return F.filter(found, lambda r: r["number"].isNotNull())
+    def of(body: Column) -> Column:
+        listed = F.flatten(F.transform(F.regexp_extract_all(body, F.lit(LIST), 0), parts))
+        own = F.transform(F.concat(listed, F.regexp_extract_all(body, F.lit(ONE), 1)), lambda n: ref(repo, n))
+        return F.filter(F.array_distinct(F.concat(own, elsewhere(body, FULL), elsewhere(body, CROSS))), lambda r: r["number"].isNotNull())
+
+    return let(or_empty(text), of)
 
 
 def issue_url(repo: Column, number: Column) -> Column:

@@ -24,10 +24,11 @@ def unquoted(token: Column) -> Column:
         named = F.coalesce(*[F.when(part == "\\" + k, F.lit(v)) for k, v in ESCAPES.items()], plain)
         return F.when(part.rlike(r"\A\\[0-7]{3}\z"), octal).when(part.startswith("\\"), named).otherwise(plain)
 
-    s = strip(or_empty(token))
-    parts = F.regexp_extract_all(F.substring(s, F.lit(2), F.length(s) - 2), F.lit(r"(?s)\\[0-7]{3}|\\.|[^\\]"), 0)
-    decoded = F.make_valid_utf8(F.unhex(F.array_join(F.transform(parts, hexed), "")).cast("string"))
-    path = F.when((F.length(s) >= 2) & s.startswith('"') & s.endswith('"'), decoded).otherwise(s)
+    def decoded(s: Column) -> Column:
+        parts = F.regexp_extract_all(F.substring(s, F.lit(2), F.length(s) - 2), F.lit(r"(?s)\\[0-7]{3}|\\.|[^\\]"), 0)
+        return F.make_valid_utf8(F.unhex(F.array_join(F.transform(parts, hexed), "")).cast("string"))
+
+    path = let(strip(or_empty(token)), lambda s: F.when((F.length(s) >= 2) & s.startswith('"') & s.endswith('"'), decoded(s)).otherwise(s))
     return F.regexp_replace(path, r"\A[ab]/", "")
 
 
@@ -46,22 +47,29 @@ def is_noise(path: Column) -> Column:
 
 def header_paths(header: Column) -> Column:
     """The paths of a `diff --git` line: two quoted ones, or a/.. up to the first ` b/`, or else its tokens."""
-    rest = F.regexp_extract(strip(header), r"(?s)\Adiff --git (.*)\z", 1)
     both = rf"(?U)\A{QUOTED}\s+{QUOTED}\z"
-    quoted = F.array(*[unquoted(F.concat(F.lit('"'), F.regexp_extract(rest, both, i), F.lit('"'))) for i in (1, 2)])
-    at = F.instr(rest, " b/")
-    plain = F.array(unquoted(F.substring(rest, F.lit(1), at - 1)), unquoted(F.substring(rest, at + 1, F.length(rest))))
-    tokens = F.transform(F.regexp_extract_all(rest, F.lit(rf"(?U){QUOTED}|\S+"), 0), unquoted)
-    return F.when(rest == "", F.array().cast("array<string>")).when(rest.rlike(both), quoted).when(rest.startswith("a/") & (at > 0), plain).otherwise(tokens)
+
+    def of(rest: Column) -> Column:
+        quoted = F.array(*[unquoted(F.concat(F.lit('"'), F.regexp_extract(rest, both, i), F.lit('"'))) for i in (1, 2)])
+        at = F.instr(rest, " b/")
+        plain = F.array(unquoted(F.substring(rest, F.lit(1), at - 1)), unquoted(F.substring(rest, at + 1, F.length(rest))))
+        tokens = F.transform(F.regexp_extract_all(rest, F.lit(rf"(?U){QUOTED}|\S+"), 0), unquoted)
+        return F.when(rest == "", F.array().cast("array<string>")).when(rest.rlike(both), quoted).when(rest.startswith("a/") & (at > 0), plain).otherwise(tokens)
+
+    return let(F.regexp_extract(strip(header), r"(?s)\Adiff --git (.*)\z", 1), of)
 
 
 def without_noise(diff: Column) -> Column:
     """A unified diff without the sections of files that are noise on either side; other lines as they were."""
     named = "|".join(p.replace(".", r"\.") for p in (*NOISE_FILES, *NOISE_FOLDERS))
-    parts = F.split(diff, rf"(?:\A|(?<=[{BREAKS}]))(?=diff --git )", -1)
     header = lambda part: F.regexp_extract(part, rf"\A([^{BREAKS}]*)", 1)
-    kept = F.filter(parts, lambda part: ~(part.startswith("diff --git ") & F.exists(header_paths(header(part)), is_noise)))
-    return F.when(diff.rlike(rf"(?i)(?:{named})"), F.array_join(kept, "")).otherwise(diff)
+
+    def of(v: Column) -> Column:
+        parts = F.split(v, rf"(?:\A|(?<=[{BREAKS}]))(?=diff --git )", -1)
+        kept = F.filter(parts, lambda part: ~(part.startswith("diff --git ") & F.exists(header_paths(header(part)), is_noise)))
+        return F.when(v.rlike(rf"(?i)(?:{named})"), F.array_join(kept, "")).otherwise(v)
+
+    return let(diff, of)
 
 
 def suffix(path: Column) -> Column:

@@ -52,28 +52,37 @@ def collapse(x: Column) -> Column:
 
 def lines(x: Column) -> Column:
     """The lines of x at every kind of line break, without an empty last one."""
-    parts = F.split(x, LINE_BREAK, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    return let(F.split(x, LINE_BREAK, -1), lambda parts: F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts))
 
 
 def replaced(x: Column, pattern: str, make: Callable[[Column], Column]) -> Column:
     """x with make(match) in the place of every match; nothing but the test where there is none."""
-    gaps, found = F.split(x, pattern, -1), F.regexp_extract_all(x, F.lit(pattern), 0)
-    woven = let(F.transform(found, make), lambda new: F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(new, i), F.lit("")))), ""))
-    return F.when(x.rlike(pattern), woven).otherwise(x)
+
+    def of(v: Column) -> Column:
+        gaps, found = F.split(v, pattern, -1), F.regexp_extract_all(v, F.lit(pattern), 0)
+        woven = let(F.transform(found, make), lambda new: F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(new, i), F.lit("")))), ""))
+        return F.when(v.rlike(pattern), woven).otherwise(v)
+
+    return let(x, of)
 
 
 def before_first(x: Column, markers: Sequence[str]) -> Column:
     """x up to the first occurrence of any marker, case as written."""
-    places = [F.when(F.instr(x, m) > 0, F.instr(x, m)) for m in markers]
-    return let(F.least(*places) if len(places) > 1 else places[0], lambda at: F.when(at.isNull(), x).otherwise(F.substring(x, F.lit(1), at - 1)))
+
+    def of(v: Column) -> Column:
+        places = F.array_compact(F.array(*[F.nullif(F.instr(v, m), F.lit(0)) for m in markers]))
+        return let(F.array_min(places), lambda at: F.when(at.isNull(), v).otherwise(F.substring(v, F.lit(1), at - 1)))
+
+    return let(x, of)
 
 
 def utf8_prefix(x: Column, n: Column) -> Column:
     """The longest prefix of at most n bytes that does not end within a character."""
-    raw = F.encode(x, "UTF-8")
-    tries = [F.try_validate_utf8(F.substring(raw, F.lit(1), F.greatest(n - k, F.lit(0))).cast("string")) for k in range(4)]
-    return F.when(F.octet_length(x) <= n, x).otherwise(F.coalesce(*tries))
+
+    def of(raw: Column) -> Column:
+        return F.coalesce(*[F.try_validate_utf8(F.substring(raw, F.lit(1), F.greatest(n - k, F.lit(0))).cast("string")) for k in range(4)])
+
+    return F.when(F.octet_length(x) <= n, x).otherwise(let(F.encode(x, "UTF-8"), of))
 
 
 def heading_level(line: Column) -> Column:
@@ -111,7 +120,7 @@ def section(x: Column, keywords: Sequence[str]) -> Column:
 
         return let(marked, from_start)
 
-    return F.when(x.rlike("#"), let(lines(x), within))
+    return let(x, lambda v: F.when(F.contains(v, F.lit("#")), let(lines(v), within)))
 
 
 def indent(line: Column) -> Column:

@@ -20,9 +20,9 @@ SHA_TOKEN = r"(?iU)\b(?=[0-9a-f]*[a-f])[0-9a-f]{7,40}\b"
 def body_key(body: Column) -> Column:
     """What two signals must share to be one: text without suggestion fences and white space; of acknowledgements what follows the commit, commits masked. Empty without any letter or digit."""
     text = collapse(strip(F.regexp_replace(or_empty(body), FENCE, " ")))
-    bare = F.regexp_replace(F.regexp_replace(text, ACK + r"(?:\*\*)?\s*:?\s*", ""), SHA_TOKEN, "<sha>")
-    key = F.lower(strip(F.when(is_ack(body), bare).otherwise(text)))
-    return F.when(key.rlike("[a-z0-9]"), key).otherwise("")
+    bare = lambda x: F.regexp_replace(F.regexp_replace(x, ACK + r"(?:\*\*)?\s*:?\s*", ""), SHA_TOKEN, "<sha>")
+    key = F.lower(strip(let(text, lambda x: F.when(is_ack(body), bare(x)).otherwise(x))))
+    return let(key, lambda x: F.when(x.rlike("[a-z0-9]"), x).otherwise(""))
 
 
 def review_body(body: Column, state: Column) -> Column:
