@@ -109,3 +109,19 @@ def test_long_texts_and_empty_tables(spark, n):
     got = rewritten(spark, ["word " * n + "4111111111111111"])
     assert got[0].pii_finds == {"card": 1} and got[0].text.startswith("word " * n)
     assert P.pseudonymize(spark.createDataFrame([], "doc_id long, text string")).isEmpty()
+
+
+def test_words_behind_an_iban_and_times_behind_a_date(spark):
+    values = ["BE68 5390 0754 7034", "BE68539007547034", "ES91 2100 0418 4502 0005 1332", "DE89 3704 0044 0532 0130 00"]
+    behind = [" EUR", " BIC KRED", " BANK", " 1234 A", "."]
+    texts = [f"to {v}{b}" for v in values for b in behind]
+    got = rewritten(spark, texts)
+    for i, (v, b) in enumerate((v, b) for v in values for b in behind):
+        new = got[i].text[3 : 3 + len(v)]
+        assert got[i].pii_finds == {"iban": 1} and got[i].text == f"to {new}{b}" and new != v and iban(new), texts[i]
+    times = ["T00:00:00Z", "t23:59", "T2359+01:00", "T07"]
+    got = rewritten(spark, [f"at 1987-03-12{t}, 1987-03-12Tx, 1987-02-30{t}" for t in times])
+    for i, t in enumerate(times):
+        new = got[i].text[3:13]
+        assert got[i].pii_finds == {"date": 1} and got[i].text == f"at {new}{t}, 1987-03-12Tx, 1987-02-30{t}"
+        assert datetime.date.fromisoformat(new) != datetime.date(1987, 3, 12)

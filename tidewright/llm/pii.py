@@ -34,11 +34,26 @@ ROUNDS = 10
 #: A production key comes from the caller's secret store; this one makes results repeatable.
 KEY = "tidewright"
 
+#: How long the IBANs of a country are. Those of other countries may have any length.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _of_length(n: int, countries: str) -> str:
+    rest = rf"[ ]?[A-Z0-9]{{{n % 4}}}" if n % 4 else ""
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[ ]?[A-Z0-9]{{4}}){{{n // 4 - 1}}}{rest}(?![A-Za-z0-9])"
+
+
+_OF_COUNTRY = "|".join(_of_length(n, countries) for n, countries in IBAN_LENGTHS.items())
+
 #: The kinds with their patterns, in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]*+@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "date": r"(?<![0-9A-Za-z./\-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|(?:19|20)[0-9]{2}/[0-9]{2}/[0-9]{2}|[0-9]{2}[./\-][0-9]{2}[./\-](?:19|20)[0-9]{2})(?![0-9A-Za-z]|[./\-][0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_OF_COUNTRY}|[A-Z]{{2}}[0-9]{{2}}(?:[ ]?[A-Z0-9]{{4}}){{2,7}}(?:[ ]?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])",
+    "date": r"(?<![0-9A-Za-z./\-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|(?:19|20)[0-9]{2}/[0-9]{2}/[0-9]{2}|[0-9]{2}[./\-][0-9]{2}[./\-](?:19|20)[0-9]{2})(?:(?=[Tt][0-9]{2}(?::?[0-9]{2}|(?![0-9A-Za-z])))|(?![0-9A-Za-z]|[./\-][0-9]))",
     "ipv4": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "phone": r"(?:(?<![0-9A-Za-z])\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\)[ .\-]?|(?<![0-9])[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .\-]?[0-9]{2,4}){2,5}(?![0-9])",
