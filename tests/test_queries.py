@@ -40,3 +40,12 @@ def test_entry(spark):
 
 def test_oracles_name_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_policy_reads_whole_texts(spark, tmp_path):
+    rows = [(1, "x " * 400 + "password = abcdefgh12345", "src1", "en"), (2, "see /home/someone/file and api_key: abcdefgh12345", "src1", "en"), (3, "plain", "src1", "en"), (13, None, "src1", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").selectExpr("*", "length(text) AS n_chars")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {("src1-1", "secret-like token present (assignment)"), ("src1-2", "absolute user-home path present"), ("src1-2", "secret-like token present (assignment)")}
+    got = {(r.id, r.message) for r in registry.QUERIES["policy_text_violations"](spark, str(tmp_path)).where("path = 'policy'").collect()}
+    assert got == want

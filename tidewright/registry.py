@@ -394,16 +394,16 @@ def trajectories(spark, sf_dir):
     return t.select("id", "language", "task_type", "outcome", F.size("source_urls").alias("n_urls"), F.get("validation", F.lit(0))["result"].alias("tested"), F.get("review_signals", F.lit(0))["comment"].alias("comment"), F.col("issue_context").alias("context"), F.md5("patch").alias("patch_md5"), F.col("before_context").alias("before"), F.col("quality_score").alias("quality"))
 
 
-def _doc_trajectories(spark, sf_dir) -> DataFrame:
-    """Documents as trajectories of the dataset of their source, some of them not as they must be."""
+def _doc_trajectories(spark, sf_dir, whole: bool = False) -> DataFrame:
+    """Documents as trajectories of the dataset of their source, some of them not as they must be; whole: with all of the text."""
     d, col = table(spark, sf_dir, "documents"), F.col
     event = F.array(F.struct(F.lit("test").alias("type"), F.when(col("doc_id") % 11 == 0, "maybe").otherwise("pass").alias("result"), F.lit("ok").alias("detail")))
-    signal = F.struct(F.lit("a").alias("author"), cap(col("text"), 5).alias("comment"), F.lit(None).cast("string").alias("suggestion"))
+    signal = F.struct(F.lit("a").alias("author"), (col("text") if whole else cap(col("text"), 5)).alias("comment"), F.lit(None).cast("string").alias("suggestion"))
     f = {
         "id": F.concat(col("source"), F.lit("-"), text(col("doc_id"))), "repo": F.concat(F.lit("acme/"), col("source")), "pr_number": col("doc_id").cast("int"),
         "source_urls": F.array(links.pull_url(F.concat(F.lit("acme/"), col("source")), col("doc_id") + F.when(col("doc_id") % 13 == 0, 1).otherwise(0))),
         "language": col("lang"), "domain": F.when(col("doc_id") % 7 == 0, "").otherwise(col("source")), "task_type": F.when(col("doc_id") % 5 == 0, "magic").otherwise("docs"),
-        "before_context": F.lit("b"), "patch": F.lit("p"), "validation": event, "outcome": F.lit("merged"), "training_use": F.when(col("doc_id") % 3 == 0, "review-to-patch").otherwise("other"),
+        "before_context": F.lit("b"), "patch": col("text") if whole else F.lit("p"), "validation": event, "outcome": F.lit("merged"), "training_use": F.when(col("doc_id") % 3 == 0, "review-to-patch").otherwise("other"),
         "issue_context": F.when(col("doc_id") % 2 == 0, "c"), "review_signals": F.when(col("doc_id") % 4 > 1, F.array(signal, signal)), "quality_score": (col("n_chars") % 101).cast("double") / 100,
     }
     return d.select("source", *[f[x.name].cast(x.dataType).alias(x.name) for x in TRAJECTORY.fields])
@@ -427,6 +427,18 @@ def policy_violations(spark, sf_dir):
     return found.select("id", "p.path", "p.message")
 
 
+_FAMILIES_SQL = "concat_ws(', ', " + ", ".join(f"CASE WHEN regexp_matches(text, '{p.replace(chr(39), chr(39) * 2)}') THEN '{f}' END" for f, (p, _) in redact.FAMILIES.items()) + ")"
+
+
+@query(f"""{ORACLES["policy_violations"]} UNION ALL
+  SELECT source || '-' || doc_id, 'policy', 'absolute user-home path present' FROM documents WHERE regexp_matches(text, '{redact.HOME.replace(chr(39), chr(39) * 2)}') UNION ALL
+  SELECT source || '-' || doc_id, 'policy', 'secret-like token present (' || {_FAMILIES_SQL} || ')' FROM documents WHERE {_FAMILIES_SQL} <> ''""")
+def policy_text_violations(spark, sf_dir):
+    """V2 over the whole text: the own address, no home path and no secret in any text."""
+    found = _doc_trajectories(spark, sf_dir, whole=True).select("id", F.explode(checks.policy_problems()).alias("p"))
+    return found.select("id", "p.path", "p.message")
+
+
 @query("""SELECT source || '-' || doc_id AS id, doc_id::INT AS pr_number, doc_id % 2 = 0 AS has_issue_context, (CASE WHEN doc_id % 4 > 1 THEN 2 ELSE 0 END)::INT AS review_signal_count,
   (CASE WHEN doc_id % 4 > 1 THEN 1 ELSE 0 END)::INT AS unique_review_signal_count, 1 AS patch_chars, 1 AS validation_count, (n_chars % 101)::DOUBLE / 100 AS quality_score FROM documents""")
 def manifest_rows(spark, sf_dir):
