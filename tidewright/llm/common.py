@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 
+#: Keys under which what belongs to a group comes back to its rows; the members under one key may be split further by
+#: adaptive execution, since a single row stands on the other side.
+SALTS = 32
+
 #: The six characters of [\x20\x09-\x0D].
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
-SALTS = 32
 
 _written: dict[str, SparkSession] = {}
 
@@ -100,6 +103,14 @@ def text_or_empty(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """name, or with underscores added until no column of df is called that."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def salt_of(id_col: Column) -> Column:
     """0..SALTS-1, from the row's identifier alone, so that a recomputed task deals alike."""
     return F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")
@@ -119,9 +130,11 @@ def connected_components(edges: DataFrame, tag: str = "cc") -> DataFrame:
     """(node, root) for every node of the undirected edges (a, b); root is the smallest node of its component.
 
     Every round each node hooks to the smallest node in its closed neighbourhood, and the graph is contracted to
-    the hooks; at least half of the nodes that still have edges disappear in two rounds. Neighbourhoods are only
-    ever reduced by min, with partial aggregation, so a hub costs one row a task. Rounds are written to the shared
-    folder. Self-loops and repeated edges are ignored; null ends are dropped.
+    the hooks; at least half of the nodes that still have edges disappear in two rounds. Neighbourhoods are reduced
+    by min with partial aggregation, so there a hub costs one row a task; in the joins with the hooks the edges of a
+    hub meet under one key, beside a single row, and adaptive execution splits them where they are many (an edge is
+    two narrow values). Callers give trees rather than all pairs, which keeps hubs to the members of a group. Rounds
+    are written to the shared folder. Self-loops and repeated edges are ignored; null ends are dropped.
     """
     a, b = F.col("a"), F.col("b")
     left = materialize(edges.where(a != b).select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).distinct(), f"{tag}-edges")

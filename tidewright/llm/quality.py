@@ -6,10 +6,16 @@ selection asks for one tail probability. Features are the distinct words of the
 outer punctuation off) and of their first five bytes, each present or not, and one-hot bins of shape ratios; every weight sits in a table of
 2**18 floats, so what is broadcast has a fixed size.
 
-Fitting uses at most `max_rows` labelled rows, those of the smallest hash of their identifier (a documented bound;
-scoring covers all documents). Defined results: null text is empty; labels that are null, or of documents not in
-the table, are not used; a document with several labels counts with each; without labelled rows, or with one
-grade only, every document is selected and has null scores; rows repeat as they come; an empty table gives no rows.
+Part of the model: only features whose rows' mean grade is four standard errors from the overall one get a weight
+(`screened`), all others weigh nothing; and after the weights are fitted, the thresholds are set so that the mean of
+every tail probability over the labelled rows is the share of rows of that grade or above.
+
+Fitting uses at most `max_rows` labelled rows, those of the smallest hash of their identifier, and of these no more
+than hold `max_features` features together (documented bounds; scoring covers all documents). Defined results: null
+text is empty; labels that are null, or of documents not in the table, are not used; a document with several labels
+counts with each, and so does each row of a repeated identifier; without labelled rows, or with one grade only, every
+document is selected and has null scores; rows repeat as they come, equal texts get equal scores; a tail probability
+that equals the one asked for selects; an empty table gives no rows; further columns of any name are not read.
 """
 
 from __future__ import annotations
@@ -23,11 +29,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_sample, text_or_empty, tune
+from .common import hashed_sample, materialize, release, text_or_empty, tune, unused
 
 BITS = 18
 OUTER = b"\"'()[]{}<>.,;:!?*&%$#@|-_=+/\\~^`"
 MAX_ROWS = 12_000
+#: Features (four bytes each) of all labelled rows together that the driver takes.
+MAX_FEATURES = 1 << 25
 #: Words longer than this also count by so many first bytes, which inflected forms share.
 STEM = 5
 #: Ratios are cut at these points; a feature says how many lie below.
@@ -82,8 +90,42 @@ def screened(rows: list[np.ndarray], grades: np.ndarray, bits: int = BITS, least
     return (n >= least_rows) & (z >= least_z)
 
 
+def gradients(s: np.ndarray, y: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of -log P(grade = y): by the score of each row, and by each threshold, summed over rows."""
+    edges = np.concatenate([np.full((len(s), 1), 60.0), np.clip(s[:, None] - t, -60, 60), np.full((len(s), 1), -60.0)], axis=1)
+    tail = 1 / (1 + np.exp(-edges))
+    rows = np.arange(len(s))
+    up, down = tail[rows, y], tail[rows, y + 1]  # P(>= y), P(>= y + 1)
+    p = np.maximum(up - down, 1e-9)
+    du, dd = up * (1 - up) / p, down * (1 - down) / p
+    dt = np.zeros(len(t) + 2)
+    np.add.at(dt, y, du)
+    np.add.at(dt, y + 1, -dd)
+    return dd - du, dt[1:-1]
+
+
+#: The least distance of neighbouring thresholds while weights are fitted.
+GAP = 1e-3
+
+
+def in_order(t: np.ndarray, gap: float = GAP) -> np.ndarray:
+    """The thresholds, raised where they must be to lie `gap` apart; those that do are left as they are."""
+    steps = np.arange(len(t)) * gap
+    return np.maximum.accumulate(t - steps) + steps
+
+
+def levelled(scores: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """The thresholds under which the mean tail probabilities are `share`, by bisection; they rise as the shares fall."""
+    lo, hi = np.full(len(share), scores.min() - 20.0), np.full(len(share), scores.max() + 20.0)
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        mean = np.array([(1 / (1 + np.exp(-np.clip(scores - m, -60, 60)))).mean() for m in mid])
+        lo, hi = np.where(mean > share, mid, lo), np.where(mean > share, hi, mid)
+    return hi
+
+
 def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, bits: int = BITS, epochs: int = 30, rate: float = 0.3, ridge: float = 3e-5, batch: int = 64, seed: int = 7) -> OrdinalModel:
-    """Adagrad on the likelihood of the cumulative link; the thresholds' order is kept by positive gaps."""
+    """Adagrad on the likelihood of the cumulative link, thresholds kept in order; then thresholds alone, to the shares."""
     use = screened(rows, grades, bits)
     rows = [r[use[r]] for r in rows]
     flat, starts = np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
@@ -97,28 +139,18 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, bits:
             part = perm[lo : lo + batch]
             idx = np.concatenate([flat[starts[i] : starts[i + 1]] for i in part])
             own = np.repeat(np.arange(len(part)), [starts[i + 1] - starts[i] for i in part])
-            s = np.bincount(own, weights=w[idx], minlength=len(part))
-            edges = np.concatenate([np.full((len(part), 1), 60.0), np.clip(s[:, None] - t, -60, 60), np.full((len(part), 1), -60.0)], axis=1)
-            tail = 1 / (1 + np.exp(-edges))
-            y = grades[part]
-            rng = np.arange(len(part))
-            up, down = tail[rng, y], tail[rng, y + 1]  # P(>= y), P(>= y+1)
-            p = np.maximum(up - down, 1e-9)
-            du, dd = up * (1 - up) / p, down * (1 - down) / p
-            ds = -(du - dd)  # d(-log p)/ds
+            ds, dt = gradients(np.bincount(own, weights=w[idx], minlength=len(part)), grades[part], t)
             grad = np.bincount(idx, weights=ds[own], minlength=len(w))
             touched = np.unique(idx)
             gt = grad[touched] / len(part) + ridge * w[touched]
             g2[touched] += gt * gt
             w[touched] -= rate * gt / np.sqrt(g2[touched] + 1e-4)
-            dt = np.zeros(len(t) + 2)
-            np.add.at(dt, y, du)
-            np.add.at(dt, y + 1, -dd)
-            gt = dt[1:-1] / len(part)
+            gt = dt / len(part)
             tg2 += gt * gt
-            t = t - rate * gt / np.sqrt(tg2)
-            t = np.maximum.accumulate(t + np.arange(len(t)) * 1e-3)
-    return OrdinalModel(w.astype(np.float32), t)
+            t = in_order(t - rate * gt / np.sqrt(tg2))
+    w = w.astype(np.float32)
+    each = np.repeat(np.arange(len(rows)), np.diff(starts))
+    return OrdinalModel(w, levelled(np.bincount(each, weights=w[flat], minlength=len(rows)), share))
 
 
 def _features(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -126,17 +158,24 @@ def _features(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield part.map(lambda x: features(x).tobytes())
 
 
-def labelled(docs: DataFrame, grades: DataFrame, id_col: str, text_col: str, max_rows: int) -> tuple[list[np.ndarray], np.ndarray]:
+def labelled(docs: DataFrame, grades: DataFrame, id_col: str, text_col: str, max_rows: int, max_features: int = MAX_FEATURES) -> tuple[list[np.ndarray], np.ndarray]:
     """Features and grades of a bounded sample of the labelled rows, on the driver."""
     spark = docs.sparkSession
     tune(spark)
     some = grades.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("grade").cast("int").alias("_grade")).dropna()
     some = hashed_sample(some, "_id", max_rows, "_grade")
     found = docs.select(F.col(id_col).cast("bigint").alias("_id"), text_or_empty(text_col).alias("_text")).join(F.broadcast(some), "_id")
-    got = found.select("_id", "_grade", F.pandas_udf(_features, "binary")("_text").alias("_feats")).toArrow()
-    order = np.lexsort((got["_grade"].to_numpy(), got["_id"].to_numpy()))
+    found = materialize(found.select("_id", "_grade", F.pandas_udf(_features, "binary")("_text").alias("_feats")), "quality-features")
+    sizes = found.groupBy("_id").agg((F.sum(F.octet_length("_feats")) / 4).alias("size")).orderBy(F.xxhash64("_id"), "_id").collect()
+    taken = [r["_id"] for r, upto in zip(sizes, np.cumsum([r["size"] for r in sizes])) if upto <= max_features]
+    if len(taken) < len(sizes):
+        found = found.join(F.broadcast(spark.createDataFrame([(i,) for i in taken], "_id long")), "_id")
+    got = found.toArrow()
+    release(found)
     feats = got["_feats"].to_pylist()
-    return [np.frombuffer(feats[i], dtype=np.int32) for i in order], got["_grade"].to_numpy()[order]
+    grade = got["_grade"].to_numpy()
+    order = sorted(range(len(feats)), key=lambda i: (got["_id"][i].as_py(), grade[i], feats[i]))
+    return [np.frombuffer(feats[i], dtype=np.int32) for i in order], grade[order]
 
 
 def train(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_grades: int = 3, max_rows: int = MAX_ROWS) -> OrdinalModel | None:
@@ -188,6 +227,6 @@ def drop_poor(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text
     if model is None:
         return docs
     tune(docs.sparkSession)
-    name = "_tidewright_score"
+    name = unused("_tidewright_score", docs)
     scored = docs.withColumn(name, score_column(model, text_or_empty(text_col)))
     return scored.where(tail(F.col(name), model.thresholds[least_grade - 1]) >= least_tail).drop(name)
