@@ -16,9 +16,12 @@ TEXTS = [
 ]
 
 
+KEY = "a key for tests"
+
+
 def rewritten(spark, texts, **kw):
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, pii_old string")
-    out = P.pseudonymize(df, **kw)
+    out = P.pseudonymize(df, **{"key": KEY} | kw)
     assert out.columns == [*df.columns, "pii_finds"]
     return {r.doc_id: r for r in out.collect()}
 
@@ -59,11 +62,11 @@ def test_links_across_documents_and_keys(spark):
 
 def test_every_small_domain_is_permuted(spark):
     for size in (1, 2, 3, 10, 17, 1000, P.DAYS):
-        vs = {r.v for r in spark.range(size).select(P.permute(F.col("id"), size, "t").alias("v")).collect()}
+        vs = {r.v for r in spark.range(size).select(P.permute(F.col("id"), size, "t", KEY).alias("v")).collect()}
         assert vs == set(range(size))
-    vs = {r.v for r in spark.range(5000).select(P.permute(F.col("id") * 199_999_999_999_999, 10**18, "t").alias("v")).collect()}
+    vs = {r.v for r in spark.range(5000).select(P.permute(F.col("id") * 199_999_999_999_999, 10**18, "t", KEY).alias("v")).collect()}
     assert len(vs) == 5000 and min(vs) >= 0 and max(vs) < 10**18
-    cells = spark.range(2600).select(P.permute_cells(F.concat(F.char(F.col("id") % 26 + 97), F.lit("-"), F.lpad(F.floor(F.col("id") / 26).cast("string"), 2, "0")), "t").alias("v"))
+    cells = spark.range(2600).select(P.permute_cells(F.concat(F.char(F.col("id") % 26 + 97), F.lit("-"), F.lpad(F.floor(F.col("id") / 26).cast("string"), 2, "0")), "t", KEY).alias("v"))
     assert {r.v for r in cells.collect()} == {f"{chr(97 + a)}-{n:02d}" for a in range(26) for n in range(100)}
 
 
@@ -95,7 +98,7 @@ def test_mac_and_feistel_by_hand(spark):
 
 def test_planted_values_are_gone(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    new = {r.doc_id: r.text for r in P.pseudonymize(docs).collect()}
+    new = {r.doc_id: r.text for r in P.pseudonymize(docs, KEY).collect()}
     n = 0
     for r in docs.collect():
         for value in re.findall(r"[a-z]+\.\d\d@mail\d\.example\.com|\+1 \(\d{3}\) 555-\d{4}", r.text) + [x for x in re.findall(r"(?<!\d)\d{16}(?!\d)", r.text) if luhn(x)]:
@@ -108,7 +111,7 @@ def test_planted_values_are_gone(spark, sf_dir):
 def test_long_texts_and_empty_tables(spark, n):
     got = rewritten(spark, ["word " * n + "4111111111111111"])
     assert got[0].pii_finds == {"card": 1} and got[0].text.startswith("word " * n)
-    assert P.pseudonymize(spark.createDataFrame([], "doc_id long, text string")).isEmpty()
+    assert P.pseudonymize(spark.createDataFrame([], "doc_id long, text string"), KEY).isEmpty()
 
 
 def test_words_behind_an_iban_and_times_behind_a_date(spark):
@@ -125,3 +128,21 @@ def test_words_behind_an_iban_and_times_behind_a_date(spark):
         new = got[i].text[3:13]
         assert got[i].pii_finds == {"date": 1} and got[i].text == f"at {new}{t}, 1987-03-12Tx, 1987-02-30{t}"
         assert datetime.date.fromisoformat(new) != datetime.date(1987, 3, 12)
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    rows = [(1, "x@y.org", {"own": 1}, "o", "g"), (1, "x@y.org", {"own": 1}, "o", "g"), (None, "x@y.org", None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, PII_finds map<string,int>, _tidewright_old string, `a.b` string")
+    out = P.pseudonymize(df, KEY)
+    assert out.columns == ["doc_id", "text", "_tidewright_old", "a.b", "pii_finds"]
+    got = out.select("doc_id", "text", "_tidewright_old", "`a.b`", "pii_finds").collect()
+    assert len({r.text for r in got}) == 1 and got[0].text != "x@y.org" and all(r.pii_finds == {"email": 1} for r in got)
+    assert [(r["_tidewright_old"], r["a.b"]) for r in got] == [("o", "g"), ("o", "g"), (None, None)]
+
+
+def test_a_key_is_required(spark):
+    df = spark.createDataFrame([(1, "x@y.org")], "doc_id long, text string")
+    with pytest.raises(TypeError):
+        P.pseudonymize(df)
+    with pytest.raises(ValueError):
+        P.pseudonymize(df, "")

@@ -19,8 +19,12 @@ values stay different, and without the key nothing leads back. Rounds are HMAC-S
 What fails its test (a wrong check digit, octets above 255, 2023-02-30) is left as it is. Kinds are tried in the
 order listed, leftmost first. Everything is one projection of the row: no shuffle, no join.
 
-Defined results: a null text stays null with no finds; texts without finds stay as they are, byte for byte; very
-long texts and repeated rows need nothing special; an empty table gives no rows; other columns pass untouched.
+The key is the caller's, from a secret store; there is none by default. A local part, or a number's rest, of a single
+letter or digit is moved by the same keyed amount wherever it stands: there is no other half that it could depend on.
+
+Defined results: a null text stays null with no finds; texts without finds stay as they are, byte for byte; repeated
+rows are rewritten alike; very long texts are read as a whole; an empty table gives no rows; other columns pass
+untouched, but for one called like the new column of finds (in any case), whose place that takes at the end.
 """
 
 from __future__ import annotations
@@ -30,10 +34,9 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROUNDS = 10
-#: A production key comes from the caller's secret store; this one makes results repeatable.
-KEY = "tidewright"
+from .common import unused
 
+ROUNDS = 10
 #: How long the IBANs of a country are. Those of other countries may have any length.
 IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
@@ -95,7 +98,7 @@ def _number(digits: Column, base: int = 10) -> Column:
     return F.conv(digits, base, 10).cast("bigint")
 
 
-def permute(x: Column, size: int, kind: str, key: str = KEY, rounds: int = ROUNDS) -> Column:
+def permute(x: Column, size: int, kind: str, key: str, rounds: int = ROUNDS) -> Column:
     """The keyed image of x in 0..size-1 (at most 10**18): a bijection for every kind and size."""
     a = next(r for r in range(max(1, int(size**0.5) - 2), int(size**0.5) + 3) if r * r >= size)
     b = -(-size // a)
@@ -123,7 +126,7 @@ def walk(once, x: Column, inside, most: int) -> Column:
     )
 
 
-def permute_cells(text: Column, kind: str, key: str = KEY, rounds: int = ROUNDS) -> Column:
+def permute_cells(text: Column, kind: str, key: str, rounds: int = ROUNDS) -> Column:
     """A Feistel network over characters: letters stay letters of their case, digits digits, all else as it is.
 
     Halves take turns: each cell of one moves by a keyed amount that depends on the other half and on its own place.
@@ -267,7 +270,7 @@ def new_email(found: Column, key: str) -> Column:
     return F.concat(permute_cells(local, "email", key), F.substring(found, F.length(local) + 1, F.length(found)))
 
 
-def pseudonym(found: Column, key: str = KEY) -> Column:
+def pseudonym(found: Column, key: str) -> Column:
     """struct(kind, new): kind is null and new the same where a find fails its test."""
     digits = F.regexp_replace(found, "[^0-9]", "")
     made = {
@@ -284,12 +287,15 @@ def pseudonym(found: Column, key: str = KEY) -> Column:
     return out
 
 
-def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = KEY, finds_col: str = "pii_finds") -> DataFrame:
+def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", finds_col: str = "pii_finds") -> DataFrame:
     """docs with the text rewritten, and finds_col: how many values of each kind were replaced (map, empty without any)."""
-    text, old, gaps, new = F.col(text_col).cast("string"), "_tidewright_old", "_tidewright_gaps", "_tidewright_new"
+    if not key:
+        raise ValueError("pseudonyms need a key")
+    kept = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c.lower() != finds_col.lower()])
+    text, old, gaps, new = F.col(f"`{text_col}`").cast("string"), *(unused(f"_tidewright_{x}", kept) for x in ("old", "gaps", "new"))
     some = text.rlike("[0-9@]")
     none = F.array().cast("array<string>")
-    rows = docs.withColumn(old, F.when(some, F.regexp_extract_all(text, F.lit(ANY), 0)).otherwise(none))
+    rows = kept.withColumn(old, F.when(some, F.regexp_extract_all(text, F.lit(ANY), 0)).otherwise(none))
     rows = rows.withColumn(new, F.transform(F.col(old), lambda m: pseudonym(m, key)))
     rows = rows.withColumn(gaps, F.when(F.size(old) > 0, F.split(text, ANY, -1)).otherwise(none))
     woven = F.array_join(F.transform(F.col(gaps), lambda g, i: F.concat(g, F.coalesce(F.get(F.col(new), i)["new"], F.lit("")))), "")
@@ -297,5 +303,5 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = KEY, finds_
     each = [F.struct(F.lit(k).alias("key"), F.size(F.array_remove(kinds, k)).alias("others")) for k in KINDS]
     counted = F.transform(F.array(*each), lambda e: F.struct(e["key"].alias("key"), (F.size(kinds) - e["others"]).alias("value")))
     counts = F.map_from_entries(F.filter(counted, lambda e: e["value"] > 0))
-    rewritten = F.when(F.size(old) > 0, woven).otherwise(F.col(text_col))
-    return rows.select(*[(rewritten.alias(c) if c == text_col else docs[c]) for c in docs.columns], counts.alias(finds_col))
+    rewritten = F.when(F.size(old) > 0, woven).otherwise(F.col(f"`{text_col}`"))
+    return rows.select(*[(rewritten.alias(c) if c == text_col else F.col(f"`{c}`")) for c in kept.columns], counts.alias(finds_col))
