@@ -1,13 +1,14 @@
 """Exact deduplication by Patricia-trie owners.
 
-Texts are equal when identical after every character of [\\x20\\x09-\\x0D] is deleted. Normalised texts are dealt to
-partitions by (byte length, content hash); there compressed radix tries over the full byte strings decide
-equality, so a hash collision costs time and never merges two texts. A terminal node keeps the owner of its
-string: most code points in the original text, then the smallest identifier.
+Texts are equal when identical after every character of [\\x20\\x09-\\x0D] is deleted. Length and content hash of a
+normalised text choose its partition, and no more than that: in a partition one compressed radix trie takes the full
+byte strings, whose shared beginnings are held once, and it alone decides which are equal. A terminal node keeps the
+owner of its string: most code points in the original text, then the smallest identifier.
 
-Memory: before the shuffle every task combines into its own tries and, beyond a byte budget, hands the heaviest
-subtrees on to the shuffle (spill by subtree). Behind the shuffle, rows come sorted by bucket and string, so all
-that lies left of the insertion path is finished and leaves memory at once.
+Memory: before the shuffle every task combines what it reads in a trie of its own. Over a budget of bytes the trie
+spills by subtree: the heaviest subtrees that free half of it go on to the shuffle, and what comes later for them is
+met behind it. There the rows of a partition come in the order of their strings (Spark sorts, and spills, outside
+Python), so subtrees left of the insertion path are finished and leave memory at once: what stays is one path.
 
 Defined results: a null text counts as empty, empty texts form one group; a null identifier never owns a group
 that has another (a group of null identifiers has owner null); rows that repeat both identifier and text are one
@@ -18,6 +19,7 @@ name are not read. Very long texts are held one at a time.
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,11 +29,12 @@ from pyspark.sql import functions as F
 from .common import ASCII_SPACE, materialize, salt_mask, salt_of, small, spread, text_or_empty, tune
 
 NO_ID = (1 << 63) - 1
-#: Bytes of strings that a task holds in its tries before the shuffle.
-COMBINE_BYTES = 48 << 20
+#: Bytes that a task's trie holds before the shuffle, and what a node counts besides the bytes of its edge.
+COMBINE_BYTES = 64 << 20
+NODE_BYTES = 600
 
-ROW = "len int, hash long, body binary, score long, owner long, has_owner boolean, n long, salts long"
-_ARROW = pa.schema([("len", pa.int32()), ("hash", pa.int64()), ("body", pa.binary()), ("score", pa.int64()), ("owner", pa.int64()), ("has_owner", pa.bool_()), ("n", pa.int64()), ("salts", pa.int64())])
+ROW = "body binary, score long, owner long, has_owner boolean, n long, salts long"
+_ARROW = pa.schema([("body", pa.binary()), ("score", pa.int64()), ("owner", pa.int64()), ("has_owner", pa.bool_()), ("n", pa.int64()), ("salts", pa.int64())])
 GROUP = "sha binary, keep_id long, group_size long, salts long"
 _GROUP_ARROW = pa.schema([("sha", pa.binary()), ("keep_id", pa.int64()), ("group_size", pa.int64()), ("salts", pa.int64())])
 
@@ -66,34 +69,32 @@ def better(a, b):
 
 
 class PatriciaTrie:
-    """Compressed radix trie over byte strings. `held` counts the bytes on its edges."""
+    """Compressed radix trie over byte strings. held: bytes of its edges and nodes; split: edges that were split."""
 
     def __init__(self):
-        self.root, self.held = Node(b""), 0
+        self.root, self.held, self.split = Node(b""), 0, 0
 
-    def insert(self, key: bytes, owner, path: list | None = None) -> None:
+    def insert(self, key: bytes, owner) -> list[tuple[Node, int]]:
+        """Returns the path: every node from the root to the string's own, and where in the string its edge ends."""
         node, at = self.root, 0
-        while True:
-            if path is not None:
-                path.append(node)
-            if at == len(key):
-                node.owner = owner if node.owner is None else better(node.owner, owner)
-                return
+        path = [(node, 0)]
+        while at < len(key):
             kid = node.kids.get(key[at])
             if kid is None:
-                node.kids[key[at]] = leaf = Node(key[at:], owner)
-                self.held += len(leaf.label)
-                if path is not None:
-                    path.append(leaf)
-                return
-            rest = key[at:]
-            same = common_prefix(rest, kid.label)
-            if same < len(kid.label):  # split the edge
+                node.kids[key[at]] = kid = Node(key[at:])
+                self.held += len(kid.label) + NODE_BYTES
+            elif not key.startswith(kid.label, at):
+                same = common_prefix(key[at : at + len(kid.label)], kid.label)
                 mid = Node(kid.label[:same])
                 kid.label = kid.label[same:]
                 mid.kids[kid.label[0]] = kid
                 node.kids[key[at]] = kid = mid
-            node, at = kid, at + same
+                self.held += NODE_BYTES
+                self.split += 1
+            node, at = kid, at + len(kid.label)
+            path.append((node, at))
+        node.owner = owner if node.owner is None else better(node.owner, owner)
+        return path
 
     @staticmethod
     def walk(node: Node, prefix: bytes) -> Iterator[tuple[bytes, tuple]]:
@@ -109,17 +110,42 @@ class PatriciaTrie:
     def items(self) -> Iterator[tuple[bytes, tuple]]:
         return self.walk(self.root, b"")
 
-    def cut_left(self, path: list[Node]) -> Iterator[tuple[bytes, tuple]]:
-        """Take out everything that sorts before the last inserted path: in sorted input no later string reaches it."""
-        prefix = b""
-        for node, below in zip(path, path[1:]):
-            whole = prefix + node.label
+    def cut_left(self, key: bytes, path: list[tuple[Node, int]]) -> Iterator[tuple[bytes, tuple]]:
+        """Take out everything that sorts before `key`, the last one inserted: in sorted input no later string reaches it."""
+        for (node, at), (below, _) in zip(path, path[1:]):
             if node.owner is not None:
-                yield whole, node.owner
+                yield key[:at], node.owner
                 node.owner = None
             for first in [k for k, kid in node.kids.items() if kid is not below]:
-                yield from self.walk(node.kids.pop(first), whole)
-            prefix = whole
+                yield from self.walk(node.kids.pop(first), key[:at])
+
+    def weights(self) -> dict[int, int]:
+        """Bytes held by each subtree, by the id of its top node."""
+        order, stack = [], [self.root]
+        while stack:
+            order.append(node := stack.pop())
+            stack += node.kids.values()
+        out: dict[int, int] = {}
+        for node in reversed(order):
+            out[id(node)] = len(node.label) + NODE_BYTES + sum(out[id(kid)] for kid in node.kids.values())
+        return out
+
+    def spill(self, free: int) -> Iterator[tuple[bytes, tuple]]:
+        """Take out the heaviest subtrees until `free` bytes are gone; of one much heavier than that only parts of it."""
+        weight = self.weights()
+        self.held = weight[id(self.root)] - NODE_BYTES
+        heap = [(-weight[id(kid)], b"", first, self.root) for first, kid in self.root.kids.items()]
+        heapq.heapify(heap)
+        while heap and free > 0:
+            heavy, prefix, first, above = heapq.heappop(heap)
+            node = above.kids[first]
+            if -heavy > 2 * free and len(node.kids) > 1:
+                for k, kid in node.kids.items():
+                    heapq.heappush(heap, (-weight[id(kid)], prefix + node.label, k, node))
+                continue
+            yield from self.walk(above.kids.pop(first), prefix)
+            self.held += heavy
+            free += heavy
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -138,37 +164,25 @@ def _rows(batches):
     for b in batches:
         cols = [b.column(b.schema.get_field_index(n)) for n in _ARROW.names]
         for i in range(b.num_rows):
-            ln, h, body, score, owner, has, n, salts = (c[i].as_py() for c in cols)
-            yield ln, h, body, (-score, not has, owner, n, salts)
+            body, score, owner, has, n, salts = (c[i].as_py() for c in cols)
+            yield body, (-score, not has, owner, n, salts)
 
 
-def _state(owner):
-    return -owner[0], owner[2], not owner[1], owner[3], owner[4]
+def _state(string, owner):
+    return string, -owner[0], owner[2], not owner[1], owner[3], owner[4]
 
 
 def combine(budget: int):
-    """Before the shuffle: one row for each string and task, or more where a subtree was spilled to the shuffle."""
+    """Before the shuffle: one row for each string and task, or more where its subtree was spilled to the shuffle."""
 
     def run(batches):
         def rows():
-            tries: dict[tuple[int, int], PatriciaTrie] = {}
-            held = 0
-            for ln, h, body, owner in _rows(batches):
-                trie = tries.get((ln, h))
-                if trie is None:
-                    trie = tries[ln, h] = PatriciaTrie()
-                before = trie.held
+            trie = PatriciaTrie()
+            for body, owner in _rows(batches):
                 trie.insert(body, owner)
-                held += trie.held - before + 200 * (before == 0)
-                if held > budget:  # the heaviest tries go on, until half of the budget is free
-                    for key in sorted(tries, key=lambda k: -tries[k].held):
-                        out = tries.pop(key)
-                        held -= out.held + 200
-                        yield from ((*key, s, *_state(o)) for s, o in out.items())
-                        if held <= budget // 2:
-                            break
-            for key, out in tries.items():
-                yield from ((*key, s, *_state(o)) for s, o in out.items())
+                if trie.held > budget:
+                    yield from (_state(*x) for x in trie.spill(trie.held - budget // 2))
+            yield from (_state(*x) for x in trie.items())
 
         return _batches(rows(), _ARROW)
 
@@ -176,24 +190,17 @@ def combine(budget: int):
 
 
 def own(batches):
-    """Behind the shuffle, rows sorted by (len, hash, body): one row for each distinct string."""
+    """Behind the shuffle, a partition's rows in the order of their strings: one row for each distinct string."""
 
     def done(pairs):
         for s, o in pairs:
             yield hashlib.sha256(s).digest(), None if o[1] else o[2], o[3], o[4]
 
     def rows():
-        bucket, trie = None, None
-        for ln, h, body, owner in _rows(batches):
-            if (ln, h) != bucket:
-                if trie is not None:
-                    yield from done(trie.items())
-                bucket, trie = (ln, h), PatriciaTrie()
-            path: list[Node] = []
-            trie.insert(body, owner, path)
-            yield from done(trie.cut_left(path))
-        if trie is not None:
-            yield from done(trie.items())
+        trie = PatriciaTrie()
+        for body, owner in _rows(batches):
+            yield from done(trie.cut_left(body, trie.insert(body, owner)))
+        yield from done(trie.items())
 
     return _batches(rows(), _GROUP_ARROW)
 
@@ -204,16 +211,14 @@ def prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.length(text).cast("bigint").alias("score"), F.translate(text, ASCII_SPACE, "").alias("norm"))
 
 
-def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", combine_bytes: int = COMBINE_BYTES, hash_bits: int = 64) -> DataFrame:
-    """(sha, keep_id, group_size, salts) for every distinct normalised text. hash_bits: fewer force collisions in tests."""
+def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", combine_bytes: int = COMBINE_BYTES) -> DataFrame:
+    """(sha, keep_id, group_size, salts) for every distinct normalised text."""
     tune(docs.sparkSession)
-    bucket = F.xxhash64("norm") if hash_bits == 64 else F.pmod(F.xxhash64("norm"), F.lit(1 << hash_bits))
     rows = prepared(docs, id_col, text_col).select(
-        F.octet_length("norm").alias("len"), bucket.alias("hash"), F.col("norm").cast("binary").alias("body"), "score",
-        F.coalesce("id", F.lit(NO_ID)).alias("owner"), F.col("id").isNotNull().alias("has_owner"), F.lit(1).cast("bigint").alias("n"), salt_mask(salt_of(F.col("id"))).alias("salts"),
+        F.col("norm").cast("binary").alias("body"), "score", F.coalesce("id", F.lit(NO_ID)).alias("owner"), F.col("id").isNotNull().alias("has_owner"), F.lit(1).cast("bigint").alias("n"), salt_mask(salt_of(F.col("id"))).alias("salts")
     )
-    dealt = rows.mapInArrow(combine(combine_bytes), ROW).repartition("len", "hash").sortWithinPartitions("len", "hash", "body")
-    return dealt.mapInArrow(own, GROUP)
+    dealt = rows.mapInArrow(combine(combine_bytes), ROW).repartition(F.octet_length("body"), F.xxhash64("body"))
+    return dealt.sortWithinPartitions("body").mapInArrow(own, GROUP)
 
 
 def _decided(docs: DataFrame, id_col: str, text_col: str, **kw) -> DataFrame:
