@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidewright.llm import common
 from tidewright.llm import line_dedup as L
 
 
@@ -37,38 +39,84 @@ def test_banded_distance(spark, t):
 
 
 def lines(rnd, n=50):
-    out = ["ab" * 13, "ba" * 13, "ab" * 12 + "a", *["a" * k for k in range(24, 34)]]
+    out = ["ab" * 13, "ba" * 13, "ab" * 12 + "a", *["a" * k for k in range(9, 34)]]
     for _ in range(n):
-        base = "".join(rnd.choice("abcde ") for _ in range(rnd.randint(24, 60))).strip()
+        base = "".join(rnd.choice("abcde ") for _ in range(rnd.randint(9, 60))).strip() + "."
         out += [edited(rnd, base, rnd.randint(0, 3)).strip() for _ in range(rnd.randint(1, 5))]
     return out
 
 
-@pytest.mark.parametrize("limit", [L.BROADCAST_KEYS, 0])
-def test_join_finds_all_links(spark, monkeypatch, limit):
+def permitted(a, b):
+    n = min(len(a), len(b))
+    return 2 if n >= 24 else 1 if n >= 12 else 0
+
+
+def classes_of(spark, texts):
+    """line -> smallest line of its class, from the links of the operator; and how many links there are."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    known, links = L.line_classes(docs)
+    links = [(bytes(r.a), bytes(r.b)) for r in links.collect()]
+    names = {hashlib.sha256(t.encode()).digest()[:16]: t for t in texts}
+    assert all(distance(names[a], names[b]) <= permitted(names[a], names[b]) for a, b in links)
+    return components(sorted(names.values()), lambda x, y: (x, y) in pairs or (y, x) in pairs) if (pairs := {(names[a], names[b]) for a, b in links}) else {t: t for t in names.values()}, len(links)
+
+
+def components(nodes, near):
+    root = {x: x for x in nodes}
+    for k, a in enumerate(nodes):
+        for b in nodes[k + 1 :]:
+            if root[a] != root[b] and near(a, b):
+                lo, hi = sorted((root[a], root[b]))
+                root = {x: lo if r == hi else r for x, r in root.items()}
+    return root
+
+
+@pytest.mark.parametrize(("limit", "hot", "tile"), [(L.BROADCAST_KEYS, L.HOT, 512), (0, L.HOT, 3), (L.BROADCAST_KEYS, 2, 512), (0, 0, 2)])
+def test_classes_are_those_of_all_near_pairs(spark, monkeypatch, limit, hot, tile):
     monkeypatch.setattr(L, "BROADCAST_KEYS", limit)
-    all_ = lines(random.Random(7))
-    docs = spark.createDataFrame([(i, "\n".join(all_[i::20])) for i in range(20)], "doc_id long, text string")
-    known = L.occurrences(docs, "doc_id", "text", 24).select("line").distinct().select("line", L.line_id(F.col("line")).alias("id"))
-    names = {bytes(r.id): r.line for r in known.collect()}
+    monkeypatch.setattr(L, "HOT", hot)
+    monkeypatch.setattr(common.apart, "__defaults__", (None, tile))
+    texts = sorted({x for x in lines(random.Random(7)) if x})
+    got, _ = classes_of(spark, texts)
+    assert got == components(texts, lambda a, b: abs(len(a) - len(b)) <= 2 and distance(a, b) <= permitted(a, b))
+    assert len(set(got.values())) < len(texts)
+
+
+def test_links_are_a_tree_where_all_are_near(spark):
+    texts = [f"the hundredth line of them all ends in number {i:02d}" for i in range(100)]
+    got, n = classes_of(spark, texts)
+    assert n == 99 and len(set(got.values())) == 1
+
+
+def shared_third(n):
+    rnd = random.Random(3)
+    return ["https://www.example.com/shop/" + "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(58)) for _ in range(n)]
+
+
+def test_a_shared_segment_costs_no_square(spark):
+    """4,000 lines that share a third meet by rare pieces: hardly any two are compared."""
+    texts = shared_third(4000)
+    texts.append(texts[0][:-2] + "??")
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = docs.select(L.line_id(F.col("text")).alias("id"), F.col("text").alias("line"), F.length("text").alias("n"))
+    groups = L.by_rare_pieces(rows, L.BANDS).groupBy("key").agg(F.count("*").alias("n"), F.max(F.col("own").cast("int")).alias("own")).where("own = 1")
+    assert groups.agg(F.sum(F.col("n") * F.col("n"))).first()[0] < 40 * len(texts)
     _, links = L.line_classes(docs)
-    got = {frozenset((names[bytes(r.a)], names[bytes(r.b)])) for r in links.collect()}
-    pairs = known.select(F.col("line").alias("x")).crossJoin(known.select(F.col("line").alias("y"))).where("x < y and levenshtein(x, y) <= 2")
-    assert got == {frozenset((r.x, r.y)) for r in pairs.collect()} and got
+    assert links.count() == 1
 
 
-def plain(rows, t=2, least=24):
-    """doc_id -> removed line numbers, by all pairs."""
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
 
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        return row[-1]
 
-    seen = [(i, n, s) for i, text in rows for n, s in enumerate(x.strip(" \t\x0b\x0c\r") for x in (text or "").split("\n")) if len(s) >= least]
+def plain(rows):
+    """doc_id -> removed line numbers, by all pairs."""
+    seen = [(i, n, s) for i, text in rows for n, s in enumerate(x.strip(" \t\x0b\x0c\r") for x in (text or "").split("\n")) if s]
     texts = sorted({s for _, _, s in seen})
     root = {s: s for s in texts}
 
@@ -79,7 +127,7 @@ def plain(rows, t=2, least=24):
 
     for k, a in enumerate(texts):
         for b in texts[k + 1 :]:
-            if abs(len(a) - len(b)) <= t and distance(a, b) <= t:
+            if abs(len(a) - len(b)) <= 2 and distance(a, b) <= permitted(a, b):
                 root[find(b)] = find(a)
     first = {}
     for i, n, s in seen:
@@ -93,7 +141,7 @@ def plain(rows, t=2, least=24):
 
 def test_report_and_cleaned_texts(spark):
     rnd = random.Random(9)
-    pool = lines(rnd, 12) + ["short", "", " \t" + "a" * 30 + "  "]
+    pool = lines(rnd, 12) + ["short", "Short", "s", "", " \t" + "a" * 30 + "  "]
     rows = [(i, "\n".join(rnd.choices(pool, k=rnd.randint(0, 6)))) for i in range(40)] + [(90, None), (91, ""), (92, "x" * 100_000), (93, "x" * 100_000 + "y")]
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, line_no int")
     want = plain([(i, t) for i, t in rows if i < 92]) | {92: [], 93: [0]}
@@ -114,4 +162,16 @@ def test_hot_lines_and_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert L.line_report(none).isEmpty() and L.drop_repeated_lines(none).isEmpty()
     with pytest.raises(ValueError):
-        L.line_classes(none, max_edits=2, min_chars=6)
+        L.line_classes(none, bands=((6, 2),))
+
+
+def test_short_repeated_lines_are_found(spark):
+    docs = spark.createDataFrame([(1, "short repeated line\nx\n"), (2, "y\nshort repeated line\nx"), (3, "short repeated lime\nX")], "doc_id long, text string")
+    assert {r.doc_id: r.removed_lines for r in L.line_report(docs).collect()} == {1: [], 2: [1, 2], 3: [0]}
+    assert {r.doc_id: r.removed_lines for r in L.line_report(docs, min_chars=24).collect()} == {1: [], 2: [], 3: []}
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a line", 1, "k"), (2, "a line", 2, "l")], "doc_id long, text string, _tidewright_id int, _tidewright_gone string")
+    clean = L.drop_repeated_lines(docs)
+    assert clean.columns == docs.columns and sorted(map(tuple, clean.collect())) == [(1, "a line", 1, "k"), (2, "", 2, "l")]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import contextvars
+import gc
 import tempfile
 import uuid
 
@@ -21,6 +23,7 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 _written: dict[str, SparkSession] = {}
+_scope: contextvars.ContextVar[list[DataFrame] | None] = contextvars.ContextVar("tidewright_scope", default=None)
 
 
 def tune(spark: SparkSession) -> None:
@@ -51,9 +54,34 @@ def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFra
     _written[path] = spark
     back = spark.read.schema(schema).parquet(path)
     back._tidewright_path = path
+    if (scope := _scope.get()) is not None:
+        scope.append(back)
     return back
 
 
+@contextlib.contextmanager
+def scratch():
+    """Tables that are materialized within are deleted at its end, but for those handed to `kept`, which go to the scope around it."""
+    made: list[DataFrame] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        stay = [df for df in made if getattr(df, "_tidewright_kept", False)]
+        release(*[df for df in made if not getattr(df, "_tidewright_kept", False)])
+        if (around := _scope.get()) is not None:
+            for df in stay:
+                df._tidewright_kept = False
+            around += stay
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """A materialized table that outlives the scope it was made in."""
+    df._tidewright_kept = True
+    return df
+
+
 def release(*frames: DataFrame) -> None:
     """Delete materialized tables that no later plan reads."""
     for df in frames:
@@ -63,6 +91,12 @@ def release(*frames: DataFrame) -> None:
             _delete(spark, path)
 
 
+def settle(spark: SparkSession) -> None:
+    """Let the context cleaner delete the shuffle files of stages that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -126,6 +160,24 @@ def spread(table: DataFrame, mask: str, salt: str = "salt") -> DataFrame:
     return table.withColumn(salt, F.explode(bits)).drop(mask)
 
 
+#: Members of a key that one task compares with all of that key's.
+TILE = 512
+
+
+def apart(members: DataFrame, tag: str, left: Column | None = None, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
+    """What must still be compared: members (key, id, root, ...) of keys that hold several roots, for a join on (key, tile).
+
+    The second table deals a key's members to tiles of about `tile`, the first (only members where `left` holds) has
+    each member once for every tile. So a hot key is as many keys of the join, and no task meets all of its members.
+    """
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    sizes = materialize(sizes.select("key", F.ceil(F.col("size") / tile).cast("int").alias("tiles")), f"{tag}-sizes")
+    several = materialize(members.join(small(sizes), "key"), f"{tag}-apart")
+    release(sizes)
+    every = (several if left is None else several.where(left)).withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return every.drop("tiles"), several.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")).drop("tiles")
+
+
 def connected_components(edges: DataFrame, tag: str = "cc") -> DataFrame:
     """(node, root) for every node of the undirected edges (a, b); root is the smallest node of its component.
 

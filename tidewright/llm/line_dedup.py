@@ -1,20 +1,28 @@
 """Line deduplication by a segment-partition edit join. DataFrame functions only.
 
-Lines of at least `min_chars` code points are near-duplicates if their edit distance is at most t. A line is split
-into t + 1 even segments; t edits leave one of them whole, so two near lines share a segment at a shift that the
+Lines are near-duplicates if they are equal, or if their edit distance is at most what the length of the shorter one
+permits (`bands`: from so many code points, so many edits t; below the first band lines must be equal). A line is
+split into t + 1 even segments; t edits leave one of them whole, so two near lines share a segment at a shift that the
 edits before and after it allow. Every distinct line puts its segments into an index under (segment, own length,
 substring), and probes the index, for its own length and each up to t shorter, with the substrings at the allowed
-shifts only. Every pair found is held against finer pieces and then verified with a banded bit-parallel edit distance:
-the band of 2t + 1 diagonals lies in the bits of a long, one step a character.
-
-Copies never multiply: occurrences are reduced to distinct lines first, and the answer returns to the occurrences
-by a salted lookup. In each class of lines (connected by links) the first occurrence, by identifier and line number,
-stays. Lines are trimmed of [\\x20\\x09-\\x0D] at both ends before they are compared; shorter lines always stay.
-
-Defined results: null text is empty; a document without lines of the length has nothing removed; equal lines are
-near-duplicates at distance 0; a null identifier sorts before all others; rows that repeat an identifier (and rows
-without one) are one document stated again: lines at the same place are decided alike, and the report has one row for
-them; an empty table gives no rows; further columns are not read. Very long lines are compared as a whole.
+shifts only. Pairs that are compared are held against finer pieces and then verified with a banded bit-parallel edit
+distance: the band of 2t + 1 diagonals lies in the bits of a long, one step a character.
+
+Skew. Copies never multiply: occurrences are reduced to distinct lines first, and the answer returns to the
+occurrences by a salted lookup. A segment that over HOT lines share tells little (the beginning of an address, a
+notice): such lines are indexed anew, by the t + 1 of their finer pieces that the fewest of them hold. Any t + 1 pieces
+do, since t edits spoil t at most; the probes hold all pieces at all shifts. Under every key all lines are compared
+with the smallest; then only lines that are in different classes still, in tiles of a bounded number of lines
+(`common.apart`). Links are a line's with the smallest of a key, and one for each two classes that are met so: never
+all pairs. In each class the first occurrence, by identifier and line number, stays.
+
+Lines are trimmed of [\\x20\\x09-\\x0D] at both ends before they are compared; empty ones always stay, and with
+`min_chars` shorter ones too.
+
+Defined results: null text is empty; a document without lines has nothing removed; equal lines are near-duplicates at
+distance 0; a null identifier sorts before all others; rows that repeat an identifier (and rows without one) are one
+document stated again: lines at the same place are decided alike, and the report has one row for them; an empty table
+gives no rows; further columns are not read. Very long lines are compared as a whole.
 """
 
 from __future__ import annotations
@@ -24,10 +32,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, release, salt_mask, salt_of, spread, text_or_empty
+from .common import apart, connected_components, materialize, release, salt_mask, salt_of, spread, text_or_empty, unused
 
-MAX_EDITS = 2
-MIN_CHARS = 24
+#: From so many code points, so many edits: more than three times as many code points as edits.
+BANDS = ((12, 1), (24, 2))
+#: Lines that may share a segment before they are indexed by their rarest pieces; these are at most so many, of so many code points.
+HOT, FINE, FINE_CHARS = 64, 9, 5
 EDGES = " \t\x0b\x0c\r"
 #: Pieces that a pair is held against before its distance is computed.
 PIECES = 16
@@ -64,17 +74,67 @@ def places(max_edits: int) -> list[tuple[int, int, int]]:
     return own + [(i, shorter, s) for shorter in range(max_edits + 1) for i in range(max_edits + 1) for s in shifts(max_edits, i, shorter) if shorter or s > 0]
 
 
-def keyed(lines: DataFrame, max_edits: int) -> DataFrame:
-    """(id, line, n, pos, key): for every place a hash of segment, length and substring.
+def edits(n: Column, bands: tuple) -> Column:
+    """How many edits a line of n code points permits."""
+    out = F.lit(0)
+    for least, t in bands:
+        out = F.when(n >= least, t).otherwise(out)
+    return out
+
+
+def keyed(lines: DataFrame, bands: tuple) -> DataFrame:
+    """(id, line, n, own, key): for every place a hash of segment, length and substring.
 
     `wide` holds four bytes a character, so that any place in it is found at once. The segments' ends are columns of
     their own, so that what makes the keys is small enough for the JVM to compile.
     """
-    wide = lines.select("id", "line", "n", F.encode("line", "UTF-32").alias("wide"))
-    ends = {(shorter, i): x for shorter in range(max_edits + 1) for i, x in enumerate(segments(max_edits, F.col("n") - shorter))}
-    cut = wide.select("id", "line", "n", "wide", *[(4 * x).alias(f"_{k}{shorter}{i}") for (shorter, i), (at, size) in ends.items() for k, x in (("at", at), ("size", size))])
-    key = lambda i, shorter, s: F.xxhash64((F.col("n") - shorter) * 32 + i, F.substring(F.col("wide"), F.col(f"_at{shorter}{i}") + 4 * s + 1, F.col(f"_size{shorter}{i}")))
-    return cut.select("id", "line", "n", F.posexplode(F.array(*[key(*p) for p in places(max_edits)])).alias("pos", "key"))
+    out = []
+    for k, (least, t) in enumerate(bands):
+        most = bands[k + 1][0] - 1 if k + 1 < len(bands) else None  # lengths of this band's shorter lines
+        within = lambda n: n >= least if most is None else n.between(least, most)  # noqa: B023, E731
+        own = t + 1
+        wide = lines.where(F.col("n") >= least if most is None else F.col("n").between(least, most + t)).select("id", "line", "n", F.encode("line", "UTF-32").alias("wide"))
+        ends = {(shorter, i): x for shorter in range(t + 1) for i, x in enumerate(segments(t, F.col("n") - shorter))}
+        cut = wide.select("id", "line", "n", "wide", *[(4 * x).alias(f"_{c}{shorter}{i}") for (shorter, i), (at, size) in ends.items() for c, x in (("at", at), ("size", size))])
+
+        def key(i: int, shorter: int, s: int) -> Column:
+            found = F.xxhash64((F.col("n") - shorter) * 32 + i, F.substring(F.col("wide"), F.col(f"_at{shorter}{i}") + 4 * s + 1, F.col(f"_size{shorter}{i}")))
+            return F.when(within(F.col("n") - shorter), found)  # noqa: B023
+
+        rows = cut.select("id", "line", "n", F.posexplode(F.array(*[key(*p) for p in places(t)])).alias("pos", "key"))
+        out.append(rows.where("key is not null").select("id", "line", "n", (F.col("pos") < own).alias("own"), "key"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def by_rare_pieces(lines: DataFrame, bands: tuple) -> DataFrame:
+    """(id, line, n, own, key) for lines (id, line, n) that share frequent segments: own keys are of a line's rarest pieces."""
+    t_most = max(t for _, t in bands)
+
+    def key(length: Column, p: Column, shift) -> Column:
+        many = F.least(F.lit(FINE), F.greatest(edits(length, bands) + 1, F.floor(length / FINE_CHARS))).cast("int")
+        at, end = F.floor(length * p / many).cast("int"), F.floor(length * (p + 1) / many).cast("int")
+        found = F.xxhash64(length * 32 + p, F.substring(F.col("wide"), 4 * (at + shift) + 1, 4 * (end - at)))
+        return F.when((p < many) & (at + shift >= 0), found)
+
+    wide = lines.withColumn("wide", F.encode("line", "UTF-32"))
+    pieces = F.sequence(F.lit(0), F.lit(FINE - 1))
+    held = wide.select("id", "n", F.explode(F.filter(F.transform(pieces, lambda p: key(F.col("n"), p, F.lit(0))), lambda x: x.isNotNull())).alias("key"))
+    held = materialize(held, "line-pieces")
+    counted = held.join(held.groupBy("key").agg(F.count("*").alias("times")), "key")
+    rare = counted.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("held")).select("id", F.explode(F.slice("held", F.lit(1), edits(F.col("n"), bands) + 1)).alias("x"))
+    rare = materialize(rare.select("id", F.col("x.key").alias("key")), "line-rare")
+    own = rare.join(lines, "id").select("id", "line", "n", F.lit(True).alias("own"), "key")
+    asked = []
+    for shorter in range(t_most + 1):
+        length = F.col("n") - shorter
+        for shift in range(shorter - t_most, t_most + 1):
+            if abs(shift) + abs(shorter - shift) <= t_most:
+                fits = edits(length, bands) >= abs(shift) + abs(shorter - shift)
+                asked.append(F.when(fits, F.transform(pieces, lambda p: key(length, p, F.lit(shift)))).otherwise(F.array().cast("array<bigint>")))  # noqa: B023
+    probes = wide.select("id", "line", "n", F.explode(F.array_distinct(F.concat(*asked))).alias("key")).join(rare.select("key").distinct(), "key", "left_semi")
+    # what a line asks for and also holds is its own row
+    probes = probes.join(rare, ["key", "id"], "left_anti").select("id", "line", "n", F.lit(False).alias("own"), "key")
+    return own.unionByName(probes)
 
 
 def _let(value: Column, body) -> Column:
@@ -139,7 +199,7 @@ def pieces_met(a: Column, b: Column, n_a: Column, max_edits: int, pieces: int =
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(doc_id, line_no from 0, line) of every line that is long enough."""
+    """(doc_id, line_no from 0, line) of every line that is long enough, trimmed."""
     line = F.col("line")
     edged = reduce(lambda x, y: x | y, [e for c in EDGES for e in (line.startswith(c), line.endswith(c))])
     lines = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.posexplode(F.split(text_or_empty(text_col), "\n", -1)).alias("line_no", "line"))
@@ -159,49 +219,70 @@ def place(doc_id: Column, line_no: Column) -> Column:
     return (F.coalesce(doc_id, F.lit(-(1 << 63))).cast(PLACE) * F.lit(1 << 32).cast(PLACE) + line_no).cast(PLACE)
 
 
-def line_links(lines: DataFrame, max_edits: int) -> DataFrame:
-    """(a, b), a < b: identities of the distinct lines (id, line, n) at most max_edits apart, each pair once.
+def line_links(lines: DataFrame, bands: tuple = BANDS) -> DataFrame:
+    """(a, b): links whose components are those of all near pairs of the distinct lines (id, line, n).
 
     The keys are counted first, without texts: few of them are met by two lines. Only lines with such a key go on,
-    with their texts, and the join on the key verifies its pairs itself, so that a large group of lines which share
-    a segment but are not near costs comparisons and no rows.
+    with their texts, and the joins on the key verify their pairs themselves, so that lines which share a segment but
+    are not near cost comparisons and no rows.
     """
-    own = max_edits + 1
-    every = keyed(lines, max_edits)
-    count = every.groupBy("key").agg(F.count(F.when(F.col("pos") < own, 1)).alias("own"), F.count("*").alias("every"))
-    live = materialize(count.where("own > 1 or (own = 1 and every > 1)").select("key"), "line-keys")
-    n_live = live.count()
-    if n_live <= BROADCAST_KEYS:
-        met = every.join(F.broadcast(live), "key", "left_semi")
+    t_most = max(t for _, t in bands)
+    every = keyed(lines, bands)
+    count = every.groupBy("key").agg(F.count(F.when(F.col("own"), 1)).alias("n_own"), F.count("*").alias("many"))
+    live = materialize(count.where("n_own > 1 or (n_own = 1 and many > 1)").select("key", (F.col("many") > HOT).alias("hot")), "line-keys")
+    if live.count() <= BROADCAST_KEYS:
+        met = every.join(F.broadcast(live), "key")
     else:  # the keys alone are dealt, then the lines that have one
-        named = every.select("id", "pos", "key").join(live, "key", "left_semi")
+        named = every.select("id", "own", "key").join(live, "key")
         met = named.join(lines.select("id", "line", "n"), "id")
-    met = materialize(met.select("key", "pos", "id", "line", "n"), "line-met")
-    x, z = met.where(F.col("pos") < own).alias("x"), met.alias("z")
-    other = F.when(F.col("z.pos") < own, F.col("x.id") < F.col("z.id")).otherwise(F.col("x.id") != F.col("z.id")) & (F.abs(F.col("x.n") - F.col("z.n")) <= max_edits)
-    alike = pieces_met(F.col("x.line"), F.col("z.line"), F.col("x.n"), max_edits)
-    near = banded_distance(F.col("x.line"), F.col("z.line"), F.col("x.n"), F.col("z.n"), max_edits) <= max_edits
-    pairs = x.join(z, (F.col("x.key") == F.col("z.key")) & F.when(other, F.when(alike, near).otherwise(False)).otherwise(False))
-    return pairs.select(F.least("x.id", "z.id").alias("a"), F.greatest("x.id", "z.id").alias("b")).distinct()
-
-
-def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
-    """(lines, links): distinct lines (id, line, n, first, times, salts, first_of_class, class_times), and the verified links."""
-    if not 0 < max_edits <= 20 or min_chars <= 3 * max_edits:
-        raise ValueError("lines must be longer than three times the edits allowed")
+    met = materialize(met.select("key", "hot", "own", "id", "line", "n"), "line-met")
+    groups = met.where("not hot").drop("hot")
+    hot = met.where("hot").select("id", "line", "n").dropDuplicates(["id"])
+    if not hot.isEmpty():
+        groups = groups.unionByName(by_rare_pieces(hot, bands).select(*groups.columns))
+    # a comparison is much work on few bytes: dealt to all tasks, whatever its bytes
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = materialize(groups.repartition(tasks, "key"), "line-groups")
+
+    def near(x: str, z: str) -> Column:
+        """x: the line whose own key it is, so the shorter one."""
+        a, b, n_a, n_b = F.col(f"{x}.line"), F.col(f"{z}.line"), F.col(f"{x}.n"), F.col(f"{z}.n")
+        most = edits(n_a, bands)
+        alike = F.when((n_b - n_a).between(0, most), pieces_met(a, b, n_a, t_most)).otherwise(False)
+        return F.when(alike, banded_distance(a, b, n_a, n_b, t_most) <= most).otherwise(False)
+
+    leads = groups.where("own").groupBy("key").agg(F.min(F.struct("id", "line", "n")).alias("x"))
+    star = groups.repartition(tasks, "key").alias("z").join(leads, "key").where((F.col("x.id") != F.col("z.id")) & near("x", "z"))
+    first = materialize(star.select(F.least("x.id", "z.id").alias("a"), F.greatest("x.id", "z.id").alias("b")).distinct(), "line-star")
+    roots = connected_components(first, "line-star")
+    named = groups.join(leads.select("key", F.col("x.id").alias("lead")), "key").join(roots, F.col("id") == F.col("node"), "left")
+    x, z = (side.repartition(tasks, "key", "tile").alias(k) for side, k in zip(apart(named.select("key", "own", "id", "line", "n", "lead", F.coalesce("root", "id").alias("root")), "line", F.col("own")), "xz"))
+    same = (F.col("x.key") == F.col("z.key")) & (F.col("x.tile") == F.col("z.tile")) & (F.col("x.root") != F.col("z.root")) & (F.col("x.id") != F.col("x.lead"))
+    once = F.when(F.col("z.own"), F.col("x.id") < F.col("z.id")).otherwise(True)
+    pairs = x.join(z, same & F.when(once, near("x", "z")).otherwise(False)).select(F.col("x.id").alias("a"), F.col("z.id").alias("b"), F.least("x.root", "z.root").alias("lo"), F.greatest("x.root", "z.root").alias("hi"))
+    rest = pairs.groupBy("lo", "hi").agg(F.min(F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).alias("link")).select("link.a", "link.b")
+    links = materialize(first.unionAll(rest), "line-links")
+    release(live, met, groups, first, roots)
+    return links
+
+
+def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: tuple = BANDS, min_chars: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(lines, links): lines that are repeated or in a class (id, first, times, salts, root), and links that make the classes."""
+    if any(least <= 3 * t or not 0 < t <= 20 for least, t in bands) or sorted(set(bands)) != list(bands) or min_chars < 1:
+        raise ValueError("lines must be longer than three times the edits allowed, and longer lines come later")
     found = occurrences(docs, id_col, text_col, min_chars).select("line", place(F.col("doc_id"), F.col("line_no")).alias("place"), salt_mask(salt_of(F.col("doc_id"))).alias("salt"))
     lines = found.groupBy("line").agg(F.min("place").alias("first"), F.count("*").alias("times"), F.bit_or("salt").alias("salts"))
     lines = materialize(lines.select(line_id(F.col("line")).alias("id"), "line", F.length("line").alias("n"), "first", "times", "salts"), "lines", "zstd")
-    links = materialize(line_links(lines, max_edits), "line-links")
+    links = line_links(lines.select("id", "line", "n"), bands)
     roots = connected_components(links, "lines")
     named = lines.select("id", "first", "times", "salts").join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).drop("node")
     known = named.where("times > 1 or root <> id").unionByName(named.where("times <= 1 and root = id").join(roots.select("root").distinct(), "root", "left_semi"))
     return known, links
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: tuple = BANDS, min_chars: int = 1) -> DataFrame:
     """(doc_id, line_no, class_id, class_lines) of every line to be removed; class_id: hex identity of the class."""
-    known, _ = line_classes(docs, id_col, text_col, max_edits, min_chars)
+    known, _ = line_classes(docs, id_col, text_col, bands, min_chars)
     known = materialize(known, "line-known")
     classes = known.groupBy("root").agg(F.min("first").alias("keep"), F.sum("times").alias("class_lines"))
     table = materialize(known.join(classes, "root").select("id", "salts", "root", "keep", "class_lines"), "line-classes")
@@ -212,9 +293,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return met.where(~stays).select("doc_id", "line_no", F.lower(F.hex("root")).alias("class_id"), "class_lines")
 
 
-def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: tuple = BANDS, min_chars: int = 1) -> DataFrame:
     """doc_id, n_lines, n_removed, removed_lines (line numbers from 0): a row for every identifier."""
-    gone = repeated_lines(docs, id_col, text_col, max_edits, min_chars).select("doc_id", "line_no", F.lit(None).cast("int").alias("n_lines"))
+    gone = repeated_lines(docs, id_col, text_col, bands, min_chars).select("doc_id", "line_no", F.lit(None).cast("int").alias("n_lines"))
     count = F.size(F.split(text_or_empty(text_col), "\n", -1)).alias("n_lines")
     every = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.lit(None).cast("int").alias("line_no"), count)
     out = every.unionByName(gone).groupBy("doc_id").agg(F.max("n_lines").alias("n_lines"), F.sort_array(F.collect_set("line_no")).alias("removed_lines"))
@@ -223,8 +304,9 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """docs with the repeated lines taken out of the text; all other columns as they were."""
-    gone = line_report(docs, id_col, text_col, **kw).where("n_removed > 0").select(F.col("doc_id").alias("_tidewright_id"), F.col("removed_lines").alias("_tidewright_gone"))
-    rows = docs.join(gone, F.col(id_col).cast("bigint").eqNullSafe(F.col("_tidewright_id")), "left")
-    left = F.filter(F.split(text_or_empty(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col("_tidewright_gone"), i))
-    text = F.when(F.col("_tidewright_gone").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
+    gone_id, gone_lines = unused("_tidewright_id", docs), unused("_tidewright_gone", docs)
+    gone = line_report(docs, id_col, text_col, **kw).where("n_removed > 0").select(F.col("doc_id").alias(gone_id), F.col("removed_lines").alias(gone_lines))
+    rows = docs.join(gone, F.col(id_col).cast("bigint").eqNullSafe(F.col(gone_id)), "left")
+    left = F.filter(F.split(text_or_empty(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col(gone_lines), i))
+    text = F.when(F.col(gone_lines).isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
     return rows.select(*[(text.alias(c) if c == text_col else docs[c]) for c in docs.columns])
