@@ -1,10 +1,19 @@
 """Scoring texts with a Brown class-based bigram model.
 
-Words are put into classes by exchange clustering: a word goes to the class under which its own neighbours are most
-likely, its own counts taken out of the class it comes from; all words move at once and the class tables are counted
-anew. Neighbours are counted against a fixed set of contexts, the most frequent words, the text's end, and all others
-as one, left and right apart; so a word's statistics are gathered once, from all training texts, and every round of
-exchange is one pass over words with a table of classes by contexts, whose size does not grow.
+The `head` most frequent words are put into classes by exchange clustering; all rarer words are one more class, the
+texts' end another. A class bigram model of the training texts has the log likelihood, up to a constant,
+
+    sum over (p, c) of N(p, c) log N(p, c)  -  2 * sum over c of N(c) log N(c)
+
+N(p, c): how often class c follows class p. In a round every head word is offered the class under which this grows
+most by the present classes of all its neighbours, its own counts taken out of the class it comes from; all words move
+at once, and the tables are counted anew. A round that does not raise the likelihood is tried again with half of its
+moves, and undone if that does not either, so the likelihood never falls (`Classes.likelihoods`).
+
+Neighbours of head words are counted once, as numbers of head words: a row a word, at most twice the head's length,
+whatever the size of the corpus. The HEAVY most frequent words, which occur in every chunk, are not gathered in one
+row: their rows stay dealt over tasks, and each round sums what these hold by class, a table of fixed size on which
+the driver decides for them. So a round is two passes over the rows, and what moves is bounded by head and classes.
 
 The model gives a token w after class p the probability
 
@@ -15,19 +24,18 @@ P(c | p) is the smoothed class transition, n(w) / n(c) the word's emission, and
 words that occur once: had their text been left out, they would have been unseen. Texts begin and end with `end`.
 
 Texts are cut into words once. Each task writes chunks of a bounded number of tokens: the chunk's distinct words, and
-its texts as numbers of these; every later pass looks words up by chunk and works on numbers.
-
-The vocabulary may be of any size: the `head` most frequent words (a fixed number) are broadcast, all others are
-looked up by a join on the word, in which no key can be frequent, and return to their chunk by position.
+its texts as numbers of these; every later pass looks words up by chunk and works on numbers. The head is broadcast:
+HEAD words of at most HEAD_BYTES bytes. All others are looked up by a join on the word, one row for each chunk that
+holds it with its places there, and return to their chunk.
 
 Defined results: null text is empty and consists of its end; a null identifier trains (it has no remainder); rows
-repeat as they come; without training texts every probability is 1; an empty table gives no rows; further columns are
+repeat as they come; words that are equally frequent are ordered by their bytes, and of classes that are equally good
+the first is taken; without training texts every probability is 1; an empty table gives no rows; further columns are
 not read. Very long texts are read as a whole.
 """
 
 from __future__ import annotations
 
-import gc
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,19 +47,21 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, release, text_or_empty, tune
+from .common import materialize, release, settle, text_or_empty, tune
 
 CLASSES = 64
-CONTEXTS = 512
 ROUNDS = 5
-HEAD = 1 << 18
+#: Words that have classes and are broadcast: at most so many, of at most so many bytes each.
+HEAD, HEAD_BYTES = 1 << 18, 64
+#: So many of the most frequent words are decided on the driver.
+HEAVY = 1024
 #: Weight of the class unigram in a class transition.
 PRIOR = 10.0
 #: A chunk ends with the text that brings it to so many distinct words or tokens.
 CHUNK_WORDS, CHUNK_TOKENS = 300_000, 2_000_000
 
 ENTRY = np.dtype([("ctx", "<u2"), ("n", "<u4")])
-TAIL, NONE = 255, 254  # codes of tokens that are yet to be looked up
+TAIL = 255  # the code of tokens that are yet to be looked up
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -68,6 +78,12 @@ def _binary(data: bytes, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
 
 
+def _entries(vecs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(entries, row of each entry) of a binary column."""
+    sizes = np.fromiter(map(len, vecs), dtype=np.int64, count=len(vecs)) // ENTRY.itemsize
+    return np.frombuffer(b"".join(vecs), dtype=ENTRY), np.repeat(np.arange(len(vecs)), sizes)
+
+
 # --- chunks ---------------------------------------------------------------------------------------------------------
 
 CHUNK = "chunk long, words binary, tokens binary, lens binary, ids binary, named binary, held binary"
@@ -139,77 +155,87 @@ def _count(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c.words, pa.binary()).take(there), pa.array(n).take(there)], schema=_COUNT)
 
 
-_VECTOR = pa.schema([("word", pa.binary()), ("vec", pa.binary())])
+# --- neighbours -----------------------------------------------------------------------------------------------------
+
+NEIGHBOURS = "owner int, salt int, codes binary, times binary"
+_NEIGHBOURS = pa.schema([("owner", pa.int32()), ("salt", pa.int32()), ("codes", pa.binary()), ("times", pa.binary())])
+SALTED = 1 << 12
+
 
+def _rows_of(owner: np.ndarray, codes: np.ndarray, n: np.ndarray, salts: np.ndarray, most: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Entries sorted by owner as rows, one an owner; salts: by owner's place among the rows."""
+    owners, first = np.unique(owner, return_index=True)
+    ends = np.concatenate([first[1:], [len(owner)]])
+    n = np.minimum(n, 2**32 - 1)
+    for lo in range(0, len(owners), most):
+        base, stop = int(first[lo]), ends[lo : lo + most]
+        last = int(stop[-1])
+        data = [_binary(x[base:last].astype("<u4").tobytes(), (stop - base) * 4) for x in (codes, n)]
+        yield pa.RecordBatch.from_arrays([pa.array(owners[lo : lo + most].astype(np.int32)), pa.array(salts[owners[lo : lo + most]].astype(np.int32)), *data], schema=_NEIGHBOURS)
 
-def _vectors(contexts: dict[bytes, int], n_ctx: int):
-    """Per word what stands left (codes 0..n_ctx-1) and right (n_ctx..) of it; end is n_ctx-2, any other word n_ctx-1."""
-    end, other, width = n_ctx - 2, n_ctx - 1, 2 * n_ctx
+
+def _neighbours(head, n_head: int, heavy: int):
+    """Per head word what stands left (codes 0..n_head+1) and right (from n_head+2) of it: a head word's number, n_head for any other word, n_head+1 for the end."""
+    width = 2 * (n_head + 2)
 
     def run(batches):
         for c in _chunks(batches):
             at, ends = c.training()
             if not len(at):
                 continue
-            own = np.fromiter(map(contexts.get, c.words, repeat(other)), dtype=np.int64, count=len(c.words))
-            ctx = own[at]
+            own = _in_head(c, head.value.get)[at]
+            ctx = np.where(own < 0, n_head, own)
             left, right = np.roll(ctx, 1), np.roll(ctx, -1)
-            left[np.concatenate([[0], ends[:-1]])] = end
-            right[ends - 1] = end
-            at *= width
-            codes, n = np.unique(np.concatenate([at + left, at + right + n_ctx]), return_counts=True)
-            owner, first = np.unique(codes // width, return_index=True)
-            entry = np.empty(len(codes), dtype=ENTRY)
-            entry["ctx"], entry["n"] = codes % width, n
-            ends = np.concatenate([first[1:], [len(codes)]])
-            names, data = pa.array(c.words, pa.binary()).take(pa.array(owner)), entry.tobytes()
-            for lo in range(0, len(owner), 50_000):
-                stop = ends[lo : lo + 50_000]
-                base, last = int(first[lo]), int(stop[-1])
-                yield pa.RecordBatch.from_arrays([names.slice(lo, len(stop)), _binary(data[base * ENTRY.itemsize : last * ENTRY.itemsize], (stop - base) * ENTRY.itemsize)], schema=_VECTOR)
+            left[np.concatenate([[0], ends[:-1]])] = n_head + 1
+            right[ends - 1] = n_head + 1
+            there = own >= 0
+            own = own[there] * width
+            codes, n = np.unique(np.concatenate([own + left[there], own + right[there] + n_head + 2]), return_counts=True)
+            salts = np.where(np.arange(max(n_head, 1)) < heavy, c.key % SALTED, 0)
+            yield from _rows_of(codes // width, codes % width, n, salts)
 
     return run
 
 
-def _entries(vecs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(entries, row of each entry) of a binary column."""
-    sizes = np.fromiter(map(len, vecs), dtype=np.int64, count=len(vecs)) // ENTRY.itemsize
-    return np.frombuffer(b"".join(vecs), dtype=ENTRY), np.repeat(np.arange(len(vecs)), sizes)
+def _entries_of(codes: list[bytes], times: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, times, row of each entry) of two binary columns."""
+    sizes = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes)) // 4
+    return np.frombuffer(b"".join(codes), dtype="<u4"), np.frombuffer(b"".join(times), dtype="<u4"), np.repeat(np.arange(len(codes)), sizes)
+
 
+def _merge(width: int, rows: int = 8192):
+    """Rows sorted by owner: one row an owner and task."""
 
-def _merge(width: int):
-    """Rows sorted by word: one row a word."""
-
-    def merged(words: list[bytes], vecs: list[bytes], last: bool):
-        change = np.fromiter(map(bytes.__ne__, words[1:], words), dtype=bool, count=len(words) - 1)
-        group = np.concatenate([[0], np.cumsum(change)])
-        keep = len(words) if last else int(np.searchsorted(group, group[-1]))
-        out = None
-        if keep:
-            entry, row = _entries(vecs[:keep])
-            codes = group[row] * width + entry["ctx"]
-            order = np.argsort(codes, kind="stable")  # runs that are sorted already: a merge
-            codes = codes[order]
-            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
-            new = np.empty(len(first), dtype=ENTRY)
-            new["ctx"], new["n"] = codes[first] % width, np.minimum(np.add.reduceat(entry["n"][order].astype(np.int64), first), 2**32 - 1)
-            firsts = np.concatenate([[0], np.flatnonzero(change[: keep - 1]) + 1])
-            ends = np.searchsorted(codes[first] // width, np.arange(len(firsts)), side="right") * ENTRY.itemsize
-            out = pa.RecordBatch.from_arrays([pa.array([words[i] for i in firsts], pa.binary()), _binary(new.tobytes(), ends)], schema=_VECTOR)
-        return out, words[keep:], vecs[keep:]
+    def merged(owner, codes, times) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        c, n, row = _entries_of(codes, times)
+        key = np.array(owner, dtype=np.int64)[row] * width + c
+        order = np.argsort(key, kind="stable")  # runs that are sorted already
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        return key[first] // width, key[first] % width, np.add.reduceat(n[order].astype(np.int64), first)
 
     def run(batches):
-        words: list[bytes] = []
-        vecs: list[bytes] = []
+        owner, codes, times, held = [], [], [], 0
         for b in batches:
-            words += b.column(0).to_pylist()
-            vecs += b.column(1).to_pylist()
-            if len(words) >= 8192:
-                out, words, vecs = merged(words, vecs, False)
-                if out is not None:
-                    yield out
-        if words:
-            yield merged(words, vecs, True)[0]
+            o, c, t = (b.column(b.schema.get_field_index(k)).to_pylist() for k in ("owner", "codes", "times"))
+            owner, codes, times, held = owner + o, codes + c, times + t, held + sum(map(len, c))
+            if len(owner) < rows and held < 32 << 20:
+                continue
+            done = len(owner)
+            while done and owner[done - 1] == owner[-1]:
+                done -= 1
+            if done:
+                whole = merged(owner[:done], codes[:done], times[:done])
+                yield from _rows_of(*whole, np.zeros(whole[0].max() + 1))
+                owner, codes, times = owner[done:], codes[done:], times[done:]
+            if len(owner) > 1:  # what is there of the last owner, as one row
+                whole = merged(owner, codes, times)
+                last = next(_rows_of(*whole, np.zeros(whole[0].max() + 1)))
+                owner, codes, times = owner[-1:], last.column(2).to_pylist(), last.column(3).to_pylist()
+            held = sum(map(len, codes))
+        if owner:
+            whole = merged(owner, codes, times)
+            yield from _rows_of(*whole, np.zeros(whole[0].max() + 1))
 
     return run
 
@@ -217,85 +243,161 @@ def _merge(width: int):
 # --- exchange -------------------------------------------------------------------------------------------------------
 
 
-def likelihood(entry: np.ndarray, row: np.ndarray, n: int, *tables: np.ndarray) -> list[np.ndarray]:
-    """For each table (classes by contexts), log likelihoods of the neighbours of n words (rows) under its classes."""
-    soft = [t + 0.1 for t in tables]
-    logs = np.concatenate([np.log(t / t.sum(axis=1, keepdims=True)) for t in soft]).T.astype(np.float32)
-    out = np.zeros((n, logs.shape[1]), dtype=np.float32)
-    ctx, times, many = entry["ctx"], entry["n"].astype(np.float32), entry["n"] > 1
-    for lo in range(0, len(entry), 1 << 14):  # a block that stays in the cache
-        part = slice(lo, lo + (1 << 14))
-        worth = logs[ctx[part]]
-        some = np.flatnonzero(many[part])
-        worth[some] *= times[part][some, None]
-        rows = row[part]
-        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        out[rows[first]] += np.add.reduceat(worth, first, axis=0)
-    return np.split(out, len(tables), axis=1)
-
-
-def assign(entry: np.ndarray, row: np.ndarray, n: int, table: np.ndarray, before: np.ndarray | None) -> np.ndarray:
-    """The class of each word under `table`. before: the table that the words' present classes came from."""
-    if before is None:
-        return likelihood(entry, row, n, table)[0].argmax(axis=1)
-    score, past = likelihood(entry, row, n, table, before)
-    own = past.argmax(axis=1)
-    mine = table[own[row], entry["ctx"]]
-    without = np.maximum(mine - entry["n"], 0) + 0.1
-    total = np.bincount(row, weights=entry["n"], minlength=n)
-    rest = np.maximum(table.sum(axis=1)[own] - total, 0) + 0.1 * table.shape[1]
-    score[np.arange(n), own] = np.bincount(row, weights=entry["n"] * np.log(without / rest[row]), minlength=n)
-    return score.argmax(axis=1)
-
-
-def _tables(table: np.ndarray, before: np.ndarray | None):
-    """One round of exchange: what a task's words add to the new table, as rows (cell, n)."""
+def _g(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
 
-    def run(batches):
-        new = np.zeros(table.size)
-        for b in batches:
-            if b.num_rows:
-                entry, row = _entries(b.column(0).to_pylist())
-                klass = assign(entry, row, b.num_rows, table, before)
-                new += np.bincount(klass[row] * table.shape[1] + entry["ctx"], weights=entry["n"], minlength=table.size)
-        cells = np.flatnonzero(new)
-        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(new[cells].astype(np.int64), pa.int64())], names=["cell", "n"])
 
-    return run
+def class_likelihood(table: np.ndarray, n_classes: int) -> float:
+    """Of tables (class by class of the neighbour, left and right), up to what no exchange changes."""
+    half = n_classes + 2
+    left, right = table[:, :half], table[:, half:]
+    return float(_g(right).sum() + _g(left[:, n_classes:]).sum() - 2 * _g(right.sum(axis=1)).sum())
+
+
+def seeded(dense: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The seed's class whose neighbours (rows of table) make each word's (rows of dense) most likely."""
+    soft, half = table + 0.1, table.shape[1] // 2
+    logs = np.concatenate([np.log(x / x.sum(axis=1, keepdims=True)) for x in (soft[:, :half], soft[:, half:])], axis=1)
+    return (dense @ logs.T).argmax(axis=1)
+
+
+def moved(dense: np.ndarray, own: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The best class of each word for what it adds to the likelihood, to first order; for many words of few counts."""
+    half = table.shape[1] // 2
+    n, size = dense[:, half:].sum(axis=1), table[:, half:].sum(axis=1)
+    score = dense @ np.log(table + 0.5).T - 2 * n[:, None] * np.log(size + 1)
+    rest = np.maximum(table[own] - dense, 0)
+    rows = np.arange(len(own))
+    score[rows, own] = (dense * np.log(rest + 0.5)).sum(axis=1) - 2 * n * np.log(np.maximum(size[own] - n, 0) + 1)
+    best = score.argmax(axis=1)
+    return np.where(score[rows, best] > score[rows, own] + 1e-9, best, own)
+
 
+def moved_exactly(dense: np.ndarray, own: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The same for words whose counts are a good part of a class: by the differences of N log N themselves."""
+    half = table.shape[1] // 2
+    size, out = table[:, half:].sum(axis=1), own.copy()
+    for k in range(len(own)):
+        n = dense[k, half:].sum()
+        if not n:
+            continue
+        without, sizes = table.copy(), size.copy()
+        without[own[k]] = np.maximum(without[own[k]] - dense[k], 0)
+        sizes[own[k]] -= n
+        gain = (_g(without + dense[k]) - _g(without)).sum(axis=1) - 2 * (_g(sizes + n) - _g(sizes))
+        best = int(gain.argmax())
+        out[k] = best if gain[best] > gain[own[k]] + 1e-9 else own[k]
+    return out
 
-_WORD = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("class", pa.int32())])
 
+_CELL = pa.schema([("kind", pa.int32()), ("at", pa.int64()), ("n", pa.int64())])
+TABLE, WEIGHTY, MOVE = 0, 1, 2
+
+
+def _pass(class_of: np.ndarray, n_classes: int, heavy: int, table: np.ndarray | None, decide):
+    """A pass over the rows of neighbours: without a table, what a task adds to it; with one, moves of words, and neighbours by class of the heavy ones.
+
+    class_of: by number of head word, n_classes for words that have none yet.
+    """
+    half = n_classes + 2
+    by_context = np.concatenate([class_of, [n_classes, n_classes + 1]]).astype(np.int64)
+    cell = np.concatenate([by_context, by_context + half])
 
-def _final(table: np.ndarray, before: np.ndarray | None):
     def run(batches):
-        half = table.shape[1] // 2
+        total, weighty, owners, classes = np.zeros((n_classes + 1) * 2 * half), np.zeros(heavy * 2 * half), [], []
         for b in batches:
-            if b.num_rows:
-                entry, row = _entries(b.column(1).to_pylist())
-                left = entry["ctx"] < half
-                n = np.bincount(row[left], weights=entry["n"][left], minlength=b.num_rows).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(assign(entry, row, b.num_rows, table, before), pa.int32())], schema=_WORD)
+            for lo in range(0, b.num_rows, 4096):
+                owner, codes, times = (b.column(b.schema.get_field_index(k)).slice(lo, 4096) for k in ("owner", "codes", "times"))
+                owner = owner.to_numpy(zero_copy_only=False)
+                codes, n, row = _entries_of(codes.to_pylist(), times.to_pylist())
+                if table is None:
+                    total += np.bincount(class_of[owner].astype(np.int64)[row] * 2 * half + cell[codes], weights=n, minlength=len(total))
+                    continue
+                dense = np.bincount(row * 2 * half + cell[codes], weights=n, minlength=len(owner) * 2 * half).reshape(len(owner), 2 * half)
+                some = owner < heavy
+                if some.any():
+                    weighty += np.bincount((owner[some, None].astype(np.int64) * 2 * half + np.arange(2 * half)).ravel(), weights=dense[some].ravel(), minlength=len(weighty))
+                new = decide(dense[~some], class_of[owner[~some]].astype(np.int64), table)
+                changed = new != class_of[owner[~some]]
+                owners.append(owner[~some][changed])
+                classes.append(new[changed])
+        for kind, at, n in ((TABLE, np.flatnonzero(total), total), (WEIGHTY, np.flatnonzero(weighty), weighty)):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind), pa.int32()), pa.array(at, pa.int64()), pa.array(n[at].astype(np.int64))], schema=_CELL)
+        if owners:
+            at = np.concatenate(owners)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), MOVE), pa.int32()), pa.array(at, pa.int64()), pa.array(np.concatenate(classes), pa.int64())], schema=_CELL)
 
     return run
 
 
+class Exchange:
+    """Rounds over `rows` (owner, codes, times), one row an owner but for the heavy ones."""
+
+    def __init__(self, rows: DataFrame, n_head: int, n_classes: int, heavy: int = HEAVY):
+        self.rows, self.n_head, self.n_classes, self.heavy = rows.select("owner", "codes", "times"), n_head, n_classes, min(heavy, n_head)
+        self.likelihoods: list[float] = []
+
+    def _cells(self, class_of, table=None, decide=None) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        found = self.rows.mapInArrow(_pass(class_of, self.n_classes, self.heavy, table, decide), "kind int, at long, n long")
+        got = found.groupBy("kind", "at").agg(F.sum("n").alias("n")).toArrow()
+        kind, at, n = (got[c].to_numpy() for c in ("kind", "at", "n"))
+        return {k: (at[kind == k], n[kind == k]) for k in (TABLE, WEIGHTY, MOVE)}
+
+    def table(self, class_of: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.n_classes + 1) * 2 * (self.n_classes + 2))
+        at, n = self._cells(class_of)[TABLE]
+        out[at] = n
+        return out.reshape(self.n_classes + 1, -1)[: self.n_classes]
+
+    def offered(self, class_of: np.ndarray, table: np.ndarray, many, few) -> np.ndarray:
+        """The class that each head word would move to."""
+        cells = self._cells(class_of, table, many)
+        out = class_of.copy()
+        at, klass = cells[MOVE]
+        out[at] = klass
+        dense = np.zeros(self.heavy * table.shape[1])
+        at, n = cells[WEIGHTY]
+        dense[at] = n
+        out[: self.heavy] = few(dense.reshape(self.heavy, table.shape[1]), class_of[: self.heavy].astype(np.int64), table)
+        return out
+
+    def run(self, rounds: int) -> np.ndarray:
+        """Classes of the head words, from the most frequent ones as seeds."""
+        k = self.n_classes
+        seeds = np.where(np.arange(self.n_head) < k, np.arange(self.n_head), k).astype(np.uint8)
+        by_seed = lambda dense, own, table: seeded(dense, table) if len(dense) else own
+        best = self.offered(seeds, self.table(seeds), by_seed, by_seed)
+        table = self.table(best)
+        self.likelihoods = [class_likelihood(table, k)]
+        half = np.random.default_rng(1).random(self.n_head) < 0.5
+        for _ in range(rounds):
+            new = self.offered(best, table, moved, moved_exactly)
+            for tried in (new, np.where(half, new, best)):
+                if (tried == best).all():
+                    continue
+                counted = self.table(tried)
+                if class_likelihood(counted, k) > self.likelihoods[-1]:
+                    best, table = tried, counted
+                    self.likelihoods.append(class_likelihood(counted, k))
+                    break
+            else:
+                break
+        return best
+
+
 @dataclass
 class Classes:
-    """words: word, n, class of every training word; head: the most frequent of them, on the driver."""
+    """counts: word, n of every training word; head: number of a word, by frequency; n, klass: by that number."""
 
-    words: DataFrame
-    head: dict[bytes, tuple[int, int]]
-    sizes: np.ndarray  # tokens of each class; the last is the end's
+    counts: DataFrame
+    head: dict[bytes, int]
+    n: np.ndarray
+    klass: np.ndarray
+    sizes: np.ndarray  # tokens of each class; the last but one is that of all words outside the head, the last the end's
     tokens: int
     types: int
     once: int
-
-
-def _settle(spark: SparkSession) -> None:
-    """Let the context cleaner delete the shuffle files of stages that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    likelihoods: list[float]
 
 
 def _many_rows(spark: SparkSession) -> None:
@@ -315,49 +417,39 @@ def most_frequent(words: DataFrame, k: int) -> DataFrame:
     return words.where(step >= least).orderBy(F.desc("n"), "word").limit(k)
 
 
-def cluster(chunks: DataFrame, n_docs: int, n_classes: int = CLASSES, n_contexts: int = CONTEXTS, rounds: int = ROUNDS, head: int = HEAD) -> Classes:
+def cluster(chunks: DataFrame, n_docs: int, n_classes: int = CLASSES, rounds: int = ROUNDS, head: int = HEAD, heavy: int = HEAVY) -> Classes:
     """Classes of the words of the n_docs texts that are not held out."""
     spark = chunks.sparkSession
     training = chunks.select("chunk", "words", "tokens", "lens", "held")
     counts = materialize(training.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
     tokens, types, once = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count(F.when(F.col("n") == 1, 1))).first()
-    top = [bytes(r["word"]) for r in most_frequent(counts, max(n_contexts, n_classes)).collect()]
-    contexts = {w: i for i, w in enumerate(top[:n_contexts])}
-    n_ctx = n_contexts + 2
-    _settle(spark)
-    dealt = training.mapInArrow(_vectors(contexts, n_ctx), "word binary, vec binary").repartition("word").sortWithinPartitions("word")
-    vectors = materialize(dealt.mapInArrow(_merge(2 * n_ctx), "word binary, vec binary"), "lm-vectors")
-    _settle(spark)
+    top = most_frequent(counts.where(F.octet_length("word") <= HEAD_BYTES), head).toArrow()
+    named, n = {w: i for i, w in enumerate(top["word"].to_pylist())}, top["n"].to_numpy().astype(np.int64)
+    settle(spark)
+    index = spark.sparkContext.broadcast(named)
+    width = 2 * (len(named) + 2)
+    dealt = training.mapInArrow(_neighbours(index, len(named), heavy), NEIGHBOURS).repartition("owner", "salt").sortWithinPartitions("owner")
+    rows = materialize(dealt.mapInArrow(_merge(width), NEIGHBOURS), "lm-neighbours", "zstd")
+    settle(spark)
     _many_rows(spark)
-    before, table = None, np.zeros((n_classes, 2 * n_ctx))
-    seeds = {w: i for i, w in enumerate(top[:n_classes])}
-    for r in vectors.where(F.col("word").isin([F.lit(w) for w in seeds])).collect() if seeds else []:
-        entry = np.frombuffer(r["vec"], dtype=ENTRY)
-        table[seeds[bytes(r["word"])], entry["ctx"]] += entry["n"]
-    for _ in range(rounds):
-        cells = vectors.select("vec").mapInArrow(_tables(table, before), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
-        before, table = table, np.zeros((n_classes, 2 * n_ctx))
-        if cells:
-            table.ravel()[[c["cell"] for c in cells]] = [c["n"] for c in cells]
-    words = materialize(vectors.mapInArrow(_final(table, before), "word binary, n long, class int"), "lm-words")
-    release(vectors, counts)
-    sizes = np.zeros(n_classes + 1)
-    for r in words.groupBy("class").agg(F.sum("n").alias("n")).collect():
-        sizes[r["class"]] = r["n"]
-    sizes[n_classes] = n_docs
-    frequent = most_frequent(words, head).toArrow()
-    named = dict(zip(frequent["word"].to_pylist(), zip(frequent["n"].to_pylist(), frequent["class"].to_pylist())))
-    _many_rows(spark)
-    _settle(spark)
-    return Classes(words, named, sizes, tokens + n_docs, types + (n_docs > 0), once + (n_docs == 1))
+    exchange = Exchange(rows, len(named), n_classes, heavy)
+    klass = exchange.run(rounds) if len(named) else np.zeros(0, dtype=np.uint8)
+    release(rows)
+    index.destroy()
+    sizes = np.zeros(n_classes + 2)
+    sizes[:n_classes] = np.bincount(klass, weights=n, minlength=n_classes)
+    sizes[n_classes], sizes[n_classes + 1] = tokens - n.sum(), n_docs
+    tune(spark)
+    settle(spark)
+    return Classes(counts, named, n, klass.astype(np.int64), sizes, tokens + n_docs, types + (n_docs > 0), once + (n_docs == 1), exchange.likelihoods)
 
 
 # --- texts by classes -----------------------------------------------------------------------------------------------
 
 PART = "chunk long, codes binary, once binary, lens binary, ids binary, named binary, held binary, known binary, base binary, emitted binary"
 _PART = pa.schema([("chunk", pa.int64())] + [(n, pa.binary()) for n in ("codes", "once", "lens", "ids", "named", "held", "known", "base", "emitted")])
-_RARE = pa.schema([("word", pa.binary()), ("chunk", pa.int64()), ("at", pa.int32())])
-RARE = "word binary, chunk long, at int"
+_RARE = pa.schema([("word", pa.binary()), ("chunk", pa.int64()), ("places", pa.binary())])
+RARE = "word binary, chunk long, places binary"
 
 
 def _in_head(c: Chunk, get) -> np.ndarray:
@@ -386,14 +478,22 @@ def _by_head(head):
 
 
 def _rare(head):
+    """A row for each word of a chunk that the head does not hold, with its places among the chunk's tokens."""
+
     def run(batches):
         for c in _chunks(batches):
-            there = (_in_head(c, head.value[0].get) < 0)[c.tokens]
-            at = np.flatnonzero(there)
-            words = pa.array(c.words, pa.binary())
-            for lo in range(0, len(at), 100_000):
-                part = at[lo : lo + 100_000]
-                yield pa.RecordBatch.from_arrays([words.take(pa.array(c.tokens[part].astype(np.int64))), pa.array(np.full(len(part), c.key)), pa.array(part.astype(np.int32))], schema=_RARE)
+            at = np.flatnonzero((_in_head(c, head.value[0].get) < 0)[c.tokens])
+            if not len(at):
+                continue
+            word = c.tokens[at]
+            order = np.argsort(word, kind="stable")
+            at, word = at[order].astype("<u4"), word[order]
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            ends = np.concatenate([first[1:], [len(word)]])
+            names = pa.array(c.words, pa.binary())
+            for lo in range(0, len(first), 50_000):
+                base, stop = int(first[lo]), ends[lo : lo + 50_000]
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(word[first[lo : lo + 50_000]].astype(np.int64))), pa.array(np.full(len(stop), c.key)), _binary(at[base : int(stop[-1])].tobytes(), (stop - base) * 4)], schema=_RARE)
 
     return run
 
@@ -449,14 +549,16 @@ def _meet(n_classes: int, sizes: np.ndarray, tokens: int, types: int):
         codes[place] = get("codes", np.uint8)
         once[place] = np.unpackbits(get("once", np.uint8), count=len(text)).astype(bool)
         if rare.num_rows:
-            at, n, klass = (rare[c].to_numpy() for c in ("at", "n", "class"))
-            codes[place[at]] = np.where(n > 0, klass, n_classes + 1)
+            places = rare["places"].to_pylist()
+            at = np.frombuffer(b"".join(places), dtype="<u4").astype(np.int64)
+            n = np.repeat(rare["n"].to_numpy(), [len(x) // 4 for x in places])
+            codes[place[at]] = np.where(n > 0, n_classes - 1, n_classes + 1)  # the last class, or unseen
             once[place[at]] = n == 1
-            total = sizes[np.where(n > 0, klass, 0)]
+            total = sizes[n_classes - 1]
             add = lambda x: np.bincount(text[at], weights=x, minlength=len(lens))
             known += add(n > 0).astype(np.int64)
             base += add(np.log10((n + 0.5) * 2 * floor))
-            emitted += add(np.where(n > 0, np.log10(np.maximum(n, 1) / np.maximum(total, 1)), 0))
+            emitted += add(np.where(n > 0, np.log10(np.maximum(n, 1) / max(total, 1)), 0))
         known += n_end > 0
         base += np.log10((n_end + 0.5) * 2 * floor)
         # with a single training text its end is a word that occurs once
@@ -510,7 +612,7 @@ def _score(logs: np.ndarray):
     return run
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, n_classes: int = CLASSES, n_contexts: int = CONTEXTS, rounds: int = ROUNDS, head: int = HEAD, chunk_words: int = CHUNK_WORDS, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, n_classes: int = CLASSES, rounds: int = ROUNDS, head: int = HEAD, heavy: int = HEAVY, chunk_words: int = CHUNK_WORDS, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity: one row a document."""
     spark = docs.sparkSession
     tune(spark)
@@ -520,30 +622,25 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(text_or_empty(text_col).cast("binary").alias("text"), F.col(id_col).cast("bigint").alias("id"), held.alias("held_out"))
     n_docs = texts.where(~F.col("held_out")).count()
     chunks = materialize(texts.mapInArrow(_encode(chunk_words, chunk_tokens), CHUNK), "lm-chunks", "zstd")
-    _many_rows(spark)
-    c = cluster(chunks, n_docs, n_classes, n_contexts, rounds, head)
+    c = cluster(chunks, n_docs, n_classes, rounds, head, heavy)
     floor = 0.5 / (c.tokens + 0.5 * (c.types + 1)) if c.tokens else 1.0
-    n, klass = (np.array([x[k] for x in c.head.values()], dtype=np.int64) for k in (0, 1))
     # one more place at the end, for words that the head does not hold
     frequent = spark.sparkContext.broadcast((
-        {w: i for i, w in enumerate(c.head)}, np.append(klass, TAIL), np.append(np.log10((n + 0.5) * 2 * floor), 0.0), np.append(np.log10(n / c.sizes[klass]) if len(n) else [], 0.0), np.append(n == 1, False).astype(bool),
+        c.head, np.append(c.klass, TAIL), np.append(np.log10((c.n + 0.5) * 2 * floor), 0.0), np.append(np.log10(c.n / c.sizes[c.klass]), 0.0), np.append(c.n == 1, False).astype(bool),
     ))
     by_head = chunks.mapInArrow(_by_head(frequent), PART)
-    # words are one row each and dealt evenly: a hash table of a partition of them saves sorting the rare words
-    rare = chunks.select("chunk", "words", "tokens", "lens", "held").mapInArrow(_rare(frequent), RARE).join(c.words.hint("shuffle_hash"), "word", "left")
-    rare = rare.select("chunk", "at", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce(F.col("class"), F.lit(NONE)).alias("class"))
-    side = n_classes + 2
-    stats = by_head.groupBy("chunk").cogroup(rare.groupBy("chunk")).applyInArrow(_meet(n_classes, c.sizes, c.tokens, c.types), STAT)
+    rare = chunks.select("chunk", "words", "tokens", "lens", "held").mapInArrow(_rare(frequent), RARE).join(c.counts, "word", "left")
+    rare = rare.select("chunk", "places", F.coalesce("n", F.lit(0)).alias("n"))
+    all_classes = n_classes + 1  # with that of all rarer words
+    side = all_classes + 2
+    stats = by_head.groupBy("chunk").cogroup(rare.groupBy("chunk")).applyInArrow(_meet(all_classes, c.sizes, c.tokens, c.types), STAT)
     stats = materialize(stats, "lm-stats")
-    release(chunks)
-    _many_rows(spark)
-    _settle(spark)
+    release(chunks, c.counts)
+    settle(spark)
     counts = np.zeros(side * side)
     for r in stats.where(~F.col("held_out")).select("moves", "more").mapInArrow(_sums(side), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
         counts[r["cell"]] = r["n"]
     logs = transition_logs(counts.reshape(side, side), c.sizes, c.tokens, c.once)
-    release(c.words)
     scored = stats.mapInArrow(_score(logs), "id long, held_out boolean, tokens long, known long, base double, score double")
     perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("tokens"))
     return scored.select(F.col("id").alias("doc_id"), "held_out", F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(int(c.tokens)).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score", perplexity.alias("perplexity"))
-
