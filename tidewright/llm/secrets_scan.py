@@ -1,15 +1,27 @@
 """Secret scans: fixed patterns, and character Markov models compared by log-likelihood ratio.
 
 The base kinds are patterns (an assigned value, an access key, a run of hex digits). The method adds spans of kind
-`markov`: runs of key characters that overlap no base span and that a Markov chain of random strings explains better,
-by a threshold in bits, than a chain of ordinary identifiers. Both chains are of order one over character classes
-kept apart by case, digits and signs, trained on labelled samples: random strings drawn from the usual alphabets of
-keys with a seed, and on the other side the distinct words of a bounded sample of the documents, with base spans
-taken out (the bound is a parameter; scanning covers every whole text of all documents).
+`markov`: runs of key characters that overlap no base span and that a Markov chain of secrets explains better, by a
+threshold in bits, than a chain of ordinary identifiers. Both chains are of order one over the single characters, and
+are trained on labelled samples:
+
+    secret     random strings over the usual alphabets of keys, the values that base spans of the corpus assign, and
+               access keys
+    ordinary   identifiers of the usual kinds put together from words and numbers (snake, camel and kebab case, URL
+               paths, hosts, pods, versions, times), and the distinct words of every document outside base spans
+
+The generated samples are fixed in number; what the corpus gives is counted over all documents, without a sample or a
+bound, and weighs at most as much as the generated ordinary ones (values: a quarter of the generated secrets), so that
+chains come out alike at every size. A caller's own labelled rows count each as one sample.
+
+Ordinary for the chains are UUIDs, digests and commit ids in either case, and the random ends of pod names: they name
+things and open nothing. A run of 24 lower-case hex digits is found by its base kind all the same. Letters alone are
+judged like any other run; runs without any letter are numbers or rules and are not asked.
 
 Defined results: null text is empty; a text without finds has zero counts, empty spans and the hash of the empty
-string; rows repeat as they come; a null identifier stays null; an empty table gives no rows and a model that falls
-back on built-in words; further columns are not read. Very long texts are scanned as a whole.
+string; rows repeat as they come, each counts as a document; a null identifier stays null; an empty table gives no
+rows, and a model of the generated samples; labelled rows with nulls are left out; further columns are not read. Very
+long texts are scanned as a whole.
 """
 
 from __future__ import annotations
@@ -24,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_sample, materialize, text_or_empty, tune
+from .common import text_or_empty, tune
 
 #: The base kinds in order, with their patterns and least lengths (of group 2, of the match, of the match).
 KINDS = ("assign", "access", "hex", "markov")
@@ -37,14 +49,24 @@ HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Key alphabets and lengths of the random samples.
-SHAPES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789abcdef")
-DIGIT, LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
+_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+#: Alphabets of the generated secrets.
+SHAPES = (_UPPER + _LOWER + _DIGITS + "+/", _UPPER + _LOWER + _DIGITS, _UPPER + _LOWER + _DIGITS + "_-", _LOWER + _DIGITS, _UPPER + _DIGITS)
+#: Words of the generated identifiers.
+PARTS = """account action admin array async backup batch block body buffer build cache call channel check child class client cluster
+    color column command comment config connect content context count create cursor custom data date debug default deploy device
+    directory display document domain driver element email enable encode engine entry error event example export factory feature
+    field file filter find flag folder format frame function gateway global graph group handler header height helper history host
+    image import index info init input install instance integer item job json language layout length library limit line link list
+    load local location lock main manager map match max memory menu message method metric min mode model module monitor name native
+    network next node number object offset option order output owner package page parent path pattern pipeline plan platform""".split()
+#: What the random ends of pod names are made of.
+POD = "bcdfghjklmnpqrstvwxz2456789"
+GENERATED = 40_000
+LETTER = re.compile("[A-Za-z]")
 WORD = re.compile(r"[A-Za-z0-9+/_=-]{3,}")
-FALLBACK = ("value", "identifier", "configuration", "get_user_name", "HttpRequestHandler", "max-retry-count", "index2", "total_items")
-MAX_DOCS, MAX_WORDS = 2000, 200_000
-#: Bits by which the random chain must win, over the whole run and for each character.
-LEAST_BITS, LEAST_RATE = 24.0, 1.0
+#: Bits by which the chain of secrets must win, over the whole run and for each character.
+LEAST_BITS, LEAST_RATE = 20.0, 1.0
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -61,7 +83,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 @dataclass
 class MarkovPair:
-    """ratio[a, b]: bits by which `random` beats `ordinary` for b after a; row len(ALPHABET) is the start of a run."""
+    """ratio[a, b]: bits by which `secret` beats `ordinary` for b after a; row len(ALPHABET) is the start of a run."""
 
     ratio: np.ndarray
 
@@ -70,36 +92,65 @@ class MarkovPair:
         return float(self.ratio[len(ALPHABET), at[0]] + self.ratio[at[:-1], at[1:]].sum())
 
 
-CODES = np.zeros(128, dtype=np.int64)
-CODES[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
+SIDE = len(ALPHABET)
+CODES = np.full(256, SIDE, dtype=np.int64)  # all other characters end a run, like its start
+CODES[[ord(c) for c in ALPHABET]] = np.arange(SIDE)
 
 
-def chain(samples, prior: float) -> np.ndarray:
-    """log2 of smoothed transition probabilities; the last row holds first characters."""
-    n = len(ALPHABET)
-    count = np.full((n + 1, n), prior)
-    for s in samples:
-        at = CODES[np.frombuffer(s.encode("ascii"), dtype=np.uint8)]
-        if len(at):
-            count[n, at[0]] += 1
-            np.add.at(count, (at[:-1], at[1:]), 1)
-    return np.log2(count / count.sum(axis=1, keepdims=True))
+def transitions(samples) -> np.ndarray:
+    """How often each character follows each other one, or begins (last row), in all samples together."""
+    at = CODES[np.frombuffer("\n".join(["", *samples]).encode("ascii"), dtype=np.uint8)]
+    cell = at[:-1] * SIDE + at[1:]
+    return np.bincount(cell[at[1:] < SIDE], minlength=(SIDE + 1) * SIDE).reshape(SIDE + 1, SIDE)
 
 
-def train(words, seed: int = 11, n_random: int = 20_000) -> MarkovPair:
-    """words: ordinary identifiers; random strings are drawn here, longer ones from every shape alike."""
-    rnd = random.Random(seed)
-    keys = ("".join(rnd.choices(SHAPES[i % len(SHAPES)], k=rnd.randint(16, 48))) for i in range(n_random))
-    return MarkovPair(chain(keys, 0.5) - chain([*words, *FALLBACK], 0.1))
+def chain(counts: np.ndarray, prior: float) -> np.ndarray:
+    """log2 of smoothed transition probabilities."""
+    soft = counts + prior
+    return np.log2(soft / soft.sum(axis=1, keepdims=True))
+
+
+def generated_secret(rnd: random.Random) -> str:
+    return "".join(rnd.choices(rnd.choice(SHAPES), k=rnd.randint(16, 48)))
 
 
-def ordinary_words(text: str) -> set[str]:
-    out, at = set(), 0
-    for start, end, _ in base_spans(text):
-        out.update(WORD.findall(text, at, max(at, start)))
+def generated_name(rnd: random.Random) -> str:
+    """An identifier of one of the usual kinds."""
+    words = [rnd.choice(PARTS) for _ in range(rnd.randint(2, 5))]
+    some = lambda alphabet, n: "".join(rnd.choices(alphabet, k=n))
+    titled = [w.title() for w in words]
+    hexed = some("0123456789abcdef", rnd.choice((16, 24, 32, 40, 64)))
+    uuid = "-".join(some("0123456789abcdef", n) for n in (8, 4, 4, 4, 12))
+    kinds = (
+        "_".join(words), "_".join(words).upper(), "-".join(words), "".join(titled), words[0] + "".join(titled[1:]), "".join(words), "/" + "/".join(words), uuid, uuid.upper(), hexed, hexed.upper(),
+        "-".join(words[:2]) + f"-{some(POD, rnd.randint(8, 10))}-{some(POD, 5)}", "-".join(words[:2]) + rnd.choice("-_") + some(_DIGITS, rnd.randint(2, 12)), "-".join(words[:2]) + "-v" + "-".join(some(_DIGITS, 3)),
+        f"20{some(_DIGITS, 6)}T{some(_DIGITS, 6)}Z-{words[0]}", f"{words[0]}-{rnd.choice(('east', 'west', 'north', 'south'))}-{some(_DIGITS, 1)}/{words[1]}-{some(_DIGITS, 2)}",
+    )
+    return rnd.choice(kinds)
+
+
+def train(words: np.ndarray | None = None, values: np.ndarray | None = None, seed: int = 11, generated: int = GENERATED) -> MarkovPair:
+    """words, values: transitions of ordinary words and of secrets from elsewhere, which weigh no more than the generated ones."""
+    rnd = random.Random(seed)
+    secret, ordinary = (transitions(make(rnd) for _ in range(generated)).astype(float) for make in (generated_secret, generated_name))
+    for own, more, most in ((ordinary, words, 1.0), (secret, values, 0.25)):
+        if more is not None and more.sum():
+            own += more * min(1.0, most * own.sum() / more.sum())
+    return MarkovPair(chain(secret, 0.5) - chain(ordinary, 0.1))
+
+
+def labelled(text: str) -> tuple[set[str], list[str]]:
+    """(ordinary words, secrets) of one text, by its base spans."""
+    words, values, at = set(), [], 0
+    for start, end, kind in base_spans(text):
+        words.update(WORD.findall(text, at, max(at, start)))
+        if kind == 0:
+            values.append(ASSIGN.match(text, start).group(2).replace(".", "\n"))
+        elif kind == 1:
+            values.append(text[start:end])
         at = max(at, end)
-    out.update(WORD.findall(text, at))
-    return {w for w in out if len(w) < 40 and sum(c.isdigit() for c in w) * 3 <= len(w)}
+    words.update(WORD.findall(text, at))
+    return words, values
 
 
 def spans(text: str, model: MarkovPair | None) -> list[tuple[int, int, int]]:
@@ -110,7 +161,7 @@ def spans(text: str, model: MarkovPair | None) -> list[tuple[int, int, int]]:
     more = []
     for m in RUN.finditer(text):
         run = m.group()
-        if not DIGIT.search(run) or not LETTER.search(run):  # long words, and plain numbers
+        if not LETTER.search(run):  # plain numbers, rules
             continue
         if any(s < m.end() and m.start() < e for s, e, _ in found):
             continue
@@ -141,21 +192,39 @@ def _scan(model: MarkovPair):
     return run
 
 
-def _words(batches):
+def _count(batches):
+    """What a task's texts add to the transitions of words (0) and of values (1)."""
+    total = np.zeros((2, (SIDE + 1) * SIDE), dtype=np.int64)
     for b in batches:
-        out = set()
         for x in b.column(0):
-            out |= ordinary_words(x.as_py())
-        yield pa.RecordBatch.from_arrays([pa.array(sorted(out), pa.string())], names=["word"])
+            for k, samples in enumerate(labelled(x.as_py())):
+                if samples:
+                    total[k] += transitions(samples).ravel()
+    kind, cell = np.nonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(cell, pa.int32()), pa.array(total[kind, cell])], names=["kind", "cell", "n"])
+
+
+def _count_rows(batches):
+    total = np.zeros((2, (SIDE + 1) * SIDE), dtype=np.int64)
+    for b in batches:
+        for x, secret in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            total[int(secret)] += transitions(WORD.findall(x)).ravel()
+    kind, cell = np.nonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(cell, pa.int32()), pa.array(total[kind, cell])], names=["kind", "cell", "n"])
 
 
-def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS) -> MarkovPair:
-    """A model whose ordinary side are words of the max_docs documents of smallest hashed identifier."""
+def train_on(docs: DataFrame, text_col: str = "text", samples: DataFrame | None = None) -> MarkovPair:
+    """A model from the samples that all documents give, and from the caller's labelled ones (text, secret: boolean)."""
     tune(docs.sparkSession)
-    ids = hashed_sample(docs.select(F.col(id_col).cast("bigint").alias("_id")).dropna(), "_id", max_docs).distinct()
-    some = docs.select(F.col(id_col).cast("bigint").alias("_id"), text_or_empty(text_col).alias("_text")).join(F.broadcast(ids), "_id").select("_text")
-    words = hashed_sample(materialize(some.mapInArrow(_words, "word string").distinct(), "secret-words"), "word", max_words)
-    return train(sorted(r.word for r in words.collect()))
+    schema = "kind int, cell int, n long"
+    rows = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(_count, schema)
+    if samples is not None:
+        rows = rows.unionAll(samples.select(F.col("text").cast("string"), F.col("secret").cast("boolean")).dropna().mapInArrow(_count_rows, schema))
+    total = np.zeros((2, (SIDE + 1) * SIDE))
+    for r in rows.groupBy("kind", "cell").agg(F.sum("n").alias("n")).collect():  # 9,000 cells at most
+        total[r["kind"], r["cell"]] = r["n"]
+    words, values = total.reshape(2, SIDE + 1, SIDE)
+    return train(words, values)
 
 
 def scan_secrets(docs: DataFrame, model: MarkovPair, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
