@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, release, salt_mask, salt_of, small, spread, text_or_empty, tune
+from .common import connected_components, kept, materialize, release, salt_mask, salt_of, scratch, small, spread, text_or_empty, tune, unused
 
 SEED = 42
 
@@ -75,7 +75,9 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     """(a, b) between distinct values of fps.fp at most max_bits (even) apart; a tree within each bucket, not all pairs."""
     if max_bits % 2 or not 0 < max_bits <= 4:
         raise ValueError("max_bits must be 2 or 4: the ball has half of it as its radius")
-    variants = fps.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m).cast("bigint")) for m in ball(max_bits // 2)])).alias("variant"))
+    # a fingerprint is eight bytes and makes dozens of variants: dealt to all tasks first, whatever its bytes
+    dealt = fps.select("fp").repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    variants = dealt.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m).cast("bigint")) for m in ball(max_bits // 2)])).alias("variant"))
     buckets = variants.groupBy("variant").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
     pairs = buckets.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b"))
     return pairs.where(F.col("a") != F.col("b")).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).distinct()
@@ -96,6 +98,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """docs with one document of each component, the one that names it; rows without identifier stay."""
-    gone = simhash_groups(docs, id_col, text_col, **kw).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id"))
-    gone = materialize(gone.distinct(), "simhash-gone")
-    return docs.join(small(gone), F.col(id_col).cast("bigint") == F.col("_gone_id"), "left_anti")
+    gone_id = unused("_gone_id", docs)
+    with scratch():
+        gone = simhash_groups(docs, id_col, text_col, **kw).where("doc_id <> component_id").select(F.col("doc_id").alias(gone_id))
+        gone = kept(materialize(gone.distinct(), "simhash-gone"))
+    return docs.join(small(gone), F.col(id_col).cast("bigint") == F.col(gone_id), "left_anti")
