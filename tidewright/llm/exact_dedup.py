@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, materialize, salt_mask, salt_of, small, spread, text_or_empty, tune
+from .common import ASCII_SPACE, kept, materialize, salt_mask, salt_of, scratch, small, spread, text_or_empty, tune, unused
 
 NO_ID = (1 << 63) - 1
 #: Bytes that a task's trie holds before the shuffle, and what a node counts besides the bytes of its edge.
@@ -240,7 +240,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """docs without the rows that another one owns, all columns as they were."""
+    gone_id, gone_mark = unused("_gone_id", docs), unused("_gone_mark", docs)
     gone = _decided(docs, id_col, text_col, **kw).where(~F.col("id").eqNullSafe(F.col("keep_id")))
-    gone = materialize(gone.select(F.col("id").alias("_gone_id"), F.col("mark").alias("_gone_mark")).distinct(), "exact-gone")
+    with scratch():
+        gone = kept(materialize(gone.select(F.col("id").alias(gone_id), F.col("mark").alias(gone_mark)).distinct(), "exact-gone"))
     mark = F.xxhash64(F.translate(text_or_empty(text_col), ASCII_SPACE, ""))
-    return docs.join(small(gone), F.col(id_col).cast("bigint").eqNullSafe(F.col("_gone_id")) & (mark == F.col("_gone_mark")), "left_anti")
+    return docs.join(small(gone), F.col(id_col).cast("bigint").eqNullSafe(F.col(gone_id)) & (mark == F.col(gone_mark)), "left_anti")

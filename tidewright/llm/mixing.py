@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, materialize, release, text_or_empty
+from .common import WORD, materialize, release, text_or_empty, unused
 
 #: Exponents tried in one pass over the sources: a pass halves the bracket five times.
 PASS = 31
@@ -163,14 +163,13 @@ def mix_documents(docs: DataFrame, target: Target = Target(), id_col: str = "doc
     copies = materialize(plan.blocks.groupBy("key", "block").agg(F.count(F.when(F.col("room").isNull(), 1)).alias("copies")), "mix-copies")
     edge = materialize(_edge(plan, target.seed).groupBy("key", "id").agg(F.count("*").alias("more")), "mix-edge")
     n_sources = plan.sources.count()
-    names = ["_tidewright_key", "_tidewright_id", "_tidewright_block", "_tidewright_copies", "_tidewright_more", "_tidewright_n"]
-    key, ident, block, whole, more, n = names
+    key, ident, block, whole, more, n, edge_key, edge_id = (unused(f"_tidewright_{x}", docs) for x in ("key", "id", "block", "copies", "more", "n", "edge_key", "edge_id"))
     small = plan.sources.select(F.col("key").alias(key), F.col("n_blocks").alias(n))
     rows = docs.withColumns({key: source_key(source_col), ident: F.col(id_col).cast("bigint")}).join(F.broadcast(small) if n_sources <= BROADCAST_SOURCES else small, key)
     rows = rows.withColumn(block, F.pmod(_unit(target.seed, F.col(ident)), F.col(n)))
     rows = rows.join(copies.select(F.col("key").alias(key), F.col("block").alias(block), F.col("copies").alias(whole)), [key, block], "left")
-    edge = edge.select(F.col("key").alias("_edge_key"), F.col("id").alias("_edge_id"), F.col("more").alias(more))
-    rows = rows.join(edge, (F.col(key) == F.col("_edge_key")) & F.col(ident).eqNullSafe(F.col("_edge_id")), "left").drop("_edge_key", "_edge_id")
+    edge = edge.select(F.col("key").alias(edge_key), F.col("id").alias(edge_id), F.col("more").alias(more))
+    rows = rows.join(edge, (F.col(key) == F.col(edge_key)) & F.col(ident).eqNullSafe(F.col(edge_id)), "left").drop(edge_key, edge_id)
     times = F.coalesce(F.col(whole), F.lit(0)) + F.coalesce(F.col(more), F.lit(0))
     again = F.explode(F.when(times > 0, F.sequence(F.lit(1).cast("bigint"), times)).otherwise(F.array().cast("array<bigint>")))
     return rows.withColumn(n, again).select(*[docs[c] for c in docs.columns])
