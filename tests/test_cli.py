@@ -40,7 +40,11 @@ def test_from_host_to_status(spark, host, tmp_path, capsys, monkeypatch):
     record = json.loads((raw / "pr-5.json").read_text())
     assert [i["number"] for i in record["linked_issues"]] == [6]
     assert any("cross-repo far/away not in allowlist" in w for w in record["collection_meta"]["warnings"])
-    assert run(*collect[:4], "5,8", *collect[5:], "--continue-on-error") == 1 and run(*collect[:4], "x", *collect[5:]) == 2
+    assert run(*collect[:4], "5,8", *collect[5:], "--continue-on-error") == 1 and "Failed acme/w#8" in capsys.readouterr().err
+    (raw / "pr-5.json").unlink()
+    assert run(*collect[:4], "8,5", *collect[5:]) == 1 and not (raw / "pr-5.json").exists()  # nothing behind the first failure
+    assert run(*collect[:4], "8,5", *collect[5:], "--continue-on-error") == 1 and (raw / "pr-5.json").exists()
+    assert run(*collect[:4], "x", *collect[5:]) == 2
 
     (tmp_path / "card.json").write_text(json.dumps({"name": "acme-v0", "source_repo": "acme/w", "language": "Python", "domain_by_pr": {"5": "lists"}}))
     assert run("normalize", "--raw-dir", raw) == 2 and run("normalize", "--raw-dir", tmp_path / "none") == 2 and run("normalize", "--raw-dir", raw, "--card", "gone") == 2
@@ -54,7 +58,7 @@ def test_from_host_to_status(spark, host, tmp_path, capsys, monkeypatch):
 
     assert run("validate", out, "--strict-policy") == 0 and "✓ acme-v0.jsonl" in capsys.readouterr().out
     (tmp_path / "bad.jsonl").write_text("{\n")
-    (tmp_path / "empty.jsonl").write_text("\n\n")
+    (tmp_path / "empty.jsonl").write_text("\n  \n\t\n")
     assert run("validate", "bad.jsonl", "empty.jsonl", "gone.jsonl") == 1
     said = capsys.readouterr().out
     assert "bad.jsonl:1 - Invalid JSON" in said and "no non-empty JSONL records" in said and "File not found" in said

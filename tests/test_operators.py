@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewright import schemas
+from tidewright.functions.text import outline
 from tidewright.operators import checks, evidence, funnel, issues, labels, manifest, patch, quality, signals
-from tidewright.plans.collect import raw_records, wanted_issues, with_issues
+from tidewright.plans.collect import issue_rows, raw_records, wanted_issues, with_issues
 from tidewright.plans.trajectory import normalize
 from tidewright.sources import files, rest, sinks
 
@@ -115,7 +116,7 @@ def test_validation_events(spark, runs, combined, want):
     if combined:
         checks_["combined_status"] = {"state": combined[0], "statuses": [{"context": "x"}] * combined[1]}
     df = raw(spark, record(checks=checks_))
-    got = df.select(evidence.validation_events(F.lit("no section"), F.col("checks.check_runs"), F.col("checks.combined_status")).alias("e")).first().e
+    got = df.select(evidence.validation_events(outline(F.lit("no section")), F.col("checks.check_runs"), F.col("checks.combined_status")).alias("e")).first().e
     assert [(e.type, e.result) for e in got] == want
 
 
@@ -147,6 +148,41 @@ def test_precedence_of_labels(spark):
     assert (got[91].training_use, got[91].domain) == ("other", "tools")
 
 
+def test_a_field_stated_twice_has_one_value(spark):
+    rows = [("acme/widget", 89, "domain", "b"), ("acme/widget", 89, "domain", "a"), ("acme/widget", 89, "language", "Zig"), ("acme/widget", 90, None, "x")]
+    table = labels.override_table(spark, [r for r in rows if r[2]])
+    assert labels.override_map(table).where("pr = 89").first()["table"] == {"domain": "b", "language": "Zig"}
+    late = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], labels.OVERRIDES + ", at int")
+    assert {r.pr: r["table"] for r in labels.override_map(late).collect()} == {89: {"domain": "a", "language": "Zig"}}
+    assert normalize(raw(spark, record()), None, late).first().domain == "a"
+    scores = spark.createDataFrame([("Acme/widget", 89, 0.5)] * 2, labels.QUALITY)
+    assert [r.quality_score for r in normalize(raw(spark, record()), None, late, scores).collect()] == [0.5]
+
+
+def test_wide_records_are_not_shuffled_for_lookups(spark, monkeypatch):
+    table = labels.override_table(spark, [("acme/widget", 89, "domain", "b")])
+    def joins(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return "strategy=broadcast" in plan
+
+    assert joins(labels.with_overrides(raw(spark, record()), table))
+    monkeypatch.setattr(labels.beside, "__defaults__", (0,))
+    assert not joins(labels.with_overrides(raw(spark, record()), table))
+
+
+def test_card_values_keep_their_types(spark):
+    said = {"1": "2024", "2": 2024, "3": "true", "4": True, "5": None, "6": ["x"], "7": " y ", "8": " ", "9": {"a": 1}}
+    card = json.dumps({"source_repo": "Acme/widget", "domain_by_pr": said, "linked_issues_by_pr": {"1": "7", "2": 8, "3": ["9", 10, True], "4": None, "5": True}})
+    rows = raw(spark, *[record(source={"repo": "Acme/widget", "pr_number": n}) for n in range(1, 10)])
+    got = {r.pr_number: r for r in normalize(rows, card).collect()}
+    assert {n: r.domain for n, r in got.items()} == {1: "2024", 3: "true", 7: "y"} | dict.fromkeys((2, 4, 5, 6, 8, 9), "systems")
+    linked = {n: [int(u.rsplit("/", 1)[1]) for u in r.source_urls[1:]] for n, r in got.items()}
+    assert linked == {1: [7], 2: [8], 3: [9, 10], **{n: [] for n in range(4, 10)}}
+    assert {(r.field, r.pr): r.value for r in labels.card_overrides(spark, card).where("pr < 4").collect()} == {
+        ("domain", 1): "2024", ("domain", 2): "2024", ("domain", 3): "true", ("linked_issues", 1): "7", ("linked_issues", 2): "8", ("linked_issues", 3): '["9",10,true]',
+    }
+
+
 def test_nothing_is_stated_twice(spark):
     card = json.dumps({"source_repo": "Acme/widget", "domain_by_pr": {"89": "a", "x": "b"}, "linked_issues_by_pr": {"7": [1]}})
     table = labels.override_table(spark, [("acme/widget", 89, "domain", "t"), ("acme/widget", 89, "task_type", "t"), ("other/x", 7, "linked_issues", "[1]")])
@@ -209,6 +245,21 @@ def test_lines_are_numbered_across_parts(spark, tmp_path):
     assert sorted((r.file, r.line, r.text) for r in got) == sorted((n, i, f"{n} {i}") for n in ("a.jsonl", "b.jsonl") for i in range(1, 400) if i % 7)
 
 
+def test_lines_of_spaces_are_no_records(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text("  \n\t\n\u3000\n{}\n \n")
+    assert [(r.line, r.text) for r in files.json_lines(spark, str(tmp_path / "x.jsonl")).collect()] == [(4, "{}")]
+
+
+def test_table_of_trajectories_is_written_whole_or_not_at_all(spark, tmp_path):
+    good, path = normalize(raw(spark, record(), record(source={"repo": "a/b", "pr_number": 2}))), str(tmp_path / "t")
+    assert sinks.write_trajectory_table(good, path) == 2
+    for bad in (good.withColumn("outcome", F.when(F.col("pr_number") == 2, "lost").otherwise(F.col("outcome"))), good.limit(0)):
+        with pytest.raises(sinks.BadRecords):
+            sinks.write_trajectory_table(bad, path)
+        assert spark.read.schema(schemas.TRAJECTORY).parquet(path).count() == 2 and not (tmp_path / "t.part").exists()
+    assert sinks.write_trajectory_table(good.where("pr_number = 2"), path) == 1 and spark.read.parquet(path).count() == 1
+
+
 def test_status_page(spark):
     rows = [{"pr_number": n, "domain": d, "training_use": "repair", "task_type": None, "quality_score": q, "review_signal_count": 8, "unique_review_signal_count": u, "validation_count": 3} for n, d, q, u in ((2, "x", 0.9, 1), (10, None, None, 8))]
     found = spark.read.schema(schemas.MANIFEST).json(spark.sparkContext.parallelize([json.dumps({"name": "b", "created_at": "2026-02-01", "record_count": 2, "records": rows}), json.dumps({"name": "a", "created_at": "2026-02-01", "record_count": 0, "records": []})], 1))
@@ -302,6 +353,29 @@ def test_pages_follow_links_and_schemes_are_kept_safe():
         rest.resolve("ftp://h/x")
 
 
+def test_tasks_that_ask_at_once_are_capped():
+    shares = lambda **o: [p.places for p in rest.RestReader({"repo": "a/b", "numbers": "1,2,3,4,5"} | o).partitions()]
+    assert shares(partitions="2") == [(("a/b", 1), ("a/b", 3), ("a/b", 5)), (("a/b", 2), ("a/b", 4))]
+    assert len(shares()) == rest.PARTITIONS and len(shares(partitions="9")) == 5
+    assert rest.RestReader({"issues": "a/b#3, c/d#4,a/b#3"}).partitions()[0].places == (("a/b", 3),)
+    for bad in ({"partitions": "0"}, {"issues": "x"}):
+        with pytest.raises(ValueError):
+            shares(**bad)
+
+
+def test_errors_become_rows(spark, tmp_path):
+    (tmp_path / "issue_3.json").write_text('{"number": 3, "title": "T", "pull_request": {"url": "u"}}')
+    spark.dataSource.register(rest.RestSource)
+    read = spark.read.format("code_host").option("fixtures", str(tmp_path))
+    got = read.option("issues", "a/b#3,a/b#4").option("onerror", "row").load()
+    assert sorted((r.number, r.endpoint) for r in got.collect()) == [(3, "issue"), (4, "warning")]
+    assert [(r.repo, r.number, r.title, r.pull_request) for r in issue_rows(got).collect()] == [("a/b", 3, "T", '{"url":"u"}')]
+    pulls = spark.read.format("code_host").option("fixtures", str(tmp_path)).option("repo", "a/b").option("numbers", "7")
+    assert [(r.number, r.endpoint) for r in pulls.option("onerror", "row").load().collect()] == [(7, "error")]
+    with pytest.raises(Exception, match="404"):
+        pulls.option("onerror", "stop").load().collect()
+
+
 def test_collected_from_fixtures(spark, tmp_path):
     user = {"login": "ann", "type": "User"}
     docs = {

@@ -19,12 +19,10 @@ from pyspark.sql import functions as F
 from . import session
 from .operators import checks, manifest
 from .operators.funnel import parse_numbers
-from .plans.collect import raw_records, wanted_issues, with_issues
+from .plans.collect import issue_rows, raw_records, wanted_issues, with_issues
 from .plans.trajectory import normalize
 from .sources import files, rest, sinks
 
-ISSUES = "repo string, number bigint, title string, body string, state string, html_url string, pull_request string"
-
 
 class Unusable(Exception):
     """Arguments or settings that nothing can be begun with."""
@@ -82,22 +80,33 @@ def list_(args) -> int:
     return 0
 
 
-def collected(spark: SparkSession, args, client: rest.Client, repo: str, number: int) -> DataFrame:
-    """The raw record of one pull request, with the issues that it closes."""
+def reader(spark: SparkSession, args, onerror: str = "row"):
     session.ship(spark)
     spark.dataSource.register(rest.RestSource)
-    skip = ",".join(k for k in ("diff", "checks") if getattr(args, f"skip_{k}"))
-    read = spark.read.format("code_host").option("repo", repo).option("numbers", str(number)).option("skip", skip).option("tokenenv", args.token_env)
-    rows = raw_records((read.option("fixtures", args.fixtures) if args.fixtures else read).load(), authenticated=client.token is not None)
-    want = wanted_issues(rows, args.allow_cross_repo).collect()
-    found, warnings = rest.fetch_issues(client, [(w.issue_repo, w.issue_number) for w in want if w.allowed])
-    warnings += [f"linked_issue_{w.issue_number}_skipped: cross-repo {w.issue_repo} not in allowlist (pass --allow-cross-repo {w.issue_repo})" for w in want if not w.allowed]
-    rows = with_issues(rows, spark.createDataFrame(found, ISSUES), args.allow_cross_repo)
-    more = F.array(*[F.lit(w) for w in warnings]).cast("array<string>")
-    return rows.withColumn("collection_meta", F.col("collection_meta").withField("warnings", F.concat("collection_meta.warnings", more)))
+    read = spark.read.format("code_host").option("tokenenv", args.token_env).option("partitions", args.partitions).option("onerror", onerror)
+    return read.option("fixtures", args.fixtures) if args.fixtures else read
+
+
+def with_linked(spark: SparkSession, args, rows: DataFrame) -> DataFrame:
+    """Raw records with the issues that they close, each asked for once; the list of issues is bounded by the numbers asked for."""
+    want = wanted_issues(rows, args.allow_cross_repo)
+    asked = [f"{r.issue_repo}#{r.issue_number}" for r in want.where("allowed").select("issue_repo", "issue_number").distinct().orderBy("issue_repo", "issue_number").collect()]
+    schema = "repo string, number int, endpoint string, payload string"
+    got = reader(spark, args).option("issues", ",".join(asked)).load().cache() if asked else spark.createDataFrame([], schema)
+    rows = with_issues(rows, issue_rows(got), args.allow_cross_repo)
+    key = lambda repo, number: (F.lower(repo).alias("k_repo"), number.cast("bigint").alias("k_number"))
+    failed = got.where("endpoint = 'warning'").select(*key(F.col("repo"), F.col("number")), F.col("payload").alias("said"))
+    said = want.where("allowed").select("repo", "pr_number", *key(F.col("issue_repo"), F.col("issue_number"))).join(failed, ["k_repo", "k_number"]).select("repo", "pr_number", "said")
+    skipped = F.concat(F.lit("linked_issue_"), F.col("issue_number").cast("string"), F.lit("_skipped: cross-repo "), F.col("issue_repo"), F.lit(" not in allowlist (pass --allow-cross-repo "), F.col("issue_repo"), F.lit(")"))
+    said = said.unionByName(want.where("not allowed").select("repo", "pr_number", skipped.alias("said")))
+    more = said.groupBy(F.col("repo").alias("w_repo"), F.col("pr_number").alias("w_number")).agg(F.array_sort(F.collect_set("said")).alias("w_said"))
+    rows = rows.join(more, (F.col("source.repo") == F.col("w_repo")) & (F.col("source.pr_number") == F.col("w_number")), "left")
+    told = F.concat("collection_meta.warnings", F.coalesce("w_said", F.array().cast("array<string>")))
+    return rows.withColumn("collection_meta", F.col("collection_meta").withField("warnings", told)).drop("w_repo", "w_number", "w_said")
 
 
 def collect(args) -> int:
+    """All numbers in one query; without --continue-on-error numbers behind the first that fails are not written."""
     repo, wanted = repository(args.repo), numbers(args.pr)
     if not wanted:
         raise Unusable("no pull requests")
@@ -105,20 +114,24 @@ def collect(args) -> int:
     if args.dry_run:
         print(f"Would collect {repo} PRs {wanted} → {folder}" + (" (with --skip-existing)" if args.skip_existing else ""))
         return 0
-    spark, client = session.build("collect"), client_of(args)
-    done = skipped = failed = 0
-    for number in wanted:
-        if args.skip_existing and (Path(folder) / f"pr-{number}.json").exists():
-            skipped += 1
-            continue
-        try:
-            done += sinks.write_raw_files(collected(spark, args, client, repo, number), folder, args.max_inline_diff_bytes)
-        except Exception as e:  # noqa: BLE001  the reader's errors come wrapped in Spark's
-            failed += 1
-            say(f"Failed {repo}#{number}: {e}")
-            if not args.continue_on_error:
-                return 1
-    say(f"{done} collected, {skipped} skipped, {failed} failed → {folder}")
+    there = [n for n in wanted if args.skip_existing and (Path(folder) / f"pr-{n}.json").exists()]
+    todo, failed, done = [n for n in wanted if n not in there], {}, 0
+    if todo:
+        spark = session.build("collect")
+        skip = ",".join(k for k in ("diff", "checks") if getattr(args, f"skip_{k}"))
+        payloads = reader(spark, args).option("repo", repo).option("numbers", ",".join(map(str, todo))).option("skip", skip).load().cache()
+        failed = {r.number: r.payload for r in payloads.where("endpoint = 'error'").select("number", "payload").collect()}
+        stop = next((i for i, n in enumerate(todo) if n in failed), len(todo)) if not args.continue_on_error else len(todo)
+        good = [n for n in todo[:stop] if n not in failed]
+        for n in todo[: stop + 1]:
+            if n in failed:
+                say(f"Failed {repo}#{n}: {failed[n]}")
+        if good:
+            rows = raw_records(payloads.where(F.col("number").isin(good)), authenticated=client_of(args).token is not None).cache()
+            done = sinks.write_raw_files(with_linked(spark, args, rows), folder, args.max_inline_diff_bytes)
+            rows.unpersist()
+        payloads.unpersist()
+    say(f"{done} collected, {len(there)} skipped, {len(failed)} failed → {folder}")
     return 1 if failed else 0
 
 
@@ -164,8 +177,8 @@ def validate(args) -> int:
             found = [f"  ERROR: File not found: {path}"]
         else:
             lines = files.json_lines(spark, absolute(path))
-            rows = checks.validate_lines(lines, args.strict_policy).orderBy("line", "path", "message").collect()
-            found = [f"  {r.file}:{r.line} " + (f"[{r.path}] - " if r.path else "- ") + r.message for r in rows]
+            rows = checks.validate_lines(lines, args.strict_policy).orderBy("line", "path", "message")
+            found = [f"  {r.file}:{r.line} " + (f"[{r.path}] - " if r.path else "- ") + r.message for r in rows.toLocalIterator()]
             if lines.isEmpty():
                 found = [f"  {path.name} - no non-empty JSONL records"]
         print(f"  ✗ {path.name} ({len(found)} error(s))" if found else f"  ✓ {path.name}")
@@ -230,10 +243,11 @@ def parser() -> argparse.ArgumentParser:
 
     on, many = {"action": "store_true"}, {"action": "append"}
     host = (("--token-env", {"default": "GITHUB_TOKEN"}), ("--fixtures", {"help": "a folder of answers instead of the host"}))
+    at_once = ("--partitions", {"type": int, "default": rest.PARTITIONS, "help": "how many tasks ask the host at once"})
     add("list", list_, ("--repo", {"required": True}), ("--limit", {"type": int, "default": 50}), ("--numbers-only", on), ("--json", on), *host)
     add(
         "collect", collect, ("--repo", {"required": True}), ("--pr", many | {"required": True}), ("--out-dir", {}), ("--skip-existing", on), ("--skip-checks", on), ("--skip-diff", on),
-        ("--allow-cross-repo", many), ("--max-inline-diff-bytes", {"type": int, "default": sinks.MAX_INLINE}), ("--continue-on-error", on), ("--dry-run", on), *host,
+        ("--allow-cross-repo", many), ("--max-inline-diff-bytes", {"type": int, "default": sinks.MAX_INLINE}), ("--continue-on-error", on), ("--dry-run", on), at_once, *host,
     )
     add("normalize", normalize_, ("--raw-dir", {"required": True}), ("--card", {}), ("--out", {}), ("--pr", many), ("--overrides", {"help": "JSON lines of (repo_key, pr, field, value)"}), ("--max-patch-bytes", {"type": int, "default": 96 * 1024}))
     add("validate", validate, ("files", {"nargs": "+"}), ("--strict-policy", on))

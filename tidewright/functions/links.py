@@ -37,7 +37,8 @@ def close_refs(text: Column, repo: Column) -> Column:
         own = F.transform(F.concat(listed, F.regexp_extract_all(body, F.lit(ONE), 1)), lambda n: ref(repo, n))
         return F.filter(F.array_distinct(F.concat(own, elsewhere(body, FULL), elsewhere(body, CROSS))), lambda r: r["number"].isNotNull())
 
-    return let(or_empty(text), of)
+    # most texts hold no closing word before a reference at all
+    return let(or_empty(text), lambda body: F.when(body.rlike(rf"(?iU){CLOSE}(?:#|https|[\w.\-]+/)"), of(body)).otherwise(F.array().cast(f"array<{REF}>")))
 
 
 def issue_url(repo: Column, number: Column) -> Column:

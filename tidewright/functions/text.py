@@ -103,24 +103,33 @@ def heading_matches(line: Column, keywords: Sequence[str]) -> Column:
     return (heading_level(line) > 0) & line.rlike(rf"(?iU)(?:{any_of.replace(' ', '.+')})") & let(title, named)
 
 
-def section(x: Column, keywords: Sequence[str]) -> Column:
-    """The body below the first heading that matches any keyword, up to the next of its level or above; null if empty."""
+OUTLINE = "struct<lines:array<string>,heads:array<struct<i:int,level:int,line:string>>>"
+
+
+def outline(x: Column) -> Column:
+    """The lines of x and its headings, from which any number of sections are taken; null for a text without #."""
+
+    def of(every: Column) -> Column:
+        headings = F.filter(F.transform(every, lambda line, i: F.struct(i.alias("i"), heading_level(line).alias("level"), line.alias("line"))), lambda r: r["line"].startswith("#"))
+        return F.struct(every.alias("lines"), headings.alias("heads"))
 
-    def within(every: Column) -> Column:
-        headings = F.filter(F.transform(every, lambda line, i: F.struct(i.alias("i"), line.alias("line"))), lambda r: r["line"].startswith("#"))
-        marked = F.transform(headings, lambda r: F.struct(r["i"].alias("i"), heading_level(r["line"]).alias("level"), heading_matches(r["line"], keywords).alias("hit")))
+    return F.when(F.contains(x, F.lit("#")), let(lines(x), of))
 
-        def from_start(rows: Column) -> Column:
-            def to_end(start: Column) -> Column:
-                end = F.get(F.filter(rows, lambda r: (r["i"] > start["i"]) & r["level"].between(1, start["level"])), F.lit(0))["i"]
-                size = F.coalesce(end, F.size(every)) - start["i"] - 1
-                return F.when(start.isNotNull(), filled(strip(F.array_join(F.slice(every, start["i"] + 2, size), "\n"))))
 
-            return let(F.get(F.filter(rows, lambda r: r["hit"]), F.lit(0)), to_end)
+def section_of(o: Column, keywords: Sequence[str]) -> Column:
+    """Of an outline the body below the first heading that matches any keyword, up to the next of its level or above; null if empty."""
 
-        return let(marked, from_start)
+    def to_end(start: Column) -> Column:
+        end = F.get(F.filter(o["heads"], lambda r: (r["i"] > start["i"]) & r["level"].between(1, start["level"])), F.lit(0))["i"]
+        size = F.coalesce(end, F.size(o["lines"])) - start["i"] - 1
+        return F.when(start.isNotNull(), filled(strip(F.array_join(F.slice(o["lines"], start["i"] + 2, size), "\n"))))
 
-    return let(x, lambda v: F.when(F.contains(v, F.lit("#")), let(lines(v), within)))
+    return let(F.get(F.filter(o["heads"], lambda r: heading_matches(r["line"], keywords)), F.lit(0)), to_end)
+
+
+def section(x: Column, keywords: Sequence[str]) -> Column:
+    """One section of a text: see section_of."""
+    return let(outline(x), lambda o: section_of(o, keywords))
 
 
 def indent(line: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bots import is_review_check
 from ..functions.redact import redact
-from ..functions.text import cap, filled, let, or_empty, rstrip, section
+from ..functions.text import cap, filled, let, or_empty, rstrip, section_of
 from ..functions.validation import section_passes
 from ..schemas import EVENT
 
@@ -46,8 +46,8 @@ def check_names(checks: Column) -> Column:
     return F.array_join(F.transform(F.filter(F.slice(checks, 1, NAMED_CHECKS), lambda c: filled(c["name"]).isNotNull()), shown), ", ")
 
 
-def validation_events(body: Column, check_runs: Column, combined: Column) -> Column:
-    """Section, builds, combined status, or that there is no evidence; review apps last. body: without boilerplate."""
+def validation_events(outlined: Column, check_runs: Column, combined: Column) -> Column:
+    """Section, builds, combined status, or that there is no evidence; review apps last. outlined: of the body without boilerplate."""
     none = F.array().cast(f"array<{EVENT}>")
     some = lambda when, e: F.when(when, F.array(e)).otherwise(none)
     size = lambda a: F.coalesce(F.size(a), F.lit(0))
@@ -67,7 +67,7 @@ def validation_events(body: Column, check_runs: Column, combined: Column) -> Col
     state = or_empty(combined["state"])
     by_status = (state != "") & ((size(combined["statuses"]) > 0) | (size(check_runs) == 0))
     first = F.concat(
-        let(section(body, HEADINGS), told), let(F.filter(runs, lambda c: ~is_review_check(c["name"])), built), some(by_status, event("ci", state == "success", F.concat(F.lit("combined_status="), state)))
+        let(section_of(outlined, HEADINGS), told), let(F.filter(runs, lambda c: ~is_review_check(c["name"])), built), some(by_status, event("ci", state == "success", F.concat(F.lit("combined_status="), state)))
     )
     nothing = F.array(event("other", F.lit(False), F.lit("No structured validation evidence collected")))
     return F.concat(let(first, lambda e: F.when(size(e) > 0, e).otherwise(nothing)), let(F.filter(runs, lambda c: is_review_check(c["name"])), reviewed))

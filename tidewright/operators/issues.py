@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.bots import strip_boilerplate
 from ..functions.links import close_refs, issue_url, ref
 from ..functions.redact import redact
-from ..functions.text import cap, filled, let, or_empty, section, strip
-from .labels import card_issues
+from ..functions.text import cap, filled, let, or_empty, outline, section_of, strip
+from .labels import issue_numbers
 
 ISSUE = "struct<number:bigint,repo:string,title:string,body:string,state:string,html_url:string,closed_by_pr:boolean,synthetic:boolean>"
 ISSUES = f"array<{ISSUE}>"
@@ -39,12 +39,12 @@ def link_text(body: Column, commits: Column) -> Column:
 def linked_issues(repo: Column, number: Column, collected: Column, body: Column, commits: Column, carded: Column, tabled: Column) -> Column:
     """Collected issues, then those that texts close, then those of the card or else the table; never the pull request itself, each once.
 
-    carded: the card's value for the pull request; tabled: a JSON list. Equality ignores the repository's case.
+    carded: the card's value for the pull request as JSON text (labels.json_text); tabled: a JSON list. Equality ignores the repository's case.
     """
     own = key(repo, number.cast("bigint"))
     kept = F.filter(F.coalesce(collected.cast(ISSUES), F.array().cast(ISSUES)), lambda i: F.coalesce(key(i["repo"], i["number"]) != own, F.lit(True)))
     closed = F.transform(close_refs(link_text(body, commits), repo), lambda r: stub(r, True))
-    numbers = F.coalesce(card_issues(carded), card_issues(tabled), F.array().cast("array<bigint>"))
+    numbers = F.coalesce(issue_numbers(carded), issue_numbers(tabled), F.array().cast("array<bigint>"))
     named = F.transform(numbers, lambda n: stub(ref(repo, n), False))
 
     def joined(have: Column) -> Column:
@@ -59,14 +59,18 @@ def linked_issues(repo: Column, number: Column, collected: Column, body: Column,
     return let(kept, joined)
 
 
-def issue_context(issues: Column, body: Column, title: Column) -> Column:
-    """Titles and bodies of the issues, then the change's purpose; the title if there is nothing else. Null if empty. body: without boilerplate."""
+def issue_context(issues: Column, body: Column, title: Column, outlined: Column | None = None) -> Column:
+    """Titles and bodies of the issues, then the change's purpose; the title if there is nothing else. Null if empty.
+
+    body: without boilerplate; outlined: its outline, if that is there already.
+    """
+    outlined = outline(body) if outlined is None else outlined
 
     def told(i: Column) -> Column:
         head = F.when(strip(or_empty(i["title"])) != "", F.concat(F.lit("Issue #"), i["number"].cast("string"), F.lit(": "), strip(i["title"])))
         return F.array(head, filled(cap(strip_boilerplate(i["body"]), ISSUE_CHARS)))
 
-    purpose = F.coalesce(cap(section(body, PURPOSE), SECTION_CHARS), cap(section(body, ("summary",)), SECTION_CHARS), filled(cap(body, BODY_CHARS)))
+    purpose = F.coalesce(cap(section_of(outlined, PURPOSE), SECTION_CHARS), cap(section_of(outlined, ("summary",)), SECTION_CHARS), filled(cap(body, BODY_CHARS)))
     parts = F.array_compact(F.concat(F.flatten(F.transform(issues, told)), F.array(purpose)))
     whole = let(parts, lambda p: F.when(F.size(p) > 0, F.array_join(p, "\n\n")).otherwise(strip(or_empty(title))))
     return filled(redact(strip(whole)))

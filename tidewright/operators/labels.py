@@ -62,12 +62,32 @@ def override_table(spark: SparkSession, rows: list[tuple[str, int, str, str]]) -
     return spark.createDataFrame([(r.strip().lower(), n, f, v) for r, n, f, v in rows], OVERRIDES)
 
 
+#: Up to so many pull requests with overrides their table is broadcast; beyond, it is joined by shuffle.
+BROADCAST_PULLS = 200_000
+
+
+def override_map(overrides: DataFrame) -> DataFrame:
+    """(repo_key, pr, table): one map from field to value a pull request.
+
+    A field that is stated twice for one has the value of the row that is last by a column `at`, if the table has
+    one, and of equally late rows the largest value.
+    """
+    late = F.struct("at", "value") if "at" in overrides.columns else F.col("value")
+    one = overrides.groupBy("repo_key", "pr", "field").agg(F.max_by("value", late).alias("value")).where("field is not null")
+    return one.groupBy("repo_key", "pr").agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("table"))
+
+
+def beside(table: DataFrame, most: int = BROADCAST_PULLS) -> DataFrame:
+    """A table to be joined to wide records: broadcast where its counted rows allow, so that the records stay in their partitions."""
+    return F.broadcast(table) if table.limit(most + 1).count() <= most else table
+
+
 def with_overrides(raw: DataFrame, overrides: DataFrame | None) -> DataFrame:
     """raw with a column `table`: map from field to value, of overrides for (repository in any case, number)."""
     none = F.create_map().cast("map<string,string>")
     if overrides is None:
         return raw.withColumn("table", none)
-    packed = overrides.groupBy("repo_key", "pr").agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("table"))
+    packed = beside(override_map(overrides))
     joined = raw.join(packed, (repo_key(F.col("source.repo")) == F.col("repo_key")) & (F.col("source.pr_number") == F.col("pr")), "left")
     return joined.withColumn("table", F.coalesce("table", none)).drop("repo_key", "pr")
 
@@ -77,7 +97,7 @@ def card_overrides(spark: SparkSession, card: str) -> DataFrame:
     rows = spark.range(1).select(card_column(card).alias("c"))
     parts = [rows.select("c.source_repo", F.lit(field).alias("field"), F.explode(f"c.{field}_by_pr").alias("pr", "value")) for field in ("domain", "task_type", "language", "linked_issues")]
     every = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    return every.select(repo_key(F.col("source_repo")).alias("repo_key"), strip(F.col("pr")).try_cast("int").alias("pr"), "field", "value").where("pr is not null")
+    return every.select(repo_key(F.col("source_repo")).alias("repo_key"), strip(F.col("pr")).try_cast("int").alias("pr"), "field", json_text(F.col("value")).alias("value")).where("pr is not null")
 
 
 def stated_twice(cards: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -97,10 +117,19 @@ def by_number(entries: Column, number: Column) -> Column:
     return F.get(F.reverse(own), F.lit(0))["value"]
 
 
+def is_text(value: Column) -> Column:
+    """Whether a card's value is a JSON string."""
+    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
+
+
 def text_value(value: Column) -> Column:
-    """A card's value if it is a text that says something. Numbers, flags and lists are not."""
-    looks_other = value.rlike(r"\A\s*(?:-?[0-9.]+(?:[eE][+-]?[0-9]+)?|true|false|null|\[.*\]|\{.*\})\s*\z")
-    return F.when(~looks_other, filled(strip(value)))
+    """A card's value if it is a text that says something, "2024" and "true" included. Numbers, flags and lists are not."""
+    return F.when(is_text(value), filled(strip(F.try_variant_get(value, "$", "string"))))
+
+
+def json_text(value: Column) -> Column:
+    """A card's value as a table of overrides would hold it: a text as it is, anything else as JSON; null for null."""
+    return F.when(is_text(value), F.try_variant_get(value, "$", "string")).when(F.schema_of_variant(value) != "VOID", F.to_json(value))
 
 
 def bucket_of(buckets: Column, number: Column) -> Column:
@@ -127,8 +156,8 @@ def language(table: Column, card: Column, number: Column, names: Column) -> Colu
     return F.coalesce(text_value(by_number(card["language_by_pr"], number)), filled(strip(table["language"])), filled(card["language"]), file_language(names), F.lit("unknown"))
 
 
-def card_issues(value: Column) -> Column:
-    """Issue numbers of a card: a list, or one number or text; null where the card says nothing usable."""
+def issue_numbers(value: Column) -> Column:
+    """Issue numbers of a table's or card's JSON text: a list, or one number or text; null where it says nothing usable."""
     listed = F.from_json(value, "array<string>")
     items = F.when(value.isNull(), F.lit(None)).when(value.rlike(r"\A\s*\["), listed).when(value.rlike(r"\A\s*(?:true|false|null|\{.*)\s*\z"), F.lit(None)).otherwise(F.array(value))
     return F.filter(F.transform(items, lambda x: F.when(~F.lower(strip(x)).isin("true", "false"), strip(x).try_cast("bigint"))), lambda n: n.isNotNull() & (n > 0))

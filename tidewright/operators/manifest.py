@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import filled, first_filled
 
+# Markers, headings and table heads of the generated pages.
 BEGIN, END = "<!-- BEGIN GENERATED -->", "<!-- END GENERATED -->"
 INDEX = r"<!--\s*index:\s*(.+?)\s*\|\s*(.+?)\s*-->"
 DASH = "—"
+STATUS_NOTE = "<!-- Derived from datasets/manifests/*.manifest.json — do not edit by hand. -->"
+DATASETS_HEAD = ("## Extracted datasets", "", "| dataset | source repo | records | schema | extracted |", "|---------|-------------|---------|--------|-----------|")
+QUALITY_TITLE = "## Trajectory quality"
+QUALITY_HEAD = ("| PR | domain | training_use | task_type | quality | signals | validation |", "|----|--------|--------------|-----------|---------|---------|------------|")
+INDEX_NOTE = "<!-- Derived from the index line in each per-repo doc - do not edit by hand. -->"
+INDEX_HEAD = ("| Source repo | Doc | Status |", "|-------------|-----|--------|")
 
 
 def record_row(t: Column | None = None) -> list[Column]:
@@ -67,28 +74,34 @@ def record_lines(rows: DataFrame) -> DataFrame:
 
 
 def quality_lines(found: DataFrame) -> DataFrame:
-    """The rows of the quality tables of manifests; sort by name and falling number."""
-    return record_lines(found.select("created_at", "name", F.explode("records").alias("r")))
+    """The rows of the quality tables of manifests, with their place in their table."""
+    return placed(record_lines(found.select("created_at", "name", F.explode("records").alias("r"))))
+
+
+def placed(lines: DataFrame) -> DataFrame:
+    """Lines (created_at, name, pr_number, line) with their place in their dataset's table: by falling number."""
+    return lines.withColumn("place", F.row_number().over(Window.partitionBy("created_at", "name").orderBy(F.desc("pr_number"), "line")))
 
 
 def dataset_lines(found: DataFrame) -> DataFrame:
+    """The rows of the table of datasets, with their place: by date, then name. One row a dataset, so that they fit a page."""
     shown = lambda k, other=DASH: first_filled(F.col(k).cast("string"), F.lit(other))
     cells = [F.concat(F.lit("`"), shown("name", "?"), F.lit("`")), shown("source_repo"), shown("record_count"), shown("schema_version"), shown("created_at")]
-    return found.select("created_at", "name", F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+    lines = found.select("created_at", "name", F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+    return lines.withColumn("place", F.row_number().over(Window.orderBy("created_at", "name", "line")))
 
 
 def status_block(found: DataFrame, begin: str = BEGIN, end: str = END) -> str:
     """The generated part of a status page, markers included. Its size is that of the page."""
     total = rollup(found).first()
-    listed = [r.line for r in dataset_lines(found).orderBy("created_at", "name").collect()]
-    tables: dict[tuple, list[str]] = {(r.created_at, r.name): [] for r in found.select("created_at", "name").orderBy("created_at", "name").collect()}
-    for r in quality_lines(found).orderBy("created_at", "name", F.desc("pr_number")).collect():
+    listed = dataset_lines(found).orderBy("place").collect()
+    tables: dict[tuple, list[str]] = {(r.created_at, r.name): [] for r in listed}
+    for r in quality_lines(found).orderBy("created_at", "name", "place").collect():
         tables[r.created_at, r.name].append(r.line)
     out = [begin, "", f"**Last updated:** {total.last_updated or 'unknown'}  ", f"**Extracts:** {total.extracts} · **Trajectories:** {total.trajectories}  ", ""]
-    out += ["<!-- Derived from datasets/manifests/*.manifest.json — do not edit by hand. -->", "", "## Extracted datasets", ""]
-    out += ["| dataset | source repo | records | schema | extracted |", "|---------|-------------|---------|--------|-----------|", *listed, "", "## Trajectory quality"]
+    out += [STATUS_NOTE, "", *DATASETS_HEAD, *(r.line for r in listed), "", QUALITY_TITLE]
     for (_, name), rows in tables.items():
-        out += ["", f"### {name or '?'}", "", "| PR | domain | training_use | task_type | quality | signals | validation |", "|----|--------|--------------|-----------|---------|---------|------------|", *rows]
+        out += ["", f"### {name or '?'}", "", *QUALITY_HEAD, *rows]
     return "\n".join([*out, "", end])
 
 
@@ -101,7 +114,7 @@ def index_entries(pages: DataFrame) -> DataFrame:
 
 def index_block(pages: DataFrame, begin: str = BEGIN, end: str = END) -> str:
     rows = [f"| {r.repo} | [{r.file}]({r.file}) | {r.status} |" for r in index_entries(pages).orderBy("file").collect()]
-    return "\n".join([begin, "", "<!-- Derived from the index line in each per-repo doc - do not edit by hand. -->", "", "| Source repo | Doc | Status |", "|-------------|-----|--------|", *rows, "", end])
+    return "\n".join([begin, "", INDEX_NOTE, "", *INDEX_HEAD, *rows, "", end])
 
 
 def splice(text: str, block: str, begin: str = BEGIN, end: str = END) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import is_noise, without_noise
 from ..functions.redact import redact
-from ..functions.text import cap, filled, let, or_empty, section, strip, utf8_prefix
+from ..functions.text import cap, filled, let, or_empty, section_of, strip, utf8_prefix
 
 MAX_BYTES, SPARE_BYTES, LEAST_BYTES, LISTED_FILES, NAMED_FILES = 96 * 1024, 80, 1024, 40, 20
 END = "\n\n# … truncated …\n"
@@ -59,12 +59,12 @@ def patch(inline: Column, sidecar: Column, files: Column, max_bytes: int = MAX_B
     return let(redact(diff_text(inline, sidecar, files)), budgeted)
 
 
-def before_context(title: Column, body: Column, files: Column) -> Column:
-    """Title, names of the changed files, and the summary. body: without boilerplate."""
+def before_context(title: Column, outlined: Column, files: Column) -> Column:
+    """Title, names of the changed files, and the summary. outlined: of the body without boilerplate."""
 
     def listed(mine: Column) -> Column:
         shown = F.array_join(names(F.slice(mine, 1, NAMED_FILES)), ", ")
         return let(filled(shown), lambda x: F.coalesce(F.concat(F.lit("Changed files ("), F.size(mine).cast("string"), F.lit("): "), x), F.lit("Changed files: (none listed)")))
 
-    summary = cap(section(body, ("summary", "user description", "what changed")), 1200)
+    summary = cap(section_of(outlined, ("summary", "user description", "what changed")), 1200)
     return redact(F.concat_ws("\n", F.concat(F.lit("PR title: "), or_empty(title)), let(clean_files(files), listed), F.concat(F.lit("Motivation/summary:\n"), summary)))

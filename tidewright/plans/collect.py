@@ -90,6 +90,16 @@ def raw_records(payloads: DataFrame, collected_at: Column | None = None, authent
     return row.select(*[out[f.name].cast(f.dataType).alias(f.name) for f in RAW.fields])
 
 
+#: What one issue's payload holds; a pull request among issues is told by its field pull_request.
+ISSUE = "number bigint, title string, body string, state string, html_url string, pull_request string"
+
+
+def issue_rows(payloads: DataFrame) -> DataFrame:
+    """Payloads of single issues as rows (repo, number, title, body, state, html_url, pull_request); repo as it was asked for."""
+    parsed = payloads.where("endpoint = 'issue'").select("repo", F.from_json("payload", ISSUE).alias("i"))
+    return parsed.select("repo", "i.number", "i.title", "i.body", "i.state", "i.html_url", "i.pull_request")
+
+
 def wanted_issues(raw: DataFrame, allowed: list[str] | None = None) -> DataFrame:
     """(repo, pr_number, issue_repo, issue_number, allowed) that bodies and commits close: the own repository's, and others if on the list. Case is ignored."""
     refs = close_refs(link_text(F.col("pull.body"), F.col("commits")), F.col("source.repo"))

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import bots, links, paths, redact, validation
-from .functions.text import cap, section, utf8_prefix
-from .operators import checks, funnel, labels, manifest, quality, signals
+from .functions.text import cap, outline, section_of, strip, utf8_prefix
+from .operators import checks, evidence, funnel, issues, labels, manifest, patch, quality, signals
+from .plans.collect import raw_records, wanted_issues, with_issues
 from .plans.trajectory import normalize
-from .schemas import RAW, TRAJECTORY, parse_type
+from .schemas import RAW, TRAJECTORY
 from .streaming.events import streamed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,13 @@ def text(x) -> Column:
     return x.cast("string")
 
 
+_LIST = lambda xs: "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
+
+
+def _pick(values, at: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (at % len(values) + 1).cast("int"))
+
+
 # --- texts ----------------------------------------------------------------------------------------------------------
 
 
@@ -79,14 +87,31 @@ def payload_sha256(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.octet_length("text").cast("bigint").alias("bytes"), F.length("text").alias("chars"))
 
 
-@query("SELECT doc_id, strlen(text)::INT AS full_bytes, strlen(text) > 2048 AS cut, (CASE WHEN strlen(text) <= 2048 THEN text ELSE left(text, 512) END) AS head, true AS fits, true AS is_prefix FROM documents")
+#: The longest prefix of x, a text, of at most n bytes: by trying every number of characters that may fit.
+_PREFIX_SQL = "CASE WHEN strlen({x}) <= {n} THEN {x} ELSE left({x}, list_max(list_filter(range({n} // 4, {n} + 1), lambda k: strlen(left({x}, k)) <= {n}))) END"
+
+
+@query(f"SELECT doc_id, strlen(text)::INT AS full_bytes, md5({_PREFIX_SQL.format(x='text', n=2048)}) AS kept_md5 FROM documents")
 def patch_budget(spark, sf_dir):
     """The longest prefix within a budget of bytes that ends with a whole character."""
-    kept = utf8_prefix(F.col("text"), F.lit(2048))
-    rows = table(spark, sf_dir, "documents").withColumn("kept", kept)
-    full = F.octet_length("text")
-    fits = F.octet_length("kept").between(F.least(full, F.lit(2045)), F.lit(2048))
-    return rows.select("doc_id", full.alias("full_bytes"), (full > 2048).alias("cut"), F.when(full <= 2048, F.col("kept")).otherwise(cap(F.col("kept"), 512)).alias("head"), fits.alias("fits"), F.col("text").startswith(F.col("kept")).alias("is_prefix"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").alias("full_bytes"), F.md5(utf8_prefix(F.col("text"), F.lit(2048))).alias("kept_md5"))
+
+
+_CUT_SQL = f"""WITH r AS (SELECT doc_id, {_redacted_sql('text')} AS whole FROM documents), h AS (
+  SELECT *, '# Truncated unified diff for training (full raw under datasets/raw/; ' || strlen(whole) || ' bytes, 1 files)' || chr(10) || '# added: doc/' || doc_id || '.txt (+' || doc_id % 5 || '/-None)' || chr(10) || chr(10) AS head FROM r
+), b AS (SELECT *, greatest(4096 - strlen(head) - 80, 1024) AS room FROM h)
+SELECT doc_id, md5(CASE WHEN trim(whole, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN '# Patch unavailable from API; changed files: doc/' || doc_id || '.txt' || chr(10) WHEN strlen(whole) <= 4096 THEN whole
+  ELSE head || left(whole, list_max(list_filter(range(room // 4, room + 1), lambda k: strlen(left(whole, k)) <= room))) || chr(10) || chr(10) || '# … truncated …' || chr(10) END) AS patch_md5 FROM b"""
+
+
+@query(_CUT_SQL)
+def patch_cut(spark, sf_dir):
+    """The patch of a record within its budget: header, list of files, prefix, mark of the end."""
+    path = F.concat(F.lit("doc/"), text(F.col("doc_id")), F.lit(".txt"))
+    none = lambda t: F.lit(None).cast(t)
+    file = F.struct(path.alias("filename"), F.lit("added").alias("status"), (F.col("doc_id") % 5).alias("additions"), none("bigint").alias("deletions"), none("bigint").alias("changes"), none("string").alias("patch"), F.lit(False).alias("patch_truncated"))
+    made = patch.patch(F.col("text"), none("string"), F.when(strip(F.col("text")) == "", F.array(file.withField("status", none("string")))).otherwise(F.array(file)), 4096)
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(made).alias("patch_md5"))
 
 
 @query("SELECT doc_id, lang, regexp_matches(text, '(?i)/home/|/Users/|/root') AS home, " + " || ',' || ".join(f"CASE WHEN regexp_matches(text, '{p.replace(chr(39), chr(39) * 2)}') THEN '{f}' ELSE '' END" for f, (p, _) in redact.FAMILIES.items()) + " AS families FROM documents")
@@ -119,28 +144,90 @@ def bot_filter(spark, sf_dir):
     return _turns(spark, sf_dir).select("conv_id", "turn", "login", "kind", "bot")
 
 
-_KEY_SQL = r"lower(trim(regexp_replace(text, '\s+', ' ', 'g')))"
+#: What turns of a thread say, by place; every seventh repeats a number, so that keys differ between threads only in part.
+BODIES = (
+    "Please use a guard here for safety.", "Fixed in commit abc1234: Please use a guard here for safety.", "Please use a guard here for safety.\n```suggestion\nguard();\n```",
+    "Please  use a guard\nhere for safety.", "short", "Addressed in `abcdef1`.", "Name this what it is, a list of numbers", "### Codex Review\nwrapper text of a product", "", "```suggestion\nonly();\n```",
+    "**Fixed in 0123abc**: Name this what it is, a list of numbers", "LGTM", "password = abcdefgh12345 is in the log, please rotate it",
+)
+_SP = r"[ \t\r\n]"
+_ACK_SQL = r"^\s*(\*\*)?(addressed|fixed)\s+in\s+(commit\s+)?`?[0-9a-f]{7,40}`?"
+_BODY_SQL = "[" + ", ".join("'" + x.replace("'", "''").replace("\n", "' || chr(10) || '") + "'" for x in BODIES) + f"][1 + (conv_id * 5 + turn * 3) % {len(BODIES)}]"
+
+
+def _key_sql(x: str) -> str:
+    fenced = f"trim(regexp_replace(regexp_replace({x}, '(?is)```suggestion\\s*\\n.*?```', ' ', 'g'), '\\s+', ' ', 'g'))"
+    bare = f"regexp_replace({fenced}, '(?is){_ACK_SQL}(\\*\\*)?\\s*:?\\s*', '')"
+    return f"lower(trim(CASE WHEN regexp_matches({x}, '(?is){_ACK_SQL}') THEN {bare} ELSE {fenced} END))"
+
+
+_THREAD_SQL = f"""t AS (
+  SELECT *, {_BODY_SQL} AS said, turn % 3 AS src, CASE WHEN conv_id % 2 = 0 THEN 'APPROVED' ELSE 'COMMENTED' END AS state FROM ({_TURNS_SQL})
+), w AS (
+  SELECT conv_id, turn, src, CASE src WHEN 0 THEN 'review' WHEN 1 THEN 'inline' ELSE 'issue' END AS kind, login, said,
+    CASE WHEN src > 0 OR length(said) >= 20 THEN said WHEN state = 'APPROVED' THEN CASE WHEN said = '' THEN 'Review state: APPROVED' ELSE said || ' (review state: APPROVED)' END END AS body
+  FROM t WHERE NOT bot
+), e AS (
+  SELECT *, body = '' OR contains(body, '### Codex Review') OR regexp_matches(body, '(?is){_ACK_SQL}(\\*\\*)?\\s*\\.?\\s*$') AS empty,
+    regexp_replace(body, '(?i)(password\\s*=\\s*)[A-Za-z0-9]+', '\\1{redact.mark("assignment")}') AS shown FROM w
+), k AS (
+  SELECT *, CASE WHEN src = 1 THEN nullif(trim(regexp_extract(shown, '(?s)```suggestion\\s*\\n(.*?)```', 1), ' ' || chr(10)), '') END AS suggestion, {_key_sql('shown')} AS own, regexp_matches(shown, '(?is){_ACK_SQL}') AS ack
+  FROM e WHERE body IS NOT NULL AND NOT empty AND (src <> 2 OR length(body) >= 20)
+), c AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY src, turn) AS place, CASE WHEN regexp_matches(own, '[a-z0-9]') THEN own WHEN suggestion IS NOT NULL THEN 'suggestion:' || lower(suggestion) END AS key FROM k
+), m AS (
+  SELECT conv_id, key, min(place) AS place, arg_min(login, ack::INT * 1000000 + place) AS author, arg_min(shown, ack::INT * 1000000 + place) AS comment, bool_and(ack) AS ack,
+    coalesce(arg_min(struct_pack(s := suggestion), ack::INT * 1000000 + place).s, arg_min(suggestion, place)) AS suggestion
+  FROM c WHERE key IS NOT NULL GROUP BY conv_id, key
+), p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS slot FROM m)"""
+_AUTHOR_SQL = "CASE WHEN author = '' THEN 'unknown' ELSE author END"
+
+
+def _threads(spark, sf_dir) -> DataFrame:
+    """Conversations as the three sources of a thread, turns in order; a thread is one record, as in the raw type."""
+    said = _pick(BODIES, F.col("conv_id") * 5 + F.col("turn") * 3)
+    rows = _turns(spark, sf_dir).select("conv_id", "turn", F.struct("turn", F.col("login").alias("user_login"), F.col("kind").alias("user_type"), F.when(F.col("conv_id") % 2 == 0, "APPROVED").otherwise("COMMENTED").alias("state"), said.alias("body")).alias("r"))
+    part = lambda i: F.array_sort(F.collect_list(F.when(F.col("turn") % 3 == i, F.col("r"))))
+    return rows.groupBy("conv_id").agg(part(0).alias("reviews"), part(1).alias("review_comments"), part(2).alias("issue_comments"))
+
+
+def _written() -> Column:
+    return signals.thread(F.col("reviews"), F.col("review_comments"), F.col("issue_comments"))
+
+
+@query(f"WITH {_THREAD_SQL} SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY src, turn) - 1)::INT AS place, kind, login AS author, body FROM w")
+def thread_union(spark, sf_dir):
+    """Reviews, review comments and comments of people one after the other, duplicates kept; short reviews need a decision."""
+    return _threads(spark, sf_dir).select("conv_id", F.posexplode(_written()).alias("place", "w")).select("conv_id", "place", "w.*")
+
 
+@query(f"WITH {_THREAD_SQL} SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY place) - 1)::INT AS place, {_AUTHOR_SQL.replace('author', 'login')} AS author, shown AS comment, suggestion, key, ack FROM c WHERE key IS NOT NULL")
+def signal_candidates(spark, sf_dir):
+    """What is left of a thread after the gates, with its key and suggestion."""
+    rows = _threads(spark, sf_dir).select("conv_id", F.posexplode(signals.candidates(_written())).alias("place", "c"))
+    return rows.select("conv_id", "place", "c.author", "c.comment", "c.suggestion", "c.key", "c.ack")
 
-@query(f"SELECT doc_id, source, md5(text) AS text_md5 FROM (SELECT *, row_number() OVER (PARTITION BY {_KEY_SQL} ORDER BY doc_id) AS r FROM documents WHERE regexp_matches({_KEY_SQL}, '[a-z0-9]')) WHERE r = 1")
-def dedupe_first_seen(spark, sf_dir):
-    """The first document of every key."""
-    rows = table(spark, sf_dir, "documents").withColumn("key", signals.body_key(F.col("text"))).where("key <> ''")
-    return funnel.first_of_key(rows.select("doc_id", "source", "text", "key"), F.md5("key"), [F.col("doc_id")]).select("doc_id", "source", F.md5("text").alias("text_md5"))
 
+@query(f"WITH {_THREAD_SQL} SELECT conv_id, (slot - 1)::INT AS place, {_AUTHOR_SQL} AS author, comment, suggestion, key, ack FROM p")
+def merged_signals(spark, sf_dir):
+    """One signal a key, an acknowledgement replaced by the first that is none, suggestions kept."""
+    found = _threads(spark, sf_dir).select("conv_id", signals.candidates(_written()).alias("c"))
+    rows = found.select("conv_id", F.posexplode(signals.merged(F.col("c"))).alias("place", "c"))
+    return rows.select("conv_id", "place", "c.author", "c.comment", "c.suggestion", "c.key", "c.ack")
 
-_TOPK_SQL = f"""WITH t AS ({_TURNS_SQL}), r AS (
-  SELECT conv_id, turn, role = 'assistant' AS is_ack, row_number() OVER (PARTITION BY conv_id, role = 'assistant' ORDER BY turn) AS place,
-    count(*) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) AS acks, count(*) FILTER (role <> 'assistant') OVER (PARTITION BY conv_id) AS problems FROM t WHERE NOT bot
+
+_TOPK_SQL = f"""WITH {_THREAD_SQL}, r AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, ack ORDER BY slot) AS nth, count(*) FILTER (ack) OVER (PARTITION BY conv_id) AS acks, count(*) FILTER (NOT ack) OVER (PARTITION BY conv_id) AS problems FROM p
 ), q AS (SELECT *, least(problems, 3 - CASE WHEN acks > 0 AND problems > 0 THEN 1 ELSE 0 END) AS taken FROM r)
-SELECT conv_id, turn, is_ack, (CASE WHEN is_ack THEN taken + place ELSE place END)::INT AS slot FROM q WHERE CASE WHEN is_ack THEN place <= 3 - taken ELSE place <= taken END"""
+SELECT conv_id, (CASE WHEN ack THEN taken + nth ELSE nth END)::INT AS slot, comment, ack AS is_ack FROM q WHERE CASE WHEN ack THEN nth <= 3 - taken ELSE nth <= taken END"""
 
 
 @query(_TOPK_SQL)
 def topk_reserved(spark, sf_dir):
     """D3: problems first, one place kept for an acknowledgement."""
-    rows = _turns(spark, sf_dir).where("not bot").select("conv_id", "turn", "role")
-    return funnel.problem_first_rows(rows, "conv_id", F.col("role") == "assistant", [F.col("turn")], 3).select("conv_id", "turn", "is_ack", F.col("slot").cast("int").alias("slot"))
+    merged = _threads(spark, sf_dir).select("conv_id", signals.candidates(_written()).alias("c")).select("conv_id", signals.merged(F.col("c")).alias("m"))
+    rows = merged.select("conv_id", F.posexplode(signals.problem_first(F.col("m"), 3)).alias("slot", "c"))
+    return rows.select("conv_id", (F.col("slot") + 1).alias("slot"), "c.comment", F.col("c.ack").alias("is_ack"))
 
 
 @query(f"""SELECT conv_id, count(*) AS n_all, count(*) FILTER (NOT bot) AS n_kept, least(count(*) FILTER (NOT bot), 8) AS n_shown,
@@ -150,15 +237,6 @@ def yield_funnel(spark, sf_dir):
     return funnel.yield_funnel(_turns(spark, sf_dir), "conv_id", F.col("bot"), F.lower("text"))
 
 
-@query("""SELECT 0 AS source_order, conv_id, turn, length(text)::INT AS chars FROM conversations WHERE role = 'user' UNION ALL
-  SELECT 1, conv_id, turn, length(text)::INT FROM conversations WHERE role = 'assistant' UNION ALL SELECT 2, conv_id, turn, length(text)::INT FROM conversations WHERE role = 'system'""")
-def thread_union(spark, sf_dir):
-    """The sources of a thread one after the other, duplicates kept."""
-    rows = table(spark, sf_dir, "conversations")
-    part = lambda i, role: rows.where(F.col("role") == role).select(F.lit(i).alias("source_order"), "conv_id", "turn", F.length("text").alias("chars"))
-    return part(0, "user").unionByName(part(1, "assistant")).unionByName(part(2, "system"))
-
-
 @query(rf"""SELECT conv_id, turn, turn % 3 = 0 AS ack, lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS key FROM conversations WHERE regexp_matches(lower(text), '[a-z0-9]')""")
 def signal_keys(spark, sf_dir):
     """An acknowledgement's key is what follows the commit."""
@@ -171,13 +249,6 @@ def signal_keys(spark, sf_dir):
 
 TITLES = ("fix(core): ", "Feature: ", "feat!: ", "refactor ", "Docs - ", "doc: ", "TEST ", "perf(io): ", "sec(auth): ", "security fix ", "chore: ", "fixes ")
 TASKS = ("bugfix", "other", "feature", "refactor", "docs", "docs", "test", "perf", "security", "security", "chore", "other")
-_LIST = lambda xs: "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
-
-
-def _pick(values, at: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (at % len(values) + 1).cast("int"))
-
-
 @query(f"""SELECT o_orderkey, {_LIST(TASKS)}[1 + o_orderkey % 12] AS title_task, CASE o_orderpriority WHEN '1-URGENT' THEN 'bugfix' WHEN '2-HIGH' THEN 'feature' WHEN '3-MEDIUM' THEN 'docs' END AS label_task,
   CASE WHEN o_orderstatus = 'F' THEN 'merged' WHEN o_orderstatus = 'O' THEN 'open' ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'closed' ELSE 'abandoned' END END AS outcome FROM orders""")
 def label_rules(spark, sf_dir):
@@ -217,7 +288,8 @@ def section_extract(spark, sf_dir):
     """Sections of a body by heading."""
     col = F.col
     body = F.concat(F.lit("# Title\nintro\n#### Commands run (summary)\nx\n## What Changed!\n\n"), col("o_orderpriority"), F.lit("\n### deeper\n"), col("o_orderstatus"), F.lit("\n\n## Local testing\r\nall "), text(col("o_orderkey")), F.lit("\n# End\n"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", section(body, ("what changed", "motivation")).alias("changed"), section(body, ("summary",)).alias("missing"), section(body, ("testing",)).alias("tested"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", outline(body).alias("o"))
+    return rows.select("o_orderkey", *[section_of(F.col("o"), keys).alias(name) for name, keys in (("changed", ("what changed", "motivation")), ("missing", ("summary",)), ("tested", ("testing",)))])
 
 
 #: Sections and whether they report success.
@@ -238,6 +310,32 @@ def validation_verdicts(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", validation.section_passes(said).alias("passes"))
 
 
+#: Sections that count.
+COUNTS = ("{n} tests failed", "{n} errors in 40 runs", "ran 12, {n} skipped", "- [x] build\n- [ ] Optional: {n} of 9", "{n} failures expected", "previously failing test {n} now passes")
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, CASE l_partkey % {len(COUNTS)} WHEN 0 THEN n = 0 WHEN 1 THEN n = 0 WHEN 2 THEN n = 0 WHEN 3 THEN true WHEN 4 THEN n = 0 ELSE true END AS passes FROM (SELECT *, l_suppkey % 4 * 10 AS n FROM lineitem)""")
+def validation_counts(spark, sf_dir):
+    """Sections that count failures, errors, skipped and optional work."""
+    n = text(F.col("l_suppkey") % 4 * 10)
+    said = F.lit(None).cast("string")
+    for i, form in enumerate(COUNTS):
+        before, after = form.split("{n}")
+        said = F.when(F.col("l_partkey") % len(COUNTS) == i, F.concat(F.lit(before), n, F.lit(after))).otherwise(said)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", validation.section_passes(said).alias("passes"))
+
+
+FOLDERS, FILES = ("", "src/", ".claude/", "a/.BEADS/x/", "./.kilo/", "docs/claude/", "b/"), ("main.rs", ".env", ".env.example", ".env.test.local", "remotes.txt", "Remotes.TXT", "remotes.txt.md", ".env.local")
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, regexp_matches(lower(f), '(^|/)\\.(beads|claude|kilo)/') OR lower(n) IN ('remotes.txt', '.env', '.env.local') OR (starts_with(n, '.env.') AND ends_with(n, '.local')) AS noise
+  FROM (SELECT *, {_LIST(FOLDERS)}[1 + l_partkey % {len(FOLDERS)}] AS f, {_LIST(FILES)}[1 + l_suppkey % {len(FILES)}] AS n FROM lineitem)""")
+def noise_by_place(spark, sf_dir):
+    """F8: paths by folder and name."""
+    path = F.concat(_pick(FOLDERS, F.col("l_partkey")), _pick(FILES, F.col("l_suppkey")))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", paths.is_noise(path).alias("noise"))
+
+
 NOISE = (("src/main.rs", False), ("a/.env", True), (".env.example", False), ("pkg/.CLAUDE/settings.json", True), (".claude", False), ("./.beads/x", True), ("conf/.env.test.local", True), ('"a/caf\\303\\251/remotes.txt"', True), ("my remotes.txt", False), ("docs/remotes.TXT", True))
 
 
@@ -316,34 +414,59 @@ def quality_score(spark, sf_dir):
 
 # --- events as check runs -------------------------------------------------------------------------------------------
 
-_END_SQL = "[NULL, 'success', 'neutral', 'success', 'skipped', 'failure', 'success', 'success'][1 + event_id % 8]"
-_ENDS = (None, "success", "neutral", "success", "skipped", "failure", "success", "success")
-
-
-def _runs(spark, sf_dir) -> DataFrame:
-    end = F.element_at(F.array(*[F.lit(x) for x in _ENDS]), (F.col("event_id") % 8 + 1).cast("int"))
-    return table(spark, sf_dir, "events").select("event_id", "user_id", F.to_date("ts").alias("day"), F.col("event_type").alias("name"), F.lit("completed").alias("status"), end.alias("conclusion"))
-
-
-@query(f"""SELECT user_id, ts::DATE AS day, count(*) AS n_checks, bool_and({_END_SQL} IS NOT NULL) AND coalesce(bool_or({_END_SQL} = 'success'), false) AND coalesce(bool_and({_END_SQL} IN ('success', 'neutral', 'skipped')), true) AS passes
-  FROM events GROUP BY user_id, ts::DATE""")
+_ENDS = (None, "success", "neutral", "success", "skipped", "failure", "success", "success", "success")
+_CHECKS = ("CodeRabbit", "build", "lint", "Sonar scan", "", "unit tests")
+_ALIKE = "[" + ", ".join(f"'{x}'" if x else "NULL" for x in _ENDS) + f"][1 + event_id % {len(_ENDS)}]"
+#: Events of a user and day as check runs of one change, in the order of their identifiers.
+_RUNS_SQL = f"""r AS (SELECT user_id, ts::DATE AS day, event_id, {_LIST(_CHECKS)}[1 + event_id % {len(_CHECKS)}] AS name, CASE WHEN event_id % 31 = 0 THEN 'in_progress' ELSE 'completed' END AS status, {_ALIKE} AS done FROM events),
+g AS (SELECT *, name IN ('CodeRabbit', 'Sonar scan') AS app, row_number() OVER (PARTITION BY user_id, day, name IN ('CodeRabbit', 'Sonar scan') ORDER BY event_id) AS nth FROM r),
+v AS (SELECT user_id, day, app, count(*) AS n, bool_and(status = 'completed' AND done IS NOT NULL) AS ended, coalesce(bool_or(done = 'success'), false) AS good, count(done) > 0 AS some, coalesce(bool_and(done IN ('success', 'neutral', 'skipped')), true) AS fine,
+  coalesce(string_agg(name || '=' || coalesce(done, status), ', ' ORDER BY event_id) FILTER (nth <= 12 AND name <> ''), '') AS names FROM g GROUP BY user_id, day, app),
+d AS (SELECT DISTINCT user_id, day FROM r), j AS (
+  SELECT d.user_id, d.day, b.n AS builds, b.ended AND b.good AND b.fine AS builds_pass, b.names AS build_names, a.n AS apps, a.some AND a.fine AS apps_pass, a.names AS app_names
+  FROM d LEFT JOIN v b ON b.user_id = d.user_id AND b.day = d.day AND NOT b.app LEFT JOIN v a ON a.user_id = d.user_id AND a.day = d.day AND a.app)"""
+
+
+def _changes(spark, sf_dir) -> DataFrame:
+    """(user_id, day, runs): check runs of a change, in order."""
+    e, null = F.col("event_id"), F.lit(None).cast("string")
+    name = F.element_at(F.array(*[F.lit(x) for x in _CHECKS]), (e % len(_CHECKS) + 1).cast("int"))
+    done = F.element_at(F.array(*[F.lit(x) for x in _ENDS]), (e % len(_ENDS) + 1).cast("int"))
+    run = F.struct("event_id", name.alias("name"), F.when(e % 31 == 0, "in_progress").otherwise("completed").alias("status"), done.alias("conclusion"), null.alias("html_url"))
+    rows = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"), run.alias("r"))
+    return rows.groupBy("user_id", "day").agg(F.array_sort(F.collect_list("r")).alias("rs")).select("user_id", "day", F.transform("rs", lambda r: F.struct(r["name"].alias("name"), r["status"].alias("status"), r["conclusion"].alias("conclusion"), r["html_url"].alias("html_url"))).alias("runs"))
+
+
+@query(f"WITH {_RUNS_SQL} SELECT user_id, day, coalesce(builds, 0) AS n_builds, CASE WHEN builds > 0 THEN builds_pass END AS builds_pass, coalesce(build_names, '') AS build_names, coalesce(apps, 0) AS n_apps, CASE WHEN apps > 0 THEN apps_pass END AS apps_pass, coalesce(app_names, '') AS app_names FROM j")
 def ci_verdict(spark, sf_dir):
-    """Verdict of a group of check runs."""
-    return funnel.check_verdicts(_runs(spark, sf_dir), ["user_id", "day"])
-
-
-@query(f"""SELECT user_id, string_agg(event_type || '=' || coalesce({_END_SQL}, 'completed'), ', ' ORDER BY event_id) AS names FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events) WHERE r <= 12 GROUP BY user_id""")
-def check_names_first12(spark, sf_dir):
-    """The first twelve checks by name and end."""
-    shown = F.concat("name", F.lit("="), F.coalesce("conclusion", "status"))
-    return funnel.first_names(_runs(spark, sf_dir), ["user_id"], [F.col("event_id")], shown)
-
-
-@query("SELECT event_id, event_type AS kind, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, coalesce(json_extract_string(props, '$.missing'), '') AS body FROM events")
-def json_props(spark, sf_dir):
-    """Narrow projections of nested JSON, null texts empty."""
-    p = F.from_json("props", parse_type("struct<k:bigint,missing:string>"))
-    return table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("kind"), p["k"].alias("k"), F.coalesce(p["missing"], F.lit("")).alias("body"))
+    """Verdicts of builds and of review apps, and the first twelve of either by name and end."""
+    rows = _changes(spark, sf_dir).select("user_id", "day", F.filter("runs", lambda c: ~bots.is_review_check(c["name"])).alias("b"), F.filter("runs", lambda c: bots.is_review_check(c["name"])).alias("a"))
+    size = lambda c: F.size(c).cast("bigint")
+    return rows.select(
+        "user_id", "day", size("b").alias("n_builds"), F.when(F.size("b") > 0, evidence.ci_passes(F.col("b"))).alias("builds_pass"), evidence.check_names(F.col("b")).alias("build_names"),
+        size("a").alias("n_apps"), F.when(F.size("a") > 0, evidence.apps_pass(F.col("a"))).alias("apps_pass"), evidence.check_names(F.col("a")).alias("app_names"),
+    )
+
+
+_STATES = ("success", "failure", "", "pending")
+_EVENTS_SQL = f"""WITH {_RUNS_SQL}, s AS (SELECT *, {_LIST(_STATES)}[1 + user_id % 4] AS state FROM j), e AS (
+  SELECT user_id, day, 0 AS o, 'test' AS type, user_id % 7 = 0 AS ok, CASE WHEN user_id % 7 = 0 THEN '12 passed' ELSE user_id % 7 || ' tests failed' END AS detail FROM s WHERE user_id % 3 = 0 UNION ALL
+  SELECT user_id, day, 1, 'ci', builds_pass, CASE WHEN build_names = '' THEN 'check runs collected' ELSE build_names END FROM s WHERE builds > 0 UNION ALL
+  SELECT user_id, day, 2, 'ci', state = 'success', 'combined_status=' || state FROM s WHERE state <> '' AND user_id % 2 = 0
+), n AS (SELECT * FROM e UNION ALL SELECT user_id, day, 3, 'other', false, 'No structured validation evidence collected' FROM s WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.user_id = s.user_id AND e.day = s.day)
+  UNION ALL SELECT user_id, day, 4, 'other', apps_pass, CASE WHEN app_names = '' THEN 'review_apps' ELSE 'review_apps: ' || app_names END FROM s WHERE apps > 0)
+SELECT user_id, day, (row_number() OVER (PARTITION BY user_id, day ORDER BY o) - 1)::INT AS place, type, CASE WHEN ok THEN 'pass' ELSE 'fail' END AS result, detail FROM n"""
+
+
+@query(_EVENTS_SQL)
+def validation_events(spark, sf_dir):
+    """Section, builds, combined status, no evidence, review apps, in that order."""
+    u = F.col("user_id")
+    body = F.when(u % 3 == 0, F.concat(F.lit("## Summary\nx\n\n## Test plan\n"), F.when(u % 7 == 0, "12 passed").otherwise(F.concat(text(u % 7), F.lit(" tests failed"))))).otherwise("## Summary\nnone")
+    status = F.struct(F.lit("x").alias("context"), F.lit("y").alias("state"), F.lit(None).cast("string").alias("description"))
+    combined = F.struct(_pick(_STATES, u).alias("state"), F.when(u % 2 == 0, F.array(status)).otherwise(F.array().cast("array<struct<context:string,state:string,description:string>>")).alias("statuses"))
+    made = evidence.validation_events(outline(body), F.col("runs"), combined)
+    return _changes(spark, sf_dir).select("user_id", "day", F.posexplode(made).alias("place", "e")).select("user_id", "day", "place", "e.*")
 
 
 # --- records, manifests, status -------------------------------------------------------------------------------------
@@ -353,7 +476,9 @@ def _raw_orders(spark, sf_dir) -> DataFrame:
     """Orders and their line items as raw records."""
     o, col = table(spark, sf_dir, "orders"), F.col
     file = F.struct(F.concat(F.lit("src/"), text(col("l_partkey")), F.when(col("l_linenumber") == 2, ".py").otherwise(".rs")).alias("filename"), F.lit("modified").alias("status"), col("l_quantity").cast("bigint").alias("additions"), F.lit(0).cast("bigint").alias("deletions"), F.concat(F.lit("@@ "), text(col("l_suppkey"))).alias("patch"), col("l_linenumber").alias("n"))
-    files = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(col("l_linenumber").alias("n"), file.alias("f")))).alias("fs"))
+    # the work on a record is much and its bytes few: narrow rows are dealt to all tasks, and the wide ones stay there
+    items = table(spark, sf_dir, "lineitem").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+    files = items.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(col("l_linenumber").alias("n"), file.alias("f")))).alias("fs"))
     body = F.concat(F.lit("## Summary\nOrder of "), text(col("o_custkey")), F.lit("\n\nCloses #"), text(col("o_custkey")), F.lit("\n\n## Test plan\n"), F.when(col("o_orderkey") % 2 == 0, "- [x] 12 passed").otherwise("2 tests failed"))
     pull = {"title": F.concat(_pick(TITLES, col("o_orderkey")), col("o_orderpriority")), "body": body, "state": F.when(col("o_orderstatus") == "O", "open").otherwise("closed"), "merged": col("o_orderstatus") == "F", "labels": F.array(col("o_orderstatus"))}
     review = F.struct(F.lit("alice").alias("user_login"), F.lit("User").alias("user_type"), F.when(col("o_orderkey") % 3 == 0, "APPROVED").otherwise("COMMENTED").alias("state"), F.lit("LGTM").alias("body"))
@@ -371,27 +496,41 @@ def _raw_orders(spark, sf_dir) -> DataFrame:
     return rows.select(*[(fields[f.name] if f.name in fields else F.lit(None).cast(f.dataType)).alias(f.name) for f in RAW.fields])
 
 
+CARD_JSON = """{"source_repo": "Acme/Tool", "domains": ["tools"], "domain_by_pr": {"1": " ml ", "2": 7, "3": "2024", "4": " ", "5": null, "6": ["x"], "7": true, "32": "true", "x": "y"},
+  "task_type_by_pr": {"3": "perf", "4": 1.5, "33": "null"}, "language_by_pr": {"2": "Rust!", "5": ["no"]}, "training_use_buckets": {"repair": [1, 2, 3], "strange": [3, 4], "review-to-patch": [5, 6, 7]}}"""
+
+
+def _carded(field: str, pairs: dict[int, str], otherwise: str) -> str:
+    """What the card says as text, for its few numbers."""
+    return f"CASE o_orderkey {' '.join(f"WHEN {n} THEN '{v}'" for n, v in pairs.items())} ELSE {otherwise} END AS {field}"
+
+
 _TRAJ_SQL = f"""WITH f AS (SELECT l_orderkey, bool_or(l_linenumber <> 2) AS rs, string_agg(p, ', ' ORDER BY l_linenumber, p, l_quantity::BIGINT, '@@ ' || l_suppkey) AS names, count(*) AS n_files, string_agg('--- a/' || p || chr(10) || '+++ b/' || p || chr(10) || '@@ ' || l_suppkey, chr(10) ORDER BY l_linenumber, p, l_quantity::BIGINT, '@@ ' || l_suppkey) AS patch
   FROM (SELECT *, 'src/' || l_partkey || CASE WHEN l_linenumber = 2 THEN '.py' ELSE '.rs' END AS p FROM lineitem) GROUP BY l_orderkey)
-SELECT 'Acme-Tool-' || o_orderkey AS id, CASE WHEN rs THEN 'Rust' WHEN rs IS NULL THEN 'unknown' ELSE 'Python' END AS language, {_LIST(TASKS)}[1 + o_orderkey % 12] AS task_type,
+SELECT 'Acme-Tool-' || o_orderkey AS id, {_carded("language", {2: "Rust!"}, "CASE WHEN o_orderkey % 40 = 1 THEN 'Zig' WHEN rs THEN 'Rust' WHEN rs IS NULL THEN 'unknown' ELSE 'Python' END")},
+  {_carded("task_type", {3: "perf", 33: "null"}, f"{_LIST(TASKS)}[1 + o_orderkey % 12]")}, {_carded("domain", {1: "ml", 3: "2024", 32: "true"}, "'tools'")},
+  CASE WHEN o_orderkey IN (1, 2) THEN 'repair' WHEN o_orderkey = 6 THEN 'review-to-patch' ELSE 'other' END AS training_use,
   CASE o_orderstatus WHEN 'F' THEN 'merged' WHEN 'O' THEN 'open' ELSE 'closed' END AS outcome, CASE WHEN o_orderkey = o_custkey THEN 1 ELSE 2 END AS n_urls,
   CASE WHEN o_orderkey % 2 = 0 THEN 'pass' ELSE 'fail' END AS tested, CASE WHEN o_orderkey % 3 = 0 THEN 'LGTM (review state: APPROVED)' END AS comment,
   'Order of ' || o_custkey || chr(10) || chr(10) || 'Closes #' || o_custkey AS context, md5(coalesce(patch, '# Patch unavailable from API; changed files: (none)' || chr(10))) AS patch_md5,
   'PR title: ' || {_LIST(TITLES)}[1 + o_orderkey % 12] || o_orderpriority || chr(10) || coalesce('Changed files (' || n_files || '): ' || names, 'Changed files: (none listed)') || chr(10) || 'Motivation/summary:' || chr(10) || 'Order of ' || o_custkey || chr(10) || chr(10) || 'Closes #' || o_custkey AS before,
-  (60 + CASE WHEN o_orderstatus = 'F' THEN 10 ELSE 0 END + CASE WHEN o_orderkey % 3 = 0 THEN 10 ELSE 0 END + CASE WHEN o_orderkey % 2 = 0 THEN 10 ELSE 0 END)::DOUBLE / 100 AS quality
+  CASE WHEN o_orderkey % 50 = 0 THEN 0.92::DOUBLE ELSE (60 + CASE WHEN o_orderstatus = 'F' THEN 10 ELSE 0 END + CASE WHEN o_orderkey % 3 = 0 THEN 10 ELSE 0 END + CASE WHEN o_orderkey % 2 = 0 THEN 10 ELSE 0 END)::DOUBLE / 100 END AS quality
 FROM orders LEFT JOIN f ON l_orderkey = o_orderkey"""
 
 
 def _trajectories(spark, sf_dir) -> DataFrame:
-    # records are small and the work on each is not: one partition a core, whatever their bytes
-    return normalize(_raw_orders(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism))
+    """With a card, a table of overrides and a list of fixed scores."""
+    o = table(spark, sf_dir, "orders")
+    overrides = o.where("o_orderkey % 40 = 1").select(F.lit("acme/tool").alias("repo_key"), F.col("o_orderkey").cast("int").alias("pr"), F.lit("language").alias("field"), F.lit("Zig").alias("value"))
+    shortlist = o.where("o_orderkey % 50 = 0").select(F.lit("Acme/Tool").alias("repo"), F.col("o_orderkey").cast("int").alias("pr"), F.lit(0.92).alias("quality"))
+    return normalize(_raw_orders(spark, sf_dir), CARD_JSON, overrides, shortlist)
 
 
 @query(_TRAJ_SQL)
 def trajectories(spark, sf_dir):
-    """P7 and all it is made of: raw records to trajectories."""
+    """P7 and all it is made of, J1-J3, J7: raw records to trajectories."""
     t = _trajectories(spark, sf_dir)
-    return t.select("id", "language", "task_type", "outcome", F.size("source_urls").alias("n_urls"), F.get("validation", F.lit(0))["result"].alias("tested"), F.get("review_signals", F.lit(0))["comment"].alias("comment"), F.col("issue_context").alias("context"), F.md5("patch").alias("patch_md5"), F.col("before_context").alias("before"), F.col("quality_score").alias("quality"))
+    return t.select("id", "language", "task_type", "domain", "training_use", "outcome", F.size("source_urls").alias("n_urls"), F.get("validation", F.lit(0))["result"].alias("tested"), F.get("review_signals", F.lit(0))["comment"].alias("comment"), F.col("issue_context").alias("context"), F.md5("patch").alias("patch_md5"), F.col("before_context").alias("before"), F.col("quality_score").alias("quality"))
 
 
 def _doc_trajectories(spark, sf_dir, whole: bool = False) -> DataFrame:
@@ -409,15 +548,35 @@ def _doc_trajectories(spark, sf_dir, whole: bool = False) -> DataFrame:
     return d.select("source", *[f[x.name].cast(x.dataType).alias(x.name) for x in TRAJECTORY.fields])
 
 
-@query("""SELECT source || '-' || doc_id AS id, path, message FROM (
+@query("""SELECT id, (row_number() OVER (PARTITION BY id ORDER BY path, message) - 1)::INT AS place, path, message FROM (SELECT source || '-' || doc_id AS id, path, message FROM (
   SELECT *, 'pr_number' AS path, 'is less than 1' AS message FROM documents WHERE doc_id < 1 UNION ALL SELECT *, 'domain', 'must not be empty' FROM documents WHERE doc_id % 7 = 0 UNION ALL
   SELECT *, 'task_type', 'magic is not one of its values' FROM documents WHERE doc_id % 5 = 0 UNION ALL SELECT *, 'validation.0.result', 'is not one of its values' FROM documents WHERE doc_id % 11 = 0 UNION ALL
   SELECT *, '(root)', 'needs issue_context or review_signals' FROM documents WHERE doc_id % 2 = 1 AND doc_id % 4 <= 1 UNION ALL
-  SELECT *, '(root)', '''review_signals'' is a required property' FROM documents WHERE doc_id % 3 = 0 AND doc_id % 4 <= 1)""")
+  SELECT *, '(root)', '''review_signals'' is a required property' FROM documents WHERE doc_id % 3 = 0 AND doc_id % 4 <= 1))""")
 def schema_violations(spark, sf_dir):
-    """V1, T5: what is wrong with the shape of records."""
-    found = _doc_trajectories(spark, sf_dir).select("id", F.explode(checks.shape_problems()).alias("p"))
-    return found.select("id", "p.path", "p.message")
+    """V1, T5: what is wrong with the shape of records, sorted."""
+    found = _doc_trajectories(spark, sf_dir).select("id", F.posexplode(checks.shape_problems()).alias("place", "p"))
+    return found.select("id", "place", "p.path", "p.message")
+
+
+@query("""SELECT source || '-' || doc_id AS id, (CASE WHEN doc_id % 4 > 1 THEN 4 ELSE 0 END + 13 + CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END)::INT AS n_texts,
+  md5(concat_ws('|', source || '-' || doc_id, 'acme/' || source, lang, CASE WHEN doc_id % 7 = 0 THEN '' ELSE source END, CASE WHEN doc_id % 5 = 0 THEN 'magic' ELSE 'docs' END, 'b', text, 'merged', CASE WHEN doc_id % 3 = 0 THEN 'review-to-patch' ELSE 'other' END,
+    CASE WHEN doc_id % 2 = 0 THEN 'c' END, 'https://github.com/acme/' || source || '/pull/' || (doc_id + CASE WHEN doc_id % 13 = 0 THEN 1 ELSE 0 END), 'test', CASE WHEN doc_id % 11 = 0 THEN 'maybe' ELSE 'pass' END, 'ok',
+    CASE WHEN doc_id % 4 > 1 THEN 'a' END, CASE WHEN doc_id % 4 > 1 THEN text END, CASE WHEN doc_id % 4 > 1 THEN 'a' END, CASE WHEN doc_id % 4 > 1 THEN text END)) AS texts_md5 FROM documents""")
+def all_texts(spark, sf_dir):
+    """Every text of a record, in the order of its fields."""
+    texts = checks.all_texts()
+    return _doc_trajectories(spark, sf_dir, whole=True).select("id", F.size(texts).alias("n_texts"), F.md5(F.array_join(texts, "|")).alias("texts_md5"))
+
+
+@query("""SELECT 'same' AS kept, EXISTS (SELECT * FROM nation EXCEPT ALL SELECT * FROM nation) AS stale UNION ALL
+  SELECT 'fewer', EXISTS (SELECT * FROM nation EXCEPT ALL SELECT * FROM nation WHERE n_regionkey <> 1) UNION ALL
+  SELECT 'repeated', EXISTS ((SELECT * FROM nation UNION ALL SELECT * FROM nation WHERE n_regionkey = 1) EXCEPT ALL SELECT * FROM nation)""")
+def staleness(spark, sf_dir):
+    """V3: whether what was written before is still what would be written now."""
+    made = table(spark, sf_dir, "nation")
+    kept = {"same": made, "fewer": made.where("n_regionkey <> 1"), "repeated": made.unionAll(made.where("n_regionkey = 1"))}
+    return spark.createDataFrame([(k, checks.differs(made, v)) for k, v in kept.items()], "kept string, stale boolean")
 
 
 @query("SELECT source || '-' || doc_id AS id, 'source_urls' AS path, 'missing canonical address https://github.com/acme/' || source || '/pull/' || doc_id AS message FROM documents WHERE doc_id % 13 = 0 AND doc_id <> 0")
@@ -458,12 +617,123 @@ def manifest_rollup(spark, sf_dir):
     return manifest.rollup(found.withColumn("created_at", _created(F.col("name"))))
 
 
-@query("""SELECT source AS name, doc_id::INT AS pr_number, '| #' || doc_id || ' | ' || CASE WHEN doc_id % 7 = 0 THEN '—' ELSE source END || ' | ' || CASE WHEN doc_id % 3 = 0 THEN 'review-to-patch' ELSE 'other' END || ' | ' ||
+@query("""SELECT source AS name, doc_id::INT AS pr_number, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC)::INT AS place, '| #' || doc_id || ' | ' || CASE WHEN doc_id % 7 = 0 THEN '—' ELSE source END || ' | ' || CASE WHEN doc_id % 3 = 0 THEN 'review-to-patch' ELSE 'other' END || ' | ' ||
   CASE WHEN doc_id % 5 = 0 THEN 'magic' ELSE 'docs' END || ' | ' || printf('%d.%02d', n_chars % 101 // 100, n_chars % 101 % 100) || ' | ' || CASE WHEN doc_id % 4 > 1 THEN '1 of 2' ELSE '0' END || ' | 1 |' AS line FROM documents""")
 def status_lines(spark, sf_dir):
     """The lines of the quality tables."""
     rows = _doc_trajectories(spark, sf_dir).select(_created(F.col("source")).alias("created_at"), F.col("source").alias("name"), F.struct(*manifest.record_row()).alias("r"))
-    return manifest.record_lines(rows).select("name", "pr_number", "line")
+    return manifest.placed(manifest.record_lines(rows)).select("name", "pr_number", "place", "line")
+
+
+@query("""SELECT row_number() OVER (ORDER BY '2026-01-' || lpad(regexp_extract(source, '([0-9]+)', 1), 2, '0'), source)::INT AS place,
+  '| `' || source || '` | acme/' || source || ' | ' || count(*) || ' | — | 2026-01-' || lpad(regexp_extract(source, '([0-9]+)', 1), 2, '0') || ' |' AS line FROM documents GROUP BY source""")
+def dataset_table(spark, sf_dir):
+    """The table of datasets, by date and name."""
+    found = manifest.datasets(_doc_trajectories(spark, sf_dir), "source").withColumns({"created_at": _created(F.col("name")), "source_repo": F.concat(F.lit("acme/"), F.col("name")), "schema_version": F.lit(None).cast("string")})
+    return manifest.dataset_lines(found).select("place", "line")
+
+
+# --- payloads and issues ---------------------------------------------------------------------------------------------
+
+
+def _payloads(spark, sf_dir) -> DataFrame:
+    """Orders as what a host would answer for pull requests: (repo, number, endpoint, payload)."""
+    o, col = table(spark, sf_dir, "orders"), F.col
+    k = col("o_orderkey")
+    user = F.struct(F.lit("ann").alias("login"), F.lit("User").alias("type"))
+    names = F.array(F.struct(col("o_orderpriority").alias("name")), F.struct(F.lit("").alias("name")))
+    body = F.concat(F.lit("Closes #"), text(col("o_custkey")), F.lit(" and fixes far/away#"), text(k % 97), F.lit("; token = abcdefgh"), text(k))
+    pull = F.struct(F.concat(F.lit("feat: "), text(k)).alias("title"), F.when(k % 5 > 0, body).alias("body"), F.lit("closed").alias("state"), F.when(k % 2 == 0, True).alias("merged"), user.alias("user"), names.alias("labels"), F.lit("extra").alias("node_id"))
+    commit = F.struct(text(k).alias("sha"), F.struct(F.concat(F.lit("resolves #"), text(k % 7)).alias("message"), F.struct(F.lit("2026").alias("date")).alias("author")).alias("commit"), F.struct(F.lit("bob").alias("login")).alias("author"))
+    status = F.when(k % 3 == 0, "removed").otherwise("modified")
+    file = F.struct(F.concat(F.lit("f"), text(k)).alias("filename"), status.alias("status"), (k % 9).alias("additions"), F.when(k % 4 > 0, F.lit("@@ /home/ann/x")).alias("patch"))
+    review = F.struct(k.alias("id"), user.alias("user"), F.lit("APPROVED").alias("state"), F.when(k % 2 == 0, "fine").alias("body"))
+    inline = F.struct(k.alias("id"), user.alias("user"), F.lit("p").alias("path"), (k % 2).alias("line"), (k % 11).alias("original_line"), F.lit("password: abcdefgh1").alias("body"))
+    said = F.struct(k.alias("id"), user.alias("user"), F.lit("hello").alias("body"), F.lit("MEMBER").alias("author_association"))
+    run = F.struct(F.lit("build").alias("name"), F.lit("completed").alias("status"), F.lit("success").alias("conclusion"))
+    answers = {"pull": pull, "commits": F.array(commit), "files": F.array(file), "reviews": F.array(review), "comments": F.array(inline), "issue_comments": F.array(said), "check_runs": F.array(run)}
+    every = F.array(*[F.struct(F.lit(e).alias("endpoint"), F.to_json(v).alias("payload")) for e, v in answers.items()])
+    return o.select(F.lit("Acme/Tool").alias("repo"), k.cast("int").alias("number"), F.explode(every).alias("x")).select("repo", "number", "x.endpoint", "x.payload")
+
+
+@query(f"""SELECT o_orderkey::INT AS pr_number, 'feat: ' || o_orderkey AS title, CASE WHEN o_orderkey % 5 > 0 THEN 'Closes #' || o_custkey || ' and fixes far/away#' || o_orderkey % 97 || '; token = {redact.mark("assignment")}' ELSE '' END AS body, o_orderkey % 2 = 0 AS merged,
+  o_orderpriority AS labels, o_orderkey::VARCHAR || '|resolves #' || o_orderkey % 7 || '|bob|2026' AS commits, 'f' || o_orderkey || '|' || CASE WHEN o_orderkey % 3 = 0 THEN 'removed' ELSE 'modified' END || '|' || o_orderkey % 9 || '|' || coalesce(CASE WHEN o_orderkey % 4 > 0 THEN '@@ {redact.HOME_MARK}/x' END, 'none') || '|' || (o_orderkey % 4 = 0 AND o_orderkey % 3 > 0) AS files,
+  'ann|User|APPROVED|' || CASE WHEN o_orderkey % 2 = 0 THEN 'fine' ELSE '' END AS reviews, 'p|' || CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey % 11 ELSE 1 END || '|password: {redact.mark("assignment")}' AS inline, 'ann|hello|MEMBER' AS said, 'build|success' AS runs,
+  'redacted assignment' || CASE WHEN o_orderkey % 4 > 0 THEN ',redacted home_path' ELSE '' END AS warnings FROM orders""")
+def slim_records(spark, sf_dir):
+    """Payloads to raw records: narrow projections, null texts empty, secrets and home folders out, blank labels left out."""
+    r = raw_records(_payloads(spark, sf_dir), F.lit("2026-01-01T00:00:00Z"))
+    joined = lambda *xs: F.concat_ws("|", *[F.coalesce(x.cast("string"), F.lit("none")) for x in xs])
+    c, f, v, i, n, k = (F.get(x, F.lit(0)) for x in ("commits", "files", "reviews", "review_comments", "issue_comments", "checks.check_runs"))
+    return r.select(
+        "source.pr_number", "pull.title", "pull.body", "pull.merged", F.array_join("pull.labels", ",").alias("labels"), joined(c["sha"], c["message"], c["author_login"], c["date"]).alias("commits"),
+        joined(f["filename"], f["status"], f["additions"], f["patch"], f["patch_truncated"]).alias("files"), joined(v["user_login"], v["user_type"], v["state"], v["body"]).alias("reviews"),
+        joined(i["path"], i["line"], i["body"]).alias("inline"), joined(n["user_login"], n["body"], n["author_association"]).alias("said"), joined(k["name"], k["conclusion"]).alias("runs"), F.array_join("collection_meta.warnings", ",").alias("warnings"),
+    )
+
+
+_WANTED_SQL = """w AS (
+  SELECT DISTINCT o_orderkey, repo, n FROM (
+    SELECT o_orderkey, 'Acme/Tool' AS repo, o_custkey AS n FROM orders WHERE o_orderkey % 5 > 0 UNION ALL SELECT o_orderkey, 'Acme/Tool', o_orderkey % 7 FROM orders UNION ALL SELECT o_orderkey, 'far/away', o_orderkey % 97 FROM orders WHERE o_orderkey % 5 > 0))"""
+
+
+@query(f"WITH {_WANTED_SQL} SELECT o_orderkey::INT AS pr_number, repo AS issue_repo, n::BIGINT AS issue_number, repo = 'Acme/Tool' OR o_orderkey < 0 AS allowed FROM w")
+def issues_wanted(spark, sf_dir):
+    """Issues that bodies and commits close; other repositories only from a list."""
+    return wanted_issues(_closing(spark, sf_dir)).select("pr_number", "issue_repo", "issue_number", "allowed")
+
+
+@query(f"WITH {_WANTED_SQL} SELECT o_orderkey::INT AS pr_number, n::BIGINT AS number, repo, 'Issue ' || c_name AS title FROM w JOIN customer ON c_custkey = n AND c_custkey % 3 > 0 AND repo = CASE WHEN c_custkey % 2 = 0 THEN 'Acme/Tool' ELSE 'far/away' END")
+def issues_linked(spark, sf_dir):
+    """The wanted issues that are there and no pull requests, case of repositories aside."""
+    c, n = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    there = c.select(F.when(n % 2 == 0, "acme/TOOL").otherwise("Far/Away").alias("repo"), n.cast("bigint").alias("number"), F.concat(F.lit("Issue "), F.col("c_name")).alias("title"), F.lit(None).cast("string").alias("body"), F.lit("open").alias("state"), F.lit("u").alias("html_url"), F.when(n % 3 == 0, "{}").alias("pull_request"))
+    rows = with_issues(_closing(spark, sf_dir), there, ["FAR/away "])
+    return rows.select(F.col("source.pr_number").alias("pr_number"), F.explode("linked_issues").alias("i")).select("pr_number", "i.number", "i.repo", "i.title")
+
+
+def _closing(spark, sf_dir) -> DataFrame:
+    """Raw records of which only the texts matter that close issues."""
+    k, types = F.col("o_orderkey"), {f.name: f.dataType for f in RAW.fields}
+    body = F.when(k % 5 > 0, F.concat(F.lit("Closes #"), text(F.col("o_custkey")), F.lit(" and fixes far/away#"), text(k % 97)))
+    commit = F.concat(F.lit("resolves #"), text(k % 7))
+
+    def only(kind, **have) -> Column:
+        return F.struct(*[(have.get(f.name, F.lit(None)).cast(f.dataType)).alias(f.name) for f in kind.fields])
+
+    made = {"source": only(types["source"], repo=F.lit("Acme/Tool"), pr_number=k), "pull": only(types["pull"], body=body), "commits": F.array(only(types["commits"].elementType, message=commit))}
+    return table(spark, sf_dir, "orders").select(*[made.get(n, F.lit(None)).cast(t).alias(n) for n, t in types.items()])
+
+
+_LINKED_SQL = """WITH l AS (
+  SELECT o_orderkey, 0 AS o, 0 AS i, o_custkey AS n, 'acme/TOOL' AS repo, NULL::BOOLEAN AS closed, NULL::BOOLEAN AS made FROM orders UNION ALL
+  SELECT o_orderkey, 1, 0, o_custkey, 'Acme/Tool', true, true FROM orders UNION ALL SELECT o_orderkey, 1, 1, o_orderkey % 97, 'Acme/Tool', true, true FROM orders UNION ALL
+  SELECT o_orderkey, 1, 2, o_custkey % 7, 'Acme/Tool', true, true FROM orders UNION ALL
+  SELECT o_orderkey, 2, j, [7, 9, o_custkey][j], 'Acme/Tool', false, true FROM orders, range(1, 4) r(j) WHERE o_orderkey % 3 = 0 AND [7, 9, o_custkey][j] > 0 UNION ALL
+  SELECT o_orderkey, 2, 1, 5, 'Acme/Tool', false, true FROM orders WHERE o_orderkey % 3 > 0
+), f AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey, n, lower(repo) ORDER BY o, i) AS r FROM l WHERE n <> o_orderkey)
+SELECT o_orderkey, (row_number() OVER (PARTITION BY o_orderkey ORDER BY o, i) - 1)::INT AS place, n::BIGINT AS number, repo, closed, made FROM f WHERE r = 1"""
+
+
+@query(_LINKED_SQL)
+def linked_issues(spark, sf_dir):
+    """Collected issues, those that texts close, those of card or else table; each once, never the pull request itself."""
+    o, k, c = table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_custkey")
+    none = lambda t: F.lit(None).cast(t)
+    collected = F.array(F.struct(c.cast("bigint").alias("number"), F.lit("acme/TOOL").alias("repo"), F.lit("T").alias("title"), none("string").alias("body"), none("string").alias("state"), none("string").alias("html_url"), none("boolean").alias("closed_by_pr"), none("boolean").alias("synthetic")))
+    body = F.concat(F.lit("Closes #"), text(c), F.lit(", #"), text(k % 97))
+    commits = F.array(F.struct(F.concat(F.lit("fixes #"), text(c % 7)).alias("message")))
+    carded = F.when(k % 3 == 0, F.concat(F.lit('["7", 0, -1, "x", 9, 7, true, '), text(c), F.lit("]")))
+    found = issues.linked_issues(F.lit("Acme/Tool"), k, collected, body, commits, carded, F.lit("[5]"))
+    return o.select("o_orderkey", F.posexplode(found).alias("place", "i")).select("o_orderkey", "place", "i.number", "i.repo", F.col("i.closed_by_pr").alias("closed"), F.col("i.synthetic").alias("made"))
+
+
+@query("SELECT o_orderkey, 'Acme/Tool-' || o_custkey AS repo, 'Acme_Tool-' || o_custkey AS slug FROM orders")
+def repo_names(spark, sf_dir):
+    """Owner and name from either that or a web address, and the folder they give."""
+    k, name = F.col("o_orderkey"), F.concat(F.lit("Acme/Tool-"), text(F.col("o_custkey")))
+    said = F.when(k % 3 == 0, name).when(k % 3 == 1, F.concat(F.lit(" https://github.com/"), name, F.lit("/ "))).otherwise(F.concat(F.lit("HTTP://GitHub.com/"), name))
+    return table(spark, sf_dir, "orders").select("o_orderkey", links.repo_name(said).alias("repo"), links.repo_slug(said).alias("slug"))
 
 
 @query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS n_users, max(event_id) AS last_id FROM events GROUP BY event_type")

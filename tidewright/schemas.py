@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType, VariantType
 
-ATOMS = {"string": StringType, "int": IntegerType, "bigint": LongType, "boolean": BooleanType, "double": DoubleType}
+ATOMS = {"string": StringType, "int": IntegerType, "bigint": LongType, "boolean": BooleanType, "double": DoubleType, "variant": VariantType}
 
 
 def _split(text: str) -> list[str]:
@@ -72,8 +72,8 @@ records array<struct<id: string, pr_number: int, training_use: string, task_type
     review_signal_count: int, unique_review_signal_count: int, patch_chars: int, validation_count: int, source_url_count: int>>
 """)
 
-#: Dataset cards hold hand-written maps: each value stays JSON text, so one of an odd type spoils no other.
+#: Dataset cards hold hand-written maps: each value keeps its own JSON type, so one of an odd type spoils no other.
 CARD = parse_fields("""
-name string, source_repo string, schema_version string, language string, domains array<string>, domain_by_pr map<string,string>, task_type_by_pr map<string,string>,
-language_by_pr map<string,string>, linked_issues_by_pr map<string,string>, training_use_buckets map<string,array<int>>
+name string, source_repo string, schema_version string, language string, domains array<string>, domain_by_pr map<string,variant>, task_type_by_pr map<string,variant>,
+language_by_pr map<string,variant>, linked_issues_by_pr map<string,variant>, training_use_buckets map<string,array<int>>
 """)

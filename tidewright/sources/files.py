@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.paths import is_inside
+from ..functions.text import strip
 
 
 def raw_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,7 +38,7 @@ def json_lines(spark: SparkSession, path: str) -> DataFrame:
     parts = read.groupBy("path", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("path", "block", (F.col("first") - F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("base"))
-    return read.join(parts, ["path", "block"]).select("file", (F.col("at") - F.col("base") + 1).alias("line"), "text").where("text <> ''")
+    return read.join(parts, ["path", "block"]).select("file", (F.col("at") - F.col("base") + 1).alias("line"), "text").where(strip(F.col("text")) != "")
 
 
 def trajectories(spark: SparkSession, path: str) -> DataFrame:

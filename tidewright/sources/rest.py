@@ -3,14 +3,18 @@
     spark.dataSource.register(RestSource)
     spark.read.format("code_host").option("repo", "owner/name").option("numbers", "1,2").load()
 
-One input partition is one pull request (or one list of a repository). Hosts limit requests per token, so `partitions`
-caps how many run at once. With `fixtures`, a folder of files named by endpoint, nothing is requested.
+Rows are (repo, number, endpoint, payload). With `issues` instead of `numbers` ("owner/name#3,other/name#4") they are
+single issues. Hosts limit requests per token, so `partitions` (4 without it) caps how many tasks ask at once: each
+takes its share of the numbers one after the other, with one client and one throttle. With `onerror` "row" what can't be
+had is a row of endpoint `error` or `warning`; otherwise it ends the query. With `fixtures`, a folder of files named by
+endpoint, nothing is requested.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import time
 import urllib.error
 import urllib.request
@@ -21,7 +25,7 @@ from urllib.parse import urljoin, urlsplit
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 BASE, VERSION = "https://api.github.com", "2022-11-28"
-RETRIES, TIMEOUT, PER_PAGE, LEAST_LEFT = 5, 60, 100, 2
+RETRIES, TIMEOUT, PER_PAGE, LEAST_LEFT, PARTITIONS = 5, 60, 100, 2, 4
 LISTS = ("commits", "files", "reviews", "comments", "issue_comments")
 
 
@@ -133,9 +137,11 @@ class Client:
 
 
 @dataclass
-class Place(InputPartition):
-    repo: str
-    number: int
+class Share(InputPartition):
+    """What one task asks for, in order: (repo, number) of pull requests, or of issues."""
+
+    places: tuple[tuple[str, int], ...]
+    issues: bool
     skip: tuple[str, ...]
 
 
@@ -179,23 +185,45 @@ def payloads(client: Client, repo: str, number: int, skip: tuple[str, ...] = ())
         yield from soft("combined_status", lambda: json.dumps(client.get(f"/repos/{repo}/commits/{sha}/status")))
 
 
+def parse_issues(text: str) -> list[tuple[str, int]]:
+    """(repo, number) of a list by commas; an error for anything else."""
+    found = [re.fullmatch(r"\s*([^/\s#]+/[^/\s#]+)#([0-9]+)\s*", part) for part in text.split(",") if part.strip()]
+    if not all(found):
+        raise ValueError(f"not a list of issues: {text!r}")
+    return list(dict.fromkeys((m[1], int(m[2])) for m in found))
+
+
 class RestReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.options = options
 
-    def partitions(self) -> list[Place]:
+    def partitions(self) -> list[Share]:
         from ..operators.funnel import parse_numbers
 
         skip = tuple(s for s in self.options.get("skip", "").split(",") if s)
-        return [Place(self.options["repo"], n, skip) for n in parse_numbers(self.options["numbers"])]
-
-    def read(self, partition: Place) -> Iterator[tuple]:
-        folder = self.options.get("fixtures")
+        issues = "issues" in self.options
+        places = parse_issues(self.options["issues"]) if issues else [(self.options["repo"], n) for n in parse_numbers(self.options["numbers"])]
+        n = int(self.options.get("partitions", PARTITIONS))
+        if n < 1:
+            raise ValueError("partitions must be at least 1")
+        return [Share(tuple(places[i::n]), issues, skip) for i in range(min(n, len(places)))]
+
+    def read(self, partition: Share) -> Iterator[tuple]:
+        folder, rows = self.options.get("fixtures"), self.options.get("onerror") == "row"
         client = Client(token_from_env(self.options.get("tokenenv", "GITHUB_TOKEN")), self.options.get("base", BASE))
         if folder:
             client.fetch, client.sleep = fixture_fetch(folder), lambda s: None
-        for endpoint, payload in payloads(client, partition.repo, partition.number, partition.skip):
-            yield partition.repo, partition.number, endpoint, payload
+        for repo, number in partition.places:
+            try:
+                if partition.issues:
+                    yield repo, number, "issue", json.dumps(client.get(f"/repos/{repo}/issues/{number}"))
+                else:
+                    for endpoint, payload in payloads(client, repo, number, partition.skip):
+                        yield repo, number, endpoint, payload
+            except HostError as e:
+                if not rows:
+                    raise
+                yield repo, number, "warning" if partition.issues else "error", f"linked_issue_{number}_failed: {e}" if partition.issues else str(e)
 
 
 def fixture_fetch(folder: str) -> Callable[[str, dict[str, str]], tuple[int, dict[str, str], str]]:
@@ -240,15 +268,3 @@ def list_merged(client: Client, repo: str, limit: int = 50) -> list[dict]:
                 if len(found) == limit:
                     return found
     return found
-
-
-def fetch_issues(client: Client, wanted: list[tuple[str, int]]) -> tuple[list[tuple], list[str]]:
-    """Rows (repo, number, title, body, state, html_url, pull_request) of issues, and warnings of those that can't be had."""
-    rows, warnings = [], []
-    for repo, number in wanted:
-        try:
-            i = client.get(f"/repos/{repo}/issues/{number}")
-            rows.append((repo, i.get("number"), i.get("title"), i.get("body"), i.get("state"), i.get("html_url"), json.dumps(i["pull_request"]) if i.get("pull_request") else None))
-        except HostError as e:
-            warnings.append(f"linked_issue_{number}_failed: {e}")
-    return rows, warnings

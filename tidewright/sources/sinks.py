@@ -7,7 +7,7 @@ import os
 import re
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.checks import PROBLEM, shape_problems
@@ -88,9 +88,26 @@ def write_trajectories(found: DataFrame, path: str, order: str = "pr_file") -> i
     return n
 
 
-def write_trajectory_table(found: DataFrame, path: str) -> None:
-    """The same for many records: Parquet by repository, through Spark's committer."""
-    found.write.mode("overwrite").partitionBy("outcome").parquet(path)
+def write_trajectory_table(found: DataFrame, path: str) -> int:
+    """The same for many records: Parquet by outcome, or BadRecords and no table; a table that was there stays until then.
+
+    Records are written once, beside the place, and counted on the way; the folder is renamed if none was bad.
+    """
+    spark, part = found.sparkSession, f"{path.rstrip('/')}.part"
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    problems = F.size(shape_problems())
+    seen = Observation()
+    checked = found.observe(seen, F.count("*").alias("n"), F.count_if(problems > 0).alias("bad"), F.max(F.when(problems > 0, F.col("id"))).alias("example"))
+    checked.write.mode("overwrite").partitionBy("outcome").parquet(part)
+    got = seen.get
+    if got["bad"] or not got["n"]:
+        fs.delete(fs_path(part), True)
+        raise BadRecords(f"{got['bad']} bad records, among them {got['example']}" if got["bad"] else "no records")
+    fs.delete(fs_path(path), True)
+    if not fs.rename(fs_path(part), fs_path(path)):
+        raise OSError(f"{part} could not be renamed")
+    return got["n"]
 
 
 def write_manifest(manifest: dict, path: str, check: bool = False) -> bool:
