@@ -17,6 +17,7 @@ from .operators import checks, evidence, funnel, issues, labels, manifest, patch
 from .plans.collect import raw_records, wanted_issues, with_issues
 from .plans.trajectory import normalize
 from .schemas import RAW, TRAJECTORY
+from .sources import files, sinks
 from .streaming.events import streamed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -736,6 +737,42 @@ def repo_names(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", links.repo_name(said).alias("repo"), links.repo_slug(said).alias("slug"))
 
 
+def _with_diff(spark, sf_dir, inline: Column, sidecar: Column) -> DataFrame:
+    """Documents as raw records of which only number and diff matter."""
+    types = {f.name: f.dataType for f in RAW.fields}
+    only = lambda kind, **have: F.struct(*[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields])
+    made = {"source": only(types["source"], repo=F.lit("Acme/Tool"), pr_number=F.col("doc_id")), "diff": only(types["diff"], inline=inline, sidecar_path=sidecar, truncated=F.lit(False))}
+    return table(spark, sf_dir, "documents").select(*[made.get(n, F.lit(None)).cast(t).alias(n) for n, t in types.items()])
+
+
+@query("SELECT doc_id::INT AS pr_number, CASE WHEN strlen(text) <= 2048 THEN md5(text) END AS inline_md5, CASE WHEN strlen(text) > 2048 THEN 'pr-' || doc_id || '.diff' END AS sidecar_path, CASE WHEN strlen(text) > 2048 THEN strlen(text)::BIGINT END AS bytes, CASE WHEN strlen(text) > 2048 THEN md5(text) END AS sidecar_md5 FROM documents")
+def inline_split(spark, sf_dir):
+    """K1: big diffs go beside the record, which names the file."""
+    rows = sinks.inline_split(_with_diff(spark, sf_dir, F.col("text"), F.lit(None)), 2048)
+    return rows.select("source.pr_number", F.md5("diff.inline").alias("inline_md5"), "diff.sidecar_path", "diff.bytes", F.md5("sidecar_text").alias("sidecar_md5"))
+
+
+@query("SELECT doc_id::INT AS pr_number, CASE WHEN doc_id % 6 < 3 AND doc_id % 5 > 0 THEN md5(text) END AS sidecar_md5 FROM documents")
+def sidecar_join(spark, sf_dir):
+    """The diff beside a record, if the record names one within its own folder and it is there."""
+    k = F.col("doc_id")
+    name = F.concat(F.lit("pr-"), text(k), F.lit(".diff"))
+    forms = [name, F.concat(F.lit("./"), name), F.concat(F.lit("././"), name), F.concat(F.lit("../p/"), name), F.concat(F.lit("/data/p/"), name), F.lit(None).cast("string")]
+    named = F.element_at(F.array(*forms), (k % len(forms) + 1).cast("int"))
+    raw = _with_diff(spark, sf_dir, F.lit(None), named).withColumn("folder", F.lit("file:///data/p"))
+    diffs = table(spark, sf_dir, "documents").where("doc_id % 5 > 0").select(F.concat(F.lit("file:/data/p/"), name).alias("path"), F.col("text").cast("binary").alias("content"))
+    return files.beside_records(raw, diffs).select("source.pr_number", F.md5("sidecar_text").alias("sidecar_md5"))
+
+
+@query("SELECT '[' || s_name || '](u)' AS repo, s_suppkey || '.md' AS file, 'v' || s_nationkey || ' done' AS status FROM supplier WHERE s_suppkey % 3 > 0")
+def index_entries(spark, sf_dir):
+    """The index lines of pages; other files and the index itself are passed over."""
+    k = F.col("s_suppkey")
+    line = F.concat(F.lit("# Title\n<!--index:  ["), F.col("s_name"), F.lit("](u) |  v"), text(F.col("s_nationkey")), F.lit(" done-->\nmore"))
+    pages = table(spark, sf_dir, "supplier").select(F.when(k % 3 > 0, F.concat(text(k), F.lit(".md"))).when(k % 2 == 0, "_index.md").otherwise("x.txt").alias("file"), F.when(k % 3 > 0, line).otherwise("no line").alias("text"))
+    return manifest.index_entries(pages)
+
+
 @query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS n_users, max(event_id) AS last_id FROM events GROUP BY event_type")
 def stream_events(spark, sf_dir):
     """§2.12: the file stream, read to its end through a checkpoint, is the table."""

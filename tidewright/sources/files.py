@@ -20,9 +20,13 @@ def raw_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_sidecars(raw: DataFrame, folder: str) -> DataFrame:
-    """raw with sidecar_text: the diff that a record names, if it lies within the record's own folder."""
-    spark = raw.sparkSession
-    diffs = spark.read.option("pathGlobFilter", "*.diff").option("recursiveFileLookup", True).format("binaryFile").load(folder)
+    """raw with sidecar_text: the diff that a record names, from the files of a folder."""
+    diffs = raw.sparkSession.read.option("pathGlobFilter", "*.diff").option("recursiveFileLookup", True).format("binaryFile").load(folder)
+    return beside_records(raw, diffs)
+
+
+def beside_records(raw: DataFrame, diffs: DataFrame) -> DataFrame:
+    """raw (with folder) and diffs (path, content): sidecar_text is the diff that a record names, if it lies within the record's own folder."""
     found = diffs.select(F.col("path").alias("_path"), F.make_valid_utf8(F.col("content").cast("string")).alias("sidecar_text"))
     named = F.when(is_inside(F.col("diff.sidecar_path")), F.concat(F.col("folder"), F.lit("/"), F.regexp_replace("diff.sidecar_path", r"\A(?:\./)+", "")))
     norm = lambda p: F.regexp_replace(p, r"\A(?:file:)?/+", "/")

@@ -4,27 +4,18 @@ from __future__ import annotations
 
 import atexit
 import contextlib
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_made: list[tuple[SparkSession, str]] = []
-
+from ..session import shared_root
 
-def _root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the executors share")
-        root = tempfile.mkdtemp(prefix="tidewright-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+_made: list[tuple[SparkSession, str]] = []
 
 
 def streamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The rows that a stream over a table's files has appended, with the stream's checkpoint in the shared folder."""
-    place = f"{_root(spark).rstrip('/')}/tidewright/stream-{uuid.uuid4().hex}"
+    place = f"{shared_root(spark).rstrip('/')}/tidewright/stream-{uuid.uuid4().hex}"
     _made.append((spark, place))
     path = f"{sf_dir}/{name}.parquet"
     schema = spark.read.parquet(path).schema
