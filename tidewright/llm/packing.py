@@ -8,7 +8,9 @@ few tokens after a task's last window are laid into sequences of descending powe
 
 Every task packs what it reads: no shuffle, memory bounded by the window, and a lost task is simply run again.
 Defined results: null text is empty, an empty text is its end id alone; rows are packed as they come, repeated ones
-repeatedly; a null identifier stays null; an empty table gives no rows; further columns of any name are not read.
+repeatedly; pieces of equal length are laid in the order they were read, and of sequences of equal cost the first is
+taken; a null identifier stays null; an empty table gives no rows; further columns of any name are not read; very
+long texts are read as a whole.
 """
 
 from __future__ import annotations

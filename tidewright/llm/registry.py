@@ -118,6 +118,26 @@ named AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = named.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM named
 """
 
+#: Lines that share a segment, as its own part of the shorter and anywhere near in the longer one, within the edits of the shorter.
+OP5_SQL = r"""
+WITH RECURSIVE o AS (
+  SELECT doc_id, unnest(range(0, len(string_split(coalesce(text, ''), chr(10)))))::INT AS line_no, unnest(string_split(coalesce(text, ''), chr(10))) AS raw FROM documents
+), t AS (SELECT doc_id, line_no, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM o),
+l AS (SELECT line, length(line) AS n, CASE WHEN length(line) >= 24 THEN 2 WHEN length(line) >= 12 THEN 1 ELSE 0 END AS e FROM (SELECT DISTINCT line FROM t WHERE line <> '')),
+own AS (SELECT line, n, e, i, substr(line, n * i // (e + 1) + 1, n * (i + 1) // (e + 1) - n * i // (e + 1)) AS part FROM l, range(0, 3) r(i) WHERE i <= e AND e > 0),
+ask AS (SELECT line, m, e, i, substr(line, m * i // (e + 1) + s + 1, m * (i + 1) // (e + 1) - m * i // (e + 1)) AS part FROM (
+  SELECT line, n - d AS m, CASE WHEN n - d >= 24 THEN 2 WHEN n - d >= 12 THEN 1 ELSE 0 END AS e, i, s FROM l, range(0, 3) a(d), range(0, 3) b(i), range(-2, 3) c(s)
+) WHERE e > 0 AND i <= e AND m * i // (e + 1) + s >= 0),
+pairs AS (SELECT DISTINCT own.line AS a, ask.line AS b, own.e FROM own JOIN ask ON own.n = ask.m AND own.i = ask.i AND own.part = ask.part AND own.line <> ask.line),
+near AS (SELECT a, b FROM pairs WHERE levenshtein(a, b) <= e),
+links AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
+reach(a, b) AS (SELECT a, a FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+class AS (SELECT a AS line, min(b) AS root FROM reach GROUP BY a),
+c AS (SELECT t.*, coalesce(root, line) AS root, row_number() OVER (PARTITION BY coalesce(root, line) ORDER BY doc_id, line_no) AS r FROM t LEFT JOIN class USING (line) WHERE line <> '')
+SELECT doc_id, len(string_split(coalesce(text, ''), chr(10)))::INT AS n_lines, (SELECT count(*) FROM c WHERE c.doc_id = d.doc_id AND r > 1)::INT AS n_removed,
+  coalesce((SELECT list(line_no ORDER BY line_no) FROM c WHERE c.doc_id = d.doc_id AND r > 1), []::INT[]) AS removed_lines FROM documents d
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup_trie": OP1_SQL, "op3_temperature_mix": OP3_SQL, "op4_int8_near_dup": OP4_SQL}
+    return {"op1_exact_dedup_trie": OP1_SQL, "op3_temperature_mix": OP3_SQL, "op4_int8_near_dup": OP4_SQL, "op5_line_edit_dedup": OP5_SQL}
