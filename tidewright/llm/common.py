@@ -6,13 +6,12 @@ import atexit
 import contextlib
 import contextvars
 import gc
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import shared_root, ship
 
 #: Keys under which what belongs to a group comes back to its rows; the members under one key may be split further by
 #: adaptive execution, since a single row stands on the other side.
@@ -33,18 +32,6 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; a folder of this machine only for a local master."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that the executors share")
-    root = tempfile.mkdtemp(prefix="tidewright-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
 def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors, has known sizes."""
     spark = df.sparkSession
@@ -110,8 +97,8 @@ def _clean() -> None:
             _delete(spark, path)
 
 
-#: Up to so many rows a written table of a few narrow columns is broadcast (tens of MB); beyond, it is joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Up to so many rows a written table of a few narrow columns is broadcast (some 16 MB); beyond, it is joined by shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def small(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -164,15 +151,17 @@ def spread(table: DataFrame, mask: str, salt: str = "salt") -> DataFrame:
 TILE = 512
 
 
-def apart(members: DataFrame, tag: str, left: Column | None = None, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
+def apart(members: DataFrame, tag: str, left: Column | None = None, more: DataFrame | None = None, on: tuple[str, ...] = (), tile: int = TILE) -> tuple[DataFrame, DataFrame]:
     """What must still be compared: members (key, id, root, ...) of keys that hold several roots, for a join on (key, tile).
 
     The second table deals a key's members to tiles of about `tile`, the first (only members where `left` holds) has
     each member once for every tile. So a hot key is as many keys of the join, and no task meets all of its members.
+    more: what the comparison needs besides, joined by `on` to those members only that are to be compared.
     """
     sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     sizes = materialize(sizes.select("key", F.ceil(F.col("size") / tile).cast("int").alias("tiles")), f"{tag}-sizes")
-    several = materialize(members.join(small(sizes), "key"), f"{tag}-apart")
+    several = members.join(small(sizes), "key")
+    several = materialize(several if more is None else several.join(more, list(on)), f"{tag}-apart")
     release(sizes)
     every = (several if left is None else several.where(left)).withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     return every.drop("tiles"), several.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")).drop("tiles")
