@@ -33,7 +33,14 @@ def test_banded_distance(spark, t):
         if abs(len(a) - len(b)) <= t < len(a):
             rows.append((a, b))
     df = spark.createDataFrame(rows, "a string, b string").withColumns({"n": F.length("a"), "m": F.length("b")})
-    got = df.select(L.banded_distance(F.col("a"), F.col("b"), F.col("n"), F.col("m"), t).alias("d"), F.levenshtein("a", "b").alias("want"), L.pieces_met(F.col("a"), F.col("b"), F.col("n"), t, 4).alias("p")).collect()
+    part = df.withColumn("u", L.unlike_part(F.col("a"), F.col("b"), t + 1))
+    got = part.select(
+        L.banded_distance(F.col("a"), F.col("b"), F.col("n"), F.col("m"), t).alias("d"), F.levenshtein("a", "b").alias("want"), L.pieces_met(F.col("a"), F.col("b"), F.col("n"), t, 4).alias("p"),
+        L.banded_distance(F.col("u.a"), F.col("u.b"), F.length("u.a"), F.length("u.b"), t).alias("d_part"), F.levenshtein("u.a", "u.b").alias("want_part"), F.length("u.a").alias("left"),
+        F.bit_count(L.pair_map(F.col("a")).bitwiseXOR(L.pair_map(F.col("b")))).alias("bits"), F.col("n"),
+    ).collect()
+    assert all(r.want_part == r.want and r.bits <= 4 * r.want and r.left > t for r in got) and any(r.left < r.n for r in got)
+    assert all((r.d_part == r.want) if r.want <= t else r.d_part > t for r in got)
     assert all((r.d == r.want) if r.want <= t else r.d > t for r in got)
     assert all(r.p for r in got if r.want <= t) and any(r.want <= t for r in got)
 
@@ -75,7 +82,7 @@ def components(nodes, near):
 def test_classes_are_those_of_all_near_pairs(spark, monkeypatch, limit, hot, tile):
     monkeypatch.setattr(L, "BROADCAST_KEYS", limit)
     monkeypatch.setattr(L, "HOT", hot)
-    monkeypatch.setattr(common.apart, "__defaults__", (None, tile))
+    monkeypatch.setattr(common.apart, "__defaults__", (None, None, (), tile))
     texts = sorted({x for x in lines(random.Random(7)) if x})
     got, _ = classes_of(spark, texts)
     assert got == components(texts, lambda a, b: abs(len(a) - len(b)) <= 2 and distance(a, b) <= permitted(a, b))

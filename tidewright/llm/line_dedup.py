@@ -5,8 +5,9 @@ permits (`bands`: from so many code points, so many edits t; below the first ban
 split into t + 1 even segments; t edits leave one of them whole, so two near lines share a segment at a shift that the
 edits before and after it allow. Every distinct line puts its segments into an index under (segment, own length,
 substring), and probes the index, for its own length and each up to t shorter, with the substrings at the allowed
-shifts only. Pairs that are compared are held against finer pieces and then verified with a banded bit-parallel edit
-distance: the band of 2t + 1 diagonals lies in the bits of a long, one step a character.
+shifts only. Pairs that are compared are held against bit maps of their characters' pairs and against finer pieces,
+neither of which rules out a near pair, and then verified with a banded bit-parallel edit distance of what lies between
+their common beginning and end: the band of 2t + 1 diagonals lies in the bits of a long, one step a character.
 
 Skew. Copies never multiply: occurrences are reduced to distinct lines first, and the answer returns to the
 occurrences by a salted lookup. A segment that over HOT lines share tells little (the beginning of an address, a
@@ -187,6 +188,20 @@ def banded_distance(a: Column, b: Column, n_a: Column, n_b: Column, max_edits: i
     return _let(F.split(a, F.lit(""), -1), run)
 
 
+def unlike_part(a: Column, b: Column, keep: int) -> Column:
+    """struct(a, b) without their common beginning and end but for `keep` characters of each: their distance is the same."""
+
+    def common(x: Column, y: Column, part) -> Column:
+        most = F.least(F.length(x), F.length(y))
+        step = lambda n, k: F.when((n + k <= most) & (part(x, n + k) == part(y, n + k)), n + k).otherwise(n)
+        return F.greatest(F.aggregate(F.array(*[F.lit(1 << k) for k in range(24, -1, -1)]), F.lit(0), step) - keep, F.lit(0))
+
+    pair = lambda x, y: F.struct(x.alias("a"), y.alias("b"))
+    behind = _let(common(a, b, lambda x, n: F.substring(x, F.lit(1), n)), lambda n: pair(F.substring(a, n + 1, F.length(a)), F.substring(b, n + 1, F.length(b))))
+    cut = lambda p, n: pair(F.substring(p["a"], F.lit(1), F.length(p["a"]) - n), F.substring(p["b"], F.lit(1), F.length(p["b"]) - n))
+    return _let(behind, lambda p: _let(common(p["a"], p["b"], F.right), lambda n: cut(p, n)))
+
+
 def pieces_met(a: Column, b: Column, n_a: Column, max_edits: int, pieces: int = PIECES) -> Column:
     """Whether all but max_edits of the even pieces of a stand in b within max_edits places: so they do in near lines.
 
@@ -198,6 +213,16 @@ def pieces_met(a: Column, b: Column, n_a: Column, max_edits: int, pieces: int =
     return F.size(F.filter(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda k: F.contains(near(k), piece(k)))) >= pieces - max_edits
 
 
+def pair_map(line: Column) -> Column:
+    """A bit for each pair of neighbouring characters, by their hash. An edit takes two pairs away at most and adds two, so near lines differ in few bits."""
+
+    def of(chars: Column) -> Column:
+        bits = F.transform(chars, lambda c, i: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(c, F.get(chars, i + 1)), F.lit(64)).cast("int")))
+        return F.aggregate(bits, F.lit(0).cast("bigint"), lambda s, b: s.bitwiseOR(b))
+
+    return _let(F.split(line, F.lit(""), -1), of)
+
+
 def occurrences(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """(doc_id, line_no from 0, line) of every line that is long enough, trimmed."""
     line = F.col("line")
@@ -219,8 +244,8 @@ def place(doc_id: Column, line_no: Column) -> Column:
     return (F.coalesce(doc_id, F.lit(-(1 << 63))).cast(PLACE) * F.lit(1 << 32).cast(PLACE) + line_no).cast(PLACE)
 
 
-def line_links(lines: DataFrame, bands: tuple = BANDS) -> DataFrame:
-    """(a, b): links whose components are those of all near pairs of the distinct lines (id, line, n).
+def line_links(lines: DataFrame, bands: tuple = BANDS) -> tuple[DataFrame, DataFrame]:
+    """(links, roots): links (a, b) whose components are those of all near pairs of the distinct lines (id, line, n), and the components (node, root).
 
     The keys are counted first, without texts: few of them are met by two lines. Only lines with such a key go on,
     with their texts, and the joins on the key verify their pairs themselves, so that lines which share a segment but
@@ -242,28 +267,40 @@ def line_links(lines: DataFrame, bands: tuple = BANDS) -> DataFrame:
         groups = groups.unionByName(by_rare_pieces(hot, bands).select(*groups.columns))
     # a comparison is much work on few bytes: dealt to all tasks, whatever its bytes
     tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = materialize(groups.repartition(tasks, "key"), "line-groups")
+    groups = materialize(groups.withColumn("pairs", pair_map(F.col("line"))), "line-groups")
 
     def near(x: str, z: str) -> Column:
         """x: the line whose own key it is, so the shorter one."""
         a, b, n_a, n_b = F.col(f"{x}.line"), F.col(f"{z}.line"), F.col(f"{x}.n"), F.col(f"{z}.n")
         most = edits(n_a, bands)
-        alike = F.when((n_b - n_a).between(0, most), pieces_met(a, b, n_a, t_most)).otherwise(False)
-        return F.when(alike, banded_distance(a, b, n_a, n_b, t_most) <= most).otherwise(False)
+        few_bits = F.bit_count(F.col(f"{x}.pairs").bitwiseXOR(F.col(f"{z}.pairs"))) <= 4 * most
+        alike = F.when((n_b - n_a).between(0, most) & few_bits, pieces_met(a, b, n_a, t_most)).otherwise(False)
+        distance = _let(unlike_part(a, b, t_most + 1), lambda p: banded_distance(p["a"], p["b"], F.length(p["a"]), F.length(p["b"]), t_most))
+        return F.when(alike, distance <= most).otherwise(False)
 
-    leads = groups.where("own").groupBy("key").agg(F.min(F.struct("id", "line", "n")).alias("x"))
+    leads = groups.where("own").groupBy("key").agg(F.min(F.struct("id", "line", "n", "pairs")).alias("x"), F.count("*").alias("n_own"))
+    leads = materialize(leads, "line-leads")
     star = groups.repartition(tasks, "key").alias("z").join(leads, "key").where((F.col("x.id") != F.col("z.id")) & near("x", "z"))
     first = materialize(star.select(F.least("x.id", "z.id").alias("a"), F.greatest("x.id", "z.id").alias("b")).distinct(), "line-star")
     roots = connected_components(first, "line-star")
-    named = groups.join(leads.select("key", F.col("x.id").alias("lead")), "key").join(roots, F.col("id") == F.col("node"), "left")
-    x, z = (side.repartition(tasks, "key", "tile").alias(k) for side, k in zip(apart(named.select("key", "own", "id", "line", "n", "lead", F.coalesce("root", "id").alias("root")), "line", F.col("own")), "xz"))
+    # what is left to compare has a line of its own key that is not the smallest
+    named = groups.join(leads.where("n_own > 1").select("key", F.col("x.id").alias("lead")), "key").join(roots, F.col("id") == F.col("node"), "left")
+    x, z = (side.repartition(tasks, "key", "tile").alias(k) for side, k in zip(apart(named.select("key", "own", "id", "line", "n", "pairs", "lead", F.coalesce("root", "id").alias("root")), "line", F.col("own")), "xz"))
     same = (F.col("x.key") == F.col("z.key")) & (F.col("x.tile") == F.col("z.tile")) & (F.col("x.root") != F.col("z.root")) & (F.col("x.id") != F.col("x.lead"))
     once = F.when(F.col("z.own"), F.col("x.id") < F.col("z.id")).otherwise(True)
     pairs = x.join(z, same & F.when(once, near("x", "z")).otherwise(False)).select(F.col("x.id").alias("a"), F.col("z.id").alias("b"), F.least("x.root", "z.root").alias("lo"), F.greatest("x.root", "z.root").alias("hi"))
-    rest = pairs.groupBy("lo", "hi").agg(F.min(F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).alias("link")).select("link.a", "link.b")
-    links = materialize(first.unionAll(rest), "line-links")
-    release(live, met, groups, first, roots)
-    return links
+    rest = pairs.groupBy("lo", "hi").agg(F.min(F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).alias("link"))
+    rest = materialize(rest.select("lo", "hi", "link.a", "link.b"), "line-rest")
+    links = first.unionAll(rest.select("a", "b"))
+    if not rest.isEmpty():  # components of components, by their smallest lines
+        up = connected_components(rest.select(F.col("lo").alias("a"), F.col("hi").alias("b")), "line-up")
+        every = roots.unionAll(up.join(roots.select("node"), "node", "left_anti").select("node", F.col("node").alias("root")))
+        whole = every.join(up.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+        whole = materialize(whole, "line-roots")
+        release(roots, up)
+        roots = whole
+    release(live, met, groups, leads)
+    return links, roots
 
 
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: tuple = BANDS, min_chars: int = 1) -> tuple[DataFrame, DataFrame]:
@@ -273,8 +310,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = occurrences(docs, id_col, text_col, min_chars).select("line", place(F.col("doc_id"), F.col("line_no")).alias("place"), salt_mask(salt_of(F.col("doc_id"))).alias("salt"))
     lines = found.groupBy("line").agg(F.min("place").alias("first"), F.count("*").alias("times"), F.bit_or("salt").alias("salts"))
     lines = materialize(lines.select(line_id(F.col("line")).alias("id"), "line", F.length("line").alias("n"), "first", "times", "salts"), "lines", "zstd")
-    links = line_links(lines.select("id", "line", "n"), bands)
-    roots = connected_components(links, "lines")
+    links, roots = line_links(lines.select("id", "line", "n"), bands)
     named = lines.select("id", "first", "times", "salts").join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).drop("node")
     known = named.where("times > 1 or root <> id").unionByName(named.where("times <= 1 and root = id").join(roots.select("root").distinct(), "root", "left_semi"))
     return known, links
