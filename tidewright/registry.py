@@ -493,7 +493,7 @@ def _raw_orders(spark, sf_dir) -> DataFrame:
     fields["pull"] = shaped(fields["pull"], types["pull"], set(pull))
     fields["reviews"] = F.transform(fields["reviews"], lambda r: shaped(r, types["reviews"].elementType, {"user_login", "user_type", "state", "body"}))
     fields["files"] = F.transform(fields["files"], lambda f: shaped(f, types["files"].elementType, {"filename", "status", "additions", "deletions", "patch"}))
-    rows = o.join(files, col("o_orderkey") == col("l_orderkey"), "left")
+    rows = o.join(files.hint("merge"), col("o_orderkey") == col("l_orderkey"), "left")  # a broadcast would leave the work to the few tasks that read orders
     return rows.select(*[(fields[f.name] if f.name in fields else F.lit(None).cast(f.dataType)).alias(f.name) for f in RAW.fields])
 
 
