@@ -28,6 +28,8 @@ from .common import connected_components, materialize, release, salt_mask, salt_
 
 THRESHOLD = 0.9
 BLOCK_ROWS = 8192
+#: Small tables come in so many blocks of at least so many vectors all the same, so that their tiles are many tasks.
+LEAST_BLOCKS, SMALL_BLOCK = 6, 1024
 #: Numbers in a block at most: long vectors come in smaller blocks.
 BLOCK_CELLS = 1 << 23
 STRIP = 512
@@ -144,7 +146,8 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str =
     sizes = distinct.groupBy(F.size("vec").alias("dims")).agg(F.count("*").alias("n"))
     per_block = F.least(F.lit(block_rows), F.greatest(F.lit(1), F.floor(F.lit(BLOCK_CELLS) / F.col("dims"))))
     # blocks are dealt by hash and so not quite even: a tenth of room
-    sizes = sizes.withColumn("blocks", F.ceil(F.col("n") * 1.1 / per_block).cast("int"))
+    spread_out = F.least(F.lit(LEAST_BLOCKS), F.ceil(F.col("n") / SMALL_BLOCK))
+    sizes = sizes.withColumn("blocks", F.greatest(F.ceil(F.col("n") * 1.1 / per_block), spread_out).cast("int"))
     placed = distinct.withColumn("dims", F.size("vec")).join(sizes.select("dims", "blocks"), "dims")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
