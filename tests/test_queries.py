@@ -6,9 +6,11 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidewright import registry
+from tidewright.operators import signals
 
 
 def plain(v):
@@ -49,3 +51,21 @@ def test_policy_reads_whole_texts(spark, tmp_path):
     want = {("src1-1", "secret-like token present (assignment)"), ("src1-2", "absolute user-home path present"), ("src1-2", "secret-like token present (assignment)")}
     got = {(r.id, r.message) for r in registry.QUERIES["policy_text_violations"](spark, str(tmp_path)).where("path = 'policy'").collect()}
     assert got == want
+
+
+def test_signal_keys_keep_words_that_look_like_commits(spark, tmp_path):
+    """An invented word of the letters a to f alone, a commit and a missing identifier, against the query's SQL."""
+    texts = ["ing reinst aeaeaea thath", "moved in abc1234 and def56789", "DEADBEEF  is\na word", "no hex", "?!", None]
+    rows = [(i, turn, "user", t) for i in (1, 2, None) for turn in (0, 1, 3) for t in texts]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    got = registry.QUERIES["signal_keys"](spark, str(tmp_path)).select("conv_id", "turn", "ack", "key").collect()
+    want = con.sql(registry.ORACLES["signal_keys"]).fetchall()
+    assert len(want) == 36 and sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_body_key_masks_commits_of_acknowledgements_only(spark):
+    rows = [(0, "Fixed in abc1234: as in DEF5678"), (1, "Fixed in abc1234: as in aaa9999"), (2, "as in DEF5678"), (3, "Fixed in abc1234: ...")]
+    keys = {r.i: r.key for r in spark.createDataFrame(rows, "i int, body string").select("i", signals.body_key(F.col("body")).alias("key")).collect()}
+    assert keys == {0: "as in <sha>", 1: "as in <sha>", 2: "as in def5678", 3: ""}

@@ -17,12 +17,16 @@ FENCE = r"(?is)```suggestion(?U:\s*)\n.*?```"
 SHA_TOKEN = r"(?iU)\b(?=[0-9a-f]*[a-f])[0-9a-f]{7,40}\b"
 
 
-def body_key(body: Column) -> Column:
-    """What two signals must share to be one: text without suggestion fences and white space; of acknowledgements what follows the commit, commits masked. Empty without any letter or digit."""
+def body_words(body: Column) -> Column:
+    """A text without suggestion fences and white space at its ends and in a row; of acknowledgements what follows the commit."""
     text = collapse(strip(F.regexp_replace(or_empty(body), FENCE, " ")))
-    bare = lambda x: F.regexp_replace(F.regexp_replace(x, ACK + r"(?:\*\*)?\s*:?\s*", ""), SHA_TOKEN, "<sha>")
-    key = F.lower(strip(let(text, lambda x: F.when(is_ack(body), bare(x)).otherwise(x))))
-    return let(key, lambda x: F.when(x.rlike("[a-z0-9]"), x).otherwise(""))
+    return let(text, lambda x: F.when(is_ack(body), F.regexp_replace(x, ACK + r"(?:\*\*)?\s*:?\s*", "")).otherwise(x))
+
+
+def body_key(body: Column) -> Column:
+    """What two signals must share to be one: `body_words` in lower case, in acknowledgements with further commits masked. Empty without any letter or digit."""
+    masked = let(body_words(body), lambda x: F.when(is_ack(body), F.regexp_replace(x, SHA_TOKEN, "<sha>")).otherwise(x))
+    return let(F.lower(strip(masked)), lambda x: F.when(x.rlike("[a-z0-9]"), x).otherwise(""))
 
 
 def review_body(body: Column, state: Column) -> Column:
