@@ -182,3 +182,18 @@ def test_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "a line", 1, "k"), (2, "a line", 2, "l")], "doc_id long, text string, _tidewright_id int, _tidewright_gone string")
     clean = L.drop_repeated_lines(docs)
     assert clean.columns == docs.columns and sorted(map(tuple, clean.collect())) == [(1, "a line", 1, "k"), (2, "", 2, "l")]
+
+
+def test_pieces_are_rare_if_lines_of_other_lengths_lack_them_too(spark):
+    """One line among 200 that are a character longer, each with four words of its own: it meets none of them."""
+    rnd = random.Random(5)
+    word = lambda letters: "".join(rnd.choices(letters, k=5))
+    base = [word("abcdefghij") for _ in range(60)]
+    texts = []
+    for i in range(201):
+        own = (7, 22, 37, 52) if i == 0 else rnd.sample(range(60), 4)
+        texts.append(" ".join(word("klmnopqrst") if k in own else x for k, x in enumerate(base)) + ("" if i == 0 else "!"))
+    rows = spark.createDataFrame([(hashlib.sha256(x.encode()).digest()[:16], x, len(x)) for x in texts], "id binary, line string, n int")
+    groups = common.materialize(L.by_rare_pieces(rows, L.BANDS), "test-groups")
+    mine = groups.where(F.col("own") & (F.col("line") == texts[0])).select("key")
+    assert mine.count() == 3 and groups.join(mine, "key").count() == 3

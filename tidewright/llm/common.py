@@ -151,15 +151,16 @@ def spread(table: DataFrame, mask: str, salt: str = "salt") -> DataFrame:
 TILE = 512
 
 
-def apart(members: DataFrame, tag: str, left: Column | None = None, more: DataFrame | None = None, on: tuple[str, ...] = (), tile: int = TILE) -> tuple[DataFrame, DataFrame]:
+def apart(members: DataFrame, tag: str, left: Column | None = None, more: DataFrame | None = None, on: tuple[str, ...] = (), tile: int = TILE, *, told: tuple[Column, ...] = (), where: str = "true") -> tuple[DataFrame, DataFrame]:
     """What must still be compared: members (key, id, root, ...) of keys that hold several roots, for a join on (key, tile).
 
     The second table deals a key's members to tiles of about `tile`, the first (only members where `left` holds) has
     each member once for every tile. So a hot key is as many keys of the join, and no task meets all of its members.
     more: what the comparison needs besides, joined by `on` to those members only that are to be compared.
+    told: further sums of a key's members, which come to each of them; only keys go on for which `where` holds.
     """
-    sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    sizes = materialize(sizes.select("key", F.ceil(F.col("size") / tile).cast("int").alias("tiles")), f"{tag}-sizes")
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"), *told).where("lo <> hi").where(where)
+    sizes = materialize(sizes.drop("lo", "hi").withColumn("size", F.ceil(F.col("size") / tile).cast("int")).withColumnRenamed("size", "tiles"), f"{tag}-sizes")
     several = members.join(small(sizes), "key")
     several = materialize(several if more is None else several.join(more, list(on)), f"{tag}-apart")
     release(sizes)

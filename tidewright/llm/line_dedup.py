@@ -11,8 +11,8 @@ their common beginning and end: the band of 2t + 1 diagonals lies in the bits of
 
 Skew. Copies never multiply: occurrences are reduced to distinct lines first, and the answer returns to the
 occurrences by a salted lookup. A segment that over HOT lines share tells little (the beginning of an address, a
-notice): such lines are indexed anew, by the t + 1 of their finer pieces that the fewest of them hold. Any t + 1 pieces
-do, since t edits spoil t at most; the probes hold all pieces at all shifts. Under every key all lines are compared
+notice): such lines are indexed anew, by the t + 1 of their finer pieces that the fewest of them hold or probe for. Any t + 1
+pieces do, since t edits spoil t at most; the probes hold all pieces at all shifts. Under every key all lines are compared
 with the smallest; then only lines that are in different classes still, in tiles of a bounded number of lines
 (`common.apart`). Links are a line's with the smallest of a key, and one for each two classes that are met so: never
 all pairs. In each class the first occurrence, by identifier and line number, stays.
@@ -38,7 +38,7 @@ from .common import apart, connected_components, materialize, release, salt_mask
 #: From so many code points, so many edits: more than three times as many code points as edits.
 BANDS = ((12, 1), (24, 2))
 #: Lines that may share a segment before they are indexed by their rarest pieces; these are at most so many, of so many code points.
-HOT, FINE, FINE_CHARS = 64, 9, 5
+HOT, FINE, FINE_CHARS = 64, 12, 5
 EDGES = " \t\x0b\x0c\r"
 #: Pieces that a pair is held against before its distance is computed.
 PIECES = 16
@@ -119,23 +119,26 @@ def by_rare_pieces(lines: DataFrame, bands: tuple) -> DataFrame:
 
     wide = lines.withColumn("wide", F.encode("line", "UTF-32"))
     pieces = F.sequence(F.lit(0), F.lit(FINE - 1))
-    held = wide.select("id", "n", F.explode(F.filter(F.transform(pieces, lambda p: key(F.col("n"), p, F.lit(0))), lambda x: x.isNotNull())).alias("key"))
-    held = materialize(held, "line-pieces")
-    counted = held.join(held.groupBy("key").agg(F.count("*").alias("times")), "key")
-    rare = counted.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("held")).select("id", F.explode(F.slice("held", F.lit(1), edits(F.col("n"), bands) + 1)).alias("x"))
-    rare = materialize(rare.select("id", F.col("x.key").alias("key")), "line-rare")
-    own = rare.join(lines, "id").select("id", "line", "n", F.lit(True).alias("own"), "key")
+    held = F.filter(F.transform(pieces, lambda p: key(F.col("n"), p, F.lit(0))), lambda x: x.isNotNull())
     asked = []
     for shorter in range(t_most + 1):
         length = F.col("n") - shorter
         for shift in range(shorter - t_most, t_most + 1):
-            if abs(shift) + abs(shorter - shift) <= t_most:
+            # at equal length a pair asks both ways, and what lies between its edits is shifted up for one of the two
+            if abs(shift) + abs(shorter - shift) <= t_most and (shorter or shift >= 0):
                 fits = edits(length, bands) >= abs(shift) + abs(shorter - shift)
                 asked.append(F.when(fits, F.transform(pieces, lambda p: key(length, p, F.lit(shift)))).otherwise(F.array().cast("array<bigint>")))  # noqa: B023
-    probes = wide.select("id", "line", "n", F.explode(F.array_distinct(F.concat(*asked))).alias("key")).join(rare.select("key").distinct(), "key", "left_semi")
-    # what a line asks for and also holds is its own row
-    probes = probes.join(rare, ["key", "id"], "left_anti").select("id", "line", "n", F.lit(False).alias("own"), "key")
-    return own.unionByName(probes)
+    found = wide.select("id", "n", held.alias("held"), F.array_distinct(F.concat(*asked)).alias("asked"))
+    # a line asks for its own pieces too, so these are all lines that would meet under a key
+    every = materialize(found.select("id", "n", F.explode("asked").alias("key"), F.array_contains("held", F.col("key")).alias("own")).where("key is not null"), "line-pieces")
+    counted = every.where("own").join(every.groupBy("key").agg(F.count("*").alias("times")), "key")
+    rare = counted.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("held")).select("id", F.explode(F.slice("held", F.lit(1), edits(F.col("n"), bands) + 1)).alias("x"))
+    rare = materialize(rare.select("id", F.col("x.key").alias("key")), "line-rare")
+    probes = every.where("not own").select("id", "key").join(rare.select("key").distinct(), "key", "left_semi")
+    # what a line holds and has not chosen as its own, it asks for
+    passed = every.where("own").select("id", "key").join(rare, ["id", "key"], "left_anti").join(rare.select("key").distinct(), "key", "left_semi")
+    met = rare.withColumn("own", F.lit(True)).unionByName(probes.unionByName(passed).withColumn("own", F.lit(False)))
+    return met.join(lines, "id").select("id", "line", "n", "own", "key")
 
 
 def _let(value: Column, body) -> Column:
@@ -278,14 +281,15 @@ def line_links(lines: DataFrame, bands: tuple = BANDS) -> tuple[DataFrame, DataF
         distance = _let(unlike_part(a, b, t_most + 1), lambda p: banded_distance(p["a"], p["b"], F.length(p["a"]), F.length(p["b"]), t_most))
         return F.when(alike, distance <= most).otherwise(False)
 
-    leads = groups.where("own").groupBy("key").agg(F.min(F.struct("id", "line", "n", "pairs")).alias("x"), F.count("*").alias("n_own"))
+    leads = groups.where("own").groupBy("key").agg(F.min(F.struct("id", "line", "n", "pairs")).alias("x"))
     leads = materialize(leads, "line-leads")
     star = groups.repartition(tasks, "key").alias("z").join(leads, "key").where((F.col("x.id") != F.col("z.id")) & near("x", "z"))
     first = materialize(star.select(F.least("x.id", "z.id").alias("a"), F.greatest("x.id", "z.id").alias("b")).distinct(), "line-star")
     roots = connected_components(first, "line-star")
     # what is left to compare has a line of its own key that is not the smallest
-    named = groups.join(leads.where("n_own > 1").select("key", F.col("x.id").alias("lead")), "key").join(roots, F.col("id") == F.col("node"), "left")
-    x, z = (side.repartition(tasks, "key", "tile").alias(k) for side, k in zip(apart(named.select("key", "own", "id", "line", "n", "pairs", "lead", F.coalesce("root", "id").alias("root")), "line", F.col("own")), "xz"))
+    named = groups.join(roots, F.col("id") == F.col("node"), "left").select("key", "own", "id", "line", "n", "pairs", F.coalesce("root", "id").alias("root"))
+    told = (F.min(F.when(F.col("own"), F.col("id"))).alias("lead"), F.count(F.when(F.col("own"), 1)).alias("n_own"))
+    x, z = (side.repartition(tasks, "key", "tile").alias(k) for side, k in zip(apart(named, "line", F.col("own"), told=told, where="n_own > 1"), "xz"))
     same = (F.col("x.key") == F.col("z.key")) & (F.col("x.tile") == F.col("z.tile")) & (F.col("x.root") != F.col("z.root")) & (F.col("x.id") != F.col("x.lead"))
     once = F.when(F.col("z.own"), F.col("x.id") < F.col("z.id")).otherwise(True)
     pairs = x.join(z, same & F.when(once, near("x", "z")).otherwise(False)).select(F.col("x.id").alias("a"), F.col("z.id").alias("b"), F.least("x.root", "z.root").alias("lo"), F.greatest("x.root", "z.root").alias("hi"))
