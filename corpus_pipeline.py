@@ -41,15 +41,16 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of every component of near copies, the one of the smallest identifier.
 
-    Near are texts whose sets of 5-word shingles have a similarity of at least 0.8. SimHash balls over 5-word shingles
-    propose pairs, which are verified; a pair at 0.8 differs in about ten of 64 bits, and no ball that can be emitted
-    reaches so far, so an exact join of leading shingles finds the pairs that remain (`shingle_join`). Rows without
-    identifier stay; rows that share an identifier go or stay together; empty texts are copies of one another.
+    Near are texts whose SimHash fingerprints are at most two bits apart and whose 5-word shingles, repeats included as
+    in a fingerprint, have a similarity of at least 0.8; and texts whose sets of 5-word shingles have it. SimHash balls
+    find the first, among them texts that one repeated line fills and that have little else in common. Of the second
+    they find few: a pair at 0.8 differs in about ten of 64 bits, and no ball that can be emitted reaches so far, so an
+    exact join of leading shingles adds the others (`shingle_join`) and skips what the balls have connected. Rows
+    without identifier stay; rows that share an identifier go or stay together; empty texts are copies of one another.
     """
     with scratch():
-        groups = simhash.simhash_groups(docs, width=5, max_bits=2).where("doc_id <> component_id")
-        balls = groups.selectExpr("component_id AS a", "doc_id AS b")
-        return shingle_join.drop_linked(docs, shingle_join.shingle_links(docs, width=5, similarity="0.8", candidates=balls))
+        balls = simhash.near_links(docs, width=5, max_bits=2, similarity="0.8")
+        return shingle_join.drop_linked(docs, shingle_join.shingle_links(docs, width=5, similarity="0.8", known=balls))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline as C
-from tidewright.llm import common, mixing, packing, quality
+from tidewright.llm import common, mixing, packing, quality, simhash
 
 from .test_exact_dedup import plain as exact
 from .test_shingle_join import grams, similar
@@ -49,6 +49,19 @@ def test_run_equals_a_plain_version(spark, sf_dir):
     assert all(covered[i] == len(tokens[i]) for i, n in mixed.items() if n == 1)
 
 
+def test_fingerprints_decide_in_the_stage(spark, sf_dir):
+    """Texts that one repeated line fills are near by their fingerprints, though their sets of shingles are not."""
+    line, tail = "the same line again and again without one other ", lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    texts = {1: line * 40 + tail("a", 20), 2: line * 40 + tail("b", 20), 3: line * 20 + tail("c", 20), 4: tail("d", 40)}
+    assert not any(similar(grams(texts[a]), grams(texts[b])) for a in texts for b in texts if a < b)
+    fps = [simhash.fingerprint(texts[i], 5) for i in (1, 2, 3)]
+    assert all(bin(fps[0] ^ f).count("1") <= 2 for f in fps)
+    docs = spark.createDataFrame([(i, t, "s") for i, t in texts.items()], "doc_id long, text string, source string")
+    near = C.drop_near_copies(spark, docs, sf_dir)
+    assert sorted(r.doc_id for r in near.collect()) == [1, 3, 4]  # of 1 and 3 the shingles, repeats included, are half the same
+    assert {r.doc_id for r in C.mix_sources(spark, near, sf_dir).collect()} == {1, 3, 4}
+
+
 def test_registered():
     import __spark_entry__ as entry
 

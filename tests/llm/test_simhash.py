@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import xxhash
 
 from tidewright.llm import simhash as S
-from tidewright.llm.common import connected_components
+from tidewright.llm.common import apart, connected_components
 
 
 def plain(text):
@@ -104,3 +105,44 @@ def test_components_of_chains_stars_and_rings(spark):
 def test_named_by_binary_too(spark):
     df = spark.createDataFrame([(b"b", b"a"), (b"c", b"b")], "a binary, b binary")
     assert {bytes(r.node): bytes(r.root) for r in connected_components(df).collect()} == {b"a": b"a", b"b": b"a", b"c": b"a"}
+
+
+def repeated_texts():
+    """Lines that fill most of a text or not so much, with tails of their own; edits of these; nulls and empty texts."""
+    rnd = random.Random(11)
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    texts = [None, "", " ", "one", "ONE"]
+    for size in (1, 3, 7, 11):
+        line = words(size)
+        for times, tail in ((300, 6), (300, 12), (300, 12), (300, 60), (300, 150), (300, 150), (150, 6)):
+            texts.append(" ".join(line * (times // size) + words(tail)))
+    base = words(400)
+    for n in (0, 1, 1, 40):
+        new = list(base)
+        for i in rnd.sample(range(400), n):
+            new[i] = words(1)[0]
+        texts.append(" ".join(new))
+    rnd.shuffle(texts)
+    return dict(enumerate(texts))
+
+
+def counted(text):
+    words = (text or "").encode().lower().split()
+    return Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4)) if len(words) > 5 else Counter([tuple(words)])
+
+
+def test_near_links_count_repeats(spark, monkeypatch):
+    texts = repeated_texts()
+    fps, bags = {i: S.fingerprint(t or "", 5) for i, t in texts.items()}, {i: counted(t) for i, t in texts.items()}
+    in_ball = lambda a, b: bin(fps[a] ^ fps[b]).count("1") <= 2
+    alike = lambda a, b: 5 * (bags[a] & bags[b]).total() >= 4 * (bags[a] | bags[b]).total()
+    want = components(sorted(texts), lambda a, b: in_ball(a, b) and alike(a, b))
+    want = {i: r for i, r in want.items() if sum(1 for x in want.values() if x == r) > 1}
+    assert want != {i: r for i, r in components(sorted(texts), in_ball).items() if i in want}  # some that meet are not alike
+    df = spark.createDataFrame([*texts.items(), (None, "one")], "doc_id long, text string")
+    for tile in (512, 2):
+        monkeypatch.setattr(S, "apart", lambda *args, tile=tile: apart(*args, tile=tile))
+        links = S.near_links(df).collect()
+        assert {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()} == want
+        assert all(in_ball(r.a, r.b) and alike(r.a, r.b) for r in links)
+    assert S.near_links(df.limit(0)).isEmpty()

@@ -36,8 +36,12 @@ MAP = 16
 SAMPLED, COMMON = 8_000, 1 << 17
 
 
-def shingles(text: str, width: int) -> np.ndarray:
-    """The distinct XXH64 of a text's shingles, ascending."""
+#: Tells the repeats of a shingle apart: the one after k others of its kind counts as its XXH64 plus k times this.
+REPEAT = 0x9E3779B97F4A7C15
+
+
+def shingles(text: str, width: int, repeats: bool = False) -> np.ndarray:
+    """The distinct XXH64 of a text's shingles, ascending; with repeats a number for each, the first the same."""
     words = text.encode().lower().split()  # bytes: A-Z and [\x20\x09-\x0D] only
     joined, ends, at = b" ".join(words), [], -1
     for w in words:
@@ -47,13 +51,19 @@ def shingles(text: str, width: int) -> np.ndarray:
         return np.array([xxhash.xxh64_intdigest(joined, SEED)], dtype="<u8").view(np.int64)
     starts = [0, *(e + 1 for e in ends)]
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :])], dtype="<u8").view(np.int64))
+    found = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :])], dtype="<u8")
+    if repeats:
+        found.sort()
+        at = np.arange(len(found))
+        first = np.maximum.accumulate(np.where(np.append(True, found[1:] != found[:-1]), at, 0))
+        found = found + (at - first).astype("<u8") * np.uint64(REPEAT)
+    return np.unique(found.view(np.int64))
 
 
-def _sets(width: int):
+def _sets(width: int, repeats: bool = False):
     def run(batches):
         for b in batches:
-            found = [shingles(x.as_py(), width) for x in b.column(1)]
+            found = [shingles(x.as_py(), width, repeats) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "hashes"])
 
     return run
@@ -142,10 +152,13 @@ def _asked(pairs: DataFrame, held: DataFrame, share: Fraction) -> DataFrame:
     return both.where(_enough(F.size(F.array_intersect("x.keys", "y.keys")), _side("x"), _side("y"), share)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, width: int, share: Fraction, tag: str) -> DataFrame:
-    """The pairs (a, b) that are similar enough; a may be in very many of them, and comes to them under salts of b."""
+def verified(pairs: DataFrame, rows: DataFrame, width: int, share: Fraction, tag: str, repeats: bool = False) -> DataFrame:
+    """The pairs (a, b) of rows (id, text) that are similar enough, by sets or by all shingles, repeats included.
+
+    a may be in very many of them, and comes to them under salts of b.
+    """
     ids = materialize(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct(), f"{tag}-ids")
-    sets = materialize(rows.join(small(ids), "id").mapInArrow(_sets(width), "id long, hashes array<long>"), f"{tag}-sets")
+    sets = materialize(rows.join(small(ids), "id").mapInArrow(_sets(width, repeats), "id long, hashes array<long>"), f"{tag}-sets")
     salts = pairs.groupBy(F.col("a").alias("id")).agg(F.bit_or(salt_mask(salt_of(F.col("b")))).alias("salts"))
     x = spread(sets.join(salts, "id").select(F.col("id").alias("a"), F.col("hashes").alias("x"), "salts"), "salts")
     y = pairs.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("y")), "b").withColumn("salt", salt_of(F.col("b")))
@@ -164,10 +177,11 @@ def _common(rows: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array([k for k, _ in top], dtype=np.int64), np.array([c for _, c in top], dtype=np.int64)
 
 
-def shingle_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: str = "0.8", candidates: DataFrame | None = None) -> DataFrame:
+def shingle_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: str = "0.8", known: DataFrame | None = None) -> DataFrame:
     """(a, b): links whose components are those of all pairs of documents with a similarity of at least that.
 
-    candidates: pairs (a, b) from elsewhere, which are held against the similarity among the first.
+    known: a materialized table of links (a, b) that hold already, by whatever rule; they are links of the result, and
+    what they connect is not compared again.
     """
     spark, share = docs.sparkSession, Fraction(similarity)
     tune(spark)
@@ -182,10 +196,12 @@ def shingle_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     star = materialize(star.distinct(), "shingle-star")
     held = materialize(_held(met), "shingle-held")
     asked = _asked(star, held, share)
-    if candidates is not None:
-        asked = asked.unionAll(candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b"))
+    if known is not None:
+        known = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+        asked = asked.join(known, ["a", "b"], "left_anti")
     asked = materialize(asked.distinct(), "shingle-asked")
-    first = _verified(asked, rows, width, share, "shingle-first")
+    first = verified(asked, rows, width, share, "shingle-first")
+    first = first if known is None else first.unionAll(known)
     roots = connected_components(first, "shingle")
     named = groups.join(roots, F.col("id") == F.col("node"), "left").select("key", "id", "n", "end", F.coalesce("root", "id").alias("root"))
     x, y = (t.alias(k) for t, k in zip(apart(named, "shingle", more=held.drop("keys"), on=("id", "n", "end")), "xy"))
@@ -193,7 +209,7 @@ def shingle_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.tile") == F.col("y.tile")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.root") != F.col("y.root")) & can)
     rest = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")).distinct()
     rest = materialize(_asked(rest, held, share).distinct().join(star.select("a", "b"), ["a", "b"], "left_anti"), "shingle-rest")
-    second = _verified(rest, rows, width, share, "shingle-second")
+    second = verified(rest, rows, width, share, "shingle-second")
     release(keys, shared, met, groups, star, held, asked, rest, roots)
     return first.unionAll(second)
 

@@ -7,6 +7,9 @@ A bucket holds at most as many fingerprints as a ball has points (65), whatever
 member is paired with the others: with one variant between them, any two of a bucket are within 2r bits, which
 is verified all the same.
 
+`near_links` keeps of the pairs that balls find those whose shingles are similar, repeats included as in fingerprints:
+documents of a bucket meet under the smallest of them, then those that are in different components still, in tiles.
+
 Copies never multiply: documents are reduced to distinct fingerprints first. Defined results: null text is empty;
 a text without words has fingerprint zero, linked like any other; fewer words than a shingle: the whole sequence;
 a null identifier counts as larger than all others when a component is named; repeated rows each get a row; an
@@ -15,6 +18,7 @@ empty table gives no rows; further columns of any name are not read.
 
 from __future__ import annotations
 
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -23,7 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, kept, materialize, release, salt_mask, salt_of, scratch, small, spread, text_or_empty, tune, unused
+from .common import apart, connected_components, kept, materialize, release, salt_mask, salt_of, scratch, small, spread, text_or_empty, tune, unused
+from .shingle_join import verified
 
 SEED = 42
 
@@ -71,18 +76,48 @@ def ball(radius: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def fingerprint_links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
-    """(a, b) between distinct values of fps.fp at most max_bits (even) apart; a tree within each bucket, not all pairs."""
+def _variants(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, variant): of every fingerprint all those within half of max_bits (even)."""
     if max_bits % 2 or not 0 < max_bits <= 4:
         raise ValueError("max_bits must be 2 or 4: the ball has half of it as its radius")
     # a fingerprint is eight bytes and makes dozens of variants: dealt to all tasks first, whatever its bytes
     dealt = fps.select("fp").repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
-    variants = dealt.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m).cast("bigint")) for m in ball(max_bits // 2)])).alias("variant"))
-    buckets = variants.groupBy("variant").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    return dealt.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m).cast("bigint")) for m in ball(max_bits // 2)])).alias("variant"))
+
+
+def fingerprint_links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
+    """(a, b) between distinct values of fps.fp at most max_bits (even) apart; a tree within each bucket, not all pairs."""
+    buckets = _variants(fps, max_bits).groupBy("variant").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
     pairs = buckets.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b"))
     return pairs.where(F.col("a") != F.col("b")).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).distinct()
 
 
+def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, max_bits: int = 2, similarity: str = "0.8") -> DataFrame:
+    """(a, b): links whose components are those of all pairs of documents with fingerprints at most max_bits apart and
+    shingles, repeats included, of at least that Jaccard similarity; rows without identifier are left out."""
+    share = Fraction(similarity)
+    found = materialize(fingerprints(docs, id_col, text_col, width).where("id IS NOT NULL").distinct(), "balls")
+    fps = materialize(found.groupBy("fp").agg(F.count("*").alias("n")), "balls-distinct")
+    buckets = _variants(fps, max_bits).groupBy("variant").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    # a fingerprint of several documents is a bucket of its own, whether others are near or not
+    buckets = buckets.unionAll(fps.where("n > 1").select(F.col("fp").alias("variant"), F.array("fp")))
+    buckets = materialize(buckets.select(F.col("variant").alias("key"), F.explode("fps").alias("fp")).distinct(), "balls-buckets")
+    members = materialize(found.join(small(buckets), "fp").select("key", "id").distinct(), "balls-members")
+    leads = materialize(members.groupBy("key").agg(F.min("id").alias("a")), "balls-leads")
+    star = materialize(members.join(small(leads), "key").where("a <> id").select("a", F.col("id").alias("b")).distinct(), "balls-star")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text_or_empty(text_col).alias("text")).where("id IS NOT NULL")
+    first = verified(star, rows, width, share, "balls-first", repeats=True)
+    roots = connected_components(first, "balls")
+    named = members.join(roots, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    x, y = (t.alias(k) for k, t in zip("xy", apart(named, "balls")))
+    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.tile") == F.col("y.tile")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.root") != F.col("y.root")))
+    rest = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    rest = materialize(rest, "balls-rest")
+    second = verified(rest, rows, width, share, "balls-second", repeats=True)
+    release(found, fps, buckets, members, leads, star, roots, rest)
+    return first.unionAll(second)
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_bits: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable), group_size: a row for every row."""
     rows = materialize(fingerprints(docs, id_col, text_col, width), "simhash")
